@@ -69,3 +69,24 @@ def stage_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``churnkit`` importable in Python workers (zip shipped with ``addPyFile``).
+
+    Needed only by the Python-side operators (mapInPandas). The zip is driver-side code,
+    distributed by Spark's file server, so it works on any cluster manager."""
+    import zipfile
+
+    if spark.conf.get("churnkit.shipped", "false") == "true":
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="churnkit-py-"), "churnkit.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    spark.sparkContext.addPyFile(out)
+    spark.conf.set("churnkit.shipped", "true")
