@@ -1,6 +1,6 @@
 """Cleaning, feature engineering and one-hot encoding as one fitted transformer.
 
-``FeatureModel.fit`` learns, in two aggregate jobs, everything the features depend on:
+``FeatureModel.fit`` learns, in a few aggregate jobs, everything the features depend on:
 the median of the parsed TotalCharges, the mean MonthlyCharges per contract type and
 the category levels of every categorical column. These are small (bounded by category
 cardinality, which ``fit`` checks) and are held as literals, so ``transform`` is a pure
@@ -95,9 +95,13 @@ class FeatureModel:
     # ------------------------------------------------------------------ fit
     @classmethod
     def fit(cls, df: DataFrame, max_levels: int = MAX_LEVELS) -> "FeatureModel":
-        """Learn the statistics from a raw or cleaned subscriber table (two jobs)."""
-        total = _total_charges_double(df)
-        median = df.select(F.median(total).alias("m")).first()["m"]
+        """Learn the statistics from a raw or cleaned subscriber table.
+
+        The median is exact without a single-task merge (``stats.exact_median``); the
+        levels and contract means come from one grouped aggregate."""
+        from churnkit.operators.stats import exact_median
+
+        median = exact_median(df, _total_charges_double(df))
         # One pass for category levels and the contract means: explode (column, value)
         # pairs and aggregate; the group count is bounded by the category cardinality.
         pairs = F.explode(F.array(*[
