@@ -26,6 +26,7 @@ from churnkit.schema import (CATEGORICAL_COLS, CONTRACT_RISK, KEY, LABEL, NO_SER
 # A plain decimal or exponent number, optionally padded; anything else is missing.
 NUMERIC_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
+_TOTAL = "__TotalCharges"
 MAX_LEVELS = 1000  # one-hot width guard: a categorical with more levels is rejected at fit
 
 
@@ -99,22 +100,34 @@ class FeatureModel:
 
         The median is exact without a single-task merge (``stats.exact_median``); the
         levels and contract means come from one grouped aggregate."""
-        from churnkit.operators.stats import exact_median
-
-        median = exact_median(df, _total_charges_double(df))
-        # One pass for category levels and the contract means: explode (column, value)
-        # pairs and aggregate; the group count is bounded by the category cardinality.
-        pairs = F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("category"))
-            for c in CATEGORICAL_COLS
-        ]))
-        levels = (df.select(pairs.alias("p"), F.col("MonthlyCharges"))
-                  .select("p.column_name", "p.category", "MonthlyCharges")
-                  .groupBy("column_name", "category")
-                  .agg(F.count(F.lit(1)).alias("n"),
-                       money_sum("MonthlyCharges").alias("s"),
-                       F.count("MonthlyCharges").alias("n_m"))
-                  .collect())
+        from churnkit.operators.stats import median_from_counts
+
+        # ONE scan: (column, level) pairs for every categorical plus ("__total", value)
+        # pairs of the parsed TotalCharges, aggregated together. The result is bounded
+        # by the category levels + distinct totals and is cached while it is read twice.
+        total = _total_charges_double(df)
+        entries = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("category"),
+                            F.lit(None).cast("double").alias("v")) for c in CATEGORICAL_COLS]
+        entries.append(F.struct(F.lit(_TOTAL).alias("column_name"),
+                                F.lit(None).cast("string").alias("category"), total.alias("v")))
+        agg = (df.select(F.explode(F.array(*entries)).alias("p"), F.col("MonthlyCharges"))
+               .select("p.column_name", "p.category", "p.v", "MonthlyCharges")
+               .groupBy("column_name", "category", "v")
+               .agg(F.count(F.lit(1)).alias("n"),
+                    money_sum("MonthlyCharges").alias("s"),
+                    F.count("MonthlyCharges").alias("n_m"))
+               .cache())
+        level_rows = agg.where(F.col("column_name") != _TOTAL)
+        # guard BEFORE collecting: one row per categorical column
+        for r in level_rows.groupBy("column_name").agg(F.count("category").alias("k")).collect():
+            if r["k"] > max_levels:
+                agg.unpersist()
+                raise ValueError(f"column {r['column_name']} has {r['k']} levels (> {max_levels}); "
+                                 "one-hot encoding it is not bounded")
+        levels = level_rows.collect()
+        median = median_from_counts(agg.where((F.col("column_name") == _TOTAL) & F.col("v").isNotNull())
+                                    .select("v", F.col("n").alias("c")))
+        agg.unpersist()
         categories: dict[str, list[str]] = {c: [] for c in CATEGORICAL_COLS}
         means: dict[str, float] = {}
         all_n = 0
@@ -128,10 +141,7 @@ class FeatureModel:
                 all_n += row["n_m"]
                 if row["category"] is not None and row["n_m"]:
                     means[row["category"]] = float(row["s"]) / row["n_m"]
-        for c, vals in categories.items():
-            if len(vals) > max_levels:
-                raise ValueError(f"column {c} has {len(vals)} levels (> {max_levels}); "
-                                 "one-hot encoding it is not bounded")
+        for vals in categories.values():
             vals.sort()
         overall = float(dec_sum) / all_n if all_n else 0.0
         return cls(median_total=round(median, 6) if median is not None else 0.0,

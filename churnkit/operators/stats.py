@@ -33,6 +33,11 @@ def exact_median(df: DataFrame, col: str | Column) -> float | None:
     x = F.col(col) if isinstance(col, str) else col
     counts = (df.select(x.cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
               .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
+    return median_from_counts(counts)
+
+
+def median_from_counts(counts: DataFrame) -> float | None:
+    """Median of a distribution given as distinct values ``v`` with counts ``c``."""
     ranked = running_count(counts).cache()
     n = ranked.agg(F.sum("c")).first()[0]
     if not n:
