@@ -92,10 +92,65 @@ def q_stream_scoring(spark, sf) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
+def _model_explained(spark, sf):
+    """All customers scored by the boosted model with TreeSHAP drivers (wide, per row)."""
+    fm, encoded, _, _, _ = training_inputs(spark, sf)
+    model = fitted(spark, sf, "gbt")
+    assembled = fm.assemble(encoded)
+    expl = attribution.tree_shap(model, assembled)
+    probs = train.positive_probability(model, assembled).select(KEY, "p")
+    # Scores and attributions come from two jobs over the same rows -> equi-join on the key
+    return expl.join(probs, KEY)
+
+
+def q_model_score_batch(spark, sf) -> DataFrame:
+    """Batch scoring with the trained model: p, prediction, tier, top-3 factors."""
+    fm, _, _, _, _ = training_inputs(spark, sf)
+    return scoring.score_batch(_model_explained(spark, sf), fm.feature_names)
+
+
+def q_model_retention_messages(spark, sf) -> DataFrame:
+    """Messages for p > 0.4 with the model's own drivers joined to the profiles."""
+    from churnkit.operators import offers
+
+    fm, _, _, _, _ = training_inputs(spark, sf)
+    raw = subscriber_raw(spark, sf)
+    profiles = raw.select(KEY, "tenure", "MonthlyCharges", "Contract", "InternetService")
+    scored = (_model_explained(spark, sf)
+              .withColumn("drivers", scoring.ranked_drivers(fm.feature_names, 5))
+              .join(profiles, KEY))
+    return offers.retention_messages(scored)
+
+
+def q_model_metadata(spark, sf) -> DataFrame:
+    """AG17: best model by AUC (ties by position) with dataset counts."""
+    comp = q_train_compare(spark, sf)
+    fm, _, split, _, _ = training_inputs(spark, sf)
+    kinds = ("gbt", "gbt_weighted", "mlp")
+    comp = comp.withColumn("position", F.when(F.col("model") == train.DISPLAY[kinds[0]], 0)
+                           .when(F.col("model") == train.DISPLAY[kinds[1]], 1).otherwise(2))
+    best = comp.orderBy(F.desc("roc_auc"), "position").first()["model"]
+    kind = [k for k in kinds if train.DISPLAY[k] == best][0]
+    return train.metadata(comp, kind, len(fm.feature_names), split)
+
+
+def q_best_per_metric(spark, sf) -> DataFrame:
+    """AG20 / E4: unpivot the comparison and take the best model per metric."""
+    comp = q_train_compare(spark, sf)
+    order = {train.DISPLAY[k]: i for i, k in enumerate(("gbt", "gbt_weighted", "mlp"))}
+    pos = F.when(F.col("model") == "XGBoost", order["XGBoost"]).when(
+        F.col("model") == "LightGBM", order["LightGBM"]).otherwise(order["NeuralNetwork"])
+    return train.best_per_metric(comp.withColumn("position", pos))
+
+
 JOB_QUERIES = {
     "train_compare": q_train_compare,
     "tree_attribution": q_tree_attribution,
     "tree_importance": q_tree_importance,
     "sampled_attribution": q_sampled_attribution,
     "stream_scoring": q_stream_scoring,
+    "model_score_batch": q_model_score_batch,
+    "model_retention_messages": q_model_retention_messages,
+    "model_metadata": q_model_metadata,
+    "best_per_metric": q_best_per_metric,
 }
