@@ -1,11 +1,12 @@
 """Exact order statistics without a single-task merge.
 
 ``percentile``/``median`` as a global aggregate merges every partition's value->count
-map in ONE task. ``exact_median`` instead counts distinct values (a distributed
-aggregate), range-partitions that table and takes running counts in two steps
-(per-range totals -> broadcast offsets -> window inside each range), then reads the one
-or two middle values. Work and memory per task are bounded by the distinct values of a
-range, not by the data.
+map in ONE task. ``median_from_counts`` works on the distinct (value, count) table
+instead, in one job: values fall into order-preserving buckets (1/16 decade of |v|,
+signed), bucket totals give running offsets (a table of a few hundred rows, broadcast),
+a window inside each bucket gives every value's rank range, and only the one or two
+middle values reach the driver. Work per task is bounded by the distinct values of one
+bucket, not by the data.
 """
 
 from __future__ import annotations
@@ -13,17 +14,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGE_BUCKETS = 64
+BUCKETS_PER_DECADE = 16
 
 
-def running_count(counts: DataFrame, value: str = "v", count: str = "c",
-                  buckets: int = RANGE_BUCKETS) -> DataFrame:
-    """Adds ``before`` = number of rows with a smaller value (exclusive running count)."""
-    ranged = counts.repartitionByRange(buckets, value).withColumn("_b", F.spark_partition_id())
-    totals = ranged.groupBy("_b").agg(F.sum(count).alias("_t"))
-    offsets = totals.select("_b", (F.sum("_t").over(Window.orderBy("_b")) - F.col("_t")).alias("_o"))
+def monotone_bucket(v: Column) -> Column:
+    """An integer that never decreases as v increases (no statistics pass needed)."""
+    return F.floor(F.signum(v) * F.log10(F.abs(v) + 1) * BUCKETS_PER_DECADE).cast("int")
+
+
+def running_count(counts: DataFrame, value: str = "v", count: str = "c") -> DataFrame:
+    """Adds ``before`` (rows with a smaller value) and ``n_total`` to a (value, count) table."""
+    b = counts.withColumn("_b", monotone_bucket(F.col(value)))
+    totals = b.groupBy("_b").agg(F.sum(count).alias("_t"))
+    offsets = totals.select("_b", (F.sum("_t").over(Window.orderBy("_b")) - F.col("_t")).alias("_o"),
+                            F.sum("_t").over(Window.partitionBy()).alias("n_total"))
     w = Window.partitionBy("_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return (ranged.join(F.broadcast(offsets), "_b")          # <= buckets rows
+    return (b.join(F.broadcast(offsets), "_b")          # one row per bucket: bounded
             .withColumn("before", F.coalesce(F.sum(count).over(w), F.lit(0)) + F.col("_o"))
             .drop("_b", "_o"))
 
@@ -37,19 +43,19 @@ def exact_median(df: DataFrame, col: str | Column) -> float | None:
 
 
 def median_from_counts(counts: DataFrame) -> float | None:
-    """Median of a distribution given as distinct values ``v`` with counts ``c``."""
-    ranked = running_count(counts).cache()
-    n = ranked.agg(F.sum("c")).first()[0]
-    if not n:
-        ranked.unpersist()
+    """Median of a distribution given as distinct values ``v`` with counts ``c`` (one job)."""
+    r = running_count(counts)
+    lo_k = F.floor((F.col("n_total") - 1) / 2) + 1        # 1-based ranks of the middle value(s)
+    hi_k = F.floor(F.col("n_total") / 2) + 1
+    covers = lambda k: (F.col("before") < k) & (F.col("before") + F.col("c") >= k)
+    rows = (r.where(covers(lo_k) | covers(hi_k))
+            .select("v", "before", "c", "n_total", lo_k.alias("lo_k"), hi_k.alias("hi_k"))
+            .orderBy("v").collect())
+    if not rows:
         return None
-    lo_k, hi_k = (n - 1) // 2 + 1, n // 2 + 1          # 1-based ranks of the middle value(s)
-    rows = ranked.where(((F.col("before") < lo_k) & (F.col("before") + F.col("c") >= lo_k))
-                        | ((F.col("before") < hi_k) & (F.col("before") + F.col("c") >= hi_k))) \
-        .orderBy("v").collect()
-    ranked.unpersist()
-    lo = rows[0]["v"]
-    hi = rows[-1]["v"] if (rows[-1]["before"] < hi_k) else lo
+    n = rows[0]["n_total"]
+    lo = [x["v"] for x in rows if x["before"] < x["lo_k"] <= x["before"] + x["c"]][0]
+    hi = [x["v"] for x in rows if x["before"] < x["hi_k"] <= x["before"] + x["c"]][0]
     if n % 2 == 1:
         return lo
-    return lo + (hi - lo) * 0.5
+    return 0.5 * lo + 0.5 * hi          # the same interpolation as Spark's percentile

@@ -184,7 +184,11 @@ def prepare_training(assembled: DataFrame, split: DataFrame) -> tuple[DataFrame,
               .withColumn("label", F.col(LABEL).cast("double")))
     joined = with_weights(joined)
     cols = [KEY, "features", "label", "fold", "w1", "w2", "w3"]
-    train = joined.where(F.col("split") == "train").select(*cols).checkpoint(eager=True)
+    # iterative fits scan this table hundreds of times: spread it over every core (an
+    # explicit count, so AQE does not coalesce it into one task) and cut the lineage
+    parts = max(2, assembled.sparkSession.sparkContext.defaultParallelism)
+    train = (joined.where(F.col("split") == "train").select(*cols)
+             .repartition(parts).checkpoint(eager=True))
     test = joined.where(F.col("split") == "test").select(*cols)
     return train, test
 
