@@ -117,14 +117,16 @@ class FeatureModel:
                     money_sum("MonthlyCharges").alias("s"),
                     F.count("MonthlyCharges").alias("n_m"))
                .cache())
-        level_rows = agg.where(F.col("column_name") != _TOTAL)
-        # guard BEFORE collecting: one row per categorical column
-        for r in level_rows.groupBy("column_name").agg(F.count("category").alias("k")).collect():
-            if r["k"] > max_levels:
-                agg.unpersist()
-                raise ValueError(f"column {r['column_name']} has {r['k']} levels (> {max_levels}); "
-                                 "one-hot encoding it is not bounded")
-        levels = level_rows.collect()
+        # bounded collect: at most max_levels per column (+1 to detect an overflow)
+        cap = max_levels * len(CATEGORICAL_COLS) + 1
+        levels = agg.where(F.col("column_name") != _TOTAL).limit(cap).collect()
+        per_col: dict[str, int] = {}
+        for r in levels:
+            per_col[r["column_name"]] = per_col.get(r["column_name"], 0) + (r["category"] is not None)
+        too_many = [c for c, k in per_col.items() if k > max_levels] or (["(total)"] if len(levels) >= cap else [])
+        if too_many:
+            agg.unpersist()
+            raise ValueError(f"columns {too_many} exceed {max_levels} levels; one-hot encoding is not bounded")
         median = median_from_counts(agg.where((F.col("column_name") == _TOTAL) & F.col("v").isNotNull())
                                     .select("v", F.col("n").alias("c")))
         agg.unpersist()

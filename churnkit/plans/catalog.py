@@ -16,6 +16,7 @@ from churnkit.operators import evaluate, offers, profile, revenue, sampling, sco
 from churnkit.operators.features import FeatureModel, category_levels
 from churnkit.operators.validation import validate_records
 from churnkit.schema import KEY, LABEL, NUMERIC_FEATURES
+from churnkit.session import materialize
 from churnkit.sources.fixture import subscriber_raw
 from churnkit.sources.requests import requests_from_subscribers, with_request_defaults
 
@@ -24,7 +25,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # ----------------------------------------------------------------------- shared inputs
 def _raw(spark, sf):
-    return subscriber_raw(spark, sf)
+    """The derived subscriber stage table, materialised once per query: the fit and every
+    branch of the plan (ranks, splits, prefix sums) then read it instead of re-aggregating
+    orders and events."""
+    return materialize(subscriber_raw(spark, sf))
 
 
 def _fit(spark, sf):
@@ -70,7 +74,7 @@ def q_features_encoded(spark, sf):
 
 
 def q_encoder_categories(spark, sf):
-    return category_levels(_raw(spark, sf))
+    return category_levels(subscriber_raw(spark, sf))
 
 
 def q_features_for_requests(spark, sf):
@@ -80,7 +84,7 @@ def q_features_for_requests(spark, sf):
 
 
 def q_request_validation(spark, sf):
-    return validate_records(_raw(spark, sf))
+    return validate_records(subscriber_raw(spark, sf))
 
 
 def q_kpi_summary(spark, sf):

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from churnkit.operators import attribution, sampling, scoring, train
 from churnkit.operators.features import FeatureModel
 from churnkit.schema import KEY, LABEL
-from churnkit.session import stage_path
+from churnkit.session import materialize, stage_path
 from churnkit.sources.fixture import subscriber_raw
 from churnkit.sources.requests import requests_from_subscribers
 from churnkit.streaming.scoring import score_stream
@@ -28,7 +28,7 @@ def training_inputs(spark: SparkSession, sf: str):
     """(feature model, encoded, split, train, test) for one input folder (memoised)."""
     key = (spark.sparkContext.applicationId, sf, "inputs")
     if key not in _CACHE:
-        raw = subscriber_raw(spark, sf)
+        raw = materialize(subscriber_raw(spark, sf))
         fm = FeatureModel.fit(raw)
         encoded = fm.transform(raw)
         split = sampling.stratified_split(encoded.select(KEY, LABEL), KEY, LABEL, 20, 42, 3)

@@ -22,6 +22,8 @@ _LOCAL_DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # stage tables cut with checkpoint() are removed once their DataFrame is unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -65,6 +67,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
+def materialize(df):
+    """Cut lineage: write ``df`` once to the shared checkpoint folder and read it back.
+
+    Used for stage tables that several branches of one plan read (the derived subscriber
+    table): each branch then scans the checkpoint instead of re-running the upstream
+    aggregations. A reliable checkpoint survives executor loss (unlike localCheckpoint)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
