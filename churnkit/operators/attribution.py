@@ -36,9 +36,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnkit.schema import KEY
-from churnkit.session import ship_package, stage_path
+from churnkit.session import broadcast_if_small, ship_package, stage_path
 
 MAX_PATTERN_BITS = 10   # per-leaf tables up to 2^10 x 10; deeper leaves use the direct form
+TABLE_BUDGET = 8_000_000  # doubles in all pattern tables (64 MB broadcast); the rest go direct
 
 
 # ------------------------------------------------------------------ model -> leaf tables
@@ -142,13 +143,23 @@ class TreeExplainerTables:
     def __init__(self, trees: list[list[dict]], weights: list[float], scale: float):
         self.leaves = []   # (tree weight, v, feats, cons, z, table or None)
         self.base = 0.0
-        for t, w in zip(trees, weights):
-            for lf in t:
-                z = np.array(lf["z"], dtype=float)
-                d = len(z)
-                tab = leaf_table(z, lf["v"]) if d <= MAX_PATTERN_BITS else None
-                self.leaves.append((w * scale, lf["v"], np.array(lf["feats"], dtype=int), lf["cons"], z, tab))
-                self.base += w * scale * lf["v"] * float(np.prod(z)) if d else w * scale * lf["v"]
+        # pattern tables for the shallowest leaves first, within a fixed memory budget, so
+        # the broadcast stays bounded whatever the ensemble's depth and size
+        flat = [(w, lf) for t, w in zip(trees, weights) for lf in t]
+        budget = TABLE_BUDGET
+        with_table = set()
+        for i in sorted(range(len(flat)), key=lambda i: len(flat[i][1]["z"])):
+            d = len(flat[i][1]["z"])
+            size = (2 ** d) * d
+            if d <= MAX_PATTERN_BITS and size <= budget:
+                with_table.add(i)
+                budget -= size
+        for i, (w, lf) in enumerate(flat):
+            z = np.array(lf["z"], dtype=float)
+            d = len(z)
+            tab = leaf_table(z, lf["v"]) if i in with_table else None
+            self.leaves.append((w * scale, lf["v"], np.array(lf["feats"], dtype=int), lf["cons"], z, tab))
+            self.base += w * scale * lf["v"] * float(np.prod(z)) if d else w * scale * lf["v"]
 
     def explain(self, x: np.ndarray, n_features: int) -> tuple[np.ndarray, np.ndarray]:
         """(impacts (B, n_features), margin (B,)) for a batch of feature rows."""
@@ -234,11 +245,11 @@ def sampled_shapley(model, explained: DataFrame, background: DataFrame, n_featur
     d = n_features
     bg = (background.select(vector_to_array(features_col).alias("b"))
           .withColumn("bid", F.row_number().over(Window.orderBy(F.md5(F.to_json(F.col("b"))))) - 1))
-    nb = bg.count()
+    bg, nb = broadcast_if_small(bg, 100_000)
     ex = explained.select(key, vector_to_array(features_col).alias("x"))
     perms = ex.select(key, "x", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("k"))
     perms = perms.withColumn("bid", F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("k")), F.lit(nb)))
-    perms = perms.join(F.broadcast(bg), "bid")
+    perms = perms.join(bg, "bid")
     order = F.transform(
         F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(d - 1)),
                                  lambda i: F.struct(F.xxhash64(F.lit(seed), F.col(key), F.col("k"), i).alias("h"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from churnkit.functions.expr import cents, ratio_half_up
 from churnkit.schema import LABEL
+from churnkit.session import broadcast_if_small
 
 SEGMENT_DIMENSIONS = ["Contract", "InternetService", "PaymentMethod"]
 
@@ -123,8 +124,8 @@ def box_stats(featured: DataFrame, column: str = "MonthlyCharges", by: str = LAB
                  F.col("_q")[2].alias("q3")))
     fences = q.select(by, (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_lf"),
                       (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("_uf"))
-    # second pass: fences are one row per group -> broadcast join (bounded by groups)
-    inner = (featured.join(F.broadcast(fences), by)
+    # second pass: fences are one row per group -> broadcast after a size check
+    inner = (featured.join(broadcast_if_small(fences)[0], by)
              .groupBy(by).agg(
                  F.min(F.when(x >= F.col("_lf"), x)).alias("lower_whisker"),
                  F.max(F.when(x <= F.col("_uf"), x)).alias("upper_whisker"),

@@ -77,6 +77,23 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
+    """Broadcast a derived (aggregated) table only after counting it; beyond the bound the
+    plain DataFrame is returned and Spark plans a shuffle join. The table is cached so the
+    count and the join read it once."""
+    from pyspark.sql import functions as F
+
+    cached = df.cache()
+    n = cached.count()
+    if n <= max_rows:
+        return F.broadcast(cached), n      # bounded: stays cached for the join(s) reading it
+    cached.unpersist()
+    return df, n
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
