@@ -143,12 +143,43 @@ def numeric_columns(df: DataFrame) -> list[str]:
 
 
 def correlation_long(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Pearson matrix as a long table (col_a, col_b, r) from ONE aggregate pass.
+    """Pearson matrix as a long table (col_a, col_b, r), r rounded to 4 places.
 
-    ``covar_pop / (stddev_pop * stddev_pop)`` with ``try_divide``: a constant column
-    gives NULL instead of raising. Output has len(columns)**2 rows."""
+    Without NULLs in the columns: Spark ML ``Correlation`` -- one treeAggregate pass of
+    BLAS outer products; the k x k result (bounded by the column count, not the data) is
+    laid out as the long table. With NULLs: one SQL aggregate of ``covar_pop`` /
+    ``stddev_pop`` per pair, which drops NULLs pairwise like the reference. A constant
+    column gives NULL (never a division error)."""
     cols = columns or numeric_columns(df)
-    aggs, names = [], []
+    pre = df.agg(*[a for i, c in enumerate(cols) for a in (
+        F.sum(F.col(c).isNull().cast("int")).alias(f"n{i}"),
+        (F.min(c) == F.max(c)).alias(f"k{i}"))]).first()
+    if all((pre[f"n{i}"] or 0) == 0 for i in range(len(cols))):
+        constant = {c for i, c in enumerate(cols) if pre[f"k{i}"] is not False}
+        return _correlation_ml(df, cols, constant)
+    return _correlation_sql(df, cols)
+
+
+def _correlation_ml(df: DataFrame, cols: list[str], constant: set[str]) -> DataFrame:
+    import math
+
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+
+    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(
+        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
+    m = Correlation.corr(vec, "_v").first()[0].toArray()
+    rows = []
+    for i, a in enumerate(cols):
+        for j, b in enumerate(cols):
+            v = float(m[i][j])
+            undefined = math.isnan(v) or a in constant or b in constant
+            rows.append((a, b, None if undefined else round(v, 4) + 0.0))
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
+
+
+def _correlation_sql(df: DataFrame, cols: list[str]) -> DataFrame:
+    aggs = []
     for i, a in enumerate(cols):
         aggs.append(F.stddev_pop(F.col(a).cast("double")).alias(f"s{i}"))
     pairs = list(itertools.combinations_with_replacement(range(len(cols)), 2))
