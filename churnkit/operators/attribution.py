@@ -28,7 +28,7 @@ reference explains at most 200 rows) because each row expands to m (d + 1) rows.
 from __future__ import annotations
 
 import math
-import tempfile
+import uuid
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -47,10 +47,7 @@ def _tree_nodes(model) -> dict[int, dict[int, dict]]:
     """treeID -> node id -> node dict, read from the model's saved node table."""
     from pyspark.sql import SparkSession
     session = SparkSession.getActiveSession()
-    try:
-        path = stage_path(session, f"tree-model-{id(model)}")
-    except Exception:  # noqa: BLE001
-        path = tempfile.mkdtemp(prefix="tree-model-")
+    path = stage_path(session, f"tree-model-{uuid.uuid4().hex}")   # shared checkpoint folder
     model.write().overwrite().save(path)
     rows = session.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
     trees: dict[int, dict[int, dict]] = {}

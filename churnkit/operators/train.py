@@ -63,6 +63,8 @@ MLP_GRID = {
 GBT_DEFAULT = {"maxIter": 300, "maxDepth": 5, "stepSize": 0.1}
 GBT_WEIGHTED_DEFAULT = {**GBT_DEFAULT, "pos_weight": 3}
 MLP_DEFAULT = {"hidden": (128, 64, 32), "maxIter": 500}
+# Early stopping of the untuned network (validation share, chunk, patience).
+EARLY_STOP = {"validation_pct": 10, "chunk": 10, "patience": 3, "tol": 1e-4}
 SEARCH_BUDGET = {"gbt": 40, "gbt_weighted": 40, "mlp": 20}
 DISPLAY = {"gbt": "XGBoost", "gbt_weighted": "LightGBM", "mlp": "NeuralNetwork"}
 
@@ -102,6 +104,7 @@ def _gbt(params: dict, seed: int = 42) -> GBTClassifier:
 
 def _mlp(params: dict, n_features: int, seed: int = 42) -> Pipeline:
     p = dict(params)
+    p.pop("early_stopping", None)
     hidden = p.pop("hidden")
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
     net = MultilayerPerceptronClassifier(featuresCol="scaled", labelCol="label",
@@ -149,6 +152,8 @@ def fit_model(kind: str, train: DataFrame, n_features: int, tune: bool = False,
         est = _gbt(base_params, seed)
         grid = GBT_GRID if kind == "gbt" else GBT_WEIGHTED_GRID
     if not tune:
+        if kind == "mlp" and base_params.get("early_stopping", True):
+            return fit_mlp_early_stopping(train, n_features, base_params, seed)
         return est.fit(train)
     points = draw_grid(grid, budget or SEARCH_BUDGET[kind], seed)
     cv = CrossValidator(estimator=est, estimatorParamMaps=_param_maps(est, points, kind, n_features),
@@ -157,6 +162,56 @@ def fit_model(kind: str, train: DataFrame, n_features: int, tune: bool = False,
     return cv.fit(train).bestModel
 
 
+def _log_loss(model, df: DataFrame) -> float:
+    """Mean negative log-likelihood of the true label (one aggregate)."""
+    prob = vector_to_array("probability")
+    p_true = F.when(F.col("label") == 1.0, prob[1]).otherwise(prob[0])
+    return model.transform(df).agg(F.avg(-F.log(F.greatest(p_true, F.lit(1e-15))))).first()[0]
+
+
+def fit_mlp_early_stopping(train: DataFrame, n_features: int, params: dict, seed: int = 42,
+                           validation_pct: int = EARLY_STOP["validation_pct"],
+                           chunk: int = EARLY_STOP["chunk"], patience: int = EARLY_STOP["patience"],
+                           tol: float = EARLY_STOP["tol"]) -> PipelineModel:
+    """Scaler + network trained in warm-started chunks of ``chunk`` iterations.
+
+    A stratified ``validation_pct`` share of the training rows (hash rank, own seed) is
+    held out; after every chunk the validation log-loss is measured, the best weights are
+    kept, and training stops after ``patience`` chunks without an improvement above
+    ``tol`` or at ``maxIter``. Only the weight vector (model-sized) passes the driver."""
+    from churnkit.operators.sampling import stratified_split
+
+    p = dict(params)
+    p.pop("early_stopping", None)
+    hidden = p.pop("hidden")
+    max_iter = p.pop("maxIter", 500)
+    parts = stratified_split(train, KEY, "label", validation_pct, f"early-stop-{seed}", 1)
+    fit_part = parts.where(F.col("split") == "train").drop("split", "fold")
+    val_part = parts.where(F.col("split") == "test").drop("split", "fold")
+    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(fit_part)
+    fit_s = scaler.transform(fit_part).checkpoint(eager=True)
+    val_s = scaler.transform(val_part).checkpoint(eager=True)
+    layers = [n_features, *hidden, 2]
+    weights, best_loss, best, stale, done = None, float("inf"), None, 0, 0
+    while done < max_iter:
+        step = min(chunk, max_iter - done)
+        net = MultilayerPerceptronClassifier(featuresCol="scaled", labelCol="label", layers=layers,
+                                             seed=seed, maxIter=step, **p)
+        if weights is not None:
+            net.setInitialWeights(weights)
+        model = net.fit(fit_s)
+        done += step
+        loss = _log_loss(model, val_s)
+        if loss < best_loss - tol:
+            best_loss, best, stale = loss, model, 0
+        else:
+            stale += 1
+            if stale >= patience:
+                break
+        weights = model.weights
+    return PipelineModel(stages=[scaler, best])
+
+
 def positive_probability(model, df: DataFrame) -> DataFrame:
     """Score with a fitted model: adds p (class-1 probability) and prediction (p >= 0.5)."""
     scored = model.transform(df)
