@@ -131,6 +131,16 @@ def _param_maps(est, points: list[dict], kind: str, n_features: int):
     return maps
 
 
+def fit_concurrently(fits: dict) -> dict:
+    """Run independent fits from driver threads (Spark schedules their jobs side by side,
+    filling cores an iterative fit leaves idle between its short stages)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, len(fits))) as pool:
+        futures = {k: pool.submit(fn) for k, fn in fits.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 @dataclass
 class TrainResult:
     models: dict = field(default_factory=dict)       # kind -> fitted model (Spark ML)
@@ -254,12 +264,12 @@ def train_and_compare(train: DataFrame, test: DataFrame, n_features: int,
                       parallelism: int = 2) -> TrainResult:
     """Fit every family, evaluate on the test split, union the rows, pick the best by AUC."""
     res = TrainResult()
+    res.models = fit_concurrently(
+        {k: (lambda k=k: fit_model(k, train, n_features, tune, (budgets or {}).get(k), 42, parallelism,
+                                   (overrides or {}).get(k))) for k in kinds})
     rows = []
     for pos, kind in enumerate(kinds):
-        model = fit_model(kind, train, n_features, tune, (budgets or {}).get(kind), 42, parallelism,
-                          (overrides or {}).get(kind))
-        res.models[kind] = model
-        rows.append(evaluate_model(DISPLAY[kind], model, test).withColumn("position", F.lit(pos)))
+        rows.append(evaluate_model(DISPLAY[kind], res.models[kind], test).withColumn("position", F.lit(pos)))
     comp = rows[0]
     for r in rows[1:]:
         comp = comp.unionByName(r)
