@@ -216,7 +216,7 @@ class FeatureModel:
             contract_risk(F.col("Contract")).alias("contract_risk_score"),
             num_services.alias("num_services"),
             (F.col("MonthlyCharges") / num_services.cast("double")).alias("monthly_charge_per_service"),
-            (F.col("MonthlyCharges") / self._overpay_base()).alias("overpay_ratio"),
+            F.try_divide(F.col("MonthlyCharges"), self._overpay_base()).alias("overpay_ratio"),
         )
 
     def encode(self, featured: DataFrame) -> DataFrame:

@@ -138,10 +138,17 @@ def box_stats(featured: DataFrame, column: str = "MonthlyCharges", by: str = LAB
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
+    """Columns of numeric type, in table order."""
     from pyspark.sql.types import NumericType
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
+def string_columns(df: DataFrame) -> list[str]:
+    """Columns of string type (the categoricals), in table order."""
+    from pyspark.sql.types import StringType
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
+
+
 def correlation_long(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Pearson matrix as a long table (col_a, col_b, r), r rounded to 4 places.
 
