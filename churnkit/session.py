@@ -67,14 +67,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return scratch
 
 
-def materialize(df):
-    """Cut lineage: write ``df`` once to the shared checkpoint folder and read it back.
+def materialize(df, name: str = "stage"):
+    """Cut lineage: write ``df`` once as a Parquet stage table in the shared checkpoint
+    folder and read it back.
 
     Used for stage tables that several branches of one plan read (the derived subscriber
-    table): each branch then scans the checkpoint instead of re-running the upstream
-    aggregations. A reliable checkpoint survives executor loss (unlike localCheckpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    table): each branch then scans Parquet -- with column pruning and filter pushdown --
+    instead of re-running the upstream aggregations. One write job (an eager RDD
+    checkpoint would compute the plan twice), and the files survive executor loss."""
+    import uuid
+
+    path = stage_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)   # known schema: no footer job
 
 
 BROADCAST_MAX_ROWS = 1_000_000
