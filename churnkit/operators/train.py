@@ -199,8 +199,10 @@ def fit_mlp_early_stopping(train: DataFrame, n_features: int, params: dict, seed
     fit_part = parts.where(F.col("split") == "train").drop("split", "fold")
     val_part = parts.where(F.col("split") == "test").drop("split", "fold")
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(fit_part)
-    fit_s = scaler.transform(fit_part).checkpoint(eager=True)
-    val_s = scaler.transform(val_part).checkpoint(eager=True)
+    from churnkit.session import materialize
+
+    fit_s = materialize(scaler.transform(fit_part), "mlp-fit")
+    val_s = materialize(scaler.transform(val_part), "mlp-validation")
     layers = [n_features, *hidden, 2]
     weights, best_loss, best, stale, done = None, float("inf"), None, 0, 0
     while done < max_iter:

@@ -67,3 +67,13 @@ def test_csv_stage_and_split_roundtrip(spark, raw, fm, tmp_path):
     assert test.count() == split.where("split = 'test'").count()
     empty = io.read_json_report(spark, str(tmp_path / "missing"), io.COMPARISON_SCHEMA)
     assert empty.count() == 0 and empty.columns[0] == "model"
+
+
+def test_request_reader_json_array(spark, tmp_path):
+    p = tmp_path / "batch.json"
+    p.write_text('[{"customerID": "A", "tenure": 3, "MonthlyCharges": 89.5},\n'
+                 ' {"customerID": "B", "Contract": "Two year"}]')
+    df = with_request_defaults(read_requests(spark, str(p), multiline=True))
+    got = {r["customerID"]: r for r in df.collect()}
+    assert got["A"]["TotalCharges"] == 89.5 * 3 and got["B"]["Contract"] == "Two year"
+    assert got["B"]["tenure"] == 1 and got["B"]["TotalCharges"] == 70.0
