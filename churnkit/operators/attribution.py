@@ -39,6 +39,7 @@ from churnkit.schema import KEY
 from churnkit.session import broadcast_if_small, ship_package, stage_path
 
 MAX_PATTERN_BITS = 10   # per-leaf tables up to 2^10 x 10; deeper leaves use the direct form
+MAX_BACKGROUND = 100_000   # the background is a sample: numbered in one window, broadcast
 TABLE_BUDGET = 8_000_000  # doubles in all pattern tables (64 MB broadcast); the rest go direct
 
 
@@ -286,9 +287,12 @@ def sampled_shapley(model, explained: DataFrame, background: DataFrame, n_featur
     hash rank and broadcast (bounded: it is a sample). Output: key, attr_values,
     attr_impacts (probability units), base_value (mean background score)."""
     d = n_features
+    n_bg = background.count()
+    if n_bg > MAX_BACKGROUND:
+        raise ValueError(f"background has {n_bg} rows; pass a bounded sample (<= {MAX_BACKGROUND})")
     bg = (background.select(vector_to_array(features_col).alias("b"))
           .withColumn("bid", F.row_number().over(Window.orderBy(F.md5(F.to_json(F.col("b"))))) - 1))
-    bg, nb = broadcast_if_small(bg, 100_000)
+    bg, nb = broadcast_if_small(bg, MAX_BACKGROUND)
     ex = explained.select(key, vector_to_array(features_col).alias("x"))
     perms = ex.select(key, "x", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("k"))
     perms = perms.withColumn("bid", F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("k")), F.lit(nb)))

@@ -268,7 +268,7 @@ class FeatureModel:
         return cls.from_json(spark.read.text(path).first()[0])
 
 
-def category_levels(df: DataFrame) -> DataFrame:
+def category_levels(df: DataFrame, max_levels: int = MAX_LEVELS) -> DataFrame:
     """The encoder table: (column_name, category, level_index, dropped, feature_name).
 
     One scan: explode (column, value) pairs, ``distinct`` (partial aggregation map-side,
@@ -280,7 +280,12 @@ def category_levels(df: DataFrame) -> DataFrame:
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("category"))
         for c in CATEGORICAL_COLS]))
     levels = (df.select(pairs.alias("p")).select("p.*")
-              .where(F.col("category").isNotNull()).distinct())
+              .where(F.col("category").isNotNull()).distinct()).cache()
+    # the numbering window holds one column's levels in a task: bound them first
+    for r in levels.groupBy("column_name").count().collect():
+        if r["count"] > max_levels:
+            levels.unpersist()
+            raise ValueError(f"column {r['column_name']} has {r['count']} levels (> {max_levels})")
     w = Window.partitionBy("column_name").orderBy("category")  # over the distinct levels only
     numbered = levels.withColumn("level_index", (F.row_number().over(w) - 1).cast("int"))
     fixed = df.sparkSession.createDataFrame(
