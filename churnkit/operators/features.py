@@ -119,7 +119,8 @@ class FeatureModel:
                .cache())
         # bounded collect: at most max_levels per column (+1 to detect an overflow)
         cap = max_levels * len(CATEGORICAL_COLS) + 1
-        levels = agg.where(F.col("column_name") != _TOTAL).limit(cap).collect()
+        levels = (agg.where(F.col("column_name") != _TOTAL)
+                  .orderBy("column_name", "category").limit(cap).collect())   # one top-k job
         per_col: dict[str, int] = {}
         for r in levels:
             per_col[r["column_name"]] = per_col.get(r["column_name"], 0) + (r["category"] is not None)

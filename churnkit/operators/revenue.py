@@ -138,7 +138,7 @@ def revenue_report_nested(featured: DataFrame, pct=5.0, seed=42,
                           pcts=SENSITIVITY_PCTS) -> DataFrame:
     """The report as one row of nested structs plus the sensitivity list (JSON-ready)."""
     flat = revenue_report(featured, pct, seed)
-    sens = revenue_sensitivity(featured, pcts, seed).orderBy("reduction_pct").collect()
+    sens = sorted(revenue_sensitivity(featured, pcts, seed).collect(), key=lambda r: r["reduction_pct"])
     sens_col = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in r.__fields__]) for r in sens])
     return flat.select(
         "scenario",

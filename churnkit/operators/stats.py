@@ -48,9 +48,9 @@ def median_from_counts(counts: DataFrame) -> float | None:
     lo_k = F.floor((F.col("n_total") - 1) / 2) + 1        # 1-based ranks of the middle value(s)
     hi_k = F.floor(F.col("n_total") / 2) + 1
     covers = lambda k: (F.col("before") < k) & (F.col("before") + F.col("c") >= k)
-    rows = (r.where(covers(lo_k) | covers(hi_k))
-            .select("v", "before", "c", "n_total", lo_k.alias("lo_k"), hi_k.alias("hi_k"))
-            .orderBy("v").collect())
+    rows = sorted(r.where(covers(lo_k) | covers(hi_k))          # <= 2 rows: sort on the driver
+                  .select("v", "before", "c", "n_total", lo_k.alias("lo_k"), hi_k.alias("hi_k"))
+                  .collect(), key=lambda x: x["v"])
     if not rows:
         return None
     n = rows[0]["n_total"]
