@@ -84,6 +84,13 @@ def q_tree_importance(spark, sf) -> DataFrame:
     return scoring.global_importance(expl, fm.feature_names, 20)
 
 
+def q_tree_importance_spread(spark, sf) -> DataFrame:
+    """L6 on the boosted model: TreeSHAP quartiles per feature, split by high / low value."""
+    fm, _, _, _, te = training_inputs(spark, sf)
+    expl = attribution.tree_shap(fitted(spark, sf, "gbt"), te)
+    return scoring.importance_spread(expl, fm.feature_names)
+
+
 def q_sampled_attribution(spark, sf) -> DataFrame:
     """Monte-Carlo Shapley of the network on a bounded sample (<= 200) of test rows."""
     fm, _, _, _, te = training_inputs(spark, sf)
@@ -159,6 +166,7 @@ JOB_QUERIES = {
     "train_compare": q_train_compare,
     "tree_attribution": q_tree_attribution,
     "tree_importance": q_tree_importance,
+    "tree_importance_spread": q_tree_importance_spread,
     "sampled_attribution": q_sampled_attribution,
     "stream_scoring": q_stream_scoring,
     "model_score_batch": q_model_score_batch,
