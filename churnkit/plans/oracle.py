@@ -505,7 +505,7 @@ def _importance() -> str:
     return f"""{BASE_SCORED},
 imp AS ({parts})
 SELECT importance_rank, feature, round(importance, 4) AS importance FROM (
-  SELECT *, row_number() OVER (ORDER BY importance DESC, pos) AS importance_rank FROM imp)
+  SELECT *, CAST(row_number() OVER (ORDER BY importance DESC, pos) AS INTEGER) AS importance_rank FROM imp)
 WHERE importance_rank <= 20"""
 
 
