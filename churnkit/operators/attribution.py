@@ -228,10 +228,20 @@ class TreeExplainerTables:
         return phi, margin
 
 
+_EXPLAINERS: dict = {}   # model uid -> tables (a fitted model is immutable)
+
+
 def explainer_for(model, log_odds_scale: float = 2.0) -> TreeExplainerTables:
     """Tables for a GBT classification model (or a PipelineModel ending in one)."""
     if hasattr(model, "stages"):
         model = model.stages[-1]
+    key = (model.uid, log_odds_scale, TABLE_BUDGET)
+    if key not in _EXPLAINERS:
+        _EXPLAINERS[key] = _build_explainer(model, log_odds_scale)
+    return _EXPLAINERS[key]
+
+
+def _build_explainer(model, log_odds_scale: float) -> TreeExplainerTables:
     nodes = _tree_nodes(model)
     trees = [_leaves(nodes[t]) for t in sorted(nodes)]
     weights = list(getattr(model, "treeWeights", [1.0] * len(trees)))
