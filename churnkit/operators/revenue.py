@@ -13,7 +13,7 @@ exact there); dollars are rounded half-up to cents only at the end.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.functions.expr import cents, mills_to_dollars, ratio_half_up, signed_ratio_half_up
@@ -85,7 +85,6 @@ def revenue_sensitivity(featured: DataFrame, pcts=SENSITIVITY_PCTS, seed=42) ->
 
 def revenue_report(featured: DataFrame, pct=5.0, seed=42) -> DataFrame:
     """One-row report for one scenario (flat columns; see ``revenue_report_nested``)."""
-    spark = featured.sparkSession
     base = featured.agg(
         F.count(F.lit(1)).alias("total_customers"),
         F.coalesce(F.sum(F.col(LABEL)), F.lit(0)).cast("bigint").alias("churned_customers"),
