@@ -17,17 +17,17 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnkit.llm.common import field, filter_texts, per_text
-from churnkit.session import materialize
+from churnkit.session import materialize, ship_package
 
 BAD, GOOD, ABSTAIN = 0, 1, 2
 SYMBOLS = "#*$%&|<>=~^{}[]\\_@"
@@ -155,7 +155,7 @@ CLASSES = _byte_classes()
 
 
 def features(text: str, m: Measures | None, dims: int) -> np.ndarray:
-    """Hashed: shares of class trigrams (runs shortened to one), and one feature for each binned measure."""
+    """Hashed: square roots of the shares of class trigrams (runs shortened to one), and one feature for each binned measure."""
     out = np.zeros(dims)
     if m is None:
         return out
@@ -167,7 +167,7 @@ def features(text: str, m: Measures | None, dims: int) -> np.ndarray:
             gram = (kind[:-2] * np.uint32(0x9E3779B1)) ^ (kind[1:-1] * np.uint32(0x85EBCA6B)) ^ (kind[2:] * np.uint32(0xC2B2AE35))
             gram ^= gram >> np.uint32(15)
             out += np.bincount((gram * np.uint32(0x2C1B3C6D) >> np.uint32(8)) % np.uint32(dims), minlength=dims)
-    out /= max(1.0, out.sum())
+    out = np.sqrt(out / max(1.0, out.sum()))
     for name in ("symbols", "marked", "other", "upper", "shout", "distinct", "repeats", "lines"):
         step = min(int(getattr(m, name) * 10), 12)
         out[zlib.crc32(f"{name}:{step}".encode()) % dims] += 1.0
@@ -214,15 +214,39 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_rows
 
     rows = per_text(drawn, [], text, make, [field("p", T.DoubleType()), field("has_words", T.BooleanType()),
                                             field("x", T.ArrayType(T.DoubleType()))]).where("has_words")
-    # a posterior p trains as a good row of weight p and a bad row of weight 1 - p
-    both = F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("p").alias("weight")),
-                             F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("weight"))))
-    rows = materialize(rows.select("x", both.alias("y")).select("y.label", "y.weight", "x"), "quality-sample")
-    rows = rows.select("label", "weight", array_to_vector("x").alias("features"))
-    if rows.isEmpty():
-        return weak, Scorer(np.zeros(dims), 0.0), voted
-    model = LogisticRegression(weightCol="weight", regParam=1e-5, maxIter=100, standardization=False).fit(rows)
-    return weak, Scorer(model.coefficients.toArray(), float(model.intercept)), voted
+    rows = materialize(rows.select("p", "x"), "quality-sample")
+    return weak, fit_scorer(rows, dims), voted
+
+
+def fit_scorer(rows: DataFrame, dims: int, ridge: float = 1.0, rounds: int = 12) -> Scorer:
+    """Ridge logistic regression on soft labels (p, x) by Newton steps.
+
+    Each step is one pass: every partition sums its gradient and curvature, ``dims`` squared numbers."""
+    ship_package(rows.sparkSession)
+    weights = np.zeros(dims + 1)                        # the intercept last, without a penalty
+    penalty = np.r_[np.full(dims, ridge), 1e-6]
+    rows = rows.coalesce(8)
+
+    def sums(at: np.ndarray):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            gradient, curvature = np.zeros(dims + 1), np.zeros((dims + 1, dims + 1))
+            for b in batches:
+                x = np.c_[b.column(1).flatten().to_numpy().reshape(-1, dims), np.ones(b.num_rows)]
+                q = 1 / (1 + np.exp(-np.clip(x @ at, -50, 50)))
+                gradient += x.T @ (b.column(0).to_numpy() - q)
+                curvature += (x * (q * (1 - q))[:, None]).T @ x
+            yield pa.RecordBatch.from_arrays([pa.array([np.r_[gradient, curvature.ravel()].tobytes()], pa.binary())], names=["sums"])
+        return run
+
+    for _ in range(rounds):
+        total = sum((np.frombuffer(r["sums"]) for r in rows.mapInArrow(sums(weights), "sums binary").collect()),
+                    np.zeros((dims + 1) * (dims + 2)))
+        gradient = total[:dims + 1] - penalty * weights
+        step = np.linalg.solve(total[dims + 1:].reshape(dims + 1, -1) + np.diag(penalty), gradient)
+        weights = weights + step * min(1.0, 5.0 / max(1e-12, np.abs(step).max()))
+        if np.abs(step).max() < 1e-6:
+            break
+    return Scorer(weights[:-1], float(weights[-1]))
 
 
 def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = 0.5, **how) -> DataFrame:
