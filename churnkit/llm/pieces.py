@@ -102,6 +102,14 @@ class Model:
     def split(self, text: str) -> list[str]:
         return self.units.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
+    def plain_words(self, text: str) -> list[str] | None:
+        """The words of a text with single spaces between them; None if it has others, and is split by ``split``."""
+        if not text:
+            return []
+        if SPACE in text or "  " in text or text[0] == " " or text[-1] == " ":
+            return None
+        return text.split(" ")
+
     def unit_ids(self, parts: list[str]) -> list[int]:
         """Ids of the pieces of a unit; what is no piece is a single character."""
         out: list[int] = []
@@ -270,11 +278,11 @@ def segment(words: DataFrame, model: Model, keys: list[str], word: str = "word")
 
 # ---------------------------------------------------------------- texts and their words
 
-def _frame(batch: pa.RecordBatch) -> bytes:
+def _frame(batch: pa.RecordBatch, packer) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, batch.schema) as out:
         out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+    return packer.compress(sink.getvalue())
 
 
 def _per_block(batches: Iterator[pa.RecordBatch], block_at: int) -> Iterator[tuple[int, pa.RecordBatch]]:
@@ -284,100 +292,145 @@ def _per_block(batches: Iterator[pa.RecordBatch], block_at: int) -> Iterator[tup
             yield int(block), b.filter(pa.array(at == block)) if (at != block).any() else b
 
 
+class _Known(dict):
+    """Packed ids by plain word (a word with one space in front); ``units`` has the other units.
+
+    What the lattice did not see -- words cut by line ends, single characters, longer words -- is put together
+    from units when it is asked for."""
+
+    def __init__(self, model: Model, dtype: str) -> None:
+        super().__init__()
+        self.model, self.dtype, self.units = model, dtype, {}
+
+    def add(self, unit: str, packed: bytes) -> None:
+        if unit[0] == SPACE and SPACE not in unit[1:]:
+            self[unit[1:]] = packed
+        else:
+            self.units[unit] = packed
+
+    def unit(self, u: str) -> bytes:
+        found = self.get(u[1:]) if u[0] == SPACE and SPACE not in u[1:] else None
+        if found is None:
+            found = self.units.get(u)
+        if found is None:
+            found = self.units[u] = np.array(self.model.unit_ids(self.model.parts(u)), self.dtype).tobytes()
+        return found
+
+    def __missing__(self, word: str) -> bytes:
+        return b"".join(map(self.unit, self.model.units.findall(SPACE + word)))
+
+    def encode(self, text: str) -> bytes:
+        words = self.model.plain_words(text)
+        if words is None:
+            return b"".join(map(self.unit, self.model.split(text)))
+        return b"".join(map(self.__getitem__, words))
+
+
 def _words_of(model: Model, buckets: int, flush: int):
-    """Distinct words of each block, packed: (bucket, block, words joined by a line feed)."""
+    """Distinct units of each block that the lattice takes, packed: (bucket, block, units joined by a line feed)."""
     import zlib
 
-    def rows(block: int, words: set[str]) -> pa.RecordBatch:
+    def rows(block: int, words: set[str], units: set[str]) -> pa.RecordBatch:
+        cut = re.compile(f"[{SPACE}{model.alone}]")
+        for w in words:
+            if cut.search(w):
+                units.update(model.units.findall(SPACE + w))
+            else:
+                units.add(SPACE + w)
         packed: dict[int, list[str]] = {}
-        for w in sorted(words):
-            packed.setdefault(zlib.crc32(w.encode()) % buckets, []).append(w)
+        for u in sorted(units):
+            if 2 <= len(u) <= MAX_WORD:
+                packed.setdefault(zlib.crc32(u.encode()) % buckets, []).append(u)
         return pa.RecordBatch.from_arrays([pa.array(list(packed), pa.int32()), pa.array([block] * len(packed), pa.int64()),
                                            pa.array(["\n".join(p) for p in packed.values()], pa.string())],
                                           names=["bucket", "block", "words"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, set[str]] = {}
-        split = model.split
+        now, words, units = None, set(), set()
         for block, b in _per_block(batches, 0):
-            seen = held.setdefault(block, set())
+            if block != now and now is not None:
+                yield rows(now, words, units)
+                words, units = set(), set()
+            now = block
             for t in b.column(1):
-                seen.update(w for w in set(split(t.as_py() or "")) if 2 <= len(w) <= MAX_WORD)
-                if sum(map(len, held.values())) > flush:
-                    for k, v in held.items():
-                        yield rows(k, v)
-                    held.clear()
-                    seen = held.setdefault(block, set())
-        for k, v in held.items():
-            if v:
-                yield rows(k, v)
+                text = t.as_py() or ""
+                plain = model.plain_words(text)
+                if plain is None:
+                    units.update(model.split(text))
+                else:
+                    words.update(plain)
+                if len(words) + len(units) > flush:
+                    yield rows(now, words, units)
+                    words, units = set(), set()
+        if now is not None:
+            yield rows(now, words, units)
 
     return run
 
 
 def _answers(model: Model, dtype: str):
-    """For a bucket: each block's words again, with their ids (packed) and numbers of ids."""
+    """For a bucket: each block's units again, with their ids and numbers of ids, packed and compressed."""
     def run(key: tuple, asked: pa.Table, known: pa.Table) -> pa.Table:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3).compress
         ids: dict[str, bytes] = {}
         for word, cuts in zip(known.column("word").to_pylist(), known.column("cuts").to_pylist()):
             at = [i for i in range(len(word) + 1) if cuts >> i & 1]
             ids[word] = np.array(model.unit_ids([word[a:b] for a, b in zip(at, at[1:])]), dtype).tobytes()
-        width, bare = np.dtype(dtype).itemsize, {}
+        width = np.dtype(dtype).itemsize
         out: list[tuple] = []
         for block, words in zip(asked.column("block").to_pylist(), asked.column("words").to_pylist()):
             got = []
             for w in words.split("\n"):
-                found = ids.get(w) or bare.get(w)
+                found = ids.get(w)
                 if found is None:                                # no edge at all: every character stands alone
-                    found = bare[w] = np.array(model.unit_ids(list(w)), dtype).tobytes()
+                    found = ids[w] = np.array(model.unit_ids(list(w)), dtype).tobytes()
                 got.append(found)
-            out.append((block, words, b"".join(got), np.array([len(g) // width for g in got], "<u2").tobytes()))
+            counts = np.array([len(g) // width for g in got], "<u2").tobytes()
+            out.append((block, pack(words.encode()), pack(b"".join(got)), pack(counts)))
         cols = list(zip(*out)) or [()] * 4
-        return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.string(), pa.binary(), pa.binary()))],
+        return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), *[pa.binary()] * 3))],
                         names=["block", "words", "ids", "counts"])
 
     return run
 
 
 def _encode(model: Model, dtype: str, names: list[str]):
-    """Texts of a block from its words' ids."""
+    """Texts of a block from its units' ids."""
     import xxhash
 
-    def run(key: tuple, texts: pa.Table, answers: pa.Table) -> Iterator[pa.RecordBatch]:
-        width, known = np.dtype(dtype).itemsize, {}
-        for words, ids, counts in zip(*(answers.column(c) for c in ("words", "ids", "counts"))):
-            at, ids = 0, ids.as_py()
-            for w, n in zip(words.as_py().split("\n"), np.frombuffer(counts.as_py(), "<u2").tolist()):
-                known[w] = ids[at:at + n * width]
+    def run(key: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        width, known = np.dtype(dtype).itemsize, _Known(model, dtype)
+        for row in zip(*(answers.column(c) for c in ("words", "ids", "counts"))):
+            words, ids, counts = (unpack(x.as_py()) for x in row)
+            at = 0
+            for w, n in zip(words.decode().split("\n"), np.frombuffer(counts, "<u2").tolist()):
+                known.add(w, ids[at:at + n * width])
                 at += n * width
         outs = []
         for payload in texts.column("payload"):
-            batch = pa.ipc.open_stream(pa.py_buffer(payload.as_py())).read_all().combine_chunks()
-            lists, hashes = [], []
+            batch = pa.ipc.open_stream(unpack(payload.as_py())).read_all().combine_chunks()
+            sizes, packed, hashes = [], [], []
             for t in batch.column(batch.num_columns - 1):
                 text = t.as_py() or ""
-                units = model.split(text)
-                try:
-                    packed = b"".join([known[u] for u in units])
-                except KeyError:
-                    for u in set(units):
-                        if u not in known:                        # one character, or longer than the lattice takes
-                            known[u] = np.array(model.unit_ids(model.parts(u)), dtype).tobytes()
-                    packed = b"".join([known[u] for u in units])
-                lists.append(np.frombuffer(packed, dtype).astype("<i4"))
+                packed.append(known.encode(text))
+                sizes.append(len(packed[-1]) // width)
                 hashes.append(xxhash.xxh64_intdigest(text.replace(SPACE, " ").encode(), 42))
-            sizes = np.array([len(x) for x in lists], np.int64)
-            flat = np.concatenate(lists) if lists else np.zeros(0, "<i4")
+            flat = np.frombuffer(b"".join(packed), dtype).astype("<i4")
             ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(flat, pa.int32()))
-            outs.append(pa.table([*(batch.column(i) for i in range(batch.num_columns - 1)), ids, pa.array(sizes),
+            outs.append(pa.table([*(batch.column(i) for i in range(batch.num_columns - 1)), ids, pa.array(sizes, pa.int64()),
                                   pa.array(np.array(hashes, np.uint64).view(np.int64))], names=names))
-        return pa.concat_tables(outs) if outs else None
+        return pa.concat_tables(outs)
 
     return run
 
 
 def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id", text: str = "text",
-           block_chars: int = 24_000_000, words_a_bucket: int = 60_000) -> DataFrame:
+           block_chars: int = 16_000_000, words_a_bucket: int = 60_000) -> DataFrame:
     """``keep`` columns, then ids (array<int>), n_tokens and text_hash (XXH64 of the text), one row per row of ``docs``."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -393,21 +446,26 @@ def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id
     buckets = int(max(8, want * split * 4))
     dtype = "<u2" if len(model.pieces) <= 65536 else "<u4"
 
-    asked = (blocked.select("__block", "__text").mapInArrow(_words_of(model, buckets, 1_000_000), "bucket int, block long, words string")
+    asked = (blocked.select("__block", "__text").mapInArrow(_words_of(model, buckets, 300_000), "bucket int, block long, words string")
              .repartition("bucket"))
-    words = asked.select("bucket", F.explode(F.split("words", "\n")).alias("word")).distinct()
+    # the block is asked for only so that both readers of ``asked`` need the same columns and share its shuffle
+    words = (asked.select("bucket", "block", F.explode(F.split("words", "\n")).alias("word"))
+             .groupBy("bucket", "word").agg(F.min("block").alias("block")).where(F.col("block").isNotNull()))
     known = segment(words, model, ["bucket", "word"]).select(F.col("bucket").alias("b"), "word", "cuts")
     answers = asked.groupBy("bucket").cogroup(known.groupBy("b")).applyInArrow(
-        _answers(model, dtype), "block long, words string, ids binary, counts binary").withColumnRenamed("block", "in_block")
+        _answers(model, dtype), "block long, words binary, ids binary, counts binary").withColumnRenamed("block", "in_block")
 
     payload = [f for f in blocked.schema if f.name in keep] + [T.StructField("__text", T.StringType())]
     order = [*keep, "__text"]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        packer = zstandard.ZstdCompressor(level=5)
         for key, b in _per_block(batches, 0):
             part = b.select(order)
-            for at in range(0, part.num_rows, 256):
-                yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([_frame(part.slice(at, 256))], pa.binary())],
+            for at in range(0, part.num_rows, 512):
+                yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([_frame(part.slice(at, 512), packer)], pa.binary())],
                                                  names=["block", "payload"])
 
     packed = blocked.mapInArrow(pack, "block long, payload binary")
