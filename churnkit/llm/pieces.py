@@ -191,37 +191,56 @@ class Model:
 
 
 def piece_table(spark: SparkSession, model: Model) -> DataFrame:
-    """(piece, score, irregular): the pieces that text can match. A vocabulary, thus small enough to broadcast."""
-    single = 0 if model.kind == UNIGRAM else 1                    # merges need no single characters
+    """(piece, score, place, irregular): the pieces that text can match, ``place`` by falling score with ties alike.
+
+    A vocabulary, thus small enough to broadcast. Merges need no pieces of one character."""
     odd = model.irregular if model.kind == BPE else frozenset()
-    rows = [(p, float(model.scores[i]), p in odd) for p, i in model.ids.items() if len(p) > single]
-    return spark.createDataFrame(rows, "piece string, score double, irregular boolean")
+    place = {x: i for i, x in enumerate(sorted({model.scores[i] for i in model.ids.values()}, reverse=True))}
+    rows = [(p, float(model.scores[i]), place[model.scores[i]], p in odd) for p, i in model.ids.items() if len(p) >= shortest(model)]
+    return spark.createDataFrame(rows, "piece string, score double, place long, irregular boolean")
+
+
+def shortest(model: Model) -> int:
+    return 2 if model.kind == BPE else 1
 
 
 def _bit(n: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), n)
 
 
-def lattice(words: DataFrame, pieces: DataFrame, longest: int, keys: list[str], word: str = "word") -> DataFrame:
-    """(keys, s, e, score, irregular): the edges of every word, e exclusive. ``keys`` identify a word."""
-    size = F.length(word)
-    starts = F.sequence(F.lit(0), size - 1)
-    spans = words.where(size > 0).select(*keys, F.col(word).alias("__word"), F.explode(starts).alias("s"))
-    lengths = F.sequence(F.lit(1), F.least(F.lit(longest), F.length("__word") - F.col("s")))
-    spans = spans.select(*keys, "__word", "s", F.explode(lengths).alias("len"))
+def lattice(words: DataFrame, pieces: DataFrame, lengths: tuple[int, int], keys: list[str], word: str = "word") -> DataFrame:
+    """(keys, s, e, and the piece's columns): the edges of every word, e exclusive. ``keys`` identify a word.
+
+    ``lengths``: the shortest and the longest piece."""
+    short, long = lengths
+    starts = F.sequence(F.lit(0), F.length(word) - short)
+    spans = words.where(F.length(word) >= short).select(*keys, F.col(word).alias("__word"), F.explode(starts).alias("s"))
+    spans = spans.select(*keys, "__word", "s", F.explode(F.sequence(F.lit(short), F.least(F.lit(long), F.length("__word") - F.col("s")))).alias("len"))
     spans = spans.select(*keys, "s", (F.col("s") + F.col("len")).alias("e"), F.substring(F.col("__word"), F.col("s") + 1, F.col("len")).alias("piece"))
-    return spans.join(F.broadcast(pieces), "piece").select(*keys, "s", "e", "score", "irregular")
+    return spans.join(F.broadcast(pieces), "piece").drop("piece")
+
 
+def _merged(edges: Column, size: Column, irregular: Column) -> Column:
+    """Mask of the cuts left (bit i: a piece starts at i) after all merges.
 
-def _merged(edges: Column, size: Column) -> Column:
-    """Mask of the cuts left (bit i: a piece starts at i) after all merges. Edges are sorted best first."""
+    An edge is a long, place << 16 | s << 8 | e; sorted, the best come first and the leftmost of equals."""
     start = _bit(size + 1) - 1
 
-    def fits(cuts: Column, x: Column) -> Column:
-        return (cuts.bitwiseAND(x["ends"]) == x["ends"]) & (F.bit_count(cuts.bitwiseAND(x["inner"])) == 1)
+    def s(x: Column) -> Column:
+        return F.shiftright(x, 8).bitwiseAND(F.lit(255)).cast("int")
+
+    def e(x: Column) -> Column:
+        return x.bitwiseAND(F.lit(255)).cast("int")
+
+    def inner(x: Column) -> Column:
+        return _bit(e(x)) - _bit(s(x) + 1)
+
+    def fits(cuts: Column, x: Column) -> Column:          # both ends are cuts, with one cut between
+        ends = _bit(s(x)).bitwiseOR(_bit(e(x)))
+        return (cuts.bitwiseAND(ends) == ends) & (F.bit_count(cuts.bitwiseAND(inner(x))) == 1)
 
     def join(cuts: Column, x: Column) -> Column:
-        return cuts.bitwiseAND(F.bitwise_not(x["inner"]))
+        return cuts.bitwiseAND(F.bitwise_not(inner(x)))
 
     once = F.aggregate(edges, start, lambda cuts, x: F.when(fits(cuts, x), join(cuts, x)).otherwise(cuts))
 
@@ -229,8 +248,7 @@ def _merged(edges: Column, size: Column) -> Column:
         ready = F.filter(edges, lambda x: fits(cuts, x))
         return F.when(F.size(ready) > 0, join(cuts, F.get(ready, F.lit(0)))).otherwise(cuts)
 
-    stepwise = F.aggregate(F.sequence(F.lit(1), size), start, step)
-    return F.when(F.exists(edges, lambda x: x["irregular"]), stepwise).otherwise(once)
+    return F.when(irregular, F.aggregate(F.sequence(F.lit(1), size), start, step)).otherwise(once)
 
 
 def _viterbi(edges: Column, size: Column, missing: float) -> Column:
@@ -262,18 +280,17 @@ def segment(words: DataFrame, model: Model, keys: list[str], word: str = "word")
     """(keys, word, cuts) for distinct words of 1 to MAX_WORD characters: bit i of ``cuts`` is set if a piece starts at i.
 
     ``keys`` identify a word and include it. If ``words`` is partitioned by one of them, nothing is shuffled."""
-    spark = words.sparkSession
-    edges = lattice(words, piece_table(spark, model), model.longest, keys, word)
-    s, e = F.col("s"), F.col("e")
+    edges = lattice(words, piece_table(words.sparkSession, model), (shortest(model), model.longest), keys, word)
     if model.kind == BPE:
-        edge = F.struct((-F.col("score")).alias("rank"), s.alias("s"), _bit(s).bitwiseOR(_bit(e)).alias("ends"),
-                        (_bit(e) - _bit(s + 1)).alias("inner"), "irregular")
+        edge = F.shiftleft("place", 16).bitwiseOR(F.shiftleft("s", 8).cast("long")).bitwiseOR(F.col("e").cast("long"))
     else:
-        edge = F.struct(e.alias("e"), s.alias("s"), "score")
-    found = edges.select(*keys, edge.alias("edge")).groupBy(*keys).agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+        edge = F.struct("e", "s", "score")
+    found = edges.select(*keys, edge.alias("edge"), "irregular").groupBy(*keys).agg(
+        F.sort_array(F.collect_list("edge")).alias("edges"), F.bool_or("irregular").alias("irregular"))
     rows = found.withColumn("size", F.length(word))
-    cuts = _merged(F.col("edges"), F.col("size")) if model.kind == BPE else _viterbi(F.col("edges"), F.col("size"), model.missing)
-    return rows.select(*keys, cuts.alias("cuts"))
+    if model.kind == BPE:
+        return rows.select(*keys, _merged(F.col("edges"), F.col("size"), F.col("irregular")).alias("cuts"))
+    return rows.select(*keys, _viterbi(F.col("edges"), F.col("size"), model.missing).alias("cuts"))
 
 
 # ---------------------------------------------------------------- texts and their words
@@ -430,7 +447,7 @@ def _encode(model: Model, dtype: str, names: list[str]):
 
 
 def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id", text: str = "text",
-           block_chars: int = 16_000_000, words_a_bucket: int = 60_000) -> DataFrame:
+           block_chars: int = 12_000_000, words_a_bucket: int = 60_000) -> DataFrame:
     """``keep`` columns, then ids (array<int>), n_tokens and text_hash (XXH64 of the text), one row per row of ``docs``."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -446,12 +463,13 @@ def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id
     buckets = int(max(8, want * split * 4))
     dtype = "<u2" if len(model.pieces) <= 65536 else "<u4"
 
-    asked = (blocked.select("__block", "__text").mapInArrow(_words_of(model, buckets, 300_000), "bucket int, block long, words string")
+    asked = (blocked.select("__block", "__text").mapInArrow(_words_of(model, buckets, 800_000), "bucket int, block long, words string")
              .repartition("bucket"))
     # the block is asked for only so that both readers of ``asked`` need the same columns and share its shuffle
     words = (asked.select("bucket", "block", F.explode(F.split("words", "\n")).alias("word"))
-             .groupBy("bucket", "word").agg(F.min("block").alias("block")).where(F.col("block").isNotNull()))
-    known = segment(words, model, ["bucket", "word"]).select(F.col("bucket").alias("b"), "word", "cuts")
+             .groupBy("bucket", "word").agg(F.min("block").alias("block")).where(F.col("block").isNotNull())
+             .select(F.xxhash64("word").alias("h"), "bucket", "word"))          # h first: the grouping sorts by a number
+    known = segment(words, model, ["h", "bucket", "word"]).select(F.col("bucket").alias("b"), "word", "cuts")
     answers = asked.groupBy("bucket").cogroup(known.groupBy("b")).applyInArrow(
         _answers(model, dtype), "block long, words binary, ids binary, counts binary").withColumnRenamed("block", "in_block")
 
