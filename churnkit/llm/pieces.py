@@ -34,6 +34,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,14 +103,6 @@ class Model:
     def split(self, text: str) -> list[str]:
         return self.units.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def plain_words(self, text: str) -> list[str] | None:
-        """The words of a text with single spaces between them; None if it has others, and is split by ``split``."""
-        if not text:
-            return []
-        if SPACE in text or "  " in text or text[0] == " " or text[-1] == " ":
-            return None
-        return text.split(" ")
-
     def unit_ids(self, parts: list[str]) -> list[int]:
         """Ids of the pieces of a unit; what is no piece is a single character."""
         out: list[int] = []
@@ -309,103 +302,110 @@ def _per_block(batches: Iterator[pa.RecordBatch], block_at: int) -> Iterator[tup
             yield int(block), b.filter(pa.array(at == block)) if (at != block).any() else b
 
 
-class _Known(dict):
-    """Packed ids by plain word (a word with one space in front); ``units`` has the other units.
-
-    What the lattice did not see -- words cut by line ends, single characters, longer words -- is put together
-    from units when it is asked for."""
-
-    def __init__(self, model: Model, dtype: str) -> None:
-        super().__init__()
-        self.model, self.dtype, self.units = model, dtype, {}
-
-    def add(self, unit: str, packed: bytes) -> None:
-        if unit[0] == SPACE and SPACE not in unit[1:]:
-            self[unit[1:]] = packed
-        else:
-            self.units[unit] = packed
-
-    def unit(self, u: str) -> bytes:
-        found = self.get(u[1:]) if u[0] == SPACE and SPACE not in u[1:] else None
-        if found is None:
-            found = self.units.get(u)
-        if found is None:
-            found = self.units[u] = np.array(self.model.unit_ids(self.model.parts(u)), self.dtype).tobytes()
-        return found
-
-    def __missing__(self, word: str) -> bytes:
-        return b"".join(map(self.unit, self.model.units.findall(SPACE + word)))
-
-    def encode(self, text: str) -> bytes:
-        words = self.model.plain_words(text)
-        if words is None:
-            return b"".join(map(self.unit, self.model.split(text)))
-        return b"".join(map(self.__getitem__, words))
+def _flat_units(model: Model, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The units of all texts, one after the other, and their number in each text (NULL: none)."""
+    cut = "\0"
+    texts = pc.fill_null(texts, "")
+    odd = [pc.match_substring(texts, x) for x in ("  ", SPACE, cut)] + [
+        pc.starts_with(texts, " "), pc.ends_with(texts, " "), pc.equal(texts, "")]
+    odd = np.logical_or.reduce([x.to_numpy(zero_copy_only=False) for x in odd])
+    plain = pc.binary_join_element_wise(SPACE, texts.filter(pa.array(~odd)), "")
+    plain = pc.replace_substring(plain, " ", cut + SPACE)
+    for c in model.alone:
+        plain = pc.replace_substring(plain, c, cut + c + cut)
+    plain = pc.split_pattern(plain, cut)
+    others = pa.array([model.split(t.as_py()) for t in texts.filter(pa.array(odd))], pa.list_(pa.string()))
+    order = np.empty(len(texts), np.int64)
+    order[~odd], order[odd] = np.arange(len(plain)), len(plain) + np.arange(len(others))
+    lists = pa.concat_arrays([plain, others]).take(pa.array(order)) if odd.any() else plain
+    return lists.flatten(), pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+
+
+def _buckets(units: pa.Array, buckets: int) -> np.ndarray:
+    """A bucket for each unit, from all its bytes."""
+    offsets = np.frombuffer(units.buffers()[1], np.int32, len(units) + 1, units.offset * 4).astype(np.int64)
+    raw = np.frombuffer(units.buffers()[2], np.uint8, offsets[-1] - offsets[0], offsets[0]).astype(np.uint32)
+    at = np.arange(len(raw)) - np.repeat(offsets[:-1] - offsets[0], np.diff(offsets))
+    mixed = (raw + np.uint32(1)) * (np.uint32(2654435761) * (at.astype(np.uint32) * np.uint32(2) + np.uint32(1)))
+    mixed ^= mixed >> np.uint32(13)
+    return np.add.reduceat(mixed * np.uint32(2246822519), offsets[:-1] - offsets[0]) % np.uint32(buckets)
 
 
 def _words_of(model: Model, buckets: int, flush: int):
     """Distinct units of each block that the lattice takes, packed: (bucket, block, units joined by a line feed)."""
-    import zlib
-
-    def rows(block: int, words: set[str], units: set[str]) -> pa.RecordBatch:
-        cut = re.compile(f"[{SPACE}{model.alone}]")
-        for w in words:
-            if cut.search(w):
-                units.update(model.units.findall(SPACE + w))
-            else:
-                units.add(SPACE + w)
-        packed: dict[int, list[str]] = {}
-        for u in sorted(units):
-            if 2 <= len(u) <= MAX_WORD:
-                packed.setdefault(zlib.crc32(u.encode()) % buckets, []).append(u)
-        return pa.RecordBatch.from_arrays([pa.array(list(packed), pa.int32()), pa.array([block] * len(packed), pa.int64()),
-                                           pa.array(["\n".join(p) for p in packed.values()], pa.string())],
-                                          names=["bucket", "block", "words"])
+    def rows(block: int, found: list[pa.Array]) -> pa.RecordBatch:
+        units = pc.unique(pa.concat_arrays(found))
+        units = units.take(pc.sort_indices(units))
+        at = _buckets(units, buckets) if len(units) else np.zeros(0, np.uint32)
+        order = np.argsort(at, kind="stable")
+        held, counts = np.unique(at, return_counts=True)
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), units.take(pa.array(order)))
+        return pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(np.full(len(held), block, np.int64)),
+                                           pc.binary_join(lists, "\n")], names=["bucket", "block", "words"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, words, units = None, set(), set()
+        now, found = None, []
         for block, b in _per_block(batches, 0):
-            if block != now and now is not None:
-                yield rows(now, words, units)
-                words, units = set(), set()
+            if now is not None and (block != now or sum(map(len, found)) > flush):
+                yield rows(now, found)
+                found = []
             now = block
-            for t in b.column(1):
-                text = t.as_py() or ""
-                plain = model.plain_words(text)
-                if plain is None:
-                    units.update(model.split(text))
-                else:
-                    words.update(plain)
-                if len(words) + len(units) > flush:
-                    yield rows(now, words, units)
-                    words, units = set(), set()
+            for at in range(0, b.num_rows, 2048):
+                units = pc.unique(_flat_units(model, b.column(1).slice(at, 2048))[0])
+                size = pc.utf8_length(units)
+                found.append(units.filter(pc.and_(pc.greater_equal(size, 2), pc.less_equal(size, MAX_WORD))))
         if now is not None:
-            yield rows(now, words, units)
+            yield rows(now, found)
 
     return run
 
 
+class _Table:
+    """Units and their ids, one after the other."""
+
+    def __init__(self, model: Model, units: pa.Array, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.model, self.units, self.ids, self.sizes = model, units, ids, sizes
+
+    def find(self, units: pa.Array, parts: Callable[[str], list[str]]) -> np.ndarray:
+        """The place of each unit; a unit that is not here yet is cut by ``parts`` and added."""
+        at = pc.index_in(units, value_set=self.units)
+        if at.null_count:
+            missing = units.filter(pc.is_null(at))
+            new = pc.unique(missing)
+            made = [self.model.unit_ids(parts(u)) if u else [] for u in new.to_pylist()]
+            later = pc.add(pc.index_in(missing, value_set=new), len(self.units))
+            at = pc.replace_with_mask(at, pc.is_null(at), later.cast(pa.int32()))
+            self.units = pa.concat_arrays([self.units, new])
+            self.ids = np.concatenate([self.ids, *(np.array(m, self.ids.dtype) for m in made)])
+            self.sizes = np.concatenate([self.sizes, np.array([len(m) for m in made], np.int64)])
+        return at.to_numpy()
+
+    def gather(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these places, one after the other, and their numbers."""
+        starts = np.cumsum(self.sizes) - self.sizes
+        sizes = self.sizes[at]
+        shift = starts[at] - (np.cumsum(sizes) - sizes)
+        return self.ids[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
+
+
 def _answers(model: Model, dtype: str):
     """For a bucket: each block's units again, with their ids and numbers of ids, packed and compressed."""
     def run(key: tuple, asked: pa.Table, known: pa.Table) -> pa.Table:
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=3).compress
-        ids: dict[str, bytes] = {}
+        ids: list[list[int]] = []
         for word, cuts in zip(known.column("word").to_pylist(), known.column("cuts").to_pylist()):
             at = [i for i in range(len(word) + 1) if cuts >> i & 1]
-            ids[word] = np.array(model.unit_ids([word[a:b] for a, b in zip(at, at[1:])]), dtype).tobytes()
-        width = np.dtype(dtype).itemsize
+            ids.append(model.unit_ids([word[a:b] for a, b in zip(at, at[1:])]))
+        sizes = np.array([len(x) for x in ids], np.int64)
+        words = known.column("word").combine_chunks() if known.num_rows else pa.array([], pa.string())
+        table = _Table(model, words, np.array([i for x in ids for i in x], dtype), sizes)
         out: list[tuple] = []
         for block, words in zip(asked.column("block").to_pylist(), asked.column("words").to_pylist()):
-            got = []
-            for w in words.split("\n"):
-                found = ids.get(w)
-                if found is None:                                # no edge at all: every character stands alone
-                    found = ids[w] = np.array(model.unit_ids(list(w)), dtype).tobytes()
-                got.append(found)
-            counts = np.array([len(g) // width for g in got], "<u2").tobytes()
-            out.append((block, pack(words.encode()), pack(b"".join(got)), pack(counts)))
+            units = pa.array(words.split("\n"), pa.string())
+            got, counts = table.gather(table.find(units, list))      # no edge at all: every character stands alone
+            out.append((block, pack(words.encode()), pack(got.tobytes()), pack(counts.astype("<u2").tobytes())))
         cols = list(zip(*out)) or [()] * 4
         return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), *[pa.binary()] * 3))],
                         names=["block", "words", "ids", "counts"])
@@ -417,37 +417,35 @@ def _encode(model: Model, dtype: str, names: list[str]):
     """Texts of a block from its units' ids."""
     import xxhash
 
+    def hash_of(text: pa.Scalar) -> int:
+        raw = text.as_buffer() if text.is_valid else b""
+        return xxhash.xxh64_intdigest(bytes(raw).replace(SPACE.encode(), b" "), 42)
+
     def run(key: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
-        width, known = np.dtype(dtype).itemsize, _Known(model, dtype)
-        for row in zip(*(answers.column(c) for c in ("words", "ids", "counts"))):
-            words, ids, counts = (unpack(x.as_py()) for x in row)
-            at = 0
-            for w, n in zip(words.decode().split("\n"), np.frombuffer(counts, "<u2").tolist()):
-                known.add(w, ids[at:at + n * width])
-                at += n * width
+        words, ids, counts = ([unpack(x.as_py()) for x in answers.column(c)] for c in ("words", "ids", "counts"))
+        units = pc.split_pattern(pa.array([w.decode() for w in words], pa.string()), "\n").flatten()
+        table = _Table(model, units, np.frombuffer(b"".join(ids), dtype), np.frombuffer(b"".join(counts), "<u2").astype(np.int64))
         outs = []
         for payload in texts.column("payload"):
             batch = pa.ipc.open_stream(unpack(payload.as_py())).read_all().combine_chunks()
-            sizes, packed, hashes = [], [], []
-            for t in batch.column(batch.num_columns - 1):
-                text = t.as_py() or ""
-                packed.append(known.encode(text))
-                sizes.append(len(packed[-1]) // width)
-                hashes.append(xxhash.xxh64_intdigest(text.replace(SPACE, " ").encode(), 42))
-            flat = np.frombuffer(b"".join(packed), dtype).astype("<i4")
-            ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(flat, pa.int32()))
-            outs.append(pa.table([*(batch.column(i) for i in range(batch.num_columns - 1)), ids, pa.array(sizes, pa.int64()),
-                                  pa.array(np.array(hashes, np.uint64).view(np.int64))], names=names))
+            body = batch.column(batch.num_columns - 1).combine_chunks()
+            flat, in_text = _flat_units(model, body)
+            got, in_unit = table.gather(table.find(flat, model.parts))
+            ends = np.r_[0, np.cumsum(in_unit)][np.r_[0, np.cumsum(in_text)]]
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(got.astype("<i4"), pa.int32()))
+            hashes = np.array([hash_of(t) for t in body], np.uint64).view(np.int64)
+            outs.append(pa.table([*(batch.column(i) for i in range(batch.num_columns - 1)), lists,
+                                  pa.array(np.diff(ends).astype(np.int64)), pa.array(hashes)], names=names))
         return pa.concat_tables(outs)
 
     return run
 
 
 def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id", text: str = "text",
-           block_chars: int = 12_000_000, words_a_bucket: int = 60_000) -> DataFrame:
+           block_chars: int = 20_000_000, words_a_bucket: int = 60_000) -> DataFrame:
     """``keep`` columns, then ids (array<int>), n_tokens and text_hash (XXH64 of the text), one row per row of ``docs``."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -463,7 +461,7 @@ def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id
     buckets = int(max(8, want * split * 4))
     dtype = "<u2" if len(model.pieces) <= 65536 else "<u4"
 
-    asked = (blocked.select("__block", "__text").mapInArrow(_words_of(model, buckets, 800_000), "bucket int, block long, words string")
+    asked = (blocked.select("__block", "__text").mapInArrow(_words_of(model, buckets, 3_000_000), "bucket int, block long, words string")
              .repartition("bucket"))
     # the block is asked for only so that both readers of ``asked`` need the same columns and share its shuffle
     words = (asked.select("bucket", "block", F.explode(F.split("words", "\n")).alias("word"))
@@ -482,8 +480,8 @@ def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id
         packer = zstandard.ZstdCompressor(level=5)
         for key, b in _per_block(batches, 0):
             part = b.select(order)
-            for at in range(0, part.num_rows, 512):
-                yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([_frame(part.slice(at, 512), packer)], pa.binary())],
+            for at in range(0, part.num_rows, 4096):
+                yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([_frame(part.slice(at, 4096), packer)], pa.binary())],
                                                  names=["block", "payload"])
 
     packed = blocked.mapInArrow(pack, "block long, payload binary")
