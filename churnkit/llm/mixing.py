@@ -139,7 +139,7 @@ def _round_copies(cap: float):
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
-        weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, per_bucket: int = 4096) -> DataFrame:
+        weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, per_bucket: int = 512) -> DataFrame:
     """(doc_id, source, size, source_size, target, rate, copies, taken), one row per row of ``docs``."""
     ship_package(docs.sparkSession)
     sized = materialize(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"),
