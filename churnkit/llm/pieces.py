@@ -350,12 +350,13 @@ def _words_of(model: Model, buckets: int, flush: int):
                 yield rows(now, found)
                 found = []
             now = block
-            for at in range(0, b.num_rows, 2048):
-                units = pc.unique(_flat_units(model, b.column(1).slice(at, 2048))[0])
+            for at in range(0, b.num_rows, 512):
+                units = pc.unique(_flat_units(model, b.column(1).slice(at, 512))[0])
                 size = pc.utf8_length(units)
                 found.append(units.filter(pc.and_(pc.greater_equal(size, 2), pc.less_equal(size, MAX_WORD))))
         if now is not None:
             yield rows(now, found)
+        pa.default_memory_pool().release_unused()        # the worker lives on beside the next stage
 
     return run
 
@@ -385,7 +386,9 @@ class _Table:
         starts = np.cumsum(self.sizes) - self.sizes
         sizes = self.sizes[at]
         shift = starts[at] - (np.cumsum(sizes) - sizes)
-        return self.ids[np.repeat(shift, sizes) + np.arange(sizes.sum())], sizes
+        where = np.repeat(shift.astype(np.int32), sizes)
+        where += np.arange(len(where), dtype=np.int32)
+        return self.ids[where], sizes
 
 
 def _answers(model: Model, dtype: str):
@@ -407,6 +410,7 @@ def _answers(model: Model, dtype: str):
             got, counts = table.gather(table.find(units, list))      # no edge at all: every character stands alone
             out.append((block, pack(words.encode()), pack(got.tobytes()), pack(counts.astype("<u2").tobytes())))
         cols = list(zip(*out)) or [()] * 4
+        pa.default_memory_pool().release_unused()
         return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), *[pa.binary()] * 3))],
                         names=["block", "words", "ids", "counts"])
 
@@ -439,13 +443,14 @@ def _encode(model: Model, dtype: str, names: list[str]):
             hashes = np.array([hash_of(t) for t in body], np.uint64).view(np.int64)
             outs.append(pa.table([*(batch.column(i) for i in range(batch.num_columns - 1)), lists,
                                   pa.array(np.diff(ends).astype(np.int64)), pa.array(hashes)], names=names))
+        pa.default_memory_pool().release_unused()
         return pa.concat_tables(outs)
 
     return run
 
 
 def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id", text: str = "text",
-           block_chars: int = 20_000_000, words_a_bucket: int = 60_000) -> DataFrame:
+           block_chars: int = 16_000_000, words_a_bucket: int = 60_000) -> DataFrame:
     """``keep`` columns, then ids (array<int>), n_tokens and text_hash (XXH64 of the text), one row per row of ``docs``."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -480,8 +485,8 @@ def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id
         packer = zstandard.ZstdCompressor(level=5)
         for key, b in _per_block(batches, 0):
             part = b.select(order)
-            for at in range(0, part.num_rows, 4096):
-                yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([_frame(part.slice(at, 4096), packer)], pa.binary())],
+            for at in range(0, part.num_rows, 1024):
+                yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([_frame(part.slice(at, 1024), packer)], pa.binary())],
                                                  names=["block", "payload"])
 
     packed = blocked.mapInArrow(pack, "block long, payload binary")
