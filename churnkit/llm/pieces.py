@@ -323,12 +323,15 @@ def _flat_units(model: Model, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 def _buckets(units: pa.Array, buckets: int) -> np.ndarray:
     """A bucket for each unit, from all its bytes."""
-    offsets = np.frombuffer(units.buffers()[1], np.int32, len(units) + 1, units.offset * 4).astype(np.int64)
-    raw = np.frombuffer(units.buffers()[2], np.uint8, offsets[-1] - offsets[0], offsets[0]).astype(np.uint32)
-    at = np.arange(len(raw)) - np.repeat(offsets[:-1] - offsets[0], np.diff(offsets))
-    mixed = (raw + np.uint32(1)) * (np.uint32(2654435761) * (at.astype(np.uint32) * np.uint32(2) + np.uint32(1)))
+    offsets = np.frombuffer(units.buffers()[1], np.int32, len(units) + 1, units.offset * 4)
+    mixed = np.frombuffer(units.buffers()[2], np.uint8, offsets[-1] - offsets[0], offsets[0]).astype(np.uint32)
+    at = np.arange(len(mixed), dtype=np.int32)
+    at -= np.repeat(offsets[:-1] - offsets[0], np.diff(offsets))
+    mixed += np.uint32(1)
+    mixed *= np.uint32(2654435761) * (at.view(np.uint32) * np.uint32(2) + np.uint32(1))
     mixed ^= mixed >> np.uint32(13)
-    return np.add.reduceat(mixed * np.uint32(2246822519), offsets[:-1] - offsets[0]) % np.uint32(buckets)
+    mixed *= np.uint32(2246822519)
+    return np.add.reduceat(mixed, (offsets[:-1] - offsets[0]).astype(np.int64)) % np.uint32(buckets)
 
 
 def _words_of(model: Model, buckets: int, flush: int):
@@ -344,18 +347,23 @@ def _words_of(model: Model, buckets: int, flush: int):
                                            pc.binary_join(lists, "\n")], names=["bucket", "block", "words"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, found = None, []
-        for block, b in _per_block(batches, 0):
-            if now is not None and (block != now or sum(map(len, found)) > flush):
-                yield rows(now, found)
-                found = []
-            now = block
-            for at in range(0, b.num_rows, 512):
-                units = pc.unique(_flat_units(model, b.column(1).slice(at, 512))[0])
+        import zstandard
+
+        unpack, found, held = zstandard.ZstdDecompressor().decompress, {}, 0
+        for b in batches:
+            for block, payload in zip(b.column(0).to_pylist(), b.column(1)):
+                texts = pa.ipc.open_stream(unpack(payload.as_py())).read_all()
+                units = pc.unique(_flat_units(model, texts.column(texts.num_columns - 1).combine_chunks())[0])
                 size = pc.utf8_length(units)
-                found.append(units.filter(pc.and_(pc.greater_equal(size, 2), pc.less_equal(size, MAX_WORD))))
-        if now is not None:
-            yield rows(now, found)
+                units = units.filter(pc.and_(pc.greater_equal(size, 2), pc.less_equal(size, MAX_WORD)))
+                found.setdefault(block, []).append(units)
+                held += len(units)
+                if held > flush:
+                    for k, v in found.items():
+                        yield rows(k, v)
+                    found, held = {}, 0
+        for k, v in found.items():
+            yield rows(k, v)
         pa.default_memory_pool().release_unused()        # the worker lives on beside the next stage
 
     return run
@@ -450,7 +458,7 @@ def _encode(model: Model, dtype: str, names: list[str]):
 
 
 def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id", text: str = "text",
-           block_chars: int = 16_000_000, words_a_bucket: int = 60_000) -> DataFrame:
+           block_chars: int = 14_000_000) -> DataFrame:
     """``keep`` columns, then ids (array<int>), n_tokens and text_hash (XXH64 of the text), one row per row of ``docs``."""
     spark = docs.sparkSession
     ship_package(spark)
@@ -466,16 +474,6 @@ def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id
     buckets = int(max(8, want * split * 4))
     dtype = "<u2" if len(model.pieces) <= 65536 else "<u4"
 
-    asked = (blocked.select("__block", "__text").mapInArrow(_words_of(model, buckets, 3_000_000), "bucket int, block long, words string")
-             .repartition("bucket"))
-    # the block is asked for only so that both readers of ``asked`` need the same columns and share its shuffle
-    words = (asked.select("bucket", "block", F.explode(F.split("words", "\n")).alias("word"))
-             .groupBy("bucket", "word").agg(F.min("block").alias("block")).where(F.col("block").isNotNull())
-             .select(F.xxhash64("word").alias("h"), "bucket", "word"))          # h first: the grouping sorts by a number
-    known = segment(words, model, ["h", "bucket", "word"]).select(F.col("bucket").alias("b"), "word", "cuts")
-    answers = asked.groupBy("bucket").cogroup(known.groupBy("b")).applyInArrow(
-        _answers(model, dtype), "block long, words binary, ids binary, counts binary").withColumnRenamed("block", "in_block")
-
     payload = [f for f in blocked.schema if f.name in keep] + [T.StructField("__text", T.StringType())]
     order = [*keep, "__text"]
 
@@ -485,11 +483,21 @@ def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id
         packer = zstandard.ZstdCompressor(level=5)
         for key, b in _per_block(batches, 0):
             part = b.select(order)
-            for at in range(0, part.num_rows, 1024):
-                yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([_frame(part.slice(at, 1024), packer)], pa.binary())],
+            for at in range(0, part.num_rows, 512):
+                yield pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([_frame(part.slice(at, 512), packer)], pa.binary())],
                                                  names=["block", "payload"])
 
-    packed = blocked.mapInArrow(pack, "block long, payload binary")
+    # one shuffle brings the texts of a block together, however they were laid out; its words are taken there
+    packed = blocked.mapInArrow(pack, "block long, payload binary").repartition("block")
+    asked = packed.mapInArrow(_words_of(model, buckets, 2_000_000), "bucket int, block long, words string").repartition("bucket")
+    # the block is asked for only so that both readers of ``asked`` need the same columns and share its shuffle
+    words = (asked.select("bucket", "block", F.explode(F.split("words", "\n")).alias("word"))
+             .groupBy("bucket", "word").agg(F.min("block").alias("block")).where(F.col("block").isNotNull())
+             .select(F.xxhash64("word").alias("h"), "bucket", "word"))          # h first: the grouping sorts by a number
+    known = segment(words, model, ["h", "bucket", "word"]).select(F.col("bucket").alias("b"), "word", "cuts")
+    answers = asked.groupBy("bucket").cogroup(known.groupBy("b")).applyInArrow(
+        _answers(model, dtype), "block long, words binary, ids binary, counts binary").withColumnRenamed("block", "in_block")
+
     out = T.StructType([f for c in keep for f in payload if f.name == c] + [
         T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("text_hash", T.LongType())])
     return packed.groupBy("block").cogroup(answers.groupBy("in_block")).applyInArrow(_encode(model, dtype, out.names), out)
