@@ -288,6 +288,16 @@ def segment(words: DataFrame, model: Model, keys: list[str], word: str = "word")
 
 # ---------------------------------------------------------------- texts and their words
 
+def _give_back() -> None:
+    """Free memory returns to the system: the worker lives on beside the next stage."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _frame(batch: pa.RecordBatch, packer) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, batch.schema) as out:
@@ -364,7 +374,7 @@ def _words_of(model: Model, buckets: int, flush: int):
                     found, held = {}, 0
         for k, v in found.items():
             yield rows(k, v)
-        pa.default_memory_pool().release_unused()        # the worker lives on beside the next stage
+        _give_back()
 
     return run
 
@@ -418,7 +428,7 @@ def _answers(model: Model, dtype: str):
             got, counts = table.gather(table.find(units, list))      # no edge at all: every character stands alone
             out.append((block, pack(words.encode()), pack(got.tobytes()), pack(counts.astype("<u2").tobytes())))
         cols = list(zip(*out)) or [()] * 4
-        pa.default_memory_pool().release_unused()
+        _give_back()
         return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), *[pa.binary()] * 3))],
                         names=["block", "words", "ids", "counts"])
 
@@ -451,14 +461,14 @@ def _encode(model: Model, dtype: str, names: list[str]):
             hashes = np.array([hash_of(t) for t in body], np.uint64).view(np.int64)
             outs.append(pa.table([*(batch.column(i) for i in range(batch.num_columns - 1)), lists,
                                   pa.array(np.diff(ends).astype(np.int64)), pa.array(hashes)], names=names))
-        pa.default_memory_pool().release_unused()
+        _give_back()
         return pa.concat_tables(outs)
 
     return run
 
 
 def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id", text: str = "text",
-           block_chars: int = 14_000_000) -> DataFrame:
+           block_chars: int = 8_000_000) -> DataFrame:
     """``keep`` columns, then ids (array<int>), n_tokens and text_hash (XXH64 of the text), one row per row of ``docs``."""
     spark = docs.sparkSession
     ship_package(spark)
