@@ -450,9 +450,18 @@ def _encode(model: Model, dtype: str, names: list[str]):
         words, ids, counts = ([unpack(x.as_py()) for x in answers.column(c)] for c in ("words", "ids", "counts"))
         units = pc.split_pattern(pa.array([w.decode() for w in words], pa.string()), "\n").flatten()
         table = _Table(model, units, np.frombuffer(b"".join(ids), dtype), np.frombuffer(b"".join(counts), "<u2").astype(np.int64))
+        def frames() -> Iterator[pa.Table]:                      # scattered texts come in many small frames
+            held: list[pa.Table] = []
+            for payload in texts.column("payload"):
+                held.append(pa.ipc.open_stream(unpack(payload.as_py())).read_all())
+                if sum(h.num_rows for h in held) >= 512:
+                    yield pa.concat_tables(held).combine_chunks()
+                    held = []
+            if held:
+                yield pa.concat_tables(held).combine_chunks()
+
         outs = []
-        for payload in texts.column("payload"):
-            batch = pa.ipc.open_stream(unpack(payload.as_py())).read_all().combine_chunks()
+        for batch in frames():
             body = batch.column(batch.num_columns - 1).combine_chunks()
             flat, in_text = _flat_units(model, body)
             got, in_unit = table.gather(table.find(flat, model.parts))
