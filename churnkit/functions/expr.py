@@ -23,10 +23,12 @@ def exact_quotient(m: Column, d: Column) -> Column:
 def ratio_half_up(num: Column, den: Column, places: int) -> Column:
     """round(num/den, places) half-up for integer num >= 0, den > 0, as DOUBLE; NULL if den = 0."""
     scale = 10 ** places
-    n = num.cast("bigint") * (2 * scale) + den.cast("bigint")
-    d = den.cast("bigint") * 2
+    # DECIMAL, not BIGINT: products of counts pass 2^63 at some ten million rows
+    n = num.cast("decimal(38,0)") * F.lit(2 * scale) + den.cast("decimal(38,0)")
+    d = (den.cast("decimal(38,0)") * F.lit(2)).cast("decimal(38,0)")
+    n = n.cast("decimal(38,0)")
     q = exact_quotient(n - F.pmod(n, d), d)
-    return F.when(den.cast("bigint") == 0, F.lit(None).cast("double")) \
+    return F.when(den.cast("decimal(38,0)") == 0, F.lit(None).cast("double")) \
         .otherwise(q.cast("double") / scale)
 
 
@@ -52,8 +54,8 @@ def safe_ratio(num: Column, den: Column) -> Column:
 
 
 def risk_tier(p: Column) -> Column:
-    """Four tiers on the unrounded probability, strict thresholds."""
-    return (F.when(p > 0.8, "Critical").when(p > 0.6, "High")
+    """Four tiers on the unrounded probability, strict thresholds; no tier without a probability."""
+    return (F.when(p.isNull(), F.lit(None).cast("string")).when(p > 0.8, "Critical").when(p > 0.6, "High")
             .when(p > 0.4, "Moderate").otherwise("Low"))
 
 

@@ -199,7 +199,8 @@ class TreeExplainerTables:
                 e = min(s + step, len(g["w"]))
                 feats = g["feats"][s:e]
                 xs = x[:, feats]                                   # (B, L, d)
-                o = (xs > g["lo"][s:e]) & (xs <= g["hi"][s:e])
+                hi = g["hi"][s:e]                                  # a missing value (NaN) goes right at every split
+                o = ~(xs <= g["lo"][s:e]) & ((xs <= hi) | np.isposinf(hi))
                 code = (o * bits).sum(axis=-1)                     # (B, L)
                 margin += o.all(axis=-1) @ g["wv"][s:e]
                 vals = g["tab"][s:e][np.arange(e - s)[None, :], code] * g["w"][s:e][None, :, None]
@@ -216,7 +217,7 @@ class TreeExplainerTables:
             for j, (f, c) in enumerate(zip(feats, cons)):
                 col = x[:, f]
                 if c[0] == "num":
-                    o[:, j] = (col > c[1]) & (col <= c[2])
+                    o[:, j] = ~(col <= c[1]) & ((col <= c[2]) | np.isposinf(c[2]))
                 else:
                     o[:, j] = np.isin(col, list(c[1]))
             margin += w * v * o.all(axis=1)

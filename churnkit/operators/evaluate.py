@@ -66,10 +66,10 @@ def roc_auc(df: DataFrame, label: str = LABEL, score: str = "p",
     bucket = F.least(F.greatest(F.floor(F.col("s") * buckets), F.lit(0)), F.lit(buckets - 1))
     pre = prefix_sum(per, "s", "neg", bucket, out="neg_below")
     agg = pre.agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
-                  F.sum(F.col("pos") * (2 * F.col("neg_below") + F.col("neg"))).alias("num2"))
+                  F.sum((F.col("pos").cast("decimal(18,0)") * (2 * F.col("neg_below") + F.col("neg")).cast("decimal(19,0)")).cast("decimal(38,0)")).alias("num2"))
     return agg.select(F.coalesce("n_pos", F.lit(0)).cast("bigint").alias("n_pos"),
                       F.coalesce("n_neg", F.lit(0)).cast("bigint").alias("n_neg"),
-                      ratio_half_up(F.col("num2"), 2 * F.col("n_pos") * F.col("n_neg"), 4).alias("roc_auc"))
+                      ratio_half_up(F.col("num2"), (F.col("n_pos").cast("decimal(18,0)") * (2 * F.col("n_neg")).cast("decimal(19,0)")), 4).alias("roc_auc"))
 
 
 def dataset_metadata(split_df: DataFrame, n_features: int) -> DataFrame:

@@ -49,8 +49,8 @@ def _total_charges_double(df: DataFrame) -> Column:
 def churn_flag(df: DataFrame) -> Column:
     dtype = df.schema[LABEL].dataType
     if isinstance(dtype, T.StringType):
-        return (F.col(LABEL) == "Yes").cast("int")
-    return F.col(LABEL).cast("int")
+        return F.coalesce((F.col(LABEL) == "Yes").cast("int"), F.lit(0))      # a missing label is no churn
+    return F.coalesce(F.col(LABEL).cast("int"), F.lit(0))
 
 
 def tenure_group(tenure: Column) -> Column:

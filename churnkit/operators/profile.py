@@ -60,7 +60,7 @@ def churn_rate_by(featured: DataFrame, dimension: str) -> DataFrame:
 
 
 def churn_segments(featured: DataFrame, dimensions: list[str] = SEGMENT_DIMENSIONS) -> DataFrame:
-    """All single-column segment reports in ONE scan (GROUPING SETS via Expand)."""
+    """All single-column segment reports in ONE scan (one exploded row a dimension)."""
     exploded = featured.select(
         F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"),
                                      F.col(d).cast("string").alias("segment"))
@@ -82,7 +82,7 @@ def churn_new_vs_rest(featured: DataFrame) -> DataFrame:
     return per.select(
         "is_new_customer", "customers", "churned",
         ratio_half_up(F.col("churned"), F.col("customers"), 4).alias("churn_rate"),
-        ratio_half_up(F.col("churned") * other_n, F.col("customers") * other_c, 4)
+        ratio_half_up(F.col("churned").cast("decimal(18,0)") * other_n.cast("decimal(18,0)"), F.col("customers").cast("decimal(18,0)") * other_c.cast("decimal(18,0)"), 4)
         .alias("rate_ratio_vs_other"))
 
 
@@ -187,16 +187,16 @@ def _correlation_ml(df: DataFrame, cols: list[str], constant: set[str]) -> DataF
 
 def _correlation_sql(df: DataFrame, cols: list[str]) -> DataFrame:
     aggs = []
-    for i, a in enumerate(cols):
-        aggs.append(F.stddev_pop(F.col(a).cast("double")).alias(f"s{i}"))
     pairs = list(itertools.combinations_with_replacement(range(len(cols)), 2))
     for i, j in pairs:
-        aggs.append(F.covar_pop(F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double"))
-                    .alias(f"c{i}_{j}"))
+        a, b = F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")
+        aggs += [F.covar_pop(a, b).alias(f"c{i}_{j}"),           # all three over the rows that have both
+                 F.stddev_pop(F.when(b.isNotNull(), a)).alias(f"s{i}_{j}"),
+                 F.stddev_pop(F.when(a.isNotNull(), b)).alias(f"t{i}_{j}")]
     wide = df.agg(*aggs)
     entries = []
     for i, j in pairs:
-        r = F.round(F.try_divide(F.col(f"c{i}_{j}"), F.col(f"s{i}") * F.col(f"s{j}")), 4)
+        r = F.round(F.try_divide(F.col(f"c{i}_{j}"), F.col(f"s{i}_{j}") * F.col(f"t{i}_{j}")), 4)
         entries.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), r.alias("r")))
         if i != j:
             entries.append(F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"), r.alias("r")))

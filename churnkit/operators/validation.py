@@ -32,6 +32,9 @@ def rules(df: DataFrame) -> list[tuple[str, Column]]:
         out.append((f"{c}_out_of_range", x.isNotNull() & ((x < lo) | (x > hi))))
     if "_corrupt_record" in df.columns:
         out.append(("malformed_record", F.col("_corrupt_record").isNotNull()))
+    if KEY in df.columns:
+        whole = F.col("_corrupt_record").isNull() if "_corrupt_record" in df.columns else F.lit(True)
+        out.append((f"{KEY}_missing", F.col(KEY).isNull() & whole))
     return out
 
 
