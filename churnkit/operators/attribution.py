@@ -32,14 +32,13 @@ import uuid
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnkit.schema import KEY
-from churnkit.session import broadcast_if_small, ship_package, stage_path
+from churnkit.session import ship_package, stage_path
 
 MAX_PATTERN_BITS = 10   # per-leaf tables up to 2^10 x 10; deeper leaves use the direct form
-MAX_BACKGROUND = 100_000   # the background is a sample: numbered in one window, broadcast
 TABLE_BUDGET = 8_000_000  # doubles in all pattern tables (64 MB broadcast); the rest go direct
 
 
@@ -291,47 +290,48 @@ def tree_shap(model, assembled: DataFrame, features_col: str = "features",
 # --------------------------------------------------------------- sampled (any model)
 def sampled_shapley(model, explained: DataFrame, background: DataFrame, n_features: int,
                     features_col: str = "features", key: str = KEY, permutations: int = 8,
-                    seed: int = 42) -> DataFrame:
-    """Monte-Carlo permutation Shapley of P(class 1) for a bounded set of rows.
-
-    ``explained``/``background``: (key, features). Background rows are indexed by a
-    hash rank and broadcast (bounded: it is a sample). Output: key, attr_values,
-    attr_impacts (probability units), base_value (mean background score)."""
+                    seed: int = 42, rank_col: str = "sample_rank") -> DataFrame:
+    """Monte-Carlo permutation Shapley of P(class 1) for every row of ``explained``.
+
+    ``explained``: (key, features), any number of rows with distinct keys; the cost is linear in
+    them. ``background``: features with ``rank_col`` = 1..n, as ``sampling.bounded_sample`` numbers
+    its rows; its size is the estimator's parameter. The explained rows are placed by key once: their
+    points are exploded, scored and gathered again (permutations x (d + 1) per key) where they are.
+    An empty background leaves no rows. Output: key, attr_values, attr_impacts (probability units),
+    base_value (mean background score)."""
     d = n_features
-    n_bg = background.count()
-    if n_bg > MAX_BACKGROUND:
-        raise ValueError(f"background has {n_bg} rows; pass a bounded sample (<= {MAX_BACKGROUND})")
-    bg = (background.select(vector_to_array(features_col).alias("b"))
-          .withColumn("bid", F.row_number().over(Window.orderBy(F.md5(F.to_json(F.col("b"))))) - 1))
-    bg, nb = broadcast_if_small(bg, MAX_BACKGROUND)
-    ex = explained.select(key, vector_to_array(features_col).alias("x"))
+    bg = background.select((F.col(rank_col) - 1).alias("bid"), vector_to_array(features_col).alias("b"))
+    nb = bg.count()
+    ex = explained.select(key, vector_to_array(features_col).alias("x")).repartition(key)
+    if nb == 0:
+        return ex.select(key, F.col("x").alias("attr_values"), F.col("x").alias("attr_impacts"),
+                         F.lit(0.0).alias("base_value")).where(F.lit(False))
     perms = ex.select(key, "x", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("k"))
     perms = perms.withColumn("bid", F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("k")), F.lit(nb)))
     perms = perms.join(bg, "bid")
-    order = F.transform(
-        F.array_sort(F.transform(F.sequence(F.lit(0), F.lit(d - 1)),
-                                 lambda i: F.struct(F.xxhash64(F.lit(seed), F.col(key), F.col("k"), i).alias("h"),
-                                                    i.alias("i")))),
-        lambda s: s["i"])
-    steps = perms.withColumn("perm", order).select(
-        key, "x", "k", "perm", "b", F.explode(F.sequence(F.lit(0), F.lit(d))).alias("j"))
-    point = F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda i: F.when(
-        (F.array_position(F.col("perm"), i) > 0) & (F.array_position(F.col("perm"), i) <= F.col("j")),
-        F.col("x")[i]).otherwise(F.col("b")[i]))
-    pts = steps.select(key, "k", "perm", "j", array_to_vector(point).alias(features_col))
-    scored = model.transform(pts).select(key, "k", "perm", "j", vector_to_array("probability")[1].alias("f"))
-    w = Window.partitionBy(key, "k").orderBy("j")   # groups of d + 1 rows
-    diffs = (scored.withColumn("delta", F.col("f") - F.lag("f").over(w))
-             .withColumn("base_f", F.first("f").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-             .where(F.col("j") > 0)
-             .select(key, F.element_at("perm", F.col("j")).alias("feat"), "delta", "base_f"))
-    per_feat = diffs.groupBy(key, "feat").agg(F.avg("delta").alias("phi"), F.avg("base_f").alias("base_f"))
-    wide = per_feat.groupBy(key).agg(
-        F.sort_array(F.collect_list(F.struct("feat", "phi"))).alias("ps"),   # d entries per key
-        F.avg("base_f").alias("base_value"))
-    return (wide.join(ex, key)
-            .select(key, F.col("x").alias("attr_values"),
-                    F.transform("ps", lambda s: s["phi"]).alias("attr_impacts"), "base_value"))
+    features = F.sequence(F.lit(0), F.lit(d - 1))
+    drawn = F.array_sort(F.transform(features, lambda i: F.struct(
+        F.xxhash64(F.lit(seed), F.col(key), F.col("k"), i).alias("h"), i.alias("i"))))
+    # place of each feature in the permutation, inverted once per (row, permutation)
+    placed = F.array_sort(F.transform(drawn, lambda s, place: F.struct(s["i"].alias("i"), place.alias("place"))))
+    perms = perms.select(key, "x", "k", "b", F.transform(placed, lambda s: s["place"]).alias("place"))
+    point = F.transform(features, lambda i: F.when(F.col("place")[i] < F.col("j"), F.col("x")[i])
+                        .otherwise(F.col("b")[i]))
+    pts = (perms.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(d))))
+           .select(key, "k", "x", "place", "j", array_to_vector(point).alias(features_col)))
+    scored = model.transform(pts).select(key, "k", "x", "place", "j",
+                                         vector_to_array("probability")[1].alias("f"))
+    per_perm = scored.groupBy(key, "k").agg(
+        F.first("x").alias("x"), F.first("place").alias("place"),
+        F.transform(F.sort_array(F.collect_list(F.struct("j", "f"))), lambda s: s["f"]).alias("f"))
+    per_perm = per_perm.select(key, "k", "x", F.col("f")[0].alias("base_f"), F.transform(
+        "place", lambda p: F.col("f")[p + 1] - F.col("f")[p]).alias("delta"))
+    per_key = per_perm.groupBy(key).agg(
+        F.first("x").alias("x"), F.avg("base_f").alias("base_value"),
+        F.transform(F.sort_array(F.collect_list(F.struct("k", "delta"))), lambda s: s["delta"]).alias("deltas"))
+    mean = F.transform(features, lambda i: F.aggregate(
+        "deltas", F.lit(0.0), lambda total, one: total + one[i]) / F.lit(float(permutations)))
+    return per_key.select(key, F.col("x").alias("attr_values"), mean.alias("attr_impacts"), "base_value")
 
 
 def brute_force_path_shap(nodes: dict[int, dict], x: np.ndarray) -> tuple[np.ndarray, float]:

@@ -2,8 +2,7 @@
 
 ``FeatureModel.fit`` learns, in a few aggregate jobs, everything the features depend on:
 the median of the parsed TotalCharges, the mean MonthlyCharges per contract type and
-the category levels of every categorical column. These are small (bounded by category
-cardinality, which ``fit`` checks) and are held as literals, so ``transform`` is a pure
+the category levels of every categorical column. These grow with the levels, not the rows, and are held as literals, so ``transform`` is a pure
 projection: no join, no shuffle, usable unchanged on batch tables and on streams, and
 identical at training and at scoring time (train/serve parity).
 """
@@ -15,7 +14,7 @@ from decimal import Decimal
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,7 +26,6 @@ from churnkit.schema import (CATEGORICAL_COLS, CONTRACT_RISK, KEY, LABEL, NO_SER
 NUMERIC_TEXT = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 _TOTAL = "__TotalCharges"
-MAX_LEVELS = 1000  # one-hot width guard: a categorical with more levels is rejected at fit
 
 
 def parse_number(c: Column) -> Column:
@@ -95,7 +93,7 @@ class FeatureModel:
 
     # ------------------------------------------------------------------ fit
     @classmethod
-    def fit(cls, df: DataFrame, max_levels: int = MAX_LEVELS) -> "FeatureModel":
+    def fit(cls, df: DataFrame) -> "FeatureModel":
         """Learn the statistics from a raw or cleaned subscriber table.
 
         The median is exact without a single-task merge (``stats.exact_median``); the
@@ -117,17 +115,8 @@ class FeatureModel:
                     money_sum("MonthlyCharges").alias("s"),
                     F.count("MonthlyCharges").alias("n_m"))
                .cache())
-        # bounded collect: at most max_levels per column (+1 to detect an overflow)
-        cap = max_levels * len(CATEGORICAL_COLS) + 1
-        levels = (agg.where(F.col("column_name") != _TOTAL)
-                  .orderBy("column_name", "category").limit(cap).collect())   # one top-k job
-        per_col: dict[str, int] = {}
-        for r in levels:
-            per_col[r["column_name"]] = per_col.get(r["column_name"], 0) + (r["category"] is not None)
-        too_many = [c for c, k in per_col.items() if k > max_levels] or (["(total)"] if len(levels) >= cap else [])
-        if too_many:
-            agg.unpersist()
-            raise ValueError(f"columns {too_many} exceed {max_levels} levels; one-hot encoding is not bounded")
+        # the learned levels live in the model, like the labels of a fitted string indexer
+        levels = agg.where(F.col("column_name") != _TOTAL).collect()
         median = median_from_counts(agg.where((F.col("column_name") == _TOTAL) & F.col("v").isNotNull())
                                     .select("v", F.col("n").alias("c")))
         agg.unpersist()
@@ -269,26 +258,26 @@ class FeatureModel:
         return cls.from_json(spark.read.text(path).first()[0])
 
 
-def category_levels(df: DataFrame, max_levels: int = MAX_LEVELS) -> DataFrame:
+def category_levels(df: DataFrame) -> DataFrame:
     """The encoder table: (column_name, category, level_index, dropped, feature_name).
 
     One scan: explode (column, value) pairs, ``distinct`` (partial aggregation map-side,
     so the shuffle carries at most one row per level per task), then number the levels
-    of each column. Ordered categoricals (tenure_group) keep their fixed level order."""
-    from pyspark.sql import Window
-
+    of each column in two steps: within each (column, first three characters) and after the
+    count of those before. Ordered categoricals (tenure_group) keep their fixed level order.
+    NULLs are no level; an empty table leaves only the ordered levels."""
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("category"))
         for c in CATEGORICAL_COLS]))
     levels = (df.select(pairs.alias("p")).select("p.*")
-              .where(F.col("category").isNotNull()).distinct()).cache()
-    # the numbering window holds one column's levels in a task: bound them first
-    for r in levels.groupBy("column_name").count().collect():
-        if r["count"] > max_levels:
-            levels.unpersist()
-            raise ValueError(f"column {r['column_name']} has {r['count']} levels (> {max_levels})")
-    w = Window.partitionBy("column_name").orderBy("category")  # over the distinct levels only
-    numbered = levels.withColumn("level_index", (F.row_number().over(w) - 1).cast("int"))
+              .where(F.col("category").isNotNull()).distinct()
+              .withColumn("_b", F.substring("category", 1, 3)))
+    counts = levels.groupBy("column_name", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("column_name").orderBy("_b")) - F.col("_n")
+    offsets = counts.select("column_name", "_b", before.alias("_off"))
+    within = F.row_number().over(Window.partitionBy("column_name", "_b").orderBy("category"))
+    numbered = (levels.join(offsets, ["column_name", "_b"])
+                .select("column_name", "category", (within + F.col("_off") - 1).cast("int").alias("level_index")))
     fixed = df.sparkSession.createDataFrame(
         [(c, v, i) for c, vals in ORDERED_CATEGORICALS.items() for i, v in enumerate(vals)],
         "column_name string, category string, level_index int")

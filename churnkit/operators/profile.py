@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from churnkit.functions.expr import cents, ratio_half_up
 from churnkit.schema import LABEL
-from churnkit.session import broadcast_if_small
 
 SEGMENT_DIMENSIONS = ["Contract", "InternetService", "PaymentMethod"]
 
@@ -90,46 +89,54 @@ def churn_counts(featured: DataFrame) -> DataFrame:
     return featured.groupBy(LABEL).agg(F.count(F.lit(1)).alias("customers"))
 
 
+def _value_counts(df: DataFrame, column: str, by: str) -> DataFrame:
+    """(by, x, c): rows per group and value. Combined map-side, so a group holding most rows costs
+    each task its distinct values; every later step of a report reads this one shuffle."""
+    return (df.where(F.col(column).isNotNull())
+            .groupBy(F.col(by), F.col(column).alias("x")).agg(F.count(F.lit(1)).alias("c")))
+
+
 def histogram(featured: DataFrame, column: str, bins: int = 30, by: str = LABEL) -> DataFrame:
-    """Fixed-width histogram split by ``by``: one min/max pass, then one grouped count."""
-    mm = featured.agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first()
-    lo, hi = mm["lo"], mm["hi"]
-    if lo is None:
-        return featured.sparkSession.createDataFrame(
-            [], f"bin int, {by} int, n bigint, bin_lo double, bin_hi double")
-    lo, hi = float(lo), float(hi)
-    width = (hi - lo) / bins if hi > lo else 1.0
-    x = F.col(column).cast("double")
-    b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1))
-    return (featured.where(F.col(column).isNotNull())
+    """Fixed-width histogram split by ``by``; its range is a scalar subquery over the same counts."""
+    counts = _value_counts(featured, column, by)
+    lo = counts.agg(F.min("x").cast("double")).scalar()
+    hi = counts.agg(F.max("x").cast("double")).scalar()
+    ranged = counts.select(by, "c", F.col("x").cast("double").alias("x"), lo.alias("lo"), hi.alias("hi"))
+    width = F.when(F.col("hi") > F.col("lo"), (F.col("hi") - F.col("lo")) / F.lit(float(bins))).otherwise(F.lit(1.0))
+    b = F.least(F.floor((F.col("x") - F.col("lo")) / F.col("w")).cast("int"), F.lit(bins - 1))
+    return (ranged.withColumn("w", width)
             .groupBy(b.alias("bin"), F.col(by))
-            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.sum("c").alias("n"), F.first("lo").alias("lo"), F.first("w").alias("w"))
             .select("bin", by, "n",
-                    F.round(F.lit(lo) + F.col("bin") * F.lit(width), 4).alias("bin_lo"),
-                    F.round(F.lit(lo) + (F.col("bin") + 1) * F.lit(width), 4).alias("bin_hi")))
+                    F.round(F.col("lo") + F.col("bin") * F.col("w"), 4).alias("bin_lo"),
+                    F.round(F.col("lo") + (F.col("bin") + 1) * F.col("w"), 4).alias("bin_hi")))
 
 
 def box_stats(featured: DataFrame, column: str = "MonthlyCharges", by: str = LABEL,
               exact: bool = True) -> DataFrame:
-    """min / quartiles / max, 1.5 IQR whiskers and outlier count per group (two passes).
+    """min / quartiles / max, 1.5 IQR whiskers and outlier count per group.
 
-    ``exact`` uses ``percentile`` (holds each group's distinct values); set False for
+    ``exact`` uses ``percentile`` over the value counts (each group's distinct values); set False for
     ``percentile_approx`` on columns with unbounded distinct values."""
-    x = F.col(column)
-    pct = (F.percentile(x, [0.25, 0.5, 0.75]) if exact
-           else F.percentile_approx(x, [0.25, 0.5, 0.75], 10000))
-    q = (featured.groupBy(by).agg(F.count(x).alias("n"), F.min(x).alias("min"),
-                                  F.max(x).alias("max"), pct.alias("_q"))
-         .select(by, "n", "min", "max", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3")))
-    fences = q.select(by, (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("_lf"),
-                      (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("_uf"))
-    # second pass: fences are one row per group -> broadcast after a size check
-    inner = (featured.join(broadcast_if_small(fences)[0], by)
+    counts = _value_counts(featured, column, by)
+    x = F.col("x")
+    at = [0.25, 0.5, 0.75]
+    if exact:
+        q = counts.groupBy(by).agg(F.sum("c").alias("n"), F.min(x).alias("min"), F.max(x).alias("max"),
+                                   F.percentile(x, at, F.col("c")).alias("_q"))
+    else:
+        q = featured.groupBy(by).agg(
+            F.count(column).alias("n"), F.min(column).alias("min"), F.max(column).alias("max"),
+            F.percentile_approx(F.col(column), at, 10000).alias("_q")).where("n > 0")
+    q = q.select(by, "n", "min", "max", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
+                 F.col("_q")[2].alias("q3"))
+    spread = 1.5 * (F.col("q3") - F.col("q1"))
+    fences = q.select(by, (F.col("q1") - spread).alias("_lf"), (F.col("q3") + spread).alias("_uf"))
+    inner = (counts.join(fences, by)
              .groupBy(by).agg(
                  F.min(F.when(x >= F.col("_lf"), x)).alias("lower_whisker"),
                  F.max(F.when(x <= F.col("_uf"), x)).alias("upper_whisker"),
-                 F.sum(F.when((x < F.col("_lf")) | (x > F.col("_uf")), 1).otherwise(0))
+                 F.sum(F.when((x < F.col("_lf")) | (x > F.col("_uf")), F.col("c")).otherwise(0))
                  .cast("bigint").alias("n_outliers")))
     return (q.join(inner, by)
             .select(by, "n", *[F.round(c, 4).alias(c) for c in

@@ -7,8 +7,8 @@ one stratum may hold most rows -- into a single task. ``hash_rank`` ranks in two
 1. count rows per (stratum, first ``prefix_len`` hex digits of the hash): a table of at
    most strata x 16**prefix_len rows, whose exclusive prefix sums are the offsets;
 2. ``row_number`` inside each (stratum, prefix) bucket plus the bucket's offset, joined
-   by broadcast (without strata the offset table has the structural bound 16**prefix_len;
-   with strata it is counted first and broadcast only below a row bound).
+   on those columns (broadcast without strata, where 16**prefix_len rows are the bound; otherwise
+   Spark picks the join from the sizes it measures).
 
 md5 is uniform, so buckets stay even however skewed the strata are. With ``limit`` the
 buckets that start beyond the limit are dropped before the window (top-n by hash).
@@ -21,8 +21,6 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnkit.session import broadcast_if_small
-
 DEFAULT_PREFIX = 4  # 65,536 buckets per stratum
 
 
@@ -43,8 +41,8 @@ def hash_rank(df: DataFrame, key: str, strata: list[str] | tuple = (), seed: int
                             (F.sum("_n").over(wb) - F.col("_n")).alias("_off"))
     if limit is not None:
         offsets = offsets.where(F.col("_off") < limit)
-    # at most strata x 16**prefix_len rows; without strata that bound is structural
-    side = F.broadcast(offsets) if not strata else broadcast_if_small(offsets)[0]
+    # without strata at most 16**prefix_len rows; with strata the join is left to Spark's size rules
+    side = offsets if strata else F.broadcast(offsets)
     ranked = h.join(side, [*strata, "_b"], "inner")
     w = Window.partitionBy(*strata, "_b").orderBy("_h", key)
     ranked = ranked.withColumn(out, (F.row_number().over(w) + F.col("_off")).cast("bigint"))

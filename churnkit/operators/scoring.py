@@ -81,10 +81,21 @@ def drivers_long(scored: DataFrame, feature_names: list[str], k: int = 5) -> Dat
 
 
 # -------------------------------------------------------------------- batch scoring
-def score_batch(scored: DataFrame, feature_names: list[str], k: int = 5) -> DataFrame:
-    """p to 4 places, prediction (p >= 0.5), tier on the unrounded p, top driver names."""
+def factor_records(feature_names: list[str], k: int = 5) -> Column:
+    """The row's top ``k`` factors (fewer, if it has fewer features) as
+    ARRAY<STRUCT<feature, value, shap_impact, direction>>, numbers to 4 places."""
+    return F.transform(ranked_drivers(feature_names, k), lambda d: F.struct(
+        d["feature"].alias("feature"), F.round(d["value"], 4).alias("value"),
+        F.round(d["shap_impact"], 4).alias("shap_impact"), d["direction"].alias("direction")))
+
+
+def score_batch(scored: DataFrame, feature_names: list[str], k: int = 5, records: bool = False) -> DataFrame:
+    """p to 4 places, prediction (p >= 0.5), tier on the unrounded p, top driver names.
+
+    ``records`` adds ``top_factors``, the up to ``k`` factor records of the row."""
     drivers = ranked_drivers(feature_names, k)
     return scored.select(
+        *([factor_records(feature_names, k).alias("top_factors")] if records else []),
         KEY,
         F.round(F.col("p"), 4).alias("churn_probability"),
         prediction(F.col("p")).alias("churn_prediction"),
@@ -123,9 +134,13 @@ def global_importance(scored: DataFrame, feature_names: list[str], top: int = 20
             .select("importance_rank", "feature", F.round("importance", 4).alias("importance")))
 
 
-def importance_spread(scored: DataFrame, feature_names: list[str], exact: bool = True) -> DataFrame:
+def importance_spread(scored: DataFrame, feature_names: list[str], exact: bool = True,
+                      top: int | None = None) -> DataFrame:
     """Bee-swarm as a table: impact quartiles per feature, split at the feature's mean value.
 
+    ``exact`` holds each group's distinct impacts: a scorecard has few, a fitted model one a row, so
+    those pass False (``percentile_approx``). ``top`` keeps the most important features only.
+
     One pass for the means (one row), one grouped percentile pass over (feature, half)."""
     n = len(feature_names)
     means = scored.agg(*[F.avg(F.col("attr_values")[i]).alias(f"v{i}") for i in range(n)]).first()
@@ -136,6 +151,9 @@ def importance_spread(scored: DataFrame, feature_names: list[str], exact: bool =
         names.alias("feature"), F.col("attr_values").alias("value"),
         F.col("attr_impacts").alias("impact"), mean_arr.alias("mean"))).alias("a"))
     half = F.when(F.col("a.value") > F.col("a.mean"), "high").otherwise("low")
+    if top is not None:
+        best = global_importance(scored, feature_names, top).select(F.col("feature").alias("_f"))
+        long = long.join(F.broadcast(best), F.col("a.feature") == F.col("_f"), "left_semi")   # <= top rows
     return (long.groupBy(F.col("a.feature").alias("feature"), half.alias("value_half"))
             .agg(F.count(F.lit(1)).alias("n"),
                  (F.percentile(F.col("a.impact"), [0.25, 0.5, 0.75]) if exact else

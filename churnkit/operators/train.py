@@ -56,8 +56,8 @@ GBT_WEIGHTED_GRID = {
 }
 MLP_GRID = {
     "hidden": [(128, 64), (256, 128, 64), (128, 64, 32), (64, 32)],
-    "stepSize": [0.001, 0.005, 0.01],
-    "blockSize": [32, 64, 128],
+    "maxIter": [100, 200, 500],       # L-BFGS has no step size: iterations and tolerance are what acts
+    "tol": [1e-6, 1e-4, 1e-3],
 }
 # Untuned configurations and search budgets.
 GBT_DEFAULT = {"maxIter": 300, "maxDepth": 5, "stepSize": 0.1}
@@ -66,7 +66,7 @@ MLP_DEFAULT = {"hidden": (128, 64, 32), "maxIter": 500}
 # Early stopping of the untuned network (validation share, chunk, patience).
 EARLY_STOP = {"validation_pct": 10, "chunk": 10, "patience": 3, "tol": 1e-4}
 SEARCH_BUDGET = {"gbt": 40, "gbt_weighted": 40, "mlp": 20}
-DISPLAY = {"gbt": "XGBoost", "gbt_weighted": "LightGBM", "mlp": "NeuralNetwork"}
+DISPLAY = {"gbt": "GradientBoosting", "gbt_weighted": "WeightedGradientBoosting", "mlp": "NeuralNetwork"}
 
 
 def draw_grid(grid: dict, n: int, seed: int = 42) -> list[dict]:
@@ -121,7 +121,7 @@ def _param_maps(est, points: list[dict], kind: str, n_features: int):
             net = pipe.getStages()[1]
             net_stage = est.getStages()[1]
             m = {net_stage.getParam(k): v for k, v in net.extractParamMap().items()
-                 if k.name in ("layers", "stepSize", "blockSize")}
+                 if k.name in ("layers", "maxIter", "tol")}
         else:
             p = dict(pt)
             w = p.pop("pos_weight", 1)

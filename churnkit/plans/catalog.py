@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnkit.operators import evaluate, offers, profile, revenue, sampling, scoring
-from churnkit.operators.features import FeatureModel, category_levels
+from churnkit.operators.features import FeatureModel, category_levels, churn_flag
 from churnkit.operators.validation import validate_records
 from churnkit.schema import KEY, LABEL, NUMERIC_FEATURES
 from churnkit.session import materialize
@@ -41,6 +41,14 @@ def _featured(spark, sf):
     return fm.engineer(fm.clean(raw))
 
 
+def _labelled(spark, sf):
+    """What the reports read: the raw columns with the binary label and the new-customer flag. No learned
+    statistic, no stage: each report prunes it to its own columns."""
+    raw = subscriber_raw(spark, sf)
+    return (raw.withColumn(LABEL, churn_flag(raw))
+            .withColumn("is_new_customer", (F.col("tenure") <= 6).cast("int")))
+
+
 def _scored(spark, sf):
     """Featured table scored by the fixed scorecard, with all drivers ranked."""
     scored = scoring.scorecard_score(_featured(spark, sf))
@@ -88,43 +96,43 @@ def q_request_validation(spark, sf):
 
 
 def q_kpi_summary(spark, sf):
-    return profile.kpi_summary(_featured(spark, sf))
+    return profile.kpi_summary(_labelled(spark, sf))
 
 
 def q_churn_by_contract(spark, sf):
-    return profile.churn_rate_by(_featured(spark, sf), "Contract")
+    return profile.churn_rate_by(_labelled(spark, sf), "Contract")
 
 
 def q_churn_by_internet(spark, sf):
-    return profile.churn_rate_by(_featured(spark, sf), "InternetService")
+    return profile.churn_rate_by(_labelled(spark, sf), "InternetService")
 
 
 def q_churn_by_payment(spark, sf):
-    return profile.churn_rate_by(_featured(spark, sf), "PaymentMethod")
+    return profile.churn_rate_by(_labelled(spark, sf), "PaymentMethod")
 
 
 def q_churn_segments_grouping_sets(spark, sf):
-    return profile.churn_segments(_featured(spark, sf))
+    return profile.churn_segments(_labelled(spark, sf))
 
 
 def q_churn_new_vs_rest(spark, sf):
-    return profile.churn_new_vs_rest(_featured(spark, sf))
+    return profile.churn_new_vs_rest(_labelled(spark, sf))
 
 
 def q_churn_counts(spark, sf):
-    return profile.churn_counts(_featured(spark, sf))
+    return profile.churn_counts(_labelled(spark, sf))
 
 
 def q_hist_tenure(spark, sf):
-    return profile.histogram(_featured(spark, sf), "tenure", 30)
+    return profile.histogram(_labelled(spark, sf), "tenure", 30)
 
 
 def q_hist_monthly(spark, sf):
-    return profile.histogram(_featured(spark, sf), "MonthlyCharges", 30)
+    return profile.histogram(_labelled(spark, sf), "MonthlyCharges", 30)
 
 
 def q_box_monthly(spark, sf):
-    return profile.box_stats(_featured(spark, sf), "MonthlyCharges")
+    return profile.box_stats(_labelled(spark, sf), "MonthlyCharges")
 
 
 def q_correlation_matrix(spark, sf):

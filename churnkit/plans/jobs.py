@@ -2,8 +2,8 @@
 
 These run Spark ML fits or a stream, so DuckDB cannot replay them; pytest checks their
 properties instead (additivity against brute force, stream = batch, metrics = evaluators).
-Fitted models are memoised per (session, input folder) inside the driver process so the
-attribution queries do not refit the same model.
+The models last fitted are kept with the state of the files they were fitted on, so the attribution
+queries do not refit them and a changed folder does.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnkit.functions.expr import logistic
 from churnkit.operators import attribution, sampling, scoring, train
 from churnkit.operators.features import FeatureModel
 from churnkit.schema import KEY, LABEL
@@ -21,39 +22,53 @@ from churnkit.sources.fixture import subscriber_raw
 from churnkit.sources.requests import requests_from_subscribers
 from churnkit.streaming.scoring import score_stream
 
-_CACHE: dict = {}
+PROFILE_TEXTS = ("Contract", "InternetService")
+
+_FITTED: dict = {}   # one entry: the models of the folder state last trained on
+
+
+def folder_state(spark: SparkSession, sf: str) -> tuple:
+    """(path, length, modification time) of every file of the tables that training reads."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .load([f"{sf}/{t}.parquet" for t in ("customer", "orders", "events")])
+             .select("path", "length", F.col("modificationTime").cast("double").alias("at")))
+    return tuple(sorted(tuple(r) for r in files.collect()))
+
+
+def _state(spark: SparkSession, sf: str) -> dict:
+    """Models and inputs for the folder as it is now; those of another folder or state are dropped."""
+    key = (spark.sparkContext.applicationId, sf, folder_state(spark, sf))
+    if key not in _FITTED:
+        _FITTED.clear()
+        _FITTED[key] = {}
+    return _FITTED[key]
 
 
 def training_inputs(spark: SparkSession, sf: str):
-    """(feature model, encoded, split, train, test) for one input folder (memoised)."""
-    key = (spark.sparkContext.applicationId, sf, "inputs")
-    if key not in _CACHE:
+    """(feature model, encoded, split, train, test) for one input folder. The encoded rows carry the two
+    profile texts that encoding would drop, so that scored rows need no join back to their profile."""
+    state = _state(spark, sf)
+    if "inputs" not in state:
         raw = materialize(subscriber_raw(spark, sf))
         fm = FeatureModel.fit(raw)
-        encoded = fm.transform(raw)
+        encoded = fm.transform(raw.withColumns({f"_{c}": F.col(c) for c in PROFILE_TEXTS}))
         split = sampling.stratified_split(encoded.select(KEY, LABEL), KEY, LABEL, 20, 42, 3)
         tr, te = train.prepare_training(fm.assemble(encoded), split)
-        _CACHE[key] = (fm, encoded, split, tr, te)
-    return _CACHE[key]
+        state["inputs"] = (fm, encoded, split, tr, materialize(te, "test"))
+    return state["inputs"]
 
 
 def fitted(spark: SparkSession, sf: str, kind: str):
-    key = (spark.sparkContext.applicationId, sf, kind)
-    if key not in _CACHE:
-        fm, _, _, tr, _ = training_inputs(spark, sf)
-        _CACHE[key] = train.fit_model(kind, tr, len(fm.feature_names))
-    return _CACHE[key]
+    return fitted_all(spark, sf, (kind,))[kind]
 
 
 def fitted_all(spark: SparkSession, sf: str, kinds) -> dict:
-    """Fit the missing families concurrently (driver threads), memoised like ``fitted``."""
+    """The families asked for; those not fitted yet are fitted concurrently (driver threads)."""
     fm, _, _, tr, _ = training_inputs(spark, sf)
-    missing = [k for k in kinds if (spark.sparkContext.applicationId, sf, k) not in _CACHE]
-    got = train.fit_concurrently({k: (lambda k=k: train.fit_model(k, tr, len(fm.feature_names)))
-                                  for k in missing})
-    for k, m in got.items():
-        _CACHE[(spark.sparkContext.applicationId, sf, k)] = m
-    return {k: fitted(spark, sf, k) for k in kinds}
+    state = _state(spark, sf)
+    state.update(train.fit_concurrently({k: (lambda k=k: train.fit_model(k, tr, len(fm.feature_names)))
+                                         for k in kinds if k not in state}))
+    return {k: state[k] for k in kinds}
 
 
 def q_train_compare(spark, sf) -> DataFrame:
@@ -85,17 +100,17 @@ def q_tree_importance(spark, sf) -> DataFrame:
 
 
 def q_tree_importance_spread(spark, sf) -> DataFrame:
-    """L6 on the boosted model: TreeSHAP quartiles per feature, split by high / low value."""
+    """L6 on the boosted model: TreeSHAP quartiles of the top 20 features, split by high / low value."""
     fm, _, _, _, te = training_inputs(spark, sf)
-    expl = attribution.tree_shap(fitted(spark, sf, "gbt"), te)
-    return scoring.importance_spread(expl, fm.feature_names)
+    expl = materialize(attribution.tree_shap(fitted(spark, sf, "gbt"), te), "attributions")   # read thrice
+    return scoring.importance_spread(expl, fm.feature_names, exact=False, top=20)
 
 
 def q_sampled_attribution(spark, sf) -> DataFrame:
-    """Monte-Carlo Shapley of the network on a bounded sample (<= 200) of test rows."""
+    """Monte-Carlo Shapley of the network for every test row, against a background of <= 200 of them."""
     fm, _, _, _, te = training_inputs(spark, sf)
-    sample = sampling.bounded_sample(te, KEY, 200).select(KEY, "features")
-    expl = attribution.sampled_shapley(fitted(spark, sf, "mlp"), sample, sample,
+    background = materialize(sampling.bounded_sample(te.select(KEY, "features"), KEY, 200), "background")
+    expl = attribution.sampled_shapley(fitted(spark, sf, "mlp"), te.select(KEY, "features"), background,
                                        len(fm.feature_names), permutations=8)
     return scoring.drivers_long(expl, fm.feature_names, 5)
 
@@ -111,33 +126,29 @@ def q_stream_scoring(spark, sf) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
-def _model_explained(spark, sf):
-    """All customers scored by the boosted model with TreeSHAP drivers (wide, per row)."""
+def _model_explained(spark, sf, keep=()):
+    """All customers with their TreeSHAP drivers (wide, per row); p from the same pass, whose margin is
+    the model's log-odds."""
     fm, encoded, _, _, _ = training_inputs(spark, sf)
-    model = fitted(spark, sf, "gbt")
-    assembled = fm.assemble(encoded)
-    expl = attribution.tree_shap(model, assembled)
-    probs = train.positive_probability(model, assembled).select(KEY, "p")
-    # Scores and attributions come from two jobs over the same rows -> equi-join on the key
-    return expl.join(probs, KEY)
+    expl = attribution.tree_shap(fitted(spark, sf, "gbt"), fm.assemble(encoded), keep=list(keep))
+    return expl.withColumn("p", logistic(F.col("margin")))
 
 
 def q_model_score_batch(spark, sf) -> DataFrame:
-    """Batch scoring with the trained model: p, prediction, tier, top-3 factors."""
+    """Batch scoring with the trained model: p, prediction, tier, up to 5 factor records."""
     fm, _, _, _, _ = training_inputs(spark, sf)
-    return scoring.score_batch(_model_explained(spark, sf), fm.feature_names)
+    return scoring.score_batch(_model_explained(spark, sf), fm.feature_names, records=True)
 
 
 def q_model_retention_messages(spark, sf) -> DataFrame:
-    """Messages for p > 0.4 with the model's own drivers joined to the profiles."""
+    """Messages for p > 0.4 with the model's own drivers and the profile carried along."""
     from churnkit.operators import offers
 
     fm, _, _, _, _ = training_inputs(spark, sf)
-    raw = subscriber_raw(spark, sf)
-    profiles = raw.select(KEY, "tenure", "MonthlyCharges", "Contract", "InternetService")
-    scored = (_model_explained(spark, sf)
+    carried = [f"_{c}" for c in PROFILE_TEXTS]
+    scored = (_model_explained(spark, sf, ["tenure", "MonthlyCharges", *carried])
               .withColumn("drivers", scoring.ranked_drivers(fm.feature_names, 5))
-              .join(profiles, KEY))
+              .withColumnsRenamed({f"_{c}": c for c in PROFILE_TEXTS}))
     return offers.retention_messages(scored)
 
 
@@ -156,9 +167,9 @@ def q_model_metadata(spark, sf) -> DataFrame:
 def q_best_per_metric(spark, sf) -> DataFrame:
     """AG20 / E4: unpivot the comparison and take the best model per metric."""
     comp = q_train_compare(spark, sf)
-    order = {train.DISPLAY[k]: i for i, k in enumerate(("gbt", "gbt_weighted", "mlp"))}
-    pos = F.when(F.col("model") == "XGBoost", order["XGBoost"]).when(
-        F.col("model") == "LightGBM", order["LightGBM"]).otherwise(order["NeuralNetwork"])
+    pos = F.lit(2)
+    for i, kind in enumerate(("gbt", "gbt_weighted")):
+        pos = F.when(F.col("model") == train.DISPLAY[kind], i).otherwise(pos)
     return train.best_per_metric(comp.withColumn("position", pos))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from churnkit.operators import attribution, revenue, sampling, scoring, train
 from churnkit.operators.features import FeatureModel
 from churnkit.schema import KEY, LABEL
+from churnkit.session import materialize
 from churnkit.sources import io
 
 
@@ -64,8 +65,10 @@ def run_analysis(spark: SparkSession, model, feature_model: FeatureModel, split_
     if kind in ("gbt", "gbt_weighted"):
         expl = attribution.tree_shap(model, assembled)
     else:
-        sample = sampling.bounded_sample(assembled.select(KEY, "features"), KEY, 200)
-        expl = attribution.sampled_shapley(model, sample, sample, len(feature_model.feature_names))
+        rows = assembled.select(KEY, "features")
+        background = materialize(sampling.bounded_sample(rows, KEY, 200), "background")
+        expl = attribution.sampled_shapley(model, rows, background, len(feature_model.feature_names))
+    expl = materialize(expl, "attributions")
     io.write_attributions(scoring.attributions_long(expl, feature_model.feature_names),
                           f"{out_dir}/attributions")
     top = scoring.global_importance(expl, feature_model.feature_names, 20)

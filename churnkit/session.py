@@ -55,12 +55,17 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's checkpoint folder; create a scratch one only when unset (tests)."""
+    """Use the cluster's checkpoint folder; without one, a scratch folder on a local master only.
+
+    Executors of a cluster share no local folder, so an unset setting is an error there."""
     current = checkpoint_dir(spark)
     if current:
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder shared by driver and executors")
     scratch = tempfile.mkdtemp(prefix="churnkit-ckpt-")
     spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)
@@ -82,23 +87,6 @@ def materialize(df, name: str = "stage"):
     return df.sparkSession.read.schema(df.schema).parquet(path)   # known schema: no footer job
 
 
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def broadcast_if_small(df, max_rows: int = BROADCAST_MAX_ROWS):
-    """Broadcast a derived (aggregated) table only after counting it; beyond the bound the
-    plain DataFrame is returned and Spark plans a shuffle join. The table is cached so the
-    count and the join read it once."""
-    from pyspark.sql import functions as F
-
-    cached = df.cache()
-    n = cached.count()
-    if n <= max_rows:
-        return F.broadcast(cached), n      # bounded: stays cached for the join(s) reading it
-    cached.unpersist()
-    return df, n
-
-
 def stage_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

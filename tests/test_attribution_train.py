@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from churnkit.operators.sampling import bounded_sample
 from churnkit.operators import attribution as A
 from churnkit.operators import train
 
@@ -47,7 +48,8 @@ def test_sampled_shapley_additive_and_linear(spark):
     df = _toy(spark, n=60, d=3, seed=2)
     lr = LogisticRegression(maxIter=20).fit(df)
     ex = df.limit(5)
-    out = A.sampled_shapley(lr, ex, df.limit(20), 3, permutations=6).collect()
+    background = bounded_sample(df.select("customerID", "features"), "customerID", 20)
+    out = A.sampled_shapley(lr, ex, background, 3, permutations=6).collect()
     probs = {r[0]: r[1] for r in lr.transform(ex).select("customerID", vector_to_array("probability")[1]).collect()}
     for r in out:
         # efficiency: sum of impacts + mean background score = f(x) exactly
@@ -68,7 +70,7 @@ def test_small_search_runs(spark, raw, fm):
     split = sampling.stratified_split(enc.select("customerID", "Churn"), "customerID", "Churn")
     tr, te = train.prepare_training(fm.assemble(enc), split)
     model = train.fit_model("gbt", tr, 45, tune=True, budget=2, overrides={"maxIter": 3})
-    row = train.evaluate_model("XGBoost", model, te).first()
+    row = train.evaluate_model("GradientBoosting", model, te).first()
     assert 0.0 <= row["roc_auc"] <= 1.0
     comp = spark.createDataFrame([("A", 0.7, 0.5, 0.6, 0.55, 0.8, 0), ("B", 0.8, 0.4, 0.7, 0.5, 0.8, 1)],
                                  "model string, accuracy double, precision double, recall double, f1 double, "

@@ -1,33 +1,75 @@
-"""Size guards: what is collected, windowed in one task or broadcast has a checked bound."""
+"""No cap on levels or explained rows, no machine-local folder on a cluster, no stale model."""
+
+import shutil
 
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from churnkit.operators.attribution import sampled_shapley
 from churnkit.operators.features import FeatureModel, category_levels
-from churnkit.session import broadcast_if_small
+from churnkit.operators.sampling import bounded_sample
+from churnkit.operators.scoring import factor_records
+from churnkit.plans.jobs import folder_state
+from churnkit.session import ensure_checkpoint_dir
+
+
+def test_fifty_thousand_levels(spark, raw):
+    row = raw.limit(1)
+    wide = (spark.range(50_000).crossJoin(row.drop("PaymentMethod"))
+            .withColumn("PaymentMethod", F.format_string("m%05d", F.col("id"))).drop("id"))
+    got = category_levels(wide).where("column_name = 'PaymentMethod'").orderBy("level_index").collect()
+    assert [(r["category"], r["level_index"]) for r in got] == [(f"m{i:05d}", i) for i in range(50_000)]
+    assert len(FeatureModel.fit(wide).categories["PaymentMethod"]) == 50_000
+
+
+def test_category_levels_of_an_empty_table(raw):
+    assert {r["column_name"] for r in category_levels(raw.limit(0)).collect()} == {"tenure_group"}
+
+
+def test_every_row_is_explained(spark):
+    df = spark.createDataFrame([(f"c{i}", Vectors.dense([float(i % 7), float(i % 5)]), float(i % 2))
+                                for i in range(450)], ["customerID", "features", "label"])
+    model = LogisticRegression(maxIter=5).fit(df)
+    rows = df.select("customerID", "features")
+    background = bounded_sample(rows, "customerID", 20)
+    got = sampled_shapley(model, rows, background, 2, permutations=3)
+    assert got.count() == 450 and got.select("customerID").distinct().count() == 450
+    assert sampled_shapley(model, rows, background.limit(0), 2).count() == 0
+
+
+def test_factor_records_hold_every_field(spark):
+    df = spark.createDataFrame([([1.0, 2.0, 3.0], [0.1, -0.5, 0.00004])], "attr_values array<double>, attr_impacts array<double>")
+    got = df.select(factor_records(["a", "b", "c"], 5).alias("r")).first()["r"]
+    assert [tuple(x) for x in got] == [("b", 2.0, -0.5, "decreases"), ("a", 1.0, 0.1, "increases"), ("c", 3.0, 0.0, "increases")]
+
 
+def test_unset_checkpoint_dir_is_an_error_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
 
-def test_fit_rejects_unbounded_levels(raw):
-    wide = raw.withColumn("PaymentMethod", F.col("customerID"))   # one level per row
-    with pytest.raises(ValueError, match="levels"):
-        FeatureModel.fit(wide, max_levels=50)
-    with pytest.raises(ValueError, match="levels"):
-        category_levels(wide, max_levels=50).collect()
+        def getCheckpointDir(self):
+            return None
 
+    class Session:
+        sparkContext = Context()
 
-def test_broadcast_only_below_bound(spark):
-    small = spark.range(10)
-    side, n = broadcast_if_small(small, 100)
-    assert n == 10 and "ResolvedHint" in side._jdf.queryExecution().analyzed().toString()
-    side, n = broadcast_if_small(spark.range(1000), 100)
-    assert n == 1000 and "ResolvedHint" not in side._jdf.queryExecution().analyzed().toString()
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
 
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
 
-def test_shapley_background_must_be_a_sample(spark, monkeypatch):
-    from churnkit.operators import attribution as A
 
-    monkeypatch.setattr(A, "MAX_BACKGROUND", 5)
-    df = spark.createDataFrame([(f"c{i}", Vectors.dense([float(i)])) for i in range(10)], ["customerID", "features"])
-    with pytest.raises(ValueError, match="bounded sample"):
-        A.sampled_shapley(None, df, df, 1)
+def test_changed_folder_is_seen(spark, tmp_path):
+    for name in ("customer", "orders", "events"):
+        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", tmp_path / f"{name}.parquet")
+    before = folder_state(spark, str(tmp_path))
+    assert before == folder_state(spark, str(tmp_path)) and len(before) == 3
+    spark.range(3).write.parquet(str(tmp_path / "more"))
+    part = next((tmp_path / "more").glob("part-*.parquet"))
+    shutil.copy(part, tmp_path / "customer.parquet")
+    assert folder_state(spark, str(tmp_path)) != before

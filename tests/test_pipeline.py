@@ -17,7 +17,7 @@ def test_pipeline_end_to_end(spark, raw, tmp_path):
     feats = pipeline.build_pipeline(raw, f"{out}/stages")
     res = pipeline.run_training(spark, feats.paths["encoded"], feats.model, out, overrides=SMALL)
     comp = io.read_comparison(spark, f"{out}/comparison")
-    assert sorted(r["model"] for r in comp.collect()) == ["LightGBM", "NeuralNetwork", "XGBoost"]
+    assert sorted(r["model"] for r in comp.collect()) == ["GradientBoosting", "NeuralNetwork", "WeightedGradientBoosting"]
     meta = io.read_json_report(spark, f"{out}/metadata", io.METADATA_SCHEMA).first()
     assert meta["n_features"] == 45 and meta["n_train"] + meta["n_test"] == raw.count()
     assert meta["best_model"] == train.DISPLAY[res.best]
