@@ -16,7 +16,8 @@ A character without a piece becomes its UTF-8 bytes (byte fallback) or the unkno
 routine in the task that meets them, with the same result.
 
 Texts meet their words again in blocks: a block is a range of ids with a bounded number of characters. The distinct
-words of each block travel to the lattice and back as packed lists, and the texts travel once, compressed.
+words of each block travel to the lattice as packed lists, their ids come back in the same order, and the texts travel once,
+compressed.
 
 The normaliser is the model's identity one: a space is written as U+2581 and one is put in front. Null or empty text:
 no ids. Null ids: a block of their own, split by a hash of the text like any overfull range. Repeated rows are encoded each.
@@ -344,37 +345,40 @@ def _buckets(units: pa.Array, buckets: int) -> np.ndarray:
     return np.add.reduceat(mixed, (offsets[:-1] - offsets[0]).astype(np.int64)) % np.uint32(buckets)
 
 
-def _words_of(model: Model, buckets: int, flush: int):
-    """Distinct units of each block that the lattice takes, packed: (bucket, block, units joined by a line feed)."""
-    def rows(block: int, found: list[pa.Array]) -> pa.RecordBatch:
-        units = pc.unique(pa.concat_arrays(found))
-        units = units.take(pc.sort_indices(units))
-        at = _buckets(units, buckets) if len(units) else np.zeros(0, np.uint32)
-        order = np.argsort(at, kind="stable")
-        held, counts = np.unique(at, return_counts=True)
-        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), units.take(pa.array(order)))
-        return pa.RecordBatch.from_arrays([pa.array(held.astype(np.int32)), pa.array(np.full(len(held), block, np.int64)),
-                                           pc.binary_join(lists, "\n")], names=["bucket", "block", "words"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        unpack, found, held = zstandard.ZstdDecompressor().decompress, {}, 0
-        for b in batches:
-            for block, payload in zip(b.column(0).to_pylist(), b.column(1)):
-                texts = pa.ipc.open_stream(unpack(payload.as_py())).read_all()
-                units = pc.unique(_flat_units(model, texts.column(texts.num_columns - 1).combine_chunks())[0])
-                size = pc.utf8_length(units)
-                units = units.filter(pc.and_(pc.greater_equal(size, 2), pc.less_equal(size, MAX_WORD)))
-                found.setdefault(block, []).append(units)
-                held += len(units)
-                if held > flush:
-                    for k, v in found.items():
-                        yield rows(k, v)
-                    found, held = {}, 0
-        for k, v in found.items():
-            yield rows(k, v)
+def _dealt(found: list[pa.Array], buckets: int) -> tuple[np.ndarray, pa.ListArray]:
+    """The buckets that the distinct units fall in, and the units of each, sorted. Both ends of the lattice rely on this order."""
+    units = pc.unique(pa.concat_arrays([pa.array([], pa.string()), *found]))
+    size = pc.utf8_length(units)
+    units = units.filter(pc.and_(pc.greater_equal(size, 2), pc.less_equal(size, MAX_WORD)))
+    units = units.take(pc.sort_indices(units))
+    at = _buckets(units, buckets) if len(units) else np.zeros(0, np.uint32)
+    held, counts = np.unique(at, return_counts=True)
+    units = units.take(pa.array(np.argsort(at, kind="stable")))
+    return held, pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), units)
+
+
+def _frames(payloads: pa.ChunkedArray, rows: int = 512) -> Iterator[pa.Table]:
+    """The texts of a block; scattered ones come in many small frames, which are joined."""
+    import zstandard
+
+    unpack, held = zstandard.ZstdDecompressor().decompress, []
+    for payload in payloads:
+        held.append(pa.ipc.open_stream(unpack(payload.as_py())).read_all())
+        if sum(h.num_rows for h in held) >= rows:
+            yield pa.concat_tables(held).combine_chunks()
+            held = []
+    if held:
+        yield pa.concat_tables(held).combine_chunks()
+
+
+def _words_of(model: Model, buckets: int):
+    """Distinct units of a block that the lattice takes, packed: (bucket, block, units joined by a line feed)."""
+    def run(key: tuple, texts: pa.Table) -> pa.Table:
+        found = [pc.unique(_flat_units(model, f.column(f.num_columns - 1).combine_chunks())[0]) for f in _frames(texts.column("payload"))]
+        held, lists = _dealt(found, buckets)
         _give_back()
+        return pa.table([pa.array(held.astype(np.int32)), pa.array(np.full(len(held), key[0].as_py(), np.int64)),
+                         pc.binary_join(lists, "\n")], names=["bucket", "block", "words"])
 
     return run
 
@@ -410,7 +414,9 @@ class _Table:
 
 
 def _answers(model: Model, dtype: str):
-    """For a bucket: each block's units again, with their ids and numbers of ids, packed and compressed."""
+    """For a bucket: the ids of each block's units and their numbers, in the order of the units, compressed.
+
+    The units themselves do not travel back: the block knows them."""
     def run(key: tuple, asked: pa.Table, known: pa.Table) -> pa.Table:
         import zstandard
 
@@ -426,17 +432,17 @@ def _answers(model: Model, dtype: str):
         for block, words in zip(asked.column("block").to_pylist(), asked.column("words").to_pylist()):
             units = pa.array(words.split("\n"), pa.string())
             got, counts = table.gather(table.find(units, list))      # no edge at all: every character stands alone
-            out.append((block, pack(words.encode()), pack(got.tobytes()), pack(counts.astype("<u2").tobytes())))
+            out.append((block, key[0].as_py(), pack(got.tobytes()), pack(counts.astype("<u2").tobytes())))
         cols = list(zip(*out)) or [()] * 4
         _give_back()
-        return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), *[pa.binary()] * 3))],
-                        names=["block", "words", "ids", "counts"])
+        return pa.table([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
+                        names=["block", "bucket", "ids", "counts"])
 
     return run
 
 
-def _encode(model: Model, dtype: str, names: list[str]):
-    """Texts of a block from its units' ids."""
+def _encode(model: Model, dtype: str, buckets: int, names: list[str]):
+    """Texts of a block from its units' ids. A text is held only while its units are taken."""
     import xxhash
 
     def hash_of(text: pa.Scalar) -> int:
@@ -447,29 +453,29 @@ def _encode(model: Model, dtype: str, names: list[str]):
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
-        words, ids, counts = ([unpack(x.as_py()) for x in answers.column(c)] for c in ("words", "ids", "counts"))
-        units = pc.split_pattern(pa.array([w.decode() for w in words], pa.string()), "\n").flatten()
-        table = _Table(model, units, np.frombuffer(b"".join(ids), dtype), np.frombuffer(b"".join(counts), "<u2").astype(np.int64))
-        def frames() -> Iterator[pa.Table]:                      # scattered texts come in many small frames
-            held: list[pa.Table] = []
-            for payload in texts.column("payload"):
-                held.append(pa.ipc.open_stream(unpack(payload.as_py())).read_all())
-                if sum(h.num_rows for h in held) >= 512:
-                    yield pa.concat_tables(held).combine_chunks()
-                    held = []
-            if held:
-                yield pa.concat_tables(held).combine_chunks()
-
-        outs = []
-        for batch in frames():
+        rows: list[tuple] = []
+        for batch in _frames(texts.column("payload")):
             body = batch.column(batch.num_columns - 1).combine_chunks()
             flat, in_text = _flat_units(model, body)
-            got, in_unit = table.gather(table.find(flat, model.parts))
-            ends = np.r_[0, np.cumsum(in_unit)][np.r_[0, np.cumsum(in_text)]]
-            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(got.astype("<i4"), pa.int32()))
             hashes = np.array([hash_of(t) for t in body], np.uint64).view(np.int64)
-            outs.append(pa.table([*(batch.column(i) for i in range(batch.num_columns - 1)), lists,
-                                  pa.array(np.diff(ends).astype(np.int64)), pa.array(hashes)], names=names))
+            rows.append((batch.columns[:-1], flat.dictionary_encode(), in_text, hashes))
+
+        held, lists = _dealt([coded.dictionary for _, coded, _, _ in rows], buckets)
+        order = pc.sort_indices(answers.column("bucket").combine_chunks())
+        answers = answers.take(order)
+        counts = [np.frombuffer(unpack(x.as_py()), "<u2").astype(np.int64) for x in answers.column("counts")]
+        if answers.column("bucket").to_pylist() != held.tolist() or [len(c) for c in counts] != pc.list_value_length(lists).to_pylist():
+            raise RuntimeError("the answers do not match the units of their block")
+        ids = np.frombuffer(b"".join(unpack(x.as_py()) for x in answers.column("ids")), dtype)
+        table = _Table(model, lists.flatten(), ids, np.concatenate([np.zeros(0, np.int64), *counts]))
+
+        outs = []
+        for kept, coded, in_text, hashes in rows:
+            at = table.find(coded.dictionary, model.parts)[coded.indices.to_numpy()]
+            got, in_unit = table.gather(at)
+            ends = np.r_[0, np.cumsum(in_unit)][np.r_[0, np.cumsum(in_text)]]
+            made = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(got.astype("<i4"), pa.int32()))
+            outs.append(pa.table([*kept, made, pa.array(np.diff(ends).astype(np.int64)), pa.array(hashes)], names=names))
         _give_back()
         return pa.concat_tables(outs)
 
@@ -508,18 +514,18 @@ def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id
 
     # one shuffle brings the texts of a block together, however they were laid out; its words are taken there
     packed = blocked.mapInArrow(pack, "block long, payload binary").repartition("block")
-    asked = packed.mapInArrow(_words_of(model, buckets, 2_000_000), "bucket int, block long, words string").repartition("bucket")
+    asked = packed.groupBy("block").applyInArrow(_words_of(model, buckets), "bucket int, block long, words string").repartition("bucket")
     # the block is asked for only so that both readers of ``asked`` need the same columns and share its shuffle
     words = (asked.select("bucket", "block", F.explode(F.split("words", "\n")).alias("word"))
              .groupBy("bucket", "word").agg(F.min("block").alias("block")).where(F.col("block").isNotNull())
              .select(F.xxhash64("word").alias("h"), "bucket", "word"))          # h first: the grouping sorts by a number
     known = segment(words, model, ["h", "bucket", "word"]).select(F.col("bucket").alias("b"), "word", "cuts")
     answers = asked.groupBy("bucket").cogroup(known.groupBy("b")).applyInArrow(
-        _answers(model, dtype), "block long, words binary, ids binary, counts binary").withColumnRenamed("block", "in_block")
+        _answers(model, dtype), "block long, bucket int, ids binary, counts binary").withColumnRenamed("block", "in_block")
 
     out = T.StructType([f for c in keep for f in payload if f.name == c] + [
         T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("text_hash", T.LongType())])
-    return packed.groupBy("block").cogroup(answers.groupBy("in_block")).applyInArrow(_encode(model, dtype, out.names), out)
+    return packed.groupBy("block").cogroup(answers.groupBy("in_block")).applyInArrow(_encode(model, dtype, buckets, out.names), out)
 
 
 def decode(ids: Column, model: Model) -> Column:
