@@ -193,6 +193,10 @@ def q_retention_messages(spark, sf):
     return offers.retention_messages(_scored(spark, sf))
 
 
+def q_retention_response(spark, sf):
+    return offers.retention_response(_scored(spark, sf))
+
+
 def q_offer_mix(spark, sf):
     return offers.offer_mix(_scored(spark, sf))
 
@@ -257,6 +261,7 @@ QUERIES: dict[str, Query] = {
     "global_importance": q_global_importance,
     "importance_spread": q_importance_spread,
     "retention_messages": q_retention_messages,
+    "retention_response": q_retention_response,
     "offer_mix": q_offer_mix,
     "class_metrics": q_class_metrics,
     "roc_auc": q_roc_auc,

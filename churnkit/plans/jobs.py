@@ -1,6 +1,6 @@
-"""Rows-only registered queries: model training, attribution and stream scoring.
+"""Registered queries that run Spark ML fits or a stream: model training, attribution and stream scoring.
 
-These run Spark ML fits or a stream, so DuckDB cannot replay them; pytest checks their
+DuckDB replays the streams' results; it cannot replay the fits, so pytest checks their
 properties instead (additivity against brute force, stream = batch, metrics = evaluators).
 The models last fitted are kept with the state of the files they were fitted on, so the attribution
 queries do not refit them and a changed folder does.
@@ -20,7 +20,7 @@ from churnkit.schema import KEY, LABEL
 from churnkit.session import materialize, stage_path
 from churnkit.sources.fixture import subscriber_raw
 from churnkit.sources.requests import requests_from_subscribers
-from churnkit.streaming.scoring import score_stream
+from churnkit.streaming.scoring import score_stream, score_stream_with_quarantine
 
 PROFILE_TEXTS = ("Contract", "InternetService")
 
@@ -115,17 +115,39 @@ def q_sampled_attribution(spark, sf) -> DataFrame:
     return scoring.drivers_long(expl, fm.feature_names, 5)
 
 
-def q_stream_scoring(spark, sf) -> DataFrame:
-    """Requests written as JSON files, scored by a file stream (availableNow), read back."""
+def _request_files(spark, sf) -> tuple[str, FeatureModel]:
+    """A folder with JSON requests in ``in``, and the features' model.
+
+    Some of the table's requests are broken, by the first hex digit of md5(customerID): 0 cut off, 1 tenure is text,
+    2 unknown contract, 3 charge out of range, 4 no customerID."""
     raw = materialize(subscriber_raw(spark, sf))
-    fm = FeatureModel.fit(raw)
     base = stage_path(spark, f"stream-{uuid.uuid4().hex}")
-    requests_from_subscribers(raw).write.mode("overwrite").json(f"{base}/in")
-    q = score_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", fm)
-    q.awaitTermination()
+    requests = requests_from_subscribers(raw)
+    kind = F.substring(F.md5(F.col(KEY)), 1, 1)
+    changed = {"Contract": F.when(kind == "2", "Weekly").otherwise(F.col("Contract")),
+               "MonthlyCharges": F.when(kind == "3", 500.0).otherwise(F.col("MonthlyCharges")),
+               KEY: F.when(kind != "4", F.col(KEY))}
+    line = F.to_json(F.struct(*[changed.get(c, F.col(c)).alias(c) for c in requests.columns]))
+    line = F.when(kind == "0", F.substring(line, 1, 60)).when(
+        kind == "1", F.regexp_replace(line, r'"tenure":-?\d+', '"tenure":"unknown"')).otherwise(line)
+    requests.select(line.alias("value")).write.mode("overwrite").text(f"{base}/in")
+    return base, FeatureModel.fit(raw)
+
+
+def q_stream_scoring(spark, sf) -> DataFrame:
+    """K1: JSON request files, broken ones among them, scored by a file stream (availableNow), read back."""
+    base, fm = _request_files(spark, sf)
+    score_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", fm, fmt="json").awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
 
+def q_stream_quarantine(spark, sf) -> DataFrame:
+    """K2: the requests the stream puts aside, with their errors."""
+    base, fm = _request_files(spark, sf)
+    score_stream_with_quarantine(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", fm).awaitTermination()
+    return spark.read.parquet(f"{base}/out/quarantine").select(KEY, "error")
+
+
 def _model_explained(spark, sf, keep=()):
     """All customers with their TreeSHAP drivers (wide, per row); p from the same pass, whose margin is
     the model's log-odds."""
@@ -180,6 +202,7 @@ JOB_QUERIES = {
     "tree_importance_spread": q_tree_importance_spread,
     "sampled_attribution": q_sampled_attribution,
     "stream_scoring": q_stream_scoring,
+    "stream_quarantine": q_stream_quarantine,
     "model_score_batch": q_model_score_batch,
     "model_retention_messages": q_model_retention_messages,
     "model_metadata": q_model_metadata,

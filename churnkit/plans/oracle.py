@@ -307,7 +307,8 @@ _DOMAINS_SQL = [
 ]
 
 
-def _validation() -> str:
+def _conditions(typed: bool = False) -> list[tuple[str, str]]:
+    """(rule, violated?) over raw records, or over typed requests, whose TotalCharges is a number already."""
     conds = []
     for c, vals in _DOMAINS_SQL:
         lst = ", ".join(f"'{v}'" for v in vals)
@@ -315,9 +316,15 @@ def _validation() -> str:
     tcn = f"(CASE WHEN isnan({_REQ_TC}) THEN NULL ELSE {_REQ_TC} END)"
     for c, lo, hi in [("SeniorCitizen", 0, 1), ("tenure", 0, 72), ("MonthlyCharges", 18.0, 120.0)]:
         conds.append((f"{c}_out_of_range", f"{c} IS NOT NULL AND ({c} < {lo} OR {c} > {hi})"))
-    conds.insert(len(conds), ("TotalCharges_not_numeric", f"TotalCharges IS NOT NULL AND {tcn} IS NULL"))
+    if not typed:
+        conds.append(("TotalCharges_not_numeric", f"TotalCharges IS NOT NULL AND {tcn} IS NULL"))
     conds.append(("TotalCharges_out_of_range", f"{tcn} IS NOT NULL AND ({tcn} < 0.0 OR {tcn} > 9000.0)"))
     # Spark orders range rules as in RANGES: SeniorCitizen, tenure, MonthlyCharges, TotalCharges
+    return conds
+
+
+def _validation() -> str:
+    conds = _conditions()
     names = ", ".join(f"CASE WHEN {cond} THEN '{n}' END" for n, cond in conds)
     count = " + ".join(f"CASE WHEN {cond} THEN 1 ELSE 0 END" for n, cond in conds)
     return (f"{with_ctes(RAW)}\nSELECT customerID, CAST({count} AS INTEGER) AS n_violations, "
@@ -337,7 +344,22 @@ _CLASS = """CASE
   WHEN contains(lower(feature), 'paperless') OR contains(lower(feature), 'electronic') THEN 'billing'
   ELSE 'general' END"""
 
-_FLAGS = f"""{BASE_SCORED},
+# Requests with broken ones among them, by the first hex digit of md5(customerID): 0 cut off, 1 tenure is text,
+# 2 unknown contract, 3 charge out of range, 4 no customerID.
+_REQUESTS = """
+requests AS (
+  SELECT * REPLACE (CASE WHEN h = '2' THEN 'Weekly' ELSE Contract END AS Contract,
+                    CASE WHEN h = '3' THEN CAST(500 AS DOUBLE) ELSE MonthlyCharges END AS MonthlyCharges,
+                    CASE WHEN h = '1' THEN NULL ELSE tenure END AS tenure)
+  FROM (SELECT *, substr(md5(customerID), 1, 1) AS h FROM subscriber_raw)),
+judged AS (
+  SELECT CASE WHEN h NOT IN ('0', '4') THEN customerID END AS customerID,
+         CASE WHEN h = '0' THEN 'malformed_record' ELSE nullif(concat_ws('; ', """ + ", ".join(
+    f"CASE WHEN {cond} THEN '{name}' END" for name, cond in _conditions(typed=True)) + """,
+           CASE WHEN h = '1' THEN 'malformed_record' END, CASE WHEN h = '4' THEN 'customerID_missing' END), '') END AS error
+  FROM requests)"""
+
+_CLASSED = f"""{BASE_SCORED},
 cls AS (SELECT customerID, {_CLASS} AS cls FROM drivers WHERE driver_rank <= 3),
 flags AS (
   SELECT customerID,
@@ -345,17 +367,20 @@ flags AS (
     bool_or(cls = 'billing') AS f_billing, bool_or(cls = 'service_gap') AS f_gap,
     bool_or(cls = 'new_customer') AS f_new, bool_or(cls = 'service_quality') AS f_quality
   FROM cls GROUP BY customerID),
-gated AS (SELECT s.customerID, s.p, s.tenure, s.MonthlyCharges, f.* EXCLUDE (customerID),
+answered AS (SELECT s.customerID, s.p, s.tenure, s.MonthlyCharges, f.* EXCLUDE (customerID),
                  {_TIER} AS risk_level,
                  NOT (f_contract OR f_pricing OR f_billing OR f_gap OR f_new OR f_quality) AS f_none
-          FROM scored s JOIN flags f ON s.customerID = f.customerID WHERE s.p > 0.4)"""
+          FROM scored s JOIN flags f ON s.customerID = f.customerID)"""
+
+_FLAGS = f"""{_CLASSED},
+gated AS (SELECT * FROM answered WHERE p > 0.4)"""
 
 
 def _money0(expr: str) -> str:
     return f"CAST(CAST(round_even({expr}, 0) AS BIGINT) AS VARCHAR)"
 
 
-def _messages() -> str:
+def _messages(gated: bool = True) -> str:
     from churnkit.operators import offers as o
 
     def lit(s: str) -> str:
@@ -383,8 +408,9 @@ def _messages() -> str:
                f"ELSE {lit(o.URGENCY['moderate'])} END")
     parts = ["'Dear Customer #' || customerID || ','", "''", opening, "''", lit(o.INTRO), "''", offers_sql,
              "''", urgency, "''", lit(o.CLOSING[0]), "''", lit(o.CLOSING[1]), "''"] + [lit(s) for s in o.SIGNATURE]
-    return (f"{_FLAGS}\nSELECT customerID AS customer_id, round(p, 4) AS churn_probability, "
-            f"concat_ws(chr(10), {', '.join(parts)}) AS message FROM gated")
+    source, tier = (_FLAGS, "") if gated else (_CLASSED, "risk_level, ")
+    return (f"{source}\nSELECT customerID AS customer_id, round(p, 4) AS churn_probability, {tier}"
+            f"concat_ws(chr(10), {', '.join(parts)}) AS message FROM {'gated' if gated else 'answered'}")
 
 
 def _offer_mix() -> str:
@@ -607,6 +633,12 @@ FROM drivers WHERE driver_rank <= 3""",
     "global_importance": _importance(),
     "importance_spread": _spread(),
     "retention_messages": _messages(),
+    "retention_response": _messages(gated=False),
+    "stream_scoring": f"""{BASE_SCORED},{_REQUESTS}
+SELECT s.customerID, round(p, 4) AS churn_probability, CAST(p >= 0.5 AS INTEGER) AS churn_prediction, {_TIER} AS risk_level
+FROM scored s JOIN judged j ON s.customerID = j.customerID WHERE j.error IS NULL""",
+    "stream_quarantine": f"""{with_ctes(RAW)},{_REQUESTS}
+SELECT customerID, error FROM judged WHERE error IS NOT NULL""",
     "offer_mix": _offer_mix(),
     "class_metrics": _CLASS_METRICS,
     "roc_auc": _ROC,

@@ -5,11 +5,13 @@ Columns compared by name, rows as an order-insensitive multiset of exact values.
 import duckdb
 import pytest
 
-from churnkit.plans.catalog import QUERIES
+from churnkit.plans.catalog import QUERIES as SQL_QUERIES
+from churnkit.plans.jobs import JOB_QUERIES
 from churnkit.plans.oracle import ORACLE
 from tools.check_oracle import rows_of
 
 SF = "/root/testdata/sf0.001"
+QUERIES = {**SQL_QUERIES, **JOB_QUERIES}
 
 
 @pytest.fixture(scope="module")
