@@ -2,6 +2,7 @@
 
 import importlib.util
 import os
+import re
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -24,5 +25,7 @@ def test_entry_smoke(spark):
 def test_registries_agree():
     se = _entry_module()
     q, o = se.queries(), se.oracle_sql()
-    assert set(o) <= set(q) and len(q) == 46 and len(o) == 35
+    assert set(o) <= set(q)
+    own = {n for n in q if n != "pipeline" and not re.match(r"op\d+_", n)}       # the rest comes and goes with its subpackage
+    assert len(own) == 48 and len(own & set(o)) == 38
     assert all(callable(f) for f in q.values()) and all(isinstance(s, str) for s in o.values())
