@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import json
+import random
 import re
 
 import pytest
@@ -65,6 +66,36 @@ def test_bands_reject_repetition_and_noise_and_keep_prose(spark):
     assert not one(" ".join(f"w{i % 60}" for i in range(4000)))[6]
 
 
+def noise_texts(n, seed):
+    rng = random.Random(seed)
+    raw = rng.randbytes(n)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    return (base64.b64encode(raw).decode()[:n], base64.encodebytes(raw).decode()[:n],
+            " ".join("".join(rng.choices(letters, k=rng.randint(3, 10))) for _ in range(n))[:n])
+
+
+def test_bands_reject_noise_of_every_length_class():
+    one = bands.judge(min_words=0, max_repeat_pct=100)
+    ends = [b.n_bytes for b in bands.DOCUMENT_BANDS[1:]] + [40_000]
+    for low, end in zip(ends, ends[1:]):
+        for n in (low, (low + end) // 2, end - 1):
+            assert not any(one(t)[6] for seed in range(5) for t in noise_texts(n, seed)), n
+
+
+def good_texts(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    one = bands.judge()
+    return [r.text for r in docs.join(labels.where("quality = 1"), "doc_id").orderBy("doc_id").collect() if one(r.text)[6]]
+
+
+def test_bands_reject_a_blob_inside_prose(spark):
+    prose = "\n".join(good_texts(spark))[:13_900]
+    one = bands.judge()
+    assert one(prose)[6]
+    for blob in noise_texts(20_000, 1):
+        assert not one(prose + "\n" + blob)[6] and not one(prose[:7000] + "\n" + blob + "\n" + prose[7000:])[6]
+
+
 def oracle_spans(text):
     text, out = text or "", []
     pattern = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
