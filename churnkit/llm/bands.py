@@ -3,7 +3,7 @@
 Repetitive text compresses far better than prose, random or encoded text hardly at all. What is
 normal depends on the length: the frame header and the cold dictionary weigh on short texts. So
 each length class has its own band; a document is kept if its whole-text ratio and the ratio of
-every fixed chunk lie inside their bands.
+every fixed chunk lie inside their bands. The last chunk of a longer text is its last ``chunk`` bytes.
 
 Null or empty text: no words, ratios NULL, base rule fails. Ties and repeated rows: every row is
 judged alone. Very long texts: one pass, chunk by chunk. Other columns are not read.
@@ -100,10 +100,11 @@ def judge(level: int = 3, chunk: int = 4096, document_bands: tuple[Band, ...] =
         ratio = len(packer.compress(raw)) / len(raw) if raw else None
         ok = ratio is not None and inside(document_bands, len(raw), ratio)
         low = high = None
-        for i in range(0, len(raw), chunk):
+        starts = list(range(0, len(raw), chunk))
+        if len(starts) > 1:                  # the last chunk ends with the text and is whole too: it overlaps the one before
+            starts[-1] = len(raw) - chunk
+        for i in starts:
             part = raw[i:i + chunk]
-            if len(part) < chunk and i:      # the rest of a cut text: too short to compare
-                break
             r = len(packer.compress(part)) / len(part)
             low, high = (r, r) if low is None else (min(low, r), max(high, r))
             ok = ok and inside(chunk_bands, len(part), r)

@@ -96,6 +96,19 @@ def test_bands_reject_a_blob_inside_prose(spark):
         assert not one(prose + "\n" + blob)[6] and not one(prose[:7000] + "\n" + blob + "\n" + prose[7000:])[6]
 
 
+def test_bands_judge_the_end_of_a_long_text(spark):
+    prose = "\n".join(good_texts(spark)).encode()
+    one = bands.judge(max_repeat_pct=100)
+    cut = lambda n: prose[:n].decode(errors="ignore")
+    assert one(cut(4096))[6] and one(cut(8100))[6] and one(cut(16_000))[6]
+    for blob in noise_texts(4000, 2):
+        assert not one(cut(4096) + blob)[6]
+    said = ("We walked along the quiet river and came home late. " * 80)[:4000]
+    got = one(cut(12_288) + said)
+    assert not got[6] and got[8] < 0.20
+    assert one("x" * 4096 + "y" * 4096)[8:] == one("x" * 4096)[8:]
+
+
 def oracle_spans(text):
     text, out = text or "", []
     pattern = r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
