@@ -35,7 +35,10 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ASSIGN_HINTS = ("passw", "secret", "token", "api")      # each keyword contains one of these
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}+")        # maximal runs, short ones dropped
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([^-]*)-----END \1-----")
+_ESCAPED = re.compile(r"\\+[nr]")                       # line breaks as JSON and source code write them
+_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[^-]++|-(?!----))*+)-----END \1-----")
+_PEM_HEADER = re.compile(r"(?:Proc-Type|DEK-Info):\s*\S+|^[\s>]*[A-Za-z][A-Za-z0-9-]*:.*$", re.MULTILINE)
+_QUOTES = re.compile(r"""["'`][\s+,.]*["'`]""")           # between the string literals of one value
 _B64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}+={0,2}")
 _HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}+")
 _JWT = re.compile(r"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)")
@@ -143,13 +146,24 @@ def is_jwt(header: str, payload: str) -> bool:
     return isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict)
 
 
+def unescaped(text: str) -> str:
+    """Escaped line breaks as blanks and a line break of the same length, so that positions stay."""
+    return _ESCAPED.sub(lambda m: " " * (len(m[0]) - 1) + "\n", text) if "\\" in text else text
+
+
+def is_pem_key(body: str) -> bool:
+    """The text between the armour lines: headers, then base64 of a key or, if a header says so, of an encrypted one."""
+    headers = " ".join(_PEM_HEADER.findall(body))
+    body = _QUOTES.sub("\n", _PEM_HEADER.sub("\n", body)).replace("\\", "")
+    raw = b64_bytes("".join("".join(x.lstrip("> \t").split()) for x in body.split("\n")))
+    return bool(raw) and (is_der_key(raw) or is_ssh_key(raw) or "ENCRYPTED" in headers and len(raw) >= 64)
+
+
 def structural_spans(text: str) -> Iterator[Span]:
+    text = unescaped(text)
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
-            lines = m[2].strip().split("\n")
-            body = "".join("".join(x.split()) for x in lines if ":" not in x)      # without armour headers
-            raw = b64_bytes(body)
-            if raw and (is_der_key(raw) or is_ssh_key(raw) or "ENCRYPTED" in m[2] and len(raw) >= 64):
+            if is_pem_key(m[2]):
                 yield m.start(), 3, m.end()
     for m in _B64_RUN.finditer(text):
         raw = b64_bytes(m[0])

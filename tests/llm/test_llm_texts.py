@@ -161,6 +161,43 @@ def test_structural_confirmation():
     assert kinds(f"a {part({'kid': 'HS256'})}.{part({'sub': 'x'})}.c2ln b") == []
 
 
+def keys():
+    algorithm = der(0x30, der(0x06, b"\x2a\x86\x48\x86\xf7\x0d\x01\x01\x01") + b"\x05\0")
+    pkcs1 = der(0x30, der(2, b"\0") + b"".join(der(2, bytes([i + 1]) * 40) for i in range(8)))
+    string = lambda b: len(b).to_bytes(4, "big") + b
+    ssh = b"openssh-key-v1\0" + string(b"none") * 2 + string(b"") + (1).to_bytes(4, "big") + string(b"pub" * 9) + string(b"priv" * 20)
+    return pkcs1, der(0x30, der(2, b"\0") + algorithm + der(4, pkcs1)), ssh
+
+
+def wrapped(raw, width=64):
+    body = base64.b64encode(raw).decode()
+    return "\n".join(body[i:i + width] for i in range(0, len(body), width)) + "\n"
+
+
+def kinds_at(text):
+    return [(secret_scan.KINDS[k], text[a:b]) for a, k, b in secret_scan.structural_spans(text)]
+
+
+def test_pem_with_armour_headers_and_escapes():
+    pkcs1, pkcs8, _ = keys()
+    secret = wrapped(hashlib.shake_256(b"k").digest(640))
+    headers = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-256-CBC,0123456789ABCDEF0123456789ABCDEF\n\n"
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----\n", "-----END RSA PRIVATE KEY-----"
+    pem = begin + headers + secret + end
+    assert kinds_at(f"see {pem} ok") == [("pem", pem)]
+    assert kinds_at(f"see {pem.replace(chr(10), chr(13) + chr(10))} ok")[0][0] == "pem"
+    assert kinds_at(pem.replace("Proc-Type: 4,ENCRYPTED", "Proc-Type: 4,CLEAR")) == []
+    assert kinds_at(begin + "Comment: a-b\n" + wrapped(pkcs1) + end)[0][0] == "pem"
+    plain = "-----BEGIN PRIVATE KEY-----\n" + wrapped(pkcs8) + "-----END PRIVATE KEY-----\n"
+    for brk in ("\\n", "\\r\\n", "\\\\n"):
+        for form in (plain, pem):
+            text = json.dumps({"type": "service_account"}) + ' {"private_key": "' + form.replace("\n", brk) + '"}'
+            assert [k for k, _ in kinds_at(text)] == ["pem"]
+            assert "-----" not in secret_scan.redact(text) and secret_scan.redact(text).endswith('"}')
+    source = " +\n    ".join('"' + x + '\\n"' for x in plain.rstrip("\n").split("\n"))
+    assert [k for k, _ in kinds_at(f"String key = {source};")] == ["pem"]
+
+
 def test_redaction_keeps_columns_and_clean_texts(spark):
     docs = spark.createDataFrame([(1, "a token = \"04dbebab91ab85687d33\" b", "s"), (2, "clean text", "s"), (3, None, None)], "doc_id long, text string, mark string")
     out = secret_scan.redact_secrets(docs)
