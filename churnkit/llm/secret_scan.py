@@ -4,9 +4,9 @@ Base patterns (assignments, access keys, hex strings) give candidates by shape a
 part decodes base64 and hex runs and reports a span only if the bytes parse as what they claim to be:
 
 * ``pem``  an armoured private key whose body decodes to a DER key or an OpenSSH key;
-* ``der``  a bare base64 or hex run that decodes to a DER private key (tags, versions and every nested
-  length must fit);
-* ``ssh``  a bare base64 run that decodes to ``openssh-key-v1`` with consistent nested lengths;
+* ``der``  a bare base64 or hex run, on one line or wrapped, that decodes to a DER private key (tags, versions and every
+  nested length must fit);
+* ``ssh``  such a run that decodes to ``openssh-key-v1`` with consistent nested lengths;
 * ``jwt``  three base64url parts whose header is a JSON object with ``alg`` and whose payload is JSON.
 
 Null or empty text: no spans. Ties (spans at one start) are ordered by kind. Very long texts and runs
@@ -17,10 +17,12 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
+import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,9 +42,15 @@ _PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[^-]++|-(?!----))
 _PEM_HEADER = re.compile(r"(?:Proc-Type|DEK-Info):\s*\S+|^[\s>]*[A-Za-z][A-Za-z0-9-]*:.*$", re.MULTILINE)
 _QUOTES = re.compile(r"""["'`][\s+,.]*["'`]""")           # between the string literals of one value
 _B64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}+={0,2}")
-_HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{64,}+")
+_HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{32,}+")
+# what may lie between two lines (a line break must): blanks, reply marks, the quotes of string literals
+_BREAK = r"""[\s>]*+(?:["'`][\s+,.]*["'`][\s>]*+)?"""
+_B64_NEXT = re.compile(_BREAK + r"([A-Za-z0-9+/_-]++={0,2})")
+_HEX_NEXT = re.compile(_BREAK + r"([0-9A-Fa-f]++)(?![A-Za-z0-9+/_-])")
 _JWT = re.compile(r"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)")
 
+SSH_MAGIC = b"openssh-key-v1\0"
+
 Span = tuple[int, int, int]      # start, kind index, end
 
 
@@ -92,7 +100,7 @@ def der_items(raw: bytes) -> list[tuple[int, bytes]] | None:
 
 
 def is_der_key(raw: bytes) -> bool:
-    """A private key: PKCS#8, PKCS#1 (RSA), SEC 1 (EC) or encrypted PKCS#8, with all lengths nested rightly."""
+    """A private key: PKCS#8, PKCS#1 (RSA), DSA, SEC 1 (EC) or encrypted PKCS#8, with all lengths nested rightly."""
     outer = der_items(raw) if raw[:1] == b"\x30" else None
     if not outer or len(outer) != 1:
         return False
@@ -106,6 +114,8 @@ def is_der_key(raw: bytes) -> bool:
             return bool(algorithm) and algorithm[0][0] == 0x06
         if len(parts) >= 9 and set(tags[:9]) == {0x02}:                          # PKCS#1
             return True
+        if len(parts) == 6 and set(tags) == {0x02} and parts[0][1] == b"\0":     # DSA: version, p, q, g, y, x
+            return True
         return tags[1] == 0x04 and len(parts[1][1]) >= 16 and parts[0][1] == b"\1"   # SEC 1
     if tags == [0x30, 0x04]:                                                     # encrypted PKCS#8
         algorithm = der_items(parts[0][1])
@@ -113,12 +123,22 @@ def is_der_key(raw: bytes) -> bool:
     return False
 
 
-def is_ssh_key(raw: bytes) -> bool:
-    """openssh-key-v1: cipher, kdf, options, key count, that many public keys, one private block."""
-    magic = b"openssh-key-v1\0"
-    if not raw.startswith(magic):
-        return False
-    at = len(magic)
+def der_size(raw: bytes) -> int | None:
+    """Bytes of the DER item that ``raw`` begins with, by its own header."""
+    if len(raw) < 2 or raw[0] != 0x30:
+        return None
+    width = raw[1] & 0x7F if raw[1] & 0x80 else 0
+    if raw[1] & 0x80 and not 1 <= width <= 4 or len(raw) < 2 + width:
+        return None
+    return 2 + width + (int.from_bytes(raw[2:2 + width], "big") if width else raw[1])
+
+
+def ssh_size(raw: bytes) -> int | None:
+    """Bytes of the openssh-key-v1 that ``raw`` begins with: cipher, kdf, options, key count, that many public keys, one
+    private block."""
+    if not raw.startswith(SSH_MAGIC):
+        return None
+    at = len(SSH_MAGIC)
 
     def take() -> bytes | None:
         nonlocal at
@@ -130,12 +150,16 @@ def is_ssh_key(raw: bytes) -> bool:
         return body
 
     if any(take() is None for _ in range(3)) or at + 4 > len(raw):
-        return False
+        return None
     count = int.from_bytes(raw[at:at + 4], "big")
     at += 4
     if not 1 <= count <= 16 or any(not take() for _ in range(count)):
-        return False
-    return bool(take()) and at == len(raw)
+        return None
+    return at if take() else None
+
+
+def is_ssh_key(raw: bytes) -> bool:
+    return len(raw) > 0 and ssh_size(raw) == len(raw)
 
 
 def is_jwt(header: str, payload: str) -> bool:
@@ -159,21 +183,69 @@ def is_pem_key(body: str) -> bool:
     return bool(raw) and (is_der_key(raw) or is_ssh_key(raw) or "ENCRYPTED" in headers and len(raw) >= 64)
 
 
+def hex_bytes(run: str) -> bytes | None:
+    return bytes.fromhex(run) if len(run) % 2 == 0 else None
+
+
+def bare_keys(text: str, first: re.Pattern, following: re.Pattern, decode: Callable[[str], bytes | None],
+              chars: float) -> Iterator[Span]:
+    """Keys without armour: runs of ``chars`` characters a byte, on one line or wrapped (lines of one width, then one that
+    may be shorter). A key says how long it is itself; its last character must end a line or its run."""
+    done = 0
+    for m in first.finditer(text):
+        if m.start() < done:
+            continue
+        lines, width = [(m.start(), m.end(), m[0].rstrip("="))], len(m[0])
+        while len(lines[-1][2]) == width and (n := following.match(text, lines[-1][1])):
+            if len(n[1]) > width or "\n" not in text[n.start():n.start(1)]:
+                break
+            lines.append((n.start(1), n.end(1), n[1].rstrip("=")))
+        i = 0
+        while i < len(lines):
+            last = _key_end(lines, i, width, decode, chars)
+            if last:
+                k, kind = last
+                yield lines[i][0], kind, lines[k][1]
+                i = k
+            i += 1
+            done = lines[i - 1][1]
+            if i == len(lines) - 1 and len(lines[i][2]) < width:     # a shorter line may begin a block of its own
+                break
+
+
+def _key_end(lines: list[tuple[int, int, str]], i: int, width: int, decode: Callable[[str], bytes | None],
+             chars: float) -> tuple[int, int] | None:
+    """(last line, kind) of the key that begins with line ``i``."""
+    head = decode(lines[i][2][:32])
+    if not head:
+        return None
+    if head.startswith(SSH_MAGIC):
+        whole = "".join(x for _, _, x in lines[i:])
+        size = ssh_size(decode(whole) or decode(whole[:len(whole) // 4 * 4]) or b"")
+    else:
+        size = der_size(head)
+    if size is None:
+        return None
+    need = math.ceil(size * chars)
+    k = i + (need - 1) // width
+    if k >= len(lines) or need != (k - i) * width + len(lines[k][2]):
+        return None
+    raw = decode("".join(x for _, _, x in lines[i:k + 1])) or b""
+    return (k, 4) if is_der_key(raw) else (k, 5) if is_ssh_key(raw) else None
+
+
 def structural_spans(text: str) -> Iterator[Span]:
     text = unescaped(text)
+    armoured: list[tuple[int, int]] = []
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
             if is_pem_key(m[2]):
                 yield m.start(), 3, m.end()
-    for m in _B64_RUN.finditer(text):
-        raw = b64_bytes(m[0])
-        if raw and is_der_key(raw):
-            yield m.start(), 4, m.end()
-        elif raw and is_ssh_key(raw):
-            yield m.start(), 5, m.end()
-    for m in _HEX_RUN.finditer(text):
-        if len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
-            yield m.start(), 4, m.end()
+                armoured.append((m.start(), m.end()))
+    for a, k, b in [*bare_keys(text, _B64_RUN, _B64_NEXT, b64_bytes, 8 / 6), *bare_keys(text, _HEX_RUN, _HEX_NEXT, hex_bytes, 2)]:
+        at = bisect.bisect_right(armoured, (a, len(text))) - 1
+        if at < 0 or a >= armoured[at][1]:           # an armoured key is one secret
+            yield a, k, b
     if "eyJ" in text:
         for m in _JWT.finditer(text):
             if is_jwt(m[1], m[2]):

@@ -198,6 +198,36 @@ def test_pem_with_armour_headers_and_escapes():
     assert [k for k, _ in kinds_at(f"String key = {source};")] == ["pem"]
 
 
+@pytest.mark.parametrize("width", [64, 70, 76])
+def test_wrapped_keys_without_armour(width):
+    pkcs1, pkcs8, ssh = keys()
+    sized = lambda n: der(0x30, der(2, b"\0") + b"".join(der(2, bytes([i + 1]) * n) for i in range(7)) + der(2, b"\x07" * 40))
+    even = next(k for k in map(sized, range(40, 400)) if len(k) * 4 % (3 * width) == 0)          # its last line is full
+    hexed = lambda raw: "\n".join(raw.hex()[i:i + width] for i in range(0, 2 * len(raw), width)) + "\n"
+    for raw, kind in ((pkcs1, "der"), (pkcs8, "der"), (ssh, "ssh"), (even, "der")):
+        for text in (wrapped(raw, width), hexed(raw)):
+            for brk in ("\n", "\r\n", "\n    ", "\n> ", "\\n"):
+                found = kinds_at(f"the key{brk}" + text.replace("\n", brk) + "then prose goes on here")
+                assert [k for k, _ in found] == [kind] and not found[0][1].endswith("then")
+                assert [k for k, _ in kinds_at((text + text).replace("\n", brk))] == [kind, kind]
+    assert kinds_at(wrapped(pkcs1 + b"x", width) + wrapped(ssh + b"x", width)) == []
+    assert [k for k, _ in kinds_at("-----BEGIN RSA PRIVATE KEY-----\n" + wrapped(pkcs1, width) + "cut off")] == ["der"]
+    assert [k for k, _ in kinds_at("-----BEGIN OPENSSH PRIVATE KEY-----\n" + wrapped(ssh, width))] == ["ssh"]
+
+
+def test_dsa_keys_and_hex_openssh():
+    _, _, ssh = keys()
+    dsa = der(0x30, der(2, b"\0") + b"".join(der(2, bytes([i + 1]) * n) for i, n in enumerate((129, 21, 128, 128, 20))))
+    pem = "-----BEGIN DSA PRIVATE KEY-----\n" + wrapped(dsa) + "-----END DSA PRIVATE KEY-----"
+    assert kinds_at(pem) == [("pem", pem)] and kinds_at("x " + dsa.hex() + " y") == [("der", dsa.hex())]
+    assert kinds_at(f"x {ssh.hex()} y") == [("ssh", ssh.hex())]
+    assert not secret_scan.is_der_key(der(0x30, der(2, b"\1") + b"".join(der(2, b"\5" * 40) for _ in range(5))))
+
+
+def test_long_runs_are_scanned_in_linear_time():
+    assert kinds_at(("MIQ" + "A" * 61 + "\n") * 40_000) == [] and kinds_at("-----BEGIN PRIVATE KEY-----\nMIIE" * 40_000) == []
+
+
 def test_redaction_keeps_columns_and_clean_texts(spark):
     docs = spark.createDataFrame([(1, "a token = \"04dbebab91ab85687d33\" b", "s"), (2, "clean text", "s"), (3, None, None)], "doc_id long, text string, mark string")
     out = secret_scan.redact_secrets(docs)
