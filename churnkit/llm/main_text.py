@@ -5,7 +5,7 @@ the tags met in it and its place in the element tree. The ratio of text to tags
 page and cut by a two-class threshold: lines above it are content. The region is then the article (or main)
 element that holds most content text, or, without one, the deepest element that holds most of it. Every line of the region
 is given out, short ones too, but for those in menus, headers, footers, sidebars, notices, adverts, forms and reader
-comments, which tags, roles and class names tell.
+comments, which tags, roles and class names tell. The text overrules names and forms: see ``_cleared``.
 
 Null or empty html, or a page without an article: empty text. Null ids and repeated rows: each row is a page. Ties
 between regions: the first of the page. Broken markup (unclosed or stray tags) never fails. Very long pages are read
@@ -36,17 +36,27 @@ consent contentinfo complementary cookie cookies copyright dialog disqus footer
 navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted
 promotion reactions recommended related replies respond search share sharing sidebar signup skip social sponsor sponsored
 subscribe subscription tabs toolbar topbar widget""".split())
+# parts of names that say nothing of their own, and states of a page rather than names ('no-sidebar', 'comments-open')
+FILLER = frozenset("""area bar block body bottom box button buttons container content footer group header hidden icon icons inner item
+items left link links list main outer page post posts primary right row secondary section site text title top wrap wrapper""".split())
+STATES = frozenset("allowed closed disabled enabled has hide no off on open opened show with without".split())
+READERS = frozenset("comment comments disqus replies respond".split())
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 REGIONS = frozenset("article body center div fieldset html main section table tbody td".split())
 PARAGRAPH_ENDS = frozenset("p dt dd li option tr td th".split())
 
 
+MAYBE, NAMED, SURE = 1, 2, 3
+
+
 class Page(HTMLParser):
-    """Elements as (parent, tag, junk) in page order and lines as (element, pieces of text, tags)."""
+    """Elements as (parent, tag, junk) in page order and lines as (element, pieces of text, tags).
+
+    ``junk`` is 0, MAYBE (a junk word among others in a name), NAMED (a junk name, or a form), or SURE."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.parent, self.tag, self.junk = [-1], [""], [False]
+        self.parent, self.tag, self.junk = [-1], [""], [0]
         self.open: list[int] = [0]
         self.lines: list[list] = [[0, [], 0]]
 
@@ -102,19 +112,59 @@ class Page(HTMLParser):
             if was in BLOCKS:
                 return
 
-    def _is_junk(self, tag: str, attrs: list) -> bool:
+    def _is_junk(self, tag: str, attrs: list) -> int:
         if tag in NEVER:
-            return True
+            return NAMED if tag == "form" else SURE
         inside = any(self.tag[i] in ("article", "main") for i in self.open)
         if tag == "header":
-            return not inside
+            return 0 if inside else SURE
         if tag in ("html", "body", "main", "h1"):
-            return False
-        named = [v for k, v in attrs if k in ("class", "id", "role") and v]
-        parts = {p.lower() for v in named for p in PART.findall(v)}
+            return 0
+        names = [{p.lower() for p in PART.findall(x)} for k, v in attrs if k in ("class", "id", "role") and v for x in v.split()]
         if tag == "article":
-            return bool(parts & {"comment", "ad", "advert", "promo", "related", "sponsored", "teaser"})
-        return bool(parts & JUNK) or "header" in parts and not inside
+            return SURE if any(x & {"comment", "ad", "advert", "promo", "related", "sponsored", "teaser"} for x in names) else 0
+        worst = 0
+        for x in names:
+            if x & STATES:
+                continue
+            if x & READERS:
+                return SURE
+            if x & JUNK or "header" in x and not inside:
+                worst = max(worst, NAMED if x <= JUNK | FILLER else MAYBE)
+        return worst
+
+
+def _cleared(page: Page) -> None:
+    """Elements junk by name, and forms, are content after all if they hold the page's title, main part or largest article, or
+    most of its dense text; those with a junk word among others also if their own text is dense."""
+    n = len(page.tag)
+    held = [0] * n                                     # the worst of each element and its parents
+    for i in range(1, n):
+        held[i] = max(page.junk[i], held[page.parent[i]])
+    lines = [(e, len(" ".join("".join(pieces).split())), tags) for e, pieces, tags in page.lines]
+    lines = [(e, size, tags, math.log1p(size / max(1, tags))) for e, size, tags in lines if size and held[e] < SURE]
+    dense, every = [0] * n, [0] * n
+    cut = _threshold([r for *_, r in lines]) if lines else 0.0
+    for e, size, _, r in lines:
+        dense[e] += size if r >= cut else 0
+        every[e] += size
+    for i in range(n - 1, 0, -1):
+        dense[page.parent[i]] += dense[i]
+        every[page.parent[i]] += every[i]
+    articles = [i for i in range(n) if page.tag[i] == "article" and held[i] < SURE]
+    largest = max(articles, key=lambda i: every[i], default=-1)
+    for i in range(1, n):
+        if page.tag[i] in ("main", "h1") or i == largest:
+            at = page.parent[i]
+            while at > 0:
+                if page.tag[at] != "header" and (page.tag[at] not in NEVER or page.tag[at] == "form"):
+                    page.junk[at] = 0
+                at = page.parent[at]
+    low = min((r for *_, r in lines), default=0.0)
+    for i in range(1, n):
+        if page.junk[i] in (MAYBE, NAMED) and dense[i]:
+            if 2 * dense[i] > dense[0] or page.junk[i] == MAYBE and 2 * dense[i] >= every[i] and cut > low:
+                page.junk[i] = 0
 
 
 def _smooth(values: list[float], sigma: float) -> list[float]:
@@ -147,13 +197,7 @@ def main_text(html: str | None, sigma: float = 1.0, most: float = 0.7) -> str:
     page.feed(html or "")
     page.close()
     n = len(page.tag)
-    for i in range(1, n):                              # what holds the article's title is no junk, unless its tag says so
-        if page.tag[i] in ("main", "h1"):
-            at = page.parent[i]
-            while at > 0:
-                if page.junk[at] and page.tag[at] not in NEVER and page.tag[at] != "header":
-                    page.junk[at] = False
-                at = page.parent[at]
+    _cleared(page)
     for i in range(1, n):
         page.junk[i] = page.junk[i] or page.junk[page.parent[i]]
     lines = [(e, " ".join("".join(pieces).split()), tags) for e, pieces, tags in page.lines]

@@ -259,6 +259,29 @@ def test_main_text_cases(html, text):
     assert main_text(html) == text
 
 
+def para(n):
+    return "<p>" + ("Many words of a paragraph that goes on for a good while here. " * n).strip() + "</p>"
+
+
+def said(*parts):
+    return "\n\n".join(re.sub("<[^>]*>", "", x) for x in parts)
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<body><form id=aspnetForm><nav><a>Home</a></nav><div class=c><h2>T</h2>" + para(5) + "<p>x</p></div><form id=f>q <input></form></form></body>",
+     said("T", para(5), "x")),
+    ("<body><form><article>" + para(4) + "<h1>T</h1></article></form>", said(para(4), "T")),
+    *[(f"<body><article><div class='{name}'>" + para(4) + "<p>x</p></div><section id=comments>" + para(9) + "</section></article>", said(para(4), "x"))
+      for name in ("entry-content no-sidebar", "has-sidebar", "comments-open", "share-enabled", "sidebar")],
+    ("<body><div class=has-sidebar><div>" + para(4) + "</div></div><div class=sidebar><a>l</a></div>", said(para(4))),
+    ("<article><h1>T</h1>" + para(4) + "<section id=search-methods><h2>S</h2>" + para(3) + "</section><section id=social-history>" + para(2)
+     + "</section></article>", said("T", para(4), "S", para(3), para(2))),
+    ("<body><div class=cookie-banner>" + para(2) + "</div><div>" + para(5) + "</div><div class=comment-list>" + para(20) + "</div>", said(para(5))),
+])
+def test_main_text_overrules_names_and_forms(html, text):
+    assert main_text(html) == text
+
+
 def test_main_text_edge_rows(spark):
     pages = spark.createDataFrame([(1, "u", None, "t"), (None, None, "<p>x</p>", "t"), (1, "u", None, "t")], "page_id long, url string, html string, text string")
     assert sorted((r.text, r.n_chars) for r in extract(pages).collect()) == [("", 0), ("", 0), ("x", 1)]
