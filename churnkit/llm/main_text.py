@@ -2,8 +2,9 @@
 
 The standard-library parser streams events; every block element begins a new line, which records its text,
 the tags met in it and its place in the element tree. The ratio of text to tags per line is smoothed along the
-page and cut by a two-class threshold: lines above it are content. The region is then the article (or main)
-element that holds most content text, or, without one, the deepest element that holds most of it. Every line of the region
+page and cut by a two-class threshold: lines above it are content. The region is then every article (or main) element
+that is not a comment, and the heading before it, or, without one, the lowest element that holds all content lines, their
+heading and the paragraphs beside them (the page's ends without lines of links only). Every line of the region
 is given out, short ones too, but for those in menus, headers, footers, sidebars, notices, adverts, forms and reader
 comments, which tags, roles and class names tell. The text overrules names and forms: see ``_cleared``.
 
@@ -42,6 +43,9 @@ items left link links list main outer page post posts primary right row secondar
 STATES = frozenset("allowed closed disabled enabled has hide no off on open opened show with without".split())
 READERS = frozenset("comment comments disqus replies respond".split())
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TEXTS = HEADINGS | {"p", "blockquote"}
+WRAPS = frozenset("div section".split())
 REGIONS = frozenset("article body center div fieldset html main section table tbody td".split())
 PARAGRAPH_ENDS = frozenset("p dt dd li option tr td th".split())
 
@@ -50,7 +54,8 @@ MAYBE, NAMED, SURE = 1, 2, 3
 
 
 class Page(HTMLParser):
-    """Elements as (parent, tag, junk) in page order and lines as (element, pieces of text, tags).
+    """Elements as (parent, tag, junk) in page order and lines as (element, pieces of text, tags,
+    characters in links).
 
     ``junk`` is 0, MAYBE (a junk word among others in a name), NAMED (a junk name, or a form), or SURE."""
 
@@ -58,7 +63,8 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.junk = [-1], [""], [0]
         self.open: list[int] = [0]
-        self.lines: list[list] = [[0, [], 0]]
+        self.link = [False]
+        self.lines: list[list] = [[0, [], 0, 0]]
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         return self.parse_bogus_comment(i)          # <![...: never an error
@@ -69,10 +75,11 @@ class Page(HTMLParser):
         if tag not in VOID:
             self.parent.append(self.open[-1])
             self.tag.append(tag)
+            self.link.append(tag == "a" or self.link[self.open[-1]])
             self.junk.append(self._is_junk(tag, attrs))
             self.open.append(len(self.tag) - 1)
         if tag in BLOCKS:
-            self.lines.append([self.open[-1], [], 0])
+            self.lines.append([self.open[-1], [], 0, 0])
         elif tag == "br":
             self.lines[-1][1].append(" ")
         self.lines[-1][2] += 1
@@ -89,13 +96,15 @@ class Page(HTMLParser):
         else:
             return
         if tag in BLOCKS:
-            self.lines.append([self.open[-1], [], 0])
+            self.lines.append([self.open[-1], [], 0, 0])
 
     def handle_data(self, data: str) -> None:
         line = self.lines[-1]
         if line[0] != self.open[-1] and self._apart(line[0]):
-            self.lines.append(line := [self.open[-1], [], 0])
+            self.lines.append(line := [self.open[-1], [], 0, 0])
         line[1].append(data)
+        if self.link[self.open[-1]]:
+            line[3] += len("".join(data.split()))
 
     def _apart(self, element: int) -> bool:
         """Text of a script, form or advert inside a block is not text of the block."""
@@ -141,7 +150,7 @@ def _cleared(page: Page) -> None:
     held = [0] * n                                     # the worst of each element and its parents
     for i in range(1, n):
         held[i] = max(page.junk[i], held[page.parent[i]])
-    lines = [(e, len(" ".join("".join(pieces).split())), tags) for e, pieces, tags in page.lines]
+    lines = [(e, len(" ".join("".join(pieces).split())), tags) for e, pieces, tags, _ in page.lines]
     lines = [(e, size, tags, math.log1p(size / max(1, tags))) for e, size, tags in lines if size and held[e] < SURE]
     dense, every = [0] * n, [0] * n
     cut = _threshold([r for *_, r in lines]) if lines else 0.0
@@ -191,8 +200,48 @@ def _threshold(values: list[float]) -> float:
     return (low + high) / 2
 
 
-def main_text(html: str | None, sigma: float = 1.0, most: float = 0.7) -> str:
-    """The article's blocks joined by an empty line; ``most`` is the share of content a region must hold."""
+def _outermost(page: Page, elements: list[int]) -> list[int]:
+    under = [False] * len(page.tag)
+    for i in elements:
+        under[i] = True
+    for i in range(1, len(page.tag)):
+        under[i] = under[i] or under[page.parent[i]]
+    return [i for i in elements if not i or not under[page.parent[i]]]
+
+
+def _common(page: Page, elements: list[int]) -> int:
+    """The lowest element that holds all of them."""
+    held = [0] * len(page.tag)
+    for i in elements:
+        held[i] += 1
+    for i in range(len(held) - 1, -1, -1):             # children come after their parents
+        if held[i] == len(elements):
+            return i
+        held[page.parent[i]] += held[i]
+    return 0
+
+
+def _heading(page: Page, lines: list[tuple], used: list[bool], linked: list[bool], kept: list[bool], at: int) -> int | None:
+    """The heading that the text at line ``at`` follows: nothing but junk and short lines lie between."""
+    found = None
+    for j in range(at, -1, -1):
+        if j < at and kept and kept[j]:
+            break
+        if used[j]:
+            i = lines[j][0]
+            while i and page.tag[i] not in BLOCKS:
+                i = page.parent[i]
+            if page.tag[i] == "h1":
+                return j
+            if page.tag[i] in HEADINGS and found is None:
+                found = j
+            elif j < at and linked[j]:
+                break
+    return found
+
+
+def main_text(html: str | None, sigma: float = 1.0) -> str:
+    """The article's blocks joined by an empty line."""
     page = Page()
     page.feed(html or "")
     page.close()
@@ -200,34 +249,67 @@ def main_text(html: str | None, sigma: float = 1.0, most: float = 0.7) -> str:
     _cleared(page)
     for i in range(1, n):
         page.junk[i] = page.junk[i] or page.junk[page.parent[i]]
-    lines = [(e, " ".join("".join(pieces).split()), tags) for e, pieces, tags in page.lines]
-    lines = [(e, text, tags) for e, text, tags in lines if text]
+    texts = [(e, " ".join("".join(pieces).split()), tags, links) for e, pieces, tags, links in page.lines]
+    texts = [x for x in texts if x[1]]
+    lines = [x[:3] for x in texts]
     if all(page.junk[e] for e, _, _ in lines):
         return ""
-    ratio = _smooth([0.0 if page.junk[e] else math.log1p(len(text) / max(1, tags)) for e, text, tags in lines], sigma)
+    own = [0.0 if page.junk[e] else math.log1p(len(text) / max(1, tags)) for e, text, tags in lines]
+    ratio = _smooth(own, sigma)
     cut = _threshold([r for r, (e, _, _) in zip(ratio, lines) if not page.junk[e]])
+    ratio = [max(r, o) for r, o in zip(ratio, own)]    # a dense line between junk is content too
     mass = [0] * n
     for r, (e, text, _) in zip(ratio, lines):
         if r >= cut and not page.junk[e]:
             mass[e] += len(text)
     for i in range(n - 1, 0, -1):                      # children come after their parents
         mass[page.parent[i]] += mass[i]
-    named = [i for i in range(n) if page.tag[i] in ("article", "main") and not page.junk[i] and mass[i]]
-    if named:
-        region = max(named, key=lambda i: mass[i])     # the first of the largest
-        inner = [i for i in named if page.tag[i] == "article" and mass[i] >= most * mass[region]]
-        region = inner[0] if inner else region
-        body = None
+    inside = [False] * n                               # elements given out whole
+    used = [not page.junk[e] for e, _, _ in lines]
+    linked = [links >= len("".join(text.split())) for _, text, _, links in texts]
+    first, last = 0, len(lines) - 1
+    outer = _outermost(page, [i for i in range(n) if page.tag[i] in ("article", "main") and not page.junk[i]])
+    if any(mass[i] for i in outer):
+        for i in outer:
+            inside[i] = True
+        for i in range(1, n):
+            inside[i] = inside[i] or inside[page.parent[i]]
+        kept = [u and inside[e] for u, (e, _, _) in zip(used, lines)]
+        top = list(range(n))                           # the outermost part of each element
+        for i in range(1, n):
+            top[i] = top[page.parent[i]] if inside[page.parent[i]] else i
+        starts: dict[int, int] = {}
+        for j, (e, _, _) in enumerate(lines):
+            if kept[j]:
+                starts.setdefault(top[e], j)
+        titled = {top[i] for i in range(n) if page.tag[i] == "h1"}
+        for at in [j for i, j in starts.items() if i not in titled]:
+            title = _heading(page, lines, used, linked, kept, at)
+            for j in range(at if title is None else title, at):
+                kept[j] = used[j]
+        used = kept
     else:
-        region = max(i for i in range(n) if mass[i] >= most * mass[0] and (not i or page.tag[i] in REGIONS))
-        whole = page.tag[region] not in ("", "html", "body")          # else only from the first content line to the last
-        body = None if whole else [j for j, (r, (e, _, _)) in enumerate(zip(ratio, lines)) if r >= cut and not page.junk[e]]
-    inside = [False] * n
-    inside[region] = True
-    for i in range(region + 1, n):
-        inside[i] = inside[page.parent[i]]
-    out = [text for j, (e, text, _) in enumerate(lines)
-           if inside[e] and not page.junk[e] and (body is None or body[0] - 1 <= j <= body[-1])]
+        above = [j for j, (r, (e, _, _)) in enumerate(zip(ratio, lines)) if r >= cut and used[j]]
+        region = _common(page, [lines[j][0] for j in above])
+        title = _heading(page, lines, used, linked, [], above[0])
+        if title is not None:
+            region = _common(page, [region, lines[title][0]])
+        while region and page.tag[region] not in REGIONS:
+            region = page.parent[region]
+        beside = {page.parent[e] for j, (e, _, _) in enumerate(lines) if used[j] and not linked[j] and page.tag[e] in TEXTS}
+        beside |= {page.parent[i] for i in beside if page.tag[i] == "section"}
+        while page.tag[region] not in ("", "html", "body") and page.parent[region] in beside and page.tag[page.parent[region]] in WRAPS:
+            region = page.parent[region]               # paragraphs and sections beside the content
+        inside[region] = True
+        for i in range(region + 1, n):
+            inside[i] = inside[page.parent[i]]
+        used = [u and inside[e] for u, (e, _, _) in zip(used, lines)]
+        if page.tag[region] in ("", "html", "body"):    # of the page's own ends, not what is links only
+            while first < above[0] and (linked[first] or not used[first]):
+                first += 1
+            while last > above[-1] and (linked[last] or not used[last]):
+                last -= 1
+    out = [text for j, (_, text, _) in enumerate(lines) if used[j] and first <= j <= last]
     return "\n\n".join(out)
 
 

@@ -282,6 +282,23 @@ def test_main_text_overrules_names_and_forms(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<div class=post><h1>T</h1><p>lead</p><div class=entry>" + para(3) * 3 + "</div></div><div class=footer>f</div>", said("T", "lead", *[para(3)] * 3)),
+    ("<div class=post><p>lead</p><div class=entry>" + para(3) + para(3) + "</div><p>Bye.</p></div>", said("lead", para(3), para(3), "Bye.")),
+    ("<div class=story><section>" + para(3) * 3 + "</section><section>" + para(3) + "</section></div>", said(*[para(3)] * 4)),
+    ("<div class=story><section>" + para(9) + "</section><section>" + para(3) + "</section></div>", said(para(9), para(3))),
+    ("<div class=story><section><p>x</p>" + para(3) + "</section><section>" + para(9) + "</section></div>", said("x", para(3), para(9))),
+    ("<article>" + para(4) + "</article><h2>More</h2><article>" + para(2) + "</article><article class=comment>" + para(9) + "</article>",
+     said(para(4), "More", para(2))),
+    ("<main><h1>T</h1><article>" + para(4) + "</article></main>", said("T", para(4))),
+    ("<h1>T</h1><article>" + para(4) + "</article>", said("T", para(4))),
+    ("<ul class=x><li><a>Home</a></ul><h1>T</h1><p>By Jane</p>" + para(4) + para(3) + "<p>Thanks.</p><p>Bye.</p><p><a>About</a></p>",
+     said("T", "By Jane", para(4), para(3), "Thanks.", "Bye.")),
+])
+def test_main_text_keeps_what_lies_beside_the_largest_part(html, text):
+    assert main_text("<body><nav><a>Home</a></nav>" + html) == text
+
+
 def test_main_text_edge_rows(spark):
     pages = spark.createDataFrame([(1, "u", None, "t"), (None, None, "<p>x</p>", "t"), (1, "u", None, "t")], "page_id long, url string, html string, text string")
     assert sorted((r.text, r.n_chars) for r in extract(pages).collect()) == [("", 0), ("", 0), ("x", 1)]
