@@ -445,9 +445,11 @@ def _encode(model: Model, dtype: str, buckets: int, names: list[str]):
     """Texts of a block from its units' ids. A text is held only while its units are taken."""
     import xxhash
 
-    def hash_of(text: pa.Scalar) -> int:
-        raw = text.as_buffer() if text.is_valid else b""
-        return xxhash.xxh64_intdigest(bytes(raw).replace(SPACE.encode(), b" "), 42)
+    def hash_of(text: pa.Scalar) -> tuple[int, bool]:
+        """The hash of the text with U+2581 as a space, and whether it holds one."""
+        raw = bytes(text.as_buffer()) if text.is_valid else b""
+        plain = raw.replace(SPACE.encode(), b" ")
+        return xxhash.xxh64_intdigest(plain, 42), plain != raw
 
     def run(key: tuple, texts: pa.Table, answers: pa.Table) -> pa.Table:
         import zstandard
@@ -457,10 +459,11 @@ def _encode(model: Model, dtype: str, buckets: int, names: list[str]):
         for batch in _frames(texts.column("payload")):
             body = batch.column(batch.num_columns - 1).combine_chunks()
             flat, in_text = _flat_units(model, body)
-            hashes = np.array([hash_of(t) for t in body], np.uint64).view(np.int64)
-            rows.append((batch.columns[:-1], flat.dictionary_encode(), in_text, hashes))
+            hashes, marked = zip(*map(hash_of, body)) if len(body) else ((), ())
+            hashes = np.array(hashes, np.uint64).view(np.int64)
+            rows.append((batch.columns[:-1], flat.dictionary_encode(), in_text, hashes, np.array(marked, bool)))
 
-        held, lists = _dealt([coded.dictionary for _, coded, _, _ in rows], buckets)
+        held, lists = _dealt([coded.dictionary for _, coded, *_ in rows], buckets)
         order = pc.sort_indices(answers.column("bucket").combine_chunks())
         answers = answers.take(order)
         counts = [np.frombuffer(unpack(x.as_py()), "<u2").astype(np.int64) for x in answers.column("counts")]
@@ -470,12 +473,12 @@ def _encode(model: Model, dtype: str, buckets: int, names: list[str]):
         table = _Table(model, lists.flatten(), ids, np.concatenate([np.zeros(0, np.int64), *counts]))
 
         outs = []
-        for kept, coded, in_text, hashes in rows:
+        for kept, coded, in_text, hashes, marked in rows:
             at = table.find(coded.dictionary, model.parts)[coded.indices.to_numpy()]
             got, in_unit = table.gather(at)
             ends = np.r_[0, np.cumsum(in_unit)][np.r_[0, np.cumsum(in_text)]]
             made = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(got.astype("<i4"), pa.int32()))
-            outs.append(pa.table([*kept, made, pa.array(np.diff(ends).astype(np.int64)), pa.array(hashes)], names=names))
+            outs.append(pa.table([*kept, made, pa.array(np.diff(ends).astype(np.int64)), pa.array(hashes), pa.array(marked)], names=names))
         _give_back()
         return pa.concat_tables(outs)
 
@@ -484,7 +487,8 @@ def _encode(model: Model, dtype: str, buckets: int, names: list[str]):
 
 def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id", text: str = "text",
            block_chars: int = 8_000_000) -> DataFrame:
-    """``keep`` columns, then ids (array<int>), n_tokens and text_hash (XXH64 of the text), one row per row of ``docs``."""
+    """``keep`` columns, then ids (array<int>), n_tokens, text_hash (XXH64 of the text with U+2581 as a space) and has_mark (whether
+    the text holds U+2581), one row per row of ``docs``."""
     spark = docs.sparkSession
     ship_package(spark)
     body, name = F.col(f"`{text}`"), F.col(f"`{doc_id}`")
@@ -524,7 +528,8 @@ def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id
         _answers(model, dtype), "block long, bucket int, ids binary, counts binary").withColumnRenamed("block", "in_block")
 
     out = T.StructType([f for c in keep for f in payload if f.name == c] + [
-        T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("text_hash", T.LongType())])
+        T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()), T.StructField("text_hash", T.LongType()),
+        T.StructField("has_mark", T.BooleanType())])
     return packed.groupBy("block").cogroup(answers.groupBy("in_block")).applyInArrow(_encode(model, dtype, buckets, out.names), out)
 
 
@@ -542,6 +547,9 @@ def decode(ids: Column, model: Model) -> Column:
 
 
 def round_trip(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """(doc_id, n_tokens, ids, round_trip): ``round_trip`` is whether decoding the ids gives the text again."""
+    """(doc_id, n_tokens, ids, round_trip, exact): ``round_trip`` is whether decoding the ids gives the text with U+2581 as a
+    space, which is how the model reads it; ``exact`` whether it gives the text as it is, so false for texts that hold U+2581."""
     rows = encode(docs, model, [doc_id], doc_id, text, **how)
-    return rows.select(F.col(f"`{doc_id}`"), "n_tokens", "ids", (F.xxhash64(decode(F.col("ids"), model)) == F.col("text_hash")).alias("round_trip"))
+    same = F.xxhash64(decode(F.col("ids"), model)) == F.col("text_hash")
+    return (rows.select(F.col(f"`{doc_id}`"), "n_tokens", "ids", same.alias("round_trip"), "has_mark")
+            .withColumn("exact", F.col("round_trip") & ~F.col("has_mark")).drop("has_mark"))

@@ -43,6 +43,12 @@ def test_pieces_equal_the_library_on_odd_texts(spark, model, library):
     assert pieces.round_trip(docs.where(F.lit(False)), model).count() == 0
 
 
+def test_texts_with_the_space_mark_do_not_come_back_exactly(spark):
+    docs = spark.createDataFrame(list(enumerate(["a b", "a▁b", "▁x ▁", "", None])), "doc_id long, text string")
+    rows = pieces.round_trip(docs, pieces.Model.load(piece_model_path())).orderBy("doc_id").collect()
+    assert [(r.round_trip, r.exact) for r in rows] == [(True, True), (True, False), (True, False), (True, True), (True, True)]
+
+
 def test_pieces_query_equals_the_library(spark, library):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     rows = QUERIES["op5_sentencepiece"](spark, SF).collect()
