@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnkit.llm.bands import quality_bands
+from churnkit.llm.byte_pieces import Ranks, digests
 from churnkit.llm.chat import format_preferences, swapped_replies
 from churnkit.llm.common import table
 from churnkit.llm.knn import top_k
+from churnkit.llm.lexical import search
 from churnkit.llm.main_text import extract
 from churnkit.llm.mixing import mix
 from churnkit.llm.pieces import Model, round_trip
@@ -18,6 +20,7 @@ from churnkit.llm.quality import classify
 from churnkit.llm.secret_scan import scan_secrets
 from churnkit.llm.simhash import simhash_groups
 from churnkit.llm.token_files import byte_bpe, token_counts, write_token_files
+from churnkit.llm.whitening import whiten
 from churnkit.session import stage_path
 
 EOD = 50256          # the free id behind the rank file's 50,256 pieces
@@ -77,9 +80,27 @@ def op10_quality_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bands(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def byte_ranks() -> Ranks:
+    import public_tokenizers
+
+    return Ranks.load(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(table(spark, sf_dir, "documents"), byte_ranks())
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_simhash_groups, op3_top_k, op4_secret_scan, op5_sentencepiece, op6_source_mix,
-    op7_token_counts, op8_main_text, op9_preferences, op10_quality_bands)}
+    op7_token_counts, op8_main_text, op9_preferences, op10_quality_bands, op11_lexical_search, op12_whitening, op13_byte_bpe)}
 
 OP3_SQL = """
 WITH v AS (
@@ -130,4 +151,30 @@ SELECT conv_id, k AS n_prefix, len(a) > k OR len(b) > k AS differs, {_sql(_RENDE
 FROM n
 """
 
-ORACLE = {"op3_top_k": OP3_SQL, "op9_preferences": OP9_SQL}
+OP11_SQL = r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS a
+  FROM documents
+), s AS (
+  SELECT count(*) FILTER (WHERE len(a) > 0) AS n_docs, CAST(sum(len(a)) AS BIGINT) AS n_terms FROM t
+), i AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL
+), f AS (
+  SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(a) AS n, unnest(a) AS term FROM t)
+  WHERE term IN (SELECT term FROM i) GROUP BY ALL
+), w AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY term
+), c AS (
+  SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))) AS v FROM f JOIN w USING (term), s
+), z AS (
+  SELECT item_id, r, doc_id, CAST(sum(v) AS BIGINT) AS score FROM i JOIN c USING (term) WHERE doc_id IS NOT NULL GROUP BY ALL
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id, r) AS n FROM z WHERE score > 0
+)
+SELECT item_id, CAST(n AS INTEGER) AS rank, doc_id, score FROM o WHERE n <= 50
+"""
+
+ORACLE = {"op3_top_k": OP3_SQL, "op9_preferences": OP9_SQL, "op11_lexical_search": OP11_SQL}
