@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import re
+from functools import lru_cache
 from html.parser import HTMLParser
 
 from pyspark.sql import DataFrame
@@ -53,6 +54,18 @@ PARAGRAPH_ENDS = frozenset("p dt dd li option tr td th".split())
 MAYBE, NAMED, SURE = 1, 2, 3
 
 
+@lru_cache(maxsize=4096)
+def _fused(name: str) -> tuple[str, ...]:
+    """The two parts of a junk name written as one word ('cookiebanner'); none for other words."""
+    known = JUNK | FILLER
+    if name not in known:
+        for at in range(2, len(name) - 1):
+            a, b = name[:at], name[at:]
+            if a in known and b in known and (a in JUNK or b in JUNK):
+                return a, b
+    return ()
+
+
 class Page(HTMLParser):
     """Elements as (parent, tag, junk) in page order and lines as (element, pieces of text, tags,
     characters in links).
@@ -62,9 +75,11 @@ class Page(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.junk = [-1], [""], [0]
+        self.within = [False]                       # junk, or inside it
         self.open: list[int] = [0]
         self.link = [False]
         self.lines: list[list] = [[0, [], 0, 0]]
+        self.block: list | None = None              # the line that an inline part set aside for its junk interrupts
 
     def parse_marked_section(self, i: int, report: int = 1) -> int:
         return self.parse_bogus_comment(i)          # <![...: never an error
@@ -77,11 +92,14 @@ class Page(HTMLParser):
             self.tag.append(tag)
             self.link.append(tag == "a" or self.link[self.open[-1]])
             self.junk.append(self._is_junk(tag, attrs))
+            if self.junk[-1] and tag not in BLOCKS and not self.within[self.open[-1]]:
+                self.block = self.block or self.lines[-1]
+            self.within.append(bool(self.junk[-1]) or self.within[self.open[-1]])
             self.open.append(len(self.tag) - 1)
         if tag in BLOCKS:
-            self.lines.append([self.open[-1], [], 0, 0])
+            self._new_line()
         elif tag == "br":
-            self.lines[-1][1].append(" ")
+            (self.block or self.lines[-1])[1].append(" ")
         self.lines[-1][2] += 1
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
@@ -96,12 +114,20 @@ class Page(HTMLParser):
         else:
             return
         if tag in BLOCKS:
-            self.lines.append([self.open[-1], [], 0, 0])
+            self._new_line()
+
+    def _new_line(self) -> None:
+        self.lines.append([self.open[-1], [], 0, 0])
+        if not self.within[self.open[-1]]:
+            self.block = None
 
     def handle_data(self, data: str) -> None:
         line = self.lines[-1]
         if line[0] != self.open[-1] and self._apart(line[0]):
-            self.lines.append(line := [self.open[-1], [], 0, 0])
+            if self.block is not None and not self.within[self.open[-1]]:
+                line = self.block                   # behind an inline script or button the block goes on
+            else:
+                self.lines.append(line := [self.open[-1], [], 0, 0])
         line[1].append(data)
         if self.link[self.open[-1]]:
             line[3] += len("".join(data.split()))
@@ -118,7 +144,7 @@ class Page(HTMLParser):
             if was == "p" or was == tag and tag in PARAGRAPH_ENDS:
                 del self.open[at:]
                 return
-            if was in BLOCKS:
+            if was in BLOCKS or was in NEVER:
                 return
 
     def _is_junk(self, tag: str, attrs: list) -> int:
@@ -133,47 +159,69 @@ class Page(HTMLParser):
         if tag == "article":
             return SURE if any(x & {"comment", "ad", "advert", "promo", "related", "sponsored", "teaser"} for x in names) else 0
         worst = 0
+        if tag in ("ol", "ul", "li") and any(x & {"thread", "response", "responses"} for x in names):
+            return SURE                                 # a list of what readers wrote
         for x in names:
             if x & STATES:
                 continue
+            x = x | {part for name in x for part in _fused(name)}
             if x & READERS:
                 return SURE
             if x & JUNK or "header" in x and not inside:
-                worst = max(worst, NAMED if x <= JUNK | FILLER else MAYBE)
+                plain = {name for name in x if not _fused(name)}
+                worst = max(worst, NAMED if plain <= JUNK | FILLER else MAYBE)
         return worst
 
 
 def _cleared(page: Page) -> None:
-    """Elements junk by name, and forms, are content after all if they hold the page's title, main part or largest article, or
-    most of its dense text; those with a junk word among others also if their own text is dense."""
+    """Names and forms are overruled by what they hold, never by how long they are beside an article.
+
+    Content are a form and an element with a junk word in its name that hold the page's main part, its largest article or its title,
+    where none of these lies outside junk. Parts of an article or main element outside junk, or of a page that has none
+    and no title either, are judged by density: a form, or a junk word among others, is content if it holds most
+    of the dense text there or its own is dense, and a plain junk name if no dense text there lies elsewhere."""
     n = len(page.tag)
     held = [0] * n                                     # the worst of each element and its parents
     for i in range(1, n):
         held[i] = max(page.junk[i], held[page.parent[i]])
     lines = [(e, len(" ".join("".join(pieces).split())), tags) for e, pieces, tags, _ in page.lines]
     lines = [(e, size, tags, math.log1p(size / max(1, tags))) for e, size, tags in lines if size and held[e] < SURE]
-    dense, every = [0] * n, [0] * n
+    dense, every, free = [0] * n, [0] * n, [0] * n
     cut = _threshold([r for *_, r in lines]) if lines else 0.0
     for e, size, _, r in lines:
         dense[e] += size if r >= cut else 0
+        free[e] += size if r >= cut and not held[e] else 0
         every[e] += size
     for i in range(n - 1, 0, -1):
         dense[page.parent[i]] += dense[i]
         every[page.parent[i]] += every[i]
+        free[page.parent[i]] += free[i]
     articles = [i for i in range(n) if page.tag[i] == "article" and held[i] < SURE]
     largest = max(articles, key=lambda i: every[i], default=-1)
-    for i in range(1, n):
-        if page.tag[i] in ("main", "h1") or i == largest:
+    mains = [i for i in range(1, n) if page.tag[i] == "main" or i == largest]
+    titles = [i for i in range(1, n) if page.tag[i] == "h1"]
+    clear = lambda i: not held[i] and every[i] > 0
+    within = [0] * n                                   # the part that decides for each element: 0 is the page
+    if any(clear(i) for i in mains):
+        for i in range(1, n):
+            within[i] = i if page.tag[i] in ("article", "main") and clear(i) else within[page.parent[i]]
+        judged = [i for i in range(1, n) if within[i]]
+    else:
+        for i in mains + ([] if any(clear(i) for i in titles) else titles):
             at = page.parent[i]
             while at > 0:
                 if page.tag[at] != "header" and (page.tag[at] not in NEVER or page.tag[at] == "form"):
                     page.junk[at] = 0
                 at = page.parent[at]
+        judged = [] if any(every[i] for i in mains) or free[0] and any(clear(i) for i in titles) else list(range(1, n))
     low = min((r for *_, r in lines), default=0.0)
-    for i in range(1, n):
-        if page.junk[i] in (MAYBE, NAMED) and dense[i]:
-            if 2 * dense[i] > dense[0] or page.junk[i] == MAYBE and 2 * dense[i] >= every[i] and cut > low:
+    for i in judged:
+        part = within[page.parent[i]]
+        if dense[i] and (page.junk[i] == MAYBE or page.junk[i] == NAMED and page.tag[i] == "form"):
+            if 2 * dense[i] > dense[part] or page.junk[i] == MAYBE and 2 * dense[i] >= every[i] and cut > low:
                 page.junk[i] = 0
+        elif dense[i] and page.junk[i] == NAMED and not free[part] and 2 * dense[i] > dense[part]:
+            page.junk[i] = 0
 
 
 def _smooth(values: list[float], sigma: float) -> list[float]:
@@ -269,7 +317,12 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     linked = [links >= len("".join(text.split())) for _, text, _, links in texts]
     first, last = 0, len(lines) - 1
     outer = _outermost(page, [i for i in range(n) if page.tag[i] in ("article", "main") and not page.junk[i]])
-    if any(mass[i] for i in outer):
+    spoken = [0] * n                                   # text that is no link
+    for u, link, (e, text, _) in zip(used, linked, lines):
+        spoken[e] += len(text) if u and not link else 0
+    for i in range(n - 1, 0, -1):
+        spoken[page.parent[i]] += spoken[i]
+    if any(mass[i] or spoken[i] for i in outer):
         for i in outer:
             inside[i] = True
         for i in range(1, n):

@@ -299,6 +299,23 @@ def test_main_text_keeps_what_lies_beside_the_largest_part(html, text):
     assert main_text("<body><nav><a>Home</a></nav>" + html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<article>" + para(3) + "</article><div class=sidebar>" + para(12) + "</div>", said(para(3))),
+    ("<article>Some words. </article><div class=sidebar>" + para(12) + "</div>", "Some words."),
+    ("<article>" + para(2) + "</article><div id=sidebar>" + para(9) + "</div><div class=newsletter>" + para(5) + "</div><div class=related>" + para(5) + "</div>",
+     said(para(2))),
+    ("<h1>T</h1>" + para(2) + "<div id=sidebar>" + para(9) + "</div>", said("T", para(2))),
+    ("<article>" + para(3) + "</article><div class=cookiebanner>" + para(5) + "</div><div class=adbox>" + para(5) + "</div>", said(para(3))),
+    ("<article>" + para(3) + "</article><div id=sidebar><h1>About</h1>" + para(9) + "</div>", said(para(3))),
+    ("<article>" + para(3) + "<ol class=thread><li class=response>" + para(9) + "</ol></article>", said(para(3))),
+    ("<article><p>one <script>x()</script>two</p><p>a<button>b</button> c <select><option>d</select>e</p>" + para(3) + "</article>",
+     said("one two", "a c e", para(3))),
+    ("<article><p>one</p><div class=share>x</div><p>two " + "w " * 40 + "</p></article>", "one\n\ntwo " + ("w " * 40).strip()),
+])
+def test_main_text_is_not_outvoted_by_longer_junk(html, text):
+    assert main_text("<body><nav><a>Home</a></nav>" + html) == text
+
+
 def test_main_text_edge_rows(spark):
     pages = spark.createDataFrame([(1, "u", None, "t"), (None, None, "<p>x</p>", "t"), (1, "u", None, "t")], "page_id long, url string, html string, text string")
     assert sorted((r.text, r.n_chars) for r in extract(pages).collect()) == [("", 0), ("", 0), ("x", 1)]
