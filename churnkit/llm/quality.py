@@ -5,11 +5,12 @@
    expectation-maximisation over the patterns estimates each labeller's accuracy and the posterior
    of every pattern. No labels are used.
 3. A logistic model over hashed features (character-class trigrams, binned measures) is fitted to
-   the posteriors of a bounded sample of documents (``sample_rows``, by a hash of the id).
+   the posteriors of a bounded sample of documents (about ``sample_rows``, by a hash of the id; where ids are
+   missing or repeat so that this gives none or over twice as many, at random from a seed).
 4. The scorer judges every document.
 
 Null, empty or blank text: every labeller abstains, score 0, rejected. Null doc_id and repeated rows: each row
-is judged alone. Very long texts: whole, in pieces of bounded memory. Empty table: empty result. A score
+is judged alone. Very long texts: whole, one at a time with its list of words. Empty table: empty result. A score
 equal to the threshold keeps the document. Other columns are not read.
 """
 
@@ -204,7 +205,11 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_rows
     weak = fit_weak_model(unpack(codes), counts)
     chance = dict(zip(codes.tolist(), weak.posterior(unpack(codes)).tolist()))
     share = min(1.0, sample_rows / counts.sum())
-    drawn = docs.where(F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000 + 1))
+    by_id = F.pmod(F.xxhash64(F.col(f"`{doc_id}`"), F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000 + 1)
+    n_drawn = voted.where(by_id).count()
+    if not 0 < n_drawn <= 2 * sample_rows:             # ids are missing or repeat too much to draw by them
+        by_id = F.rand(seed) < share
+    drawn = docs.where(by_id)
 
     def make():
         def one(t: str | None) -> tuple:

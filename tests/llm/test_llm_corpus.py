@@ -173,3 +173,13 @@ def test_quality_edge_rows(edge):
     assert [r.kept for r in rows][:2] == [False, False] and rows[0].score == 0.0
     assert quality.classify(edge.where(F.lit(False))).count() == 0
     assert quality.keep_good(edge).columns == edge.columns
+
+
+@pytest.mark.parametrize("key", ["CAST(NULL AS BIGINT)", "7L", "doc_id % 3"])
+def test_quality_trains_where_ids_say_nothing(spark, key):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").selectExpr(f"{key} AS doc_id", "text", "doc_id AS n")
+    scorer = quality.fit(docs, sample_rows=200)[1]
+    assert np.abs(scorer.weights).max() > 0.05
+    rejected = 1 - quality.keep_good(docs, sample_rows=200).count() / docs.count()
+    usual = 1 - quality.keep_good(spark.read.parquet(f"{SF}/documents.parquet")).count() / docs.count()
+    assert 0 < rejected and abs(rejected - usual) < 0.08
