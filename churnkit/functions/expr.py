@@ -48,11 +48,6 @@ def cents(c: str | Column) -> Column:
     return F.round(col(c) * 100).cast("bigint")
 
 
-def safe_ratio(num: Column, den: Column) -> Column:
-    """num / den, NULL when den is 0 or NULL (never raises under ANSI)."""
-    return F.try_divide(num, den)
-
-
 def risk_tier(p: Column) -> Column:
     """Four tiers on the unrounded probability, strict thresholds; no tier without a probability."""
     return (F.when(p.isNull(), F.lit(None).cast("string")).when(p > 0.8, "Critical").when(p > 0.6, "High")

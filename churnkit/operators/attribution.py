@@ -12,7 +12,7 @@ Shapley value for i in D is
 
 o is binary, so per leaf the d values depend only on the pattern of o: the driver
 precomputes a (2^d x d) table per leaf from the saved model (node tables are bounded by
-model size, not data), broadcasts it, and ``mapInPandas`` looks rows up in Arrow
+model size, not data), broadcasts it, and ``mapInArrow`` looks rows up in
 batches -- a gather and a scatter-add per leaf, vectorised over the batch.
 Spark's GBT margin is m = sum_t w_t tree_t(x) with P(1) = 1 / (1 + exp(-2 m)), so
 impacts are reported in log-odds (x 2 w_t) and base + sum(impacts) = 2 m exactly.
@@ -21,20 +21,29 @@ Any model (``sampled_shapley``): Monte-Carlo permutation Shapley (Strumbelj & Ko
 2014). For each explained row and permutation k, the coalition path from a background
 row to the explained row is materialised as d + 1 vectors and scored with the model's
 own ``transform`` (distributed); consecutive differences are attributed to the feature
-added at that step and averaged over permutations. The explained set is bounded (the
-reference explains at most 200 rows) because each row expands to m (d + 1) rows.
+added at that step and averaged over permutations. Each row expands to m (d + 1) rows.
+
+Any model, fewer points (``kernel_shap``): weighted least squares over paired coalitions against weighted centres of
+the background.
 """
 
 from __future__ import annotations
 
+import itertools
+import json
 import math
 import uuid
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
+from churnkit.functions.expr import logistic
 from churnkit.schema import KEY
 from churnkit.session import ship_package, stage_path
 
@@ -228,17 +237,16 @@ class TreeExplainerTables:
         return phi, margin
 
 
-_EXPLAINERS: dict = {}   # model uid -> tables (a fitted model is immutable)
-
-
 def explainer_for(model, log_odds_scale: float = 2.0) -> TreeExplainerTables:
-    """Tables for a GBT classification model (or a PipelineModel ending in one)."""
+    """Tables for a GBT classification model (or a PipelineModel ending in one), kept with the model object
+    and gone with it."""
     if hasattr(model, "stages"):
         model = model.stages[-1]
-    key = (model.uid, log_odds_scale, TABLE_BUDGET)
-    if key not in _EXPLAINERS:
-        _EXPLAINERS[key] = _build_explainer(model, log_odds_scale)
-    return _EXPLAINERS[key]
+    kept = model.__dict__.setdefault("_explainer_tables", {})
+    key = (log_odds_scale, TABLE_BUDGET)
+    if key not in kept:
+        kept[key] = _build_explainer(model, log_odds_scale)
+    return kept[key]
 
 
 def _build_explainer(model, log_odds_scale: float) -> TreeExplainerTables:
@@ -249,42 +257,52 @@ def _build_explainer(model, log_odds_scale: float) -> TreeExplainerTables:
 
 
 def tree_shap(model, assembled: DataFrame, features_col: str = "features",
-              key: str = KEY, keep: list[str] | None = None) -> DataFrame:
-    """key, attr_values, attr_impacts (log-odds), base_value, margin -- one pass, mapInPandas."""
+              key: str = KEY, keep: list[str] | None = None, n_features: int | None = None) -> DataFrame:
+    """key, attr_values, attr_impacts (log-odds), base_value, margin -- one pass in Arrow batches, on tables and streams.
+
+    ``n_features`` is read from the vector's attributes, or else from a row, which a stream does not give."""
     tables = explainer_for(model)
-    n_features = len(assembled.select(features_col).schema[0].metadata.get("ml_attr", {})
-                     .get("attrs", {}).get("numeric", [])) or None
+    if n_features is None:
+        n_features = len(assembled.select(features_col).schema[0].metadata.get("ml_attr", {})
+                         .get("attrs", {}).get("numeric", [])) or None
     spark = assembled.sparkSession
     ship_package(spark)
-    bc = spark.sparkContext.broadcast(tables)
+    bc = spark.sparkContext.broadcast(tables)      # model-sized; Spark drops it when the plan is gone
     keep = keep or []
-    # ~1 ms of Python per row: spread the rows over every core before mapInPandas (a
-    # round-robin shuffle is cheap next to the explanation itself)
-    parts = 2 * spark.sparkContext.defaultParallelism
+    # ~1 ms of Python per row: spread the rows before the explanation (a round-robin shuffle is cheap next to it), over
+    # as many tasks as the session's shuffles have, which grows with the data, and over every core at least
+    parts = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     src = (assembled.select(key, *keep, vector_to_array(features_col).alias("attr_values"))
            .repartition(parts))
     if n_features is None:
         n_features = len(src.first()["attr_values"])
-    nf = int(n_features)
+    nf, at = int(n_features), 1 + len(keep)
     base = float(tables.base)
+    schema = T.StructType([*src.schema.fields[:at], *(T.StructField(n, t) for n, t in (
+        ("attr_values", T.ArrayType(T.DoubleType())), ("attr_impacts", T.ArrayType(T.DoubleType())),
+        ("base_value", T.DoubleType()), ("margin", T.DoubleType())))])
+    arrow = to_arrow_schema(schema)
 
     def run(batches):
         t = bc.value
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.vstack(pdf["attr_values"].to_numpy()).astype(float)
+        for b in batches:
+            x = b.column(at).flatten().to_numpy(zero_copy_only=False).reshape(-1, nf)
             phi, margin = t.explain(x, nf)
-            out = pdf[[key, *keep, "attr_values"]].copy()
-            out["attr_impacts"] = list(phi)
-            out["base_value"] = base
-            out["margin"] = margin + 0.0
-            yield out
+            ends = pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * nf)
+            lists = [pa.ListArray.from_arrays(ends, pa.array(v.ravel())) for v in (x, phi)]
+            yield pa.RecordBatch.from_arrays(
+                [c.cast(k) for c, k in zip([*b.columns[:at], *lists, pa.array(np.full(b.num_rows, base)), pa.array(margin + 0.0)], arrow.types)],
+                names=arrow.names)
+
+    return src.mapInArrow(run, schema)
+
 
-    fields = ", ".join(f"`{c}` {assembled.schema[c].dataType.simpleString()}" for c in keep)
-    schema = (f"`{key}` string, " + (fields + ", " if fields else "")
-              + "attr_values array<double>, attr_impacts array<double>, base_value double, margin double")
-    return src.mapInPandas(run, schema)
+def explained(model, feature_model, encoded: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Encoded rows scored by a boosted model with their attributions: key, ``keep``, attr_values, attr_impacts, base_value, margin, p.
+
+    p comes from the same pass, whose margin is the model's log-odds. No row needs another, so streams work too."""
+    rows = tree_shap(model, feature_model.assemble(encoded), keep=keep, n_features=len(feature_model.feature_names))
+    return rows.withColumn("p", logistic(F.col("margin")))
 
 
 # --------------------------------------------------------------- sampled (any model)
@@ -334,30 +352,111 @@ def sampled_shapley(model, explained: DataFrame, background: DataFrame, n_featur
     return per_key.select(key, F.col("x").alias("attr_values"), mean.alias("attr_impacts"), "base_value")
 
 
-def brute_force_path_shap(nodes: dict[int, dict], x: np.ndarray) -> tuple[np.ndarray, float]:
-    """Reference implementation for tests: exact Shapley over all feature subsets with the
-    recursive path-dependent expectation (exponential; tiny trees only)."""
-    feats = sorted({n["feat"] for n in nodes.values() if n["left"] >= 0})
-
-    def expect(nid, s):
-        n = nodes[nid]
-        if n["left"] < 0:
-            return n["pred"]
-        f = n["feat"]
-        if f in s:
-            go_left = (x[f] <= n["thr"][0]) if not (n["ncat"] and n["ncat"] > 0) else (x[f] in set(n["thr"]))
-            return expect(n["left"] if go_left else n["right"], s)
-        lc, rc = nodes[n["left"]]["cover"], nodes[n["right"]]["cover"]
-        return (lc * expect(n["left"], s) + rc * expect(n["right"], s)) / (lc + rc)
-
-    d = len(feats)
-    phi = np.zeros(int(max(feats) + 1) if feats else 0)
-    import itertools
-    for i in feats:
-        others = [f for f in feats if f != i]
-        for r in range(d):
-            for sub in itertools.combinations(others, r):
-                wgt = math.factorial(r) * math.factorial(d - r - 1) / math.factorial(d)
-                phi[i] += wgt * (expect(0, set(sub) | {i}) - expect(0, set(sub)))
-    return phi, expect(0, set())
+# ---------------------------------------------------------------- Kernel SHAP (any model)
+def background_centres(background: DataFrame, k: int, features_col: str = "features", seed: int = 42) -> list[tuple[list[float], float]]:
+    """(centre, weight) of ``k`` clusters of the background rows, weights summing to 1; one centre is their mean."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.stat import Summarizer
+
+    if k == 1:
+        row = background.agg(Summarizer.mean(F.col(features_col)).alias("m"), F.count(F.lit(1)).alias("n")).first()
+        return [(list(map(float, row["m"])), 1.0)] if row["n"] else []
+    model = KMeans(k=k, seed=seed, featuresCol=features_col, predictionCol="_c").fit(background)
+    sizes = {r["_c"]: r["n"] for r in model.transform(background).groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(sizes.values())
+    return [(list(map(float, c)), sizes[i] / total) for i, c in enumerate(model.clusterCenters()) if sizes.get(i)]
+
+
+def paired_coalitions(d: int, pairs: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray]:
+    """(z, weight): at most 2 x ``pairs`` coalitions of d features, each with its complement, and their Shapley kernel weights.
+
+    Sizes are enumerated from the outside (1 and d - 1 first) while a whole size fits; the mass of the other sizes is
+    shared by coalitions drawn from them, repeated draws adding up."""
+    rng, left = np.random.default_rng(seed), pairs
+    rows: dict[bytes, float] = {}
+    sizes = list(range(1, d // 2 + 1))
+    mass = {s: (d - 1) / (s * (d - s)) * (1 if 2 * s == d else 2) for s in sizes}      # both of a pair
+    drawn = []
+    for s in sizes:
+        whole = math.comb(d, s) // (2 if 2 * s == d else 1)
+        if drawn or whole > left:
+            drawn.append(s)
+            continue
+        for members in itertools.combinations(range(d), s):
+            z = np.zeros(d, bool)
+            z[list(members)] = True
+            if 2 * s < d or z[0]:
+                rows[z.tobytes()] = mass[s] / whole
+        left -= whole
+    if drawn and left:
+        p = np.array([mass[s] for s in drawn])
+        for s in rng.choice(drawn, left, p=p / p.sum()):
+            z = np.zeros(d, bool)
+            z[rng.permutation(d)[:s]] = True
+            if 2 * s == d and not z[0]:
+                z = ~z
+            rows[z.tobytes()] = rows.get(z.tobytes(), 0.0) + p.sum() / left
+    z = np.array([np.frombuffer(k, bool) for k in rows]).reshape(len(rows), d)
+    w = np.array(list(rows.values())) / 2
+    return np.concatenate([z, ~z]), np.concatenate([w, w])
+
+
+def kernel_solution(z: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(g, h) with impacts = g (v - base) + h (f(x) - base): the weighted least squares over the coalitions, its impacts made
+    to add up to f(x) - base. One small solve for all rows, as the coalitions are theirs alike."""
+    x = z.astype(float)
+    normal = np.linalg.pinv(x.T @ (x * w[:, None]))
+    ones = normal.sum(axis=1)
+    right = x.T * w
+    return normal @ right - np.outer(ones, ones @ right) / ones.sum(), ones / ones.sum()
+
+
+def kernel_shap(model, explained: DataFrame, centres: list[tuple[list[float], float]], n_features: int, features_col: str = "features",
+                key: str = KEY, pairs: int | None = None, link: str = "identity", seed: int = 42) -> DataFrame:
+    """Kernel SHAP (Lundberg & Lee, 2017) of P(class 1) for every row of ``explained`` (key, features; distinct keys).
+
+    Each row is scored by the model's own ``transform`` at paired coalitions with the weighted ``centres`` of a background
+    (``background_centres``), 2 x ``pairs`` x centres points a row, ``pairs`` = 2 d by default. The rows are placed by key once: their points
+    are exploded, scored and gathered again where they are. Exact for a model that is linear in the ``link`` ('identity', 'logit') and, at
+    any model, where ``pairs`` covers all coalitions. base_value + sum(impacts) = link(f(x)). No centres: no rows.
+    Output: key, attr_values, attr_impacts, base_value."""
+    d = n_features
+    ex = explained.select(key, vector_to_array(features_col).alias("x")).repartition(key)
+    if not centres:
+        return ex.select(key, F.col("x").alias("attr_values"), F.col("x").alias("attr_impacts"), F.lit(0.0).alias("base_value")).where(F.lit(False))
+    z, w = paired_coalitions(d, 2 * d if pairs is None else pairs, seed)
+    z = np.concatenate([z, np.ones((1, d), bool)])                       # the last one is the row itself
+    constant = lambda value, kind: F.from_json(F.lit(json.dumps(value)), kind)  # noqa: E731 -- one literal in the plan
+    shares = np.array([s for _, s in centres])
+    probability = vector_to_array("probability")[1]
+    at_centre = model.transform(explained.sparkSession.createDataFrame([(i, Vectors.dense(c)) for i, (c, _) in enumerate(centres)], ["c", features_col]))
+    f_base = [r["f"] for r in at_centre.select("c", probability.alias("f")).orderBy("c").collect()]       # a row a centre
+    mixed = F.zip_with("x", F.zip_with(F.split("z", ","), "b", lambda on, b: F.when(on == "0", b)), lambda v, b: F.coalesce(b, v))
+    coalitions = constant([",".join("1" if on else "0" for on in row) for row in z], "array<string>")
+    points = (ex.select(key, "x", F.posexplode(coalitions).alias("j", "z"))
+              .select(key, "x", "j", "z", F.posexplode(constant([c for c, _ in centres], "array<array<double>>")).alias("c", "b"))
+              .select(key, "x", "j", "c", array_to_vector(mixed).alias(features_col)))
+    scored = model.transform(points).select(key, "x", "j", "c", probability.alias("f"))
+    rows = scored.groupBy(key).agg(F.first("x").alias("attr_values"), F.transform(
+        F.sort_array(F.collect_list(F.struct("j", "c", "f"))), lambda s: s["f"]).alias("f"))
+    g, h = kernel_solution(z[:-1], w)
+    ship_package(explained.sparkSession)
+    schema = T.StructType([*rows.schema.fields[:2], T.StructField("attr_impacts", T.ArrayType(T.DoubleType())), T.StructField("base_value", T.DoubleType())])
+    arrow = to_arrow_schema(schema)
+
+    def linked(f: np.ndarray) -> np.ndarray:
+        return np.log(f) - np.log1p(-f) if link == "logit" else f
+
+    base = float(linked(shares @ np.array(f_base)))
 
+    def run(batches):
+        for b in batches:
+            f = b.column(2).flatten().to_numpy().reshape(b.num_rows, len(z), len(centres))
+            v = linked(f @ shares)
+            phi = (v[:, :-1] - base) @ g.T + (v[:, -1:] - base) * h
+            ends = pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * d)
+            yield pa.RecordBatch.from_arrays([b.column(0).cast(arrow.types[0]), b.column(1).cast(arrow.types[1]),
+                                              pa.ListArray.from_arrays(ends, pa.array(phi.ravel())).cast(arrow.types[2]),
+                                              pa.array(np.full(b.num_rows, base))], names=arrow.names)
+
+    return rows.mapInArrow(run, schema)

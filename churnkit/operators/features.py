@@ -77,11 +77,6 @@ def money_sum(c: str | Column) -> Column:
     return F.sum(c.cast("decimal(12,2)"))
 
 
-def exact_mean(c: str) -> Column:
-    """Mean of a 2-decimal amount from an exact DECIMAL sum (engine-independent bits)."""
-    return money_sum(c).cast("double") / F.count(c)
-
-
 @dataclass
 class FeatureModel:
     """Learned statistics for cleaning / engineering / encoding."""
@@ -157,13 +152,6 @@ class FeatureModel:
     def feature_names(self) -> list[str]:
         return list(NUMERIC_FEATURES) + [name for _, _, name in self.dummy_columns()]
 
-    def encoder_rows(self) -> list[tuple[str, str, int, int, str | None]]:
-        rows = []
-        for c, vals in self.levels().items():
-            for i, v in enumerate(vals):
-                rows.append((c, v, i, 1 if i == 0 else 0, None if i == 0 else f"{c}_{v}"))
-        return rows
-
     # ----------------------------------------------------------- transform
     def clean(self, df: DataFrame) -> DataFrame:
         """Safe cast + median imputation of TotalCharges; binary label if present."""

@@ -13,8 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnkit.functions.expr import logistic, prediction, risk_tier, score_band
-from churnkit.schema import KEY
+from churnkit.operators.validation import with_errors
+from churnkit.schema import KEY, REQUEST
 from churnkit.sources.fixture import SCORECARD, SCORECARD_INTERCEPT
+from churnkit.sources.requests import with_request_defaults
 
 
 # ------------------------------------------------------------------ scorecard
@@ -104,6 +106,20 @@ def score_batch(scored: DataFrame, feature_names: list[str], k: int = 5, records
     )
 
 
+def score_elements(elements: DataFrame, feature_model) -> DataFrame:
+    """The batch endpoint's answer, a row an element of ``sources.requests.request_elements``: source, position, n_elements, customerID,
+    churn_probability, churn_prediction, risk_level, or the error and no score. One projection: no element waits for another."""
+    judged = with_errors(elements, "wrong").drop("wrong", "element")
+    fine = F.col("error").isNull()
+    fields = {f.name for f in REQUEST.fields}
+    kept = judged.select(*[F.when(fine, F.col(c)).alias(c) if c in fields and c != KEY else F.col(c) for c in judged.columns])
+    encoded = feature_model.transform(with_request_defaults(kept))
+    others = [c for c in judged.columns if c not in fields or c == KEY]
+    scored = scorecard_score(encoded, keep=others)
+    answer = {"churn_probability": F.round("p", 4), "churn_prediction": prediction(F.col("p")), "risk_level": risk_tier(F.col("p"))}
+    return scored.select(*others, *[F.when(fine, c).alias(n) for n, c in answer.items()])
+
+
 def score_bands(scored: DataFrame) -> DataFrame:
     return scored.groupBy(score_band(F.col("p")).alias("band")).agg(
         F.count(F.lit(1)).alias("customers"))

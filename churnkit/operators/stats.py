@@ -1,12 +1,10 @@
-"""Exact order statistics without a single-task merge.
-
-``percentile``/``median`` as a global aggregate merges every partition's value->count
-map in ONE task. ``median_from_counts`` works on the distinct (value, count) table
-instead, in one job: values fall into order-preserving buckets (1/16 decade of |v|,
-signed), bucket totals give running offsets (a table of a few hundred rows, broadcast),
-a window inside each bucket gives every value's rank range, and only the one or two
-middle values reach the driver. Work per task is bounded by the distinct values of one
-bucket, not by the data.
+"""Exact order statistics and running sums over value ranges that the data choose.
+
+A running sum over all values, or ``percentile`` as a global aggregate, ends in ONE task. Here the values are cut into
+ranges of about equal numbers of rows: a mergeable quantile sketch (KLL) of the values gives the cut points, so values crowded
+into a narrow interval are spread as evenly as any others. The scan has two levels: range totals (one row a range) are
+summed up in order and broadcast back, and a window inside each range does the rest. Work per task is bounded by the rows of
+one range; results do not depend on where the cuts fall, so the sketch's error costs balance only.
 """
 
 from __future__ import annotations
@@ -14,36 +12,67 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS_PER_DECADE = 16
+MAX_SKETCH = 65535         # the largest accuracy parameter a KLL sketch takes
+
+
+def range_count(df: DataFrame) -> int:
+    """As many ranges as the session's shuffles have tasks, but at least two a core; the cut points are a plan literal."""
+    spark = df.sparkSession
+    return min(8192, max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def cut_points(df: DataFrame, value: str, ranges: int) -> list[float]:
+    """At most ``ranges`` - 1 ascending values that cut the rows into about equal parts: one aggregate, no sort."""
+    ranks = [i / ranges for i in range(1, ranges)]
+    sketch = F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(min(MAX_SKETCH, max(200, 8 * ranges))))
+    clean = df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    row = clean.agg(F.when(F.count(F.lit(1)) > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(ranks))).alias("q")).first()
+    return sorted(set(row["q"] or []))
 
 
-def monotone_bucket(v: Column) -> Column:
-    """An integer that never decreases as v increases (no statistics pass needed)."""
-    return F.floor(F.signum(v) * F.log10(F.abs(v) + 1) * BUCKETS_PER_DECADE).cast("int")
+def range_of(value: Column, cuts: list[float]) -> Column:
+    """How many cut points are below the value: a binary search in the JVM."""
+    if not cuts:
+        return F.lit(0)
+    bits = len(cuts).bit_length()
+    padded = F.lit(cuts + [float("inf")] * (2 ** bits - 1 - len(cuts)))
+    steps = F.lit([2 ** b for b in reversed(range(bits))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.element_at(padded, at + step) < value, at + step).otherwise(at))
 
 
-def running_count(counts: DataFrame, value: str = "v", count: str = "c") -> DataFrame:
+def prefix_sum(df: DataFrame, order_col: str, value_col: str, out: str = "prefix", total: str | None = None,
+               ranges: int | None = None) -> DataFrame:
+    """Adds the sum of ``value_col`` over the rows with a smaller ``order_col`` (distinct, not NULL), and the ``total`` of all.
+
+    ``df`` is read three times: pass a stage table or a cached one."""
+    cuts = cut_points(df, order_col, ranges or range_count(df))
+    b = df.where(F.col(order_col).isNotNull()).withColumn("_r", range_of(F.col(order_col).cast("double"), cuts))
+    totals = b.groupBy("_r").agg(F.sum(value_col).alias("_t"))
+    every = [F.sum("_t").over(Window.partitionBy()).alias(total)] if total else []
+    offsets = totals.select("_r", (F.sum("_t").over(Window.orderBy("_r")) - F.col("_t")).alias("_o"), *every)
+    w = Window.partitionBy("_r").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    return (b.join(F.broadcast(offsets), "_r")          # one row a range: at most 8192
+            .withColumn(out, F.coalesce(F.sum(value_col).over(w), F.lit(0)) + F.col("_o"))
+            .drop("_r", "_o"))
+
+
+def running_count(counts: DataFrame, value: str = "v", count: str = "c", ranges: int | None = None) -> DataFrame:
     """Adds ``before`` (rows with a smaller value) and ``n_total`` to a (value, count) table."""
-    b = counts.withColumn("_b", monotone_bucket(F.col(value)))
-    totals = b.groupBy("_b").agg(F.sum(count).alias("_t"))
-    offsets = totals.select("_b", (F.sum("_t").over(Window.orderBy("_b")) - F.col("_t")).alias("_o"),
-                            F.sum("_t").over(Window.partitionBy()).alias("n_total"))
-    w = Window.partitionBy("_b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return (b.join(F.broadcast(offsets), "_b")          # one row per bucket: bounded
-            .withColumn("before", F.coalesce(F.sum(count).over(w), F.lit(0)) + F.col("_o"))
-            .drop("_b", "_o"))
+    return prefix_sum(counts, value, count, "before", "n_total", ranges)
 
 
 def exact_median(df: DataFrame, col: str | Column) -> float | None:
     """Median with linear interpolation (same as ``percentile(x, 0.5)``), NULLs ignored."""
+    from churnkit.session import materialize
+
     x = F.col(col) if isinstance(col, str) else col
     counts = (df.select(x.cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
               .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    return median_from_counts(counts)
+    return median_from_counts(materialize(counts, "value-counts"))
 
 
 def median_from_counts(counts: DataFrame) -> float | None:
-    """Median of a distribution given as distinct values ``v`` with counts ``c`` (one job)."""
+    """Median of a distribution given as distinct values ``v`` with counts ``c``, a stage or cached table."""
     r = running_count(counts)
     lo_k = F.floor((F.col("n_total") - 1) / 2) + 1        # 1-based ranks of the middle value(s)
     hi_k = F.floor(F.col("n_total") / 2) + 1

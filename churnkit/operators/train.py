@@ -8,8 +8,9 @@ Three model families on Spark ML, fitted on the assembled 45-feature vector:
                    scaler is always saved and applied with the network.
 
 Random search draws n distinct candidates from the full grid with a seeded RNG (index
-decoding of the mixed-radix grid, never materialising it) and hands them to
-``CrossValidator`` with the stratified ``fold`` column of ``sampling.stratified_split``.
+decoding of the mixed-radix grid, never materialising it) and judges them on the
+stratified ``fold`` column of ``sampling.stratified_split`` (``search``): results are rows of
+a table, so a search that was cut off goes on where it was, and weak candidates stop after one fold.
 Fits run on executors; ``parallelism`` overlaps candidate fits from driver threads.
 The training table is checkpointed once (lineage cut, survives executor loss) and reused
 by every fit.
@@ -17,20 +18,27 @@ by every fit.
 
 from __future__ import annotations
 
+import json
+import math
 import random
+import threading
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnkit.operators.evaluate import class_metrics, roc_auc
+from churnkit.operators.evaluate import score_metrics
 from churnkit.schema import KEY, LABEL
+from churnkit.session import materialize, stage_path
+
+# Rows of a task in a fit: a tree level costs a scan, a network step a matrix product a row.
+GBT_ROWS, MLP_ROWS = 50_000, 1_500
+GBT_CHECKPOINT = 25                # boosting steps between two checkpoints of the residuals' lineage
 
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc"]
 
@@ -97,8 +105,8 @@ def with_weights(df: DataFrame, weights=(1, 2, 3), label: str = LABEL) -> DataFr
 def _gbt(params: dict, seed: int = 42) -> GBTClassifier:
     p = dict(params)
     w = p.pop("pos_weight", 1)
-    est = GBTClassifier(featuresCol="features", labelCol="label", seed=seed, checkpointInterval=10,
-                        weightCol=f"w{w}", **p)
+    est = GBTClassifier(featuresCol="features", labelCol="label", seed=seed, checkpointInterval=GBT_CHECKPOINT,
+                        cacheNodeIds=False, weightCol=f"w{w}", **p)
     return est
 
 
@@ -112,25 +120,6 @@ def _mlp(params: dict, n_features: int, seed: int = 42) -> Pipeline:
     return Pipeline(stages=[scaler, net])
 
 
-def _param_maps(est, points: list[dict], kind: str, n_features: int):
-    """Estimator param maps for CrossValidator from grid points."""
-    maps = []
-    for pt in points:
-        if kind == "mlp":
-            pipe = _mlp(pt, n_features)
-            net = pipe.getStages()[1]
-            net_stage = est.getStages()[1]
-            m = {net_stage.getParam(k): v for k, v in net.extractParamMap().items()
-                 if k.name in ("layers", "maxIter", "tol")}
-        else:
-            p = dict(pt)
-            w = p.pop("pos_weight", 1)
-            m = {est.getParam(k): v for k, v in p.items()}
-            m[est.getParam("weightCol")] = f"w{w}"
-        maps.append(m)
-    return maps
-
-
 def fit_concurrently(fits: dict) -> dict:
     """Run independent fits from driver threads (Spark schedules their jobs side by side,
     filling cores an iterative fit leaves idle between its short stages)."""
@@ -148,28 +137,85 @@ class TrainResult:
     best: str | None = None
 
 
+def default_params(kind: str) -> dict:
+    """What an untuned fit of a family runs with, early stopping and task sizes aside."""
+    return {"gbt": GBT_DEFAULT, "gbt_weighted": GBT_WEIGHTED_DEFAULT, "mlp": {**MLP_DEFAULT, **EARLY_STOP}}[kind]
+
+
+def estimator(kind: str, params: dict, n_features: int, seed: int = 42):
+    return _mlp(params, n_features, seed) if kind == "mlp" else _gbt(params, seed)
+
+
 def fit_model(kind: str, train: DataFrame, n_features: int, tune: bool = False,
               budget: int | None = None, seed: int = 42, parallelism: int = 2,
-              overrides: dict | None = None):
-    """Fit one family (optionally random search + 3-fold CV on the ``fold`` column)."""
-    if kind == "mlp":
-        base_params = {**MLP_DEFAULT, **(overrides or {})}
-        est = _mlp(base_params, n_features, seed)
-        grid = MLP_GRID
-    else:
-        default = GBT_DEFAULT if kind == "gbt" else GBT_WEIGHTED_DEFAULT
-        base_params = {**default, **(overrides or {})}
-        est = _gbt(base_params, seed)
-        grid = GBT_GRID if kind == "gbt" else GBT_WEIGHTED_GRID
+              overrides: dict | None = None, results: str | None = None):
+    """Fit one family; with ``tune`` the winner of a random search over the folds, refitted on all training rows.
+
+    ``results`` is the search's table (see ``search``); a folder of its own by default."""
     if not tune:
-        if kind == "mlp" and base_params.get("early_stopping", True):
-            return fit_mlp_early_stopping(train, n_features, base_params, seed)
-        return est.fit(train)
-    points = draw_grid(grid, budget or SEARCH_BUDGET[kind], seed)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=_param_maps(est, points, kind, n_features),
-                        evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"),
-                        foldCol="fold", parallelism=parallelism, seed=seed, collectSubModels=False)
-    return cv.fit(train).bestModel
+        params = {**{"gbt": GBT_DEFAULT, "gbt_weighted": GBT_WEIGHTED_DEFAULT, "mlp": MLP_DEFAULT}[kind], **(overrides or {})}
+        if kind == "mlp" and params.get("early_stopping", True):
+            return fit_mlp_early_stopping(train, n_features, params, seed)
+        return estimator(kind, params, n_features, seed).fit(spread(train, GBT_ROWS))
+    grid = {"gbt": GBT_GRID, "gbt_weighted": GBT_WEIGHTED_GRID, "mlp": MLP_GRID}[kind]
+    points = [{**p, **(overrides or {})} for p in draw_grid(grid, budget or SEARCH_BUDGET[kind], seed)]
+    results = results or stage_path(train.sparkSession, f"search-{uuid.uuid4().hex}")
+    best = search(kind, train, n_features, points, results, seed=seed, parallelism=parallelism)
+    return estimator(kind, best["params"], n_features, seed).fit(spread(train, MLP_ROWS if kind == "mlp" else GBT_ROWS))
+
+
+SEARCH_SCHEMA = "candidate int, params string, fold int, roc_auc double"
+
+
+def search(kind: str, train: DataFrame, n_features: int, points: list[dict], results: str, folds: int = 3, keep: float = 0.5,
+           seed: int = 42, parallelism: int = 2, max_fits: int | None = None) -> dict | None:
+    """Random search over the stratified ``fold`` column whose results are a table, so a lost driver resumes.
+
+    Every candidate is fitted without fold 0 and judged on it; the better ``keep`` share (at least one) goes on to the other folds.
+    Each (candidate, fold) is a row of the Parquet table at ``results`` as soon as it is judged, and what
+    the table holds is not fitted again; a table of other candidates is an error. The winner has the highest mean AUC of those judged
+    on all folds, ties to the earlier candidate: {candidate, params, roc_auc, fits (of this run)}. ``max_fits`` ends
+    this run early and returns None."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    spark = train.sparkSession
+    spark.createDataFrame([], SEARCH_SCHEMA).write.mode("append").parquet(results)
+    texts = [json.dumps(p, sort_keys=True) for p in points]
+    done: dict[tuple[int, int], float] = {}
+    for r in spark.read.schema(SEARCH_SCHEMA).parquet(results).collect():          # candidates x folds rows
+        if r["candidate"] >= len(texts) or texts[r["candidate"]] != r["params"]:
+            raise ValueError(f"{results} holds another search: candidate {r['candidate']} is {r['params']}")
+        done[r["candidate"], r["fold"]] = r["roc_auc"]
+    fits, writing = 0, threading.Lock()
+
+    def judge(c: int, f: int) -> None:
+        rest = spread(train.where(F.col("fold") != f), MLP_ROWS if kind == "mlp" else GBT_ROWS)
+        model = estimator(kind, points[c], n_features, seed).fit(rest)
+        scored = positive_probability(model, train.where(F.col("fold") == f)).select(F.col("label").cast("int").alias(LABEL), "p")
+        auc = score_metrics(scored, LABEL, "p").first()["roc_auc"]
+        with writing:                                   # one append at a time: they share a commit folder
+            spark.createDataFrame([(c, texts[c], f, auc)], SEARCH_SCHEMA).coalesce(1).write.mode("append").parquet(results)
+        done[c, f] = auc
+
+    def judge_all(pairs: list[tuple[int, int]]) -> bool:
+        nonlocal fits
+        todo = [p for p in pairs if p not in done]
+        now = todo if max_fits is None else todo[:max(0, max_fits - fits)]
+        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+            list(pool.map(lambda p: judge(*p), now))
+        fits += len(now)
+        return len(now) == len(todo)
+
+    score = lambda a: -1.0 if a is None else a  # noqa: E731 -- a fold of one class has no AUC
+    if not points or not judge_all([(c, 0) for c in range(len(points))]):
+        return None
+    order = sorted(range(len(points)), key=lambda c: (-score(done[c, 0]), c))
+    going = sorted(order[:max(1, math.ceil(keep * len(points)))])
+    if not judge_all([(c, f) for c in going for f in range(1, folds)]):
+        return None
+    mean = {c: sum(score(done[c, f]) for f in range(folds)) / folds for c in going}
+    best = max(going, key=lambda c: (mean[c], -c))
+    return {"candidate": best, "params": points[best], "roc_auc": mean[best], "fits": fits}
 
 
 def _log_loss(model, df: DataFrame) -> float:
@@ -199,9 +245,7 @@ def fit_mlp_early_stopping(train: DataFrame, n_features: int, params: dict, seed
     fit_part = parts.where(F.col("split") == "train").drop("split", "fold")
     val_part = parts.where(F.col("split") == "test").drop("split", "fold")
     scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(fit_part)
-    from churnkit.session import materialize
-
-    fit_s = materialize(scaler.transform(fit_part), "mlp-fit")
+    fit_s = materialize(spread(scaler.transform(fit_part), MLP_ROWS), "mlp-fit")
     val_s = materialize(scaler.transform(val_part), "mlp-validation")
     layers = [n_features, *hidden, 2]
     weights, best_loss, best, stale, done = None, float("inf"), None, 0, 0
@@ -232,32 +276,34 @@ def positive_probability(model, df: DataFrame) -> DataFrame:
 
 
 def evaluate_model(name: str, model, test: DataFrame) -> DataFrame:
-    """One row: model, accuracy, precision, recall, f1, roc_auc (test split)."""
-    scored = positive_probability(model, test).select(F.col("label").cast("int").alias(LABEL), "p",
-                                                      "prediction").persist()
-    m = class_metrics(scored, LABEL, "prediction")
-    a = roc_auc(scored, LABEL, "p")
-    row_m, row_a = m.first(), a.first()
-    scored.unpersist()
-    spark = test.sparkSession
-    return spark.createDataFrame(
-        [(name, row_m["accuracy"], row_m["precision"], row_m["recall"], row_m["f1"], row_a["roc_auc"])],
-        "model string, accuracy double, precision double, recall double, f1 double, roc_auc double")
-
-
-def prepare_training(assembled: DataFrame, split: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(train, test) with label DOUBLE, weight columns and folds; train is checkpointed."""
-    joined = (assembled.join(split.select(KEY, "split", "fold"), KEY)
-              .withColumn("label", F.col(LABEL).cast("double")))
-    joined = with_weights(joined)
-    cols = [KEY, "features", "label", "fold", "w1", "w2", "w3"]
-    # iterative fits scan this table hundreds of times: spread it over every core (an
-    # explicit count, so AQE does not coalesce it into one task) and cut the lineage
-    parts = max(2, assembled.sparkSession.sparkContext.defaultParallelism)
-    train = (joined.where(F.col("split") == "train").select(*cols)
-             .repartition(parts).checkpoint(eager=True))
-    test = joined.where(F.col("split") == "test").select(*cols)
-    return train, test
+    """One row: model, accuracy, precision, recall, f1, roc_auc (test split); the model runs once, in one job."""
+    scored = positive_probability(model, test).select(F.col("label").cast("int").alias(LABEL), "p")
+    row = score_metrics(scored, LABEL, "p").first()
+    return test.sparkSession.createDataFrame([(name, *(row[m] for m in METRICS))],
+                                             "model string, accuracy double, precision double, recall double, f1 double, roc_auc double")
+
+
+def spread(train: DataFrame, rows_per_task: int) -> DataFrame:
+    """The training rows in tasks of a bounded number of rows: iterative fits scan them hundreds of times, and AQE would
+    coalesce them into one task. Takes a count."""
+    return train.repartition(max(1, -(-train.count() // rows_per_task)))
+
+
+def prepare_training(assembled: DataFrame, split: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(train, test) with label DOUBLE, weight columns and folds; train is checkpointed. ``assembled`` carries its split and
+    fold, or ``split`` has them by key."""
+    rows = assembled if split is None else assembled.join(split.select(KEY, "split", "fold"), KEY)
+    return _rows_of(rows, "train").checkpoint(eager=True), test_rows(rows)     # training rows are read by every fit
+
+
+def _rows_of(rows: DataFrame, part: str) -> DataFrame:
+    rows = with_weights(rows.where(F.col("split") == part).withColumn("label", F.col(LABEL).cast("double")))
+    return rows.select(KEY, "features", "label", "fold", "w1", "w2", "w3")
+
+
+def test_rows(rows: DataFrame) -> DataFrame:
+    """The test part of assembled rows that carry their split."""
+    return _rows_of(rows, "test")
 
 
 def train_and_compare(train: DataFrame, test: DataFrame, n_features: int,
@@ -304,13 +350,3 @@ def metadata(comparison: DataFrame, best_kind: str, n_features: int, split: Data
 def save_models(res: TrainResult, path: str) -> None:
     for kind, model in res.models.items():
         model.write().overwrite().save(f"{path}/{kind}")
-
-
-def load_model(path: str):
-    """Load a saved model of any family (PipelineModel or GBT)."""
-    from pyspark.ml.classification import GBTClassificationModel
-    try:
-        return PipelineModel.load(path)
-    except Exception:  # noqa: BLE001
-        return GBTClassificationModel.load(path)
-

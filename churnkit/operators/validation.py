@@ -15,8 +15,8 @@ from churnkit.operators.features import parse_number
 from churnkit.schema import DOMAINS, KEY, RANGES
 
 
-def rules(df: DataFrame) -> list[tuple[str, Column]]:
-    """(rule name, violated?) for every enumerated field and numeric range present."""
+def rules(df: DataFrame, need_key: bool = True) -> list[tuple[str, Column]]:
+    """(rule name, violated?) for every enumerated field and numeric range present, and for the key if it is needed."""
     out = []
     for c, allowed in DOMAINS.items():
         if c in df.columns:
@@ -32,7 +32,7 @@ def rules(df: DataFrame) -> list[tuple[str, Column]]:
         out.append((f"{c}_out_of_range", x.isNotNull() & ((x < lo) | (x > hi))))
     if "_corrupt_record" in df.columns:
         out.append(("malformed_record", F.col("_corrupt_record").isNotNull()))
-    if KEY in df.columns:
+    if need_key and KEY in df.columns:
         whole = F.col("_corrupt_record").isNull() if "_corrupt_record" in df.columns else F.lit(True)
         out.append((f"{KEY}_missing", F.col(KEY).isNull() & whole))
     return out
@@ -49,6 +49,16 @@ def validate_records(df: DataFrame, key: str = KEY) -> DataFrame:
         (F.size("_v") == 0).cast("int").alias("is_valid"))
 
 
+def with_errors(df: DataFrame, wrong: str) -> DataFrame:
+    """Adds ``error``: the '; '-joined names in the ``wrong`` column and of the rules that the record breaks; NULL if none.
+
+    The record's place is its key, so it needs no other. One that could not be read at all is judged by no rule."""
+    names = F.filter(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules(df, need_key=False)]), lambda x: x.isNotNull())
+    unread = F.arrays_overlap(F.col(wrong), F.array(F.lit("malformed_record"), F.lit("not_an_array")))
+    names = F.concat(F.col(wrong), F.when(unread, F.array().cast("array<string>")).otherwise(names))
+    return df.withColumn("error", F.nullif(F.array_join(names, "; "), F.lit("")))
+
+
 def split_valid(df: DataFrame, key: str = KEY) -> tuple[DataFrame, DataFrame]:
     """(valid rows, quarantined rows with their error) from one projection."""
     rs = rules(df)

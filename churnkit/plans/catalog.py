@@ -7,18 +7,20 @@ come from ``FeatureModel.fit`` over the same whole table, like the reference pip
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnkit.operators import evaluate, offers, profile, revenue, sampling, scoring
+from churnkit.operators import evaluate, offers, profile, revenue, sampling, scoring, sketches, sparse, train
 from churnkit.operators.features import FeatureModel, category_levels, churn_flag
 from churnkit.operators.validation import validate_records
 from churnkit.schema import KEY, LABEL, NUMERIC_FEATURES
-from churnkit.session import materialize
-from churnkit.sources.fixture import subscriber_raw
-from churnkit.sources.requests import requests_from_subscribers, with_request_defaults
+from churnkit.session import materialize, stage_path
+from churnkit.sources import io
+from churnkit.sources.fixture import read_table, subscriber_raw
+from churnkit.sources.requests import read_request_bodies, request_elements, requests_from_subscribers, with_request_defaults
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,7 +90,7 @@ def q_encoder_categories(spark, sf):
 def q_features_for_requests(spark, sf):
     raw, fm = _fit(spark, sf)
     req = with_request_defaults(requests_from_subscribers(raw))
-    return fm.transform(req)
+    return fm.align(fm.transform(req))
 
 
 def q_request_validation(spark, sf):
@@ -229,6 +231,88 @@ def q_prompt_table(spark, sf):
     return offers.prompt_table(_scored(spark, sf))
 
 
+def q_features_sparse(spark, sf):
+    """F9 / AG13 by lookup: the entries of the sparse feature vectors that are not zero."""
+    raw, fm = _fit(spark, sf)
+    return sparse.nonzero_entries(sparse.vectorize(fm, fm.engineer(fm.clean(raw))), [KEY])
+
+
+def request_lines(raw, *keep: str):
+    """(keep, value): the table's records as JSON requests, some broken by the first hex digit of md5(customerID): 0 cut off,
+    1 tenure is text, 2 unknown contract, 3 charge out of range, 4 no customerID."""
+    requests = requests_from_subscribers(raw)
+    kind = F.substring(F.md5(F.col(KEY)), 1, 1)
+    changed = {"Contract": F.when(kind == "2", "Weekly").otherwise(F.col("Contract")),
+               "MonthlyCharges": F.when(kind == "3", 500.0).otherwise(F.col("MonthlyCharges")),
+               KEY: F.when(kind != "4", F.col(KEY))}
+    line = F.to_json(F.struct(*[changed.get(c, F.col(c)).alias(c) for c in requests.columns]))
+    line = F.when(kind == "0", F.substring(line, 1, 60)).when(
+        kind == "1", F.regexp_replace(line, r'"tenure":-?\d+', '"tenure":"unknown"')).otherwise(line)
+    return requests.select(*keep, line.alias("value"))
+
+
+def q_request_batches(spark, sf):
+    """The requests posted as arrays of at most 100, broken ones among them, read from a request log and
+    answered element by element."""
+    raw, fm = _fit(spark, sf)
+    lines = request_lines(raw, KEY).groupBy(F.substring(KEY, 1, 6).alias("post")).agg(
+        F.sort_array(F.collect_list(F.struct(KEY, "value"))).alias("e"))             # at most 100 a post
+    body = F.concat(F.lit("["), F.array_join(F.transform("e", lambda x: x["value"]), ","), F.lit("]"))
+    log = stage_path(spark, f"posts-{uuid.uuid4().hex}")
+    lines.select(F.concat_ws("\t", "post", body)).write.text(log)
+    answers = scoring.score_elements(request_elements(read_request_bodies(spark, log)), fm)
+    return answers.withColumn("churn_prediction", F.col("churn_prediction").cast("double"))      # NULLs compare as NaN
+
+
+def q_revenue_quantiles(spark, sf):
+    """Quantiles of order totals by month from sketches of days: built once a day, stored, merged."""
+    orders = read_table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("day"), "o_totalprice")
+    days = materialize(sketches.sketch_by(orders, ["day"], "o_totalprice"), "day-sketches")
+    months = sketches.merge_by(days.withColumn("month", F.date_format("day", "yyyy-MM")), ["month"])
+    return sketches.quantiles(months, ["month"], {"p05": 0.05, "q1": 0.25, "median": 0.5, "q3": 0.75, "p95": 0.95})
+
+
+# Three fixed rules whose scores SQL can replay: the scorecard, the contract alone, the tenure alone.
+RULE_MODELS = ("scorecard", "contract_rule", "tenure_rule")
+
+
+def _rule_comparison(spark, sf):
+    test = materialize(_scored_test(spark, sf).select(
+        LABEL, F.col("p").alias("scorecard"),
+        F.when(F.col("contract_risk_score") == 3, 0.6).when(F.col("contract_risk_score") == 1, 0.1).otherwise(0.3).alias("contract_rule"),
+        (F.lit(0.75) - F.lit(0.01) * F.col("tenure").cast("double")).alias("tenure_rule")), "rule-scores")
+    rows = [evaluate.score_metrics(test, LABEL, m).select(F.lit(m).alias("model"), *train.METRICS, F.lit(i).alias("position"))
+            for i, m in enumerate(RULE_MODELS)]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+def q_rule_compare(spark, sf):
+    """The comparison of three rules on the test split, through the comparison sink and back."""
+    path = stage_path(spark, f"comparison-{uuid.uuid4().hex}")
+    io.write_comparison(_rule_comparison(spark, sf).drop("position"), path)
+    return io.read_comparison(spark, path)
+
+
+def q_rule_best_per_metric(spark, sf):
+    """AG20 / E4 / E5: the rules' comparison unpivoted, the best a metric."""
+    return train.best_per_metric(_rule_comparison(spark, sf))
+
+
+def q_csv_roundtrip(spark, sf):
+    """A1: the raw records written as CSV and read back with the fixed schema."""
+    path = stage_path(spark, f"csv-{uuid.uuid4().hex}")
+    io.write_raw_csv(subscriber_raw(spark, sf), path)
+    return io.read_raw_csv(spark, path).drop(io.CORRUPT)
+
+
+def q_attributions_saved(spark, sf):
+    """The scorecard's attributions, long, through their sink and back."""
+    path = stage_path(spark, f"attributions-{uuid.uuid4().hex}")
+    scored = scoring.scorecard_score(_featured(spark, sf))
+    io.write_attributions(scoring.attributions_long(scored, scoring.SCORECARD_FEATURES), path)
+    return spark.read.parquet(path).select(KEY, "feature", F.round("value", 4).alias("value"), F.round("impact", 4).alias("impact"))
+
+
 # rows-only entries that run models / streams are registered in ``plans.jobs``.
 QUERIES: dict[str, Query] = {
     "clean_subscribers": q_clean_subscribers,
@@ -268,4 +352,11 @@ QUERIES: dict[str, Query] = {
     "dataset_metadata": q_dataset_metadata,
     "standardize": q_standardize,
     "prompt_table": q_prompt_table,
+    "features_sparse": q_features_sparse,
+    "request_batches": q_request_batches,
+    "revenue_quantiles": q_revenue_quantiles,
+    "rule_compare": q_rule_compare,
+    "rule_best_per_metric": q_rule_best_per_metric,
+    "csv_roundtrip": q_csv_roundtrip,
+    "attributions_saved": q_attributions_saved,
 }

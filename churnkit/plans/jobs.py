@@ -2,197 +2,223 @@
 
 DuckDB replays the streams' results; it cannot replay the fits, so pytest checks their
 properties instead (additivity against brute force, stream = batch, metrics = evaluators).
-The models last fitted are kept with the state of the files they were fitted on, so the attribution
-queries do not refit them and a changed folder does.
+
+Every query reads the given tables. Models come from the model store under the fingerprint of the subscriber table
+just read: the first query over a table's rows fits and publishes a model, later ones, also in other processes, load it, and a changed
+row leads to a new fit. Nothing is kept in the process.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from churnkit.functions.expr import logistic
-from churnkit.operators import attribution, sampling, scoring, train
+from churnkit.operators import attribution, offers, sampling, scoring, train
 from churnkit.operators.features import FeatureModel
-from churnkit.schema import KEY, LABEL
+from churnkit.plans.catalog import request_lines
+from churnkit.schema import KEY, LABEL, PROFILE_TEXTS
 from churnkit.session import materialize, stage_path
 from churnkit.sources.fixture import subscriber_raw
-from churnkit.sources.requests import requests_from_subscribers
-from churnkit.streaming.scoring import score_stream, score_stream_with_quarantine
+from churnkit.sources.models import Artifact, ModelStore, table_fingerprint
+from churnkit.streaming.scoring import carry_profile, score_stream, score_stream_with_quarantine, stored_scorer
 
-PROFILE_TEXTS = ("Contract", "InternetService")
+KINDS = ("gbt", "gbt_weighted", "mlp")
+MODEL_NAME = {k: f"churn-{k}" for k in KINDS}
 
-_FITTED: dict = {}   # one entry: the models of the folder state last trained on
 
+@dataclass
+class Inputs:
+    """The subscriber table, its split and what is learned from it. The encoded rows carry the profile texts
+    that encoding would drop, so that scored rows need no join back to their profile."""
 
-def folder_state(spark: SparkSession, sf: str) -> tuple:
-    """(path, length, modification time) of every file of the tables that training reads."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .load([f"{sf}/{t}.parquet" for t in ("customer", "orders", "events")])
-             .select("path", "length", F.col("modificationTime").cast("double").alias("at")))
-    return tuple(sorted(tuple(r) for r in files.collect()))
+    raw: DataFrame
+    features: FeatureModel
+    rows: DataFrame             # encoded, with split and fold
+    fingerprint: str
 
+    @property
+    def split(self) -> DataFrame:
+        return self.rows.select(KEY, LABEL, "split", "fold")
 
-def _state(spark: SparkSession, sf: str) -> dict:
-    """Models and inputs for the folder as it is now; those of another folder or state are dropped."""
-    key = (spark.sparkContext.applicationId, sf, folder_state(spark, sf))
-    if key not in _FITTED:
-        _FITTED.clear()
-        _FITTED[key] = {}
-    return _FITTED[key]
+    @property
+    def test(self) -> DataFrame:
+        return self.training(False)[1]
 
+    def training(self, checkpointed: bool = True) -> tuple[DataFrame | None, DataFrame]:
+        rows = self.features.assemble(self.rows)
+        return train.prepare_training(rows) if checkpointed else (None, train.test_rows(rows))
 
-def training_inputs(spark: SparkSession, sf: str):
-    """(feature model, encoded, split, train, test) for one input folder. The encoded rows carry the two
-    profile texts that encoding would drop, so that scored rows need no join back to their profile."""
-    state = _state(spark, sf)
-    if "inputs" not in state:
-        raw = materialize(subscriber_raw(spark, sf))
-        fm = FeatureModel.fit(raw)
-        encoded = fm.transform(raw.withColumns({f"_{c}": F.col(c) for c in PROFILE_TEXTS}))
-        split = sampling.stratified_split(encoded.select(KEY, LABEL), KEY, LABEL, 20, 42, 3)
-        tr, te = train.prepare_training(fm.assemble(encoded), split)
-        state["inputs"] = (fm, encoded, split, tr, materialize(te, "test"))
-    return state["inputs"]
 
+def training_inputs(spark: SparkSession, sf: str) -> Inputs:
+    raw = materialize(subscriber_raw(spark, sf))
+    fm = FeatureModel.fit(raw)
+    encoded = fm.transform(carry_profile(raw))
+    rows = materialize(sampling.stratified_split(encoded, KEY, LABEL, 20, 42, 3), "split-rows")
+    return Inputs(raw, fm, rows, table_fingerprint(raw))
+
+
+def fitted(inputs: Inputs, kinds=KINDS) -> dict[str, Artifact]:
+    """The stored models of these inputs; those not stored yet are fitted concurrently and published, with the
+    feature model that their vectors come from."""
+    store = ModelStore(inputs.raw.sparkSession)
+    names = inputs.features.feature_names
+    params = {k: {"kind": k, "params": train.default_params(k), "features": inputs.features.to_json(), "split": [20, 42, 3]} for k in kinds}
+    versions = {k: store.version(inputs.fingerprint, params[k]) for k in kinds}
+    found = {k: a for k in kinds if (a := store.find(MODEL_NAME[k], versions[k])) is not None}
+    missing = [k for k in kinds if k not in found]
+    if missing:
+        rows, _ = inputs.training()
+        models = train.fit_concurrently({k: (lambda k=k: train.fit_model(k, rows, len(names))) for k in missing})
+        for k in missing:
+            found[k] = store.publish(MODEL_NAME[k], versions[k], models[k], inputs=inputs.fingerprint, kind=k,
+                                     features=inputs.features.to_json())
+    return found
 
-def fitted(spark: SparkSession, sf: str, kind: str):
-    return fitted_all(spark, sf, (kind,))[kind]
 
+def q_train_compare(spark, sf) -> DataFrame:
+    """Model comparison on the held-out split (untuned configurations)."""
+    return _comparison(training_inputs(spark, sf)).drop("position")
 
-def fitted_all(spark: SparkSession, sf: str, kinds) -> dict:
-    """The families asked for; those not fitted yet are fitted concurrently (driver threads)."""
-    fm, _, _, tr, _ = training_inputs(spark, sf)
-    state = _state(spark, sf)
-    state.update(train.fit_concurrently({k: (lambda k=k: train.fit_model(k, tr, len(fm.feature_names)))
-                                         for k in kinds if k not in state}))
-    return {k: state[k] for k in kinds}
 
+def _comparison(inputs: Inputs) -> DataFrame:
+    models = fitted(inputs)
+    test = materialize(inputs.test, "test")
+    rows = [train.evaluate_model(train.DISPLAY[k], models[k].model, test).withColumn("position", F.lit(i)) for i, k in enumerate(KINDS)]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
-def q_train_compare(spark, sf) -> DataFrame:
-    """Model comparison on the held-out split (untuned configurations)."""
-    fm, _, _, tr, te = training_inputs(spark, sf)
-    fitted_all(spark, sf, ("gbt", "gbt_weighted", "mlp"))
-    rows = []
-    for pos, kind in enumerate(("gbt", "gbt_weighted", "mlp")):
-        rows.append(train.evaluate_model(train.DISPLAY[kind], fitted(spark, sf, kind), te)
-                    .withColumn("position", F.lit(pos)))
-    comp = rows[0]
-    for r in rows[1:]:
-        comp = comp.unionByName(r)
-    return comp.drop("position")
+
+def _test_attributions(inputs: Inputs) -> DataFrame:
+    return attribution.tree_shap(fitted(inputs, ("gbt",))["gbt"].model, inputs.test, n_features=len(inputs.features.feature_names))
 
 
 def q_tree_attribution(spark, sf) -> DataFrame:
     """TreeSHAP of the boosted model for every test customer: top-5 drivers (long)."""
-    fm, _, _, _, te = training_inputs(spark, sf)
-    expl = attribution.tree_shap(fitted(spark, sf, "gbt"), te)
-    return scoring.drivers_long(expl, fm.feature_names, 5)
+    inputs = training_inputs(spark, sf)
+    return scoring.drivers_long(_test_attributions(inputs), inputs.features.feature_names, 5)
 
 
 def q_tree_importance(spark, sf) -> DataFrame:
     """Global importance (mean |TreeSHAP|) over the test split, top 20."""
-    fm, _, _, _, te = training_inputs(spark, sf)
-    expl = attribution.tree_shap(fitted(spark, sf, "gbt"), te)
-    return scoring.global_importance(expl, fm.feature_names, 20)
+    inputs = training_inputs(spark, sf)
+    return scoring.global_importance(_test_attributions(inputs), inputs.features.feature_names, 20)
 
 
 def q_tree_importance_spread(spark, sf) -> DataFrame:
     """L6 on the boosted model: TreeSHAP quartiles of the top 20 features, split by high / low value."""
-    fm, _, _, _, te = training_inputs(spark, sf)
-    expl = materialize(attribution.tree_shap(fitted(spark, sf, "gbt"), te), "attributions")   # read thrice
-    return scoring.importance_spread(expl, fm.feature_names, exact=False, top=20)
+    inputs = training_inputs(spark, sf)
+    expl = materialize(_test_attributions(inputs), "attributions")   # read thrice
+    return scoring.importance_spread(expl, inputs.features.feature_names, exact=False, top=20)
+
+
+def _network_rows(spark, sf) -> tuple[Inputs, DataFrame, DataFrame]:
+    """(inputs, test rows, background of at most 200 of them)."""
+    inputs = training_inputs(spark, sf)
+    rows = materialize(inputs.test.select(KEY, "features"), "test")
+    return inputs, rows, materialize(sampling.bounded_sample(rows, KEY, 200), "background")
 
 
 def q_sampled_attribution(spark, sf) -> DataFrame:
     """Monte-Carlo Shapley of the network for every test row, against a background of <= 200 of them."""
-    fm, _, _, _, te = training_inputs(spark, sf)
-    background = materialize(sampling.bounded_sample(te.select(KEY, "features"), KEY, 200), "background")
-    expl = attribution.sampled_shapley(fitted(spark, sf, "mlp"), te.select(KEY, "features"), background,
-                                       len(fm.feature_names), permutations=8)
-    return scoring.drivers_long(expl, fm.feature_names, 5)
+    inputs, rows, background = _network_rows(spark, sf)
+    names = inputs.features.feature_names
+    expl = attribution.sampled_shapley(fitted(inputs, ("mlp",))["mlp"].model, rows, background, len(names), permutations=8)
+    return scoring.drivers_long(expl, names, 5)
 
 
-def _request_files(spark, sf) -> tuple[str, FeatureModel]:
-    """A folder with JSON requests in ``in``, and the features' model.
+def q_kernel_attribution(spark, sf) -> DataFrame:
+    """Kernel SHAP of the network for every test row, against one weighted centre of the background."""
+    inputs, rows, background = _network_rows(spark, sf)
+    names = inputs.features.feature_names
+    expl = attribution.kernel_shap(fitted(inputs, ("mlp",))["mlp"].model, rows, attribution.background_centres(background, 1), len(names))
+    return scoring.drivers_long(expl, names, 5)
 
-    Some of the table's requests are broken, by the first hex digit of md5(customerID): 0 cut off, 1 tenure is text,
-    2 unknown contract, 3 charge out of range, 4 no customerID."""
+
+def _request_files(spark, sf) -> tuple[str, DataFrame]:
+    """A folder with JSON requests in ``in``, some of them broken (``request_lines``), and the subscriber table they come from."""
     raw = materialize(subscriber_raw(spark, sf))
     base = stage_path(spark, f"stream-{uuid.uuid4().hex}")
-    requests = requests_from_subscribers(raw)
-    kind = F.substring(F.md5(F.col(KEY)), 1, 1)
-    changed = {"Contract": F.when(kind == "2", "Weekly").otherwise(F.col("Contract")),
-               "MonthlyCharges": F.when(kind == "3", 500.0).otherwise(F.col("MonthlyCharges")),
-               KEY: F.when(kind != "4", F.col(KEY))}
-    line = F.to_json(F.struct(*[changed.get(c, F.col(c)).alias(c) for c in requests.columns]))
-    line = F.when(kind == "0", F.substring(line, 1, 60)).when(
-        kind == "1", F.regexp_replace(line, r'"tenure":-?\d+', '"tenure":"unknown"')).otherwise(line)
-    requests.select(line.alias("value")).write.mode("overwrite").text(f"{base}/in")
-    return base, FeatureModel.fit(raw)
+    request_lines(raw).write.mode("overwrite").text(f"{base}/in")
+    return base, raw
 
 
 def q_stream_scoring(spark, sf) -> DataFrame:
     """K1: JSON request files, broken ones among them, scored by a file stream (availableNow), read back."""
-    base, fm = _request_files(spark, sf)
-    score_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", fm, fmt="json").awaitTermination()
+    base, raw = _request_files(spark, sf)
+    score_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", FeatureModel.fit(raw), fmt="json").awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
 
 def q_stream_quarantine(spark, sf) -> DataFrame:
     """K2: the requests the stream puts aside, with their errors."""
-    base, fm = _request_files(spark, sf)
-    score_stream_with_quarantine(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", fm).awaitTermination()
+    base, raw = _request_files(spark, sf)
+    score_stream_with_quarantine(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", FeatureModel.fit(raw)).awaitTermination()
     return spark.read.parquet(f"{base}/out/quarantine").select(KEY, "error")
 
 
-def _model_explained(spark, sf, keep=()):
-    """All customers with their TreeSHAP drivers (wide, per row); p from the same pass, whose margin is
-    the model's log-odds."""
-    fm, encoded, _, _, _ = training_inputs(spark, sf)
-    expl = attribution.tree_shap(fitted(spark, sf, "gbt"), fm.assemble(encoded), keep=list(keep))
-    return expl.withColumn("p", logistic(F.col("margin")))
+def q_stream_model_scoring(spark, sf) -> DataFrame:
+    """K1 with the trained model: the requests scored in the stream by the stored version, with factor records,
+    offers and the message, read back from the sink."""
+    base, _ = _request_files(spark, sf)
+    artifact = fitted(training_inputs(spark, sf), ("gbt",))["gbt"]
+    scorer = stored_scorer(ModelStore(spark), artifact.name, artifact.version)
+    score_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", scorer.features, scorer).awaitTermination()
+    return spark.read.parquet(f"{base}/out").drop("model_version")
+
+
+def _model_explained(inputs: Inputs, keep=()) -> DataFrame:
+    """All customers with their TreeSHAP drivers (wide, per row)."""
+    return attribution.explained(fitted(inputs, ("gbt",))["gbt"].model, inputs.features, inputs.rows, list(keep))
 
 
 def q_model_score_batch(spark, sf) -> DataFrame:
     """Batch scoring with the trained model: p, prediction, tier, up to 5 factor records."""
-    fm, _, _, _, _ = training_inputs(spark, sf)
-    return scoring.score_batch(_model_explained(spark, sf), fm.feature_names, records=True)
+    inputs = training_inputs(spark, sf)
+    return scoring.score_batch(_model_explained(inputs), inputs.features.feature_names, records=True)
 
 
 def q_model_retention_messages(spark, sf) -> DataFrame:
     """Messages for p > 0.4 with the model's own drivers and the profile carried along."""
-    from churnkit.operators import offers
-
-    fm, _, _, _, _ = training_inputs(spark, sf)
+    inputs = training_inputs(spark, sf)
     carried = [f"_{c}" for c in PROFILE_TEXTS]
-    scored = (_model_explained(spark, sf, ["tenure", "MonthlyCharges", *carried])
-              .withColumn("drivers", scoring.ranked_drivers(fm.feature_names, 5))
+    scored = (_model_explained(inputs, ["tenure", "MonthlyCharges", *carried])
+              .withColumn("drivers", scoring.ranked_drivers(inputs.features.feature_names, 5))
               .withColumnsRenamed({f"_{c}": c for c in PROFILE_TEXTS}))
     return offers.retention_messages(scored)
 
 
 def q_model_metadata(spark, sf) -> DataFrame:
     """AG17: best model by AUC (ties by position) with dataset counts."""
-    comp = q_train_compare(spark, sf)
-    fm, _, split, _, _ = training_inputs(spark, sf)
-    kinds = ("gbt", "gbt_weighted", "mlp")
-    comp = comp.withColumn("position", F.when(F.col("model") == train.DISPLAY[kinds[0]], 0)
-                           .when(F.col("model") == train.DISPLAY[kinds[1]], 1).otherwise(2))
-    best = comp.orderBy(F.desc("roc_auc"), "position").first()["model"]
-    kind = [k for k in kinds if train.DISPLAY[k] == best][0]
-    return train.metadata(comp, kind, len(fm.feature_names), split)
+    inputs = training_inputs(spark, sf)
+    comp = _comparison(inputs)
+    best = comp.orderBy(F.desc("roc_auc"), "position").first()["position"]
+    return train.metadata(comp, KINDS[best], len(inputs.features.feature_names), inputs.split)
+
+
+SEARCH_SPACE = {"gbt": {"maxIter": [4, 8], "maxDepth": [3, 5], "stepSize": [0.1, 0.2], "pos_weight": [1, 2, 3]},
+                "mlp": {"hidden": [(16,), (32, 16)], "maxIter": [20, 40], "tol": [1e-4]}}
+
+
+def q_search_compare(spark, sf) -> DataFrame:
+    """A small random search of two families over the three folds, its results table in the store's folder under
+    the inputs' fingerprint (so it resumes), the winner of each with its mean AUC."""
+    inputs = training_inputs(spark, sf)
+    rows, _ = inputs.training()
+    found = []
+    for kind, space in SEARCH_SPACE.items():
+        points = train.draw_grid(space, 4)
+        version = ModelStore(spark).version(inputs.fingerprint, {"search": kind, "points": points})
+        best = train.search(kind, rows, len(inputs.features.feature_names), points, f"{ModelStore(spark).root}/search-{kind}/{version}")
+        found.append((train.DISPLAY[kind], best["candidate"], json.dumps(best["params"], sort_keys=True), round(best["roc_auc"], 4)))
+    return spark.createDataFrame(found, "model string, candidate int, params string, mean_roc_auc double")
 
 
 def q_best_per_metric(spark, sf) -> DataFrame:
     """AG20 / E4: unpivot the comparison and take the best model per metric."""
-    comp = q_train_compare(spark, sf)
-    pos = F.lit(2)
-    for i, kind in enumerate(("gbt", "gbt_weighted")):
-        pos = F.when(F.col("model") == train.DISPLAY[kind], i).otherwise(pos)
-    return train.best_per_metric(comp.withColumn("position", pos))
+    return train.best_per_metric(_comparison(training_inputs(spark, sf)))
 
 
 JOB_QUERIES = {
@@ -201,10 +227,13 @@ JOB_QUERIES = {
     "tree_importance": q_tree_importance,
     "tree_importance_spread": q_tree_importance_spread,
     "sampled_attribution": q_sampled_attribution,
+    "kernel_attribution": q_kernel_attribution,
     "stream_scoring": q_stream_scoring,
     "stream_quarantine": q_stream_quarantine,
+    "stream_model_scoring": q_stream_model_scoring,
     "model_score_batch": q_model_score_batch,
     "model_retention_messages": q_model_retention_messages,
     "model_metadata": q_model_metadata,
     "best_per_metric": q_best_per_metric,
+    "search_compare": q_search_compare,
 }

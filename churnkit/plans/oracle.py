@@ -380,39 +380,118 @@ def _money0(expr: str) -> str:
     return f"CAST(CAST(round_even({expr}, 0) AS BIGINT) AS VARCHAR)"
 
 
-def _messages(gated: bool = True) -> str:
-    from churnkit.operators import offers as o
+# The message texts once more, so that a changed word shows.
+_TEXTS = {
+    "new": "Your first months with us should go well. This letter is about how we can help with that.",
+    "mid": ("You have now been with us for ", " months, and we want you to have every reason to stay."),
+    "long": ("After ", " months you know us well, and a customer of so many months is worth a good deal to us."),
+    "annual": ("- Yearly contract: change to it and each month costs 20% less, $", " in a year."),
+    "lock": ("- Lower bill: $", " off every month for half a year, and no price rise meanwhile."),
+    "security": "- Security and technical support: three months of both at no charge.",
+    "first": "- Television and films: one month of both streaming packages at no charge.",
+    "speed": "- Faster line: the next higher speed for half a year at your present price.",
+    "credit": ("- Credit: $", " off your next bill."),
+    "critical": "We hold this for you for two days.",
+    "high": "We hold this for you for one week.",
+    "moderate": "There is no hurry: answer when it suits you.",
+    "intro": "What we can do for you:",
+    "end": ["Answer this letter or call the number on your bill, and we arrange the rest.",
+            "", "If something else troubles you, tell us that too.", "", "Kind regards", "Customer Care", "Your telephone company"],
+}
+
 
+def _messages(gated: bool = True) -> str:
     def lit(s: str) -> str:
         return "'" + s.replace("'", "''") + "'"
 
-    def fill(t: str, amount: str) -> str:
-        a, b = t.split("{amount}")
-        return f"{lit(a)} || {amount} || {lit(b)}"
+    def around(key: str, inner: str) -> str:
+        return f"{lit(_TEXTS[key][0])} || {inner} || {lit(_TEXTS[key][1])}"
 
-    mid_a, mid_b = o.OPENING_MID.split("{tenure}")
-    long_a, long_b = o.OPENING_LONG.split("{tenure}")
     annual = _money0("MonthlyCharges * CAST(0.2 AS DOUBLE) * CAST(12.0 AS DOUBLE)")
     lock = _money0("MonthlyCharges * CAST(0.15 AS DOUBLE)")
     loyal = _money0("MonthlyCharges * CAST(0.1 AS DOUBLE)")
-    offers_sql = (f"concat_ws(chr(10), CASE WHEN f_contract THEN {fill(o.OFFER_ANNUAL, annual)} END, "
-                  f"CASE WHEN f_pricing OR f_billing THEN {fill(o.OFFER_PRICE_LOCK, lock)} END, "
-                  f"CASE WHEN f_gap THEN {lit(o.OFFER_SECURITY)} END, "
-                  f"CASE WHEN f_new THEN {lit(o.OFFER_NEW_CUSTOMER)} END, "
-                  f"CASE WHEN f_quality THEN {lit(o.OFFER_SPEED)} END, "
-                  f"CASE WHEN f_none THEN {fill(o.OFFER_LOYALTY, loyal)} END)")
-    opening = (f"CASE WHEN tenure <= 6 THEN {lit(o.OPENING_NEW)} "
-               f"WHEN tenure <= 24 THEN {lit(mid_a)} || CAST(tenure AS VARCHAR) || {lit(mid_b)} "
-               f"ELSE {lit(long_a)} || CAST(tenure AS VARCHAR) || {lit(long_b)} END")
-    urgency = (f"CASE WHEN p > 0.8 THEN {lit(o.URGENCY['critical'])} WHEN p > 0.6 THEN {lit(o.URGENCY['high'])} "
-               f"ELSE {lit(o.URGENCY['moderate'])} END")
-    parts = ["'Dear Customer #' || customerID || ','", "''", opening, "''", lit(o.INTRO), "''", offers_sql,
-             "''", urgency, "''", lit(o.CLOSING[0]), "''", lit(o.CLOSING[1]), "''"] + [lit(s) for s in o.SIGNATURE]
+    offers_sql = (f"concat_ws(chr(10), CASE WHEN f_contract THEN {around('annual', annual)} END, "
+                  f"CASE WHEN f_pricing OR f_billing THEN {around('lock', lock)} END, "
+                  f"CASE WHEN f_gap THEN {lit(_TEXTS['security'])} END, "
+                  f"CASE WHEN f_new THEN {lit(_TEXTS['first'])} END, "
+                  f"CASE WHEN f_quality THEN {lit(_TEXTS['speed'])} END, "
+                  f"CASE WHEN f_none THEN {around('credit', loyal)} END)")
+    months = "CAST(tenure AS VARCHAR)"
+    opening = (f"CASE WHEN tenure <= 6 THEN {lit(_TEXTS['new'])} WHEN tenure <= 24 THEN {around('mid', months)} "
+               f"ELSE {around('long', months)} END")
+    urgency = (f"CASE WHEN p > 0.8 THEN {lit(_TEXTS['critical'])} WHEN p > 0.6 THEN {lit(_TEXTS['high'])} "
+               f"ELSE {lit(_TEXTS['moderate'])} END")
+    parts = ["'Dear Customer #' || customerID || ','", "''", opening, "''", lit(_TEXTS["intro"]), "''", offers_sql,
+             "''", urgency, "''"] + [lit(t) for t in _TEXTS["end"]]
     source, tier = (_FLAGS, "") if gated else (_CLASSED, "risk_level, ")
     return (f"{source}\nSELECT customerID AS customer_id, round(p, 4) AS churn_probability, {tier}"
             f"concat_ws(chr(10), {', '.join(parts)}) AS message FROM {'gated' if gated else 'answered'}")
 
 
+def _four(x: str) -> str:
+    return f"CAST(CAST(round({x}, 4) AS DECIMAL(18,4)) AS VARCHAR)"
+
+
+def _prompts() -> str:
+    lines = ["'Write an email that gives a subscriber of a telephone company good reason to stay.'", "''", "'Subscriber'",
+             "'- Customer ID: ' || customerID", "'- Tenure: ' || CAST(tenure AS VARCHAR) || ' months'", "'- Contract: ' || Contract",
+             "'- Monthly Charges: $' || printf('%.2f', MonthlyCharges)", "'- Internet Service: ' || InternetService",
+             "'- Churn Probability: ' || printf('%.1f', round_even(p * 100, 1)) || '%'", "''",
+             "'What moves the score, strongest first (JSON):'", "factors", "''", "'The email should'",
+             "'- write as a person who knows this customer'", "'- answer the reasons listed above, the strongest first'",
+             "'- name one offer and its amount'", "'- say until when it holds, and press no further'", "'- stay below 200 words'",
+             "'- end with the one step the customer should take'"]
+    factor = ("'{\"feature\":\"' || feature || '\",\"value\":' || " + _four("value") + " || ',\"shap_impact\":' || " + _four("impact")
+              + " || ',\"direction\":\"' || CASE WHEN impact > 0 THEN 'increases' ELSE 'decreases' END || '\"}'")
+    return (f"{BASE_SCORED},\nfactors AS (SELECT customerID, '[' || string_agg({factor}, ',' ORDER BY driver_rank) || ']' AS factors "
+            f"FROM drivers WHERE driver_rank <= 5 GROUP BY customerID)\n"
+            f"SELECT customerID AS customer_id, concat_ws(chr(10), {', '.join(lines)}) AS prompt "
+            f"FROM scored JOIN factors USING (customerID) WHERE p > 0.4")
+
+
+# The batch endpoint's answers: a post holds the customers that share five digits, in order.
+_BATCHES = "batches AS (SELECT r.*, substr(r.customerID, 1, 6) AS source, CASE WHEN h = '0' THEN 'malformed_record' ELSE nullif(concat_ws('; ', " \
+    "CASE WHEN h = '1' THEN 'tenure_wrong_type' END, " + ", ".join(
+        f"CASE WHEN {cond} THEN '{name}' END" for name, cond in _conditions(typed=True)) + "), '') END AS error FROM requests r)"
+
+
+def _request_batches() -> str:
+    good = lambda x: f"CASE WHEN error IS NULL THEN {x} END"
+    return f"""{BASE_SCORED},{_REQUESTS},
+{_BATCHES}
+SELECT b.source, CAST(row_number() OVER (PARTITION BY b.source ORDER BY b.customerID) - 1 AS INTEGER) AS position,
+  CAST(count(*) OVER (PARTITION BY b.source) AS INTEGER) AS n_elements,
+  CASE WHEN h NOT IN ('0', '4') THEN b.customerID END AS customerID, error, {good('round(p, 4)')} AS churn_probability,
+  {good('CAST(CAST(p >= 0.5 AS INTEGER) AS DOUBLE)')} AS churn_prediction, {good(_TIER)} AS risk_level
+FROM batches b JOIN scored s ON s.customerID = b.customerID"""
+
+
+def _sparse() -> str:
+    value = lambda c: "coalesce(contract_risk_score, 2)" if c == "contract_risk_score" else f'"{c}"'
+    names = list(NUMERIC_FEATURES) + [f"{c}_{v}" for c, v in DUMMIES]
+    parts = "\nUNION ALL ".join(f"SELECT customerID, CAST({i} AS INTEGER) AS feature_index, CAST({value(c)} AS DOUBLE) AS value FROM encoded"
+                                for i, c in enumerate(names))
+    return f"{BASE_ENC}\nSELECT * FROM ({parts}) WHERE value <> 0"
+
+
+def _rule_metrics() -> str:
+    """One row a rule: the metrics at 0.5 and the AUC, by plain window sums."""
+    rules = [("scorecard", "p"), ("contract_rule", "CASE contract_risk_score WHEN 3 THEN 0.6 WHEN 1 THEN 0.1 ELSE 0.3 END"),
+             ("tenure_rule", "CAST(0.75 AS DOUBLE) - CAST(0.01 AS DOUBLE) * CAST(tenure AS DOUBLE)")]
+    scores = "\n  UNION ALL ".join(f"SELECT {i} AS position, '{m}' AS model, Churn, CAST({x} AS DOUBLE) AS s FROM ts" for i, (m, x) in enumerate(rules))
+    return f"""{_TEST_SCORED},
+rs AS ({scores}),
+rper AS (SELECT position, model, s, sum(CASE WHEN Churn = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN Churn = 1 THEN 0 ELSE 1 END) AS neg
+         FROM rs GROUP BY ALL),
+rpre AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY model ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM rper),
+rc AS (SELECT position, model, sum(pos) AS n_pos, sum(neg) AS n_neg, sum(pos * (2 * below + neg)) AS num2,
+         sum(CASE WHEN s >= 0.5 THEN pos ELSE 0 END) AS tp, sum(CASE WHEN s >= 0.5 THEN neg ELSE 0 END) AS fp,
+         sum(CASE WHEN s >= 0.5 THEN 0 ELSE neg END) AS tn, sum(CASE WHEN s >= 0.5 THEN 0 ELSE pos END) AS fn FROM rpre GROUP BY position, model),
+comparison AS (SELECT position, model, coalesce({half_up('tp + tn', 'tp + fp + tn + fn', 4)}, 0.0) AS accuracy,
+  coalesce({half_up('tp', 'tp + fp', 4)}, 0.0) AS precision, coalesce({half_up('tp', 'tp + fn', 4)}, 0.0) AS recall,
+  coalesce({half_up('2 * tp', '2 * tp + fp + fn', 4)}, 0.0) AS f1, {half_up('num2', '2 * n_pos * n_neg', 4)} AS roc_auc FROM rc)"""
+
+
 def _offer_mix() -> str:
     rows = [
         ("annual_plan", "f_contract", "CAST(round_even(MonthlyCharges * CAST(0.2 AS DOUBLE) * CAST(12.0 AS DOUBLE), 0) AS BIGINT)"),
@@ -647,4 +726,19 @@ SELECT 45 AS n_features, CAST(sum(CASE WHEN split = 'train' THEN 1 ELSE 0 END) A
        CAST(sum(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS BIGINT) AS n_test,
        {half_up('sum(Churn)', 'count(*)', 4)} AS churn_rate FROM split""",
     "standardize": _standardize(),
+    "prompt_table": _prompts(),
+    "features_sparse": _sparse(),
+    "request_batches": _request_batches(),
+    "revenue_quantiles": """
+WITH o AS (SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m') AS month, CAST(o_totalprice AS DOUBLE) AS v FROM orders WHERE o_totalprice IS NOT NULL),
+r AS (SELECT month, v, row_number() OVER (PARTITION BY month ORDER BY v) AS i, count(*) OVER (PARTITION BY month) AS n FROM o)
+SELECT month, any_value(n) AS n, """ + ", ".join(
+        f"min(CASE WHEN i >= {q} * n THEN v END) AS {c}" for c, q in (("p05", 0.05), ("q1", 0.25), ("median", 0.5), ("q3", 0.75), ("p95", 0.95)))
+    + " FROM r GROUP BY month",
+    "csv_roundtrip": f"{with_ctes(RAW)}\nSELECT * FROM subscriber_raw",
+    "attributions_saved": f"{BASE_SCORED}\nSELECT customerID, feature, round(value, 4) + 0.0 AS value, round(impact, 4) + 0.0 AS impact FROM drivers",
 }
+ORACLE["rule_compare"] = f"{_rule_metrics()}\nSELECT model, accuracy, precision, recall, f1, roc_auc FROM comparison"
+ORACLE["rule_best_per_metric"] = f"""{_rule_metrics()}
+SELECT metric, first(model ORDER BY value DESC, position) AS best_model, max(value) AS value
+FROM (UNPIVOT comparison ON accuracy, precision, recall, f1, roc_auc INTO NAME metric VALUE value) GROUP BY metric"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Columns of the raw subscriber record.
 # --- raw subscriber record (CSV with header; 21 columns) -------------------------
 SUBSCRIBER_RAW = T.StructType([
     T.StructField("customerID", T.StringType()),
@@ -100,14 +101,14 @@ DOMAINS = {
 RANGES = {"SeniorCitizen": (0, 1), "tenure": (0, 72), "MonthlyCharges": (18.0, 120.0),
           "TotalCharges": (0.0, 9000.0)}
 
-# Categorical columns one-hot encoded, in table order; tenure_group last with a fixed level order.
+# Categorical columns, one-hot encoded, in table order; tenure_group last with a fixed level order.
 CATEGORICAL_COLS = ["gender", "Partner", "Dependents", "PhoneService", "MultipleLines",
                     "InternetService", "OnlineSecurity", "OnlineBackup", "DeviceProtection",
                     "TechSupport", "StreamingTV", "StreamingMovies", "Contract",
                     "PaperlessBilling", "PaymentMethod"]
 ORDERED_CATEGORICALS = {"tenure_group": TENURE_LABELS}
 
-# Numeric model inputs in vector order (the label Churn is kept outside the vector).
+# Numeric model inputs, in vector order (the label Churn is kept outside the vector).
 NUMERIC_FEATURES = ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges",
                     "avg_monthly_spend", "security_bundle_count", "has_security_bundle",
                     "streaming_bundle_count", "has_streaming_bundle", "is_new_customer",
@@ -116,3 +117,5 @@ NUMERIC_FEATURES = ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges",
 
 LABEL = "Churn"
 KEY = "customerID"
+# What a profile quotes of the texts that encoding drops.
+PROFILE_TEXTS = ("Contract", "InternetService")

@@ -28,7 +28,9 @@ def read_raw_csv(spark: SparkSession, path: str, keep_corrupt: bool = True) -> D
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """The writer keeps white space as it is: a blank amount is no missing one."""
+    (df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def write_stages(stages: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> dict[str, str]:

@@ -1,7 +1,5 @@
 """No cap on levels or explained rows, no machine-local folder on a cluster, no stale model."""
 
-import shutil
-
 import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
@@ -11,8 +9,8 @@ from churnkit.operators.attribution import sampled_shapley
 from churnkit.operators.features import FeatureModel, category_levels
 from churnkit.operators.sampling import bounded_sample
 from churnkit.operators.scoring import factor_records
-from churnkit.plans.jobs import folder_state
 from churnkit.session import ensure_checkpoint_dir
+from churnkit.sources.models import table_fingerprint
 
 
 def test_fifty_thousand_levels(spark, raw):
@@ -64,12 +62,10 @@ def test_unset_checkpoint_dir_is_an_error_on_a_cluster():
         ensure_checkpoint_dir(Session())
 
 
-def test_changed_folder_is_seen(spark, tmp_path):
-    for name in ("customer", "orders", "events"):
-        shutil.copy(f"/root/testdata/sf0.001/{name}.parquet", tmp_path / f"{name}.parquet")
-    before = folder_state(spark, str(tmp_path))
-    assert before == folder_state(spark, str(tmp_path)) and len(before) == 3
-    spark.range(3).write.parquet(str(tmp_path / "more"))
-    part = next((tmp_path / "more").glob("part-*.parquet"))
-    shutil.copy(part, tmp_path / "customer.parquet")
-    assert folder_state(spark, str(tmp_path)) != before
+def test_fingerprint_follows_the_rows_only(spark, raw):
+    whole = table_fingerprint(raw)
+    assert whole == table_fingerprint(raw.repartition(5).select(*reversed(raw.columns)))
+    changed = raw.withColumn("tenure", F.when(F.col("customerID") == "C0000007", 1 + F.col("tenure")).otherwise(F.col("tenure")))
+    others = [changed, raw.where("customerID <> 'C0000007'"), raw.unionByName(raw.where("customerID = 'C0000007'")), raw.drop("gender"), raw.limit(0),
+              raw.withColumn("gender", F.col("Partner")).withColumn("Partner", F.col("Dependents"))]
+    assert len({whole, *map(table_fingerprint, others)}) == 1 + len(others)

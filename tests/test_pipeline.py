@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from churnkit.sources.models import load_model
 from churnkit.operators import attribution as A
 from churnkit.operators import train
 from churnkit.plans import pipeline
@@ -25,7 +26,7 @@ def test_pipeline_end_to_end(spark, raw, tmp_path):
     test = io.read_split(spark, f"{out}/split", "test").drop("split", "fold")
     assembled = feats.model.assemble(test)
     for kind, model in res.models.items():
-        again = train.load_model(f"{out}/models/{kind}")
+        again = load_model(spark, f"{out}/models/{kind}")
         a = model.transform(assembled).select(vector_to_array("probability")[1]).collect()
         b = again.transform(assembled).select(vector_to_array("probability")[1]).collect()
         assert a == b

@@ -40,25 +40,27 @@ def test_golden_demo_message(spark):
     expected = "\n".join([
         "Dear Customer #7590-VHVEG,",
         "",
-        offers.OPENING_NEW,
+        "Your first months with us should go well. This letter is about how we can help with that.",
         "",
-        "We've put together something special just for you:",
+        "What we can do for you:",
         "",
-        offers.OFFER_ANNUAL.replace("{amount}", "215"),
-        offers.OFFER_PRICE_LOCK.replace("{amount}", "13"),
-        offers.OFFER_NEW_CUSTOMER,
+        "- Yearly contract: change to it and each month costs 20% less, $215 in a year.",
+        "- Lower bill: $13 off every month for half a year, and no price rise meanwhile.",
+        "- Television and films: one month of both streaming packages at no charge.",
         "",
-        "This personalized offer is available for the next 48 hours. Don't miss out!",
+        "We hold this for you for two days.",
         "",
-        offers.CLOSING[0],
+        "Answer this letter or call the number on your bill, and we arrange the rest.",
         "",
-        offers.CLOSING[1],
+        "If something else troubles you, tell us that too.",
         "",
-        "Warm regards,",
-        "The Customer Success Team",
-        "Telco Revenue Intelligence",
+        "Kind regards",
+        "Customer Care",
+        "Your telephone company",
     ])
     assert r["m"] == expected
+    named = df.select(offers.message_text(F.col("customerID"), F.col("tenure"), F.col("MonthlyCharges"), "555 1", "Ours").alias("m")).first()["m"]
+    assert "call 555 1," in named and named.endswith("\nOurs")
 
 
 def test_empty_drivers_give_loyalty_credit(spark):
@@ -67,7 +69,7 @@ def test_empty_drivers_give_loyalty_credit(spark):
                                                 F.col("MonthlyCharges")).alias("m")).first()
     assert [o["offer"] for o in r["offers"]] == ["loyalty_credit"]
     assert offers.OFFER_LOYALTY.replace("{amount}", "7") in r["m"]
-    assert "As a valued long-term customer of 30 months" in r["m"]
+    assert "After 30 months you know us well" in r["m"]
     assert offers.URGENCY["moderate"] in r["m"]
 
 
