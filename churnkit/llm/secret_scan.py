@@ -9,6 +9,9 @@ part decodes base64 and hex runs and reports a span only if the bytes parse as w
 * ``ssh``  such a run that decodes to ``openssh-key-v1`` with consistent nested lengths;
 * ``jwt``  three base64url parts whose header is a JSON object with ``alg`` and whose payload is JSON.
 
+A run that decodes to text is scanned once more, one level deep: it is reported whole as the first kind confirmed in it, so an
+armoured key kept as base64 counts. Runs may follow a path and a slash, hex may be written with colons, tokens may follow a dotted name.
+
 Null or empty text: no spans. Ties (spans at one start) are ordered by kind. Very long texts and runs
 are scanned whole. Repeated rows: every row is scanned alone. Positions are code points, end exclusive.
 """
@@ -47,7 +50,12 @@ _HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{32,}+")
 _BREAK = r"""[\s>]*+(?:["'`][\s+,.]*["'`][\s>]*+)?"""
 _B64_NEXT = re.compile(_BREAK + r"([A-Za-z0-9+/_-]++={0,2})")
 _HEX_NEXT = re.compile(_BREAK + r"([0-9A-Fa-f]++)(?![A-Za-z0-9+/_-])")
-_JWT = re.compile(r"(?<![A-Za-z0-9_.-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)")
+# a header's base64 begins so if its JSON does, with a brace or with white space before it
+_JWT = re.compile(r"(?<![A-Za-z0-9_-])([eICD][A-Za-z0-9_-]{9,}+)\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]++)")
+_COLON_HEX = re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{2}(?::\s*+[0-9A-Fa-f]{2}){31,}+(?![0-9A-Fa-f])")
+# what base64 of a DER sequence, an OpenSSH key and an armour line begins with, behind a path
+_GLUED = re.compile(r"/(?=M[CEHI]|b3BlbnNzaC|LS0tLS1CRUdJTi)")
+_TEXT_BYTES = frozenset((9, 10, 13, *range(32, 127)))
 
 SSH_MAGIC = b"openssh-key-v1\0"
 
@@ -188,9 +196,10 @@ def hex_bytes(run: str) -> bytes | None:
 
 
 def bare_keys(text: str, first: re.Pattern, following: re.Pattern, decode: Callable[[str], bytes | None],
-              chars: float) -> Iterator[Span]:
+              chars: float, depth: int) -> Iterator[Span]:
     """Keys without armour: runs of ``chars`` characters a byte, on one line or wrapped (lines of one width, then one that
-    may be shorter). A key says how long it is itself; its last character must end a line or its run."""
+    may be shorter). A key says how long it is itself; its last character must end a line or its run. Runs that are
+    text are scanned for ``depth`` more levels."""
     done = 0
     for m in first.finditer(text):
         if m.start() < done:
@@ -200,6 +209,10 @@ def bare_keys(text: str, first: re.Pattern, following: re.Pattern, decode: Calla
             if len(n[1]) > width or "\n" not in text[n.start():n.start(1)]:
                 break
             lines.append((n.start(1), n.end(1), n[1].rstrip("=")))
+        if depth and (within := _within(lines, width, decode, chars, depth)):
+            yield lines[0][0], within[1], lines[within[0]][1]
+            done = lines[within[0]][1]
+            continue
         i = 0
         while i < len(lines):
             last = _key_end(lines, i, width, decode, chars)
@@ -211,6 +224,27 @@ def bare_keys(text: str, first: re.Pattern, following: re.Pattern, decode: Calla
             done = lines[i - 1][1]
             if i == len(lines) - 1 and len(lines[i][2]) < width:     # a shorter line may begin a block of its own
                 break
+        if len(lines) == 1 and "/" in m[0]:                          # a run behind a path
+            for cut in _GLUED.finditer(m[0]):
+                rest = [(m.start() + cut.end(), m.end(), m[0][cut.end():].rstrip("="))]
+                size = max(1, len(rest[0][2]))
+                last = _key_end(rest, 0, size, decode, chars) or depth and _within(rest, size, decode, chars, depth)
+                if last:
+                    yield rest[0][0], last[1], m.end()
+                    break
+
+
+def _within(lines: list[tuple[int, int, str]], width: int, decode: Callable[[str], bytes | None], chars: float,
+            depth: int) -> tuple[int, int] | None:
+    """(last line, kind) of what is confirmed in the text that a block of lines decodes to: the last span's line, the first
+    span's kind. None if it is no text or holds nothing."""
+    head = decode(lines[0][2][:32])
+    if not head or not _TEXT_BYTES.issuperset(head):
+        return None
+    whole = "".join(x for _, _, x in lines)
+    raw = decode(whole) or decode(whole[:len(whole) // 4 * 4]) or b""
+    found = sorted(structural_spans(raw.decode("latin-1"), depth - 1))
+    return (min(len(lines), math.ceil(max(e for *_, e in found) * chars / width)) - 1, found[0][1]) if found else None
 
 
 def _key_end(lines: list[tuple[int, int, str]], i: int, width: int, decode: Callable[[str], bytes | None],
@@ -234,7 +268,7 @@ def _key_end(lines: list[tuple[int, int, str]], i: int, width: int, decode: Call
     return (k, 4) if is_der_key(raw) else (k, 5) if is_ssh_key(raw) else None
 
 
-def structural_spans(text: str) -> Iterator[Span]:
+def structural_spans(text: str, depth: int = 1) -> Iterator[Span]:
     text = unescaped(text)
     armoured: list[tuple[int, int]] = []
     if "-----BEGIN " in text:
@@ -242,14 +276,18 @@ def structural_spans(text: str) -> Iterator[Span]:
             if is_pem_key(m[2]):
                 yield m.start(), 3, m.end()
                 armoured.append((m.start(), m.end()))
-    for a, k, b in [*bare_keys(text, _B64_RUN, _B64_NEXT, b64_bytes, 8 / 6), *bare_keys(text, _HEX_RUN, _HEX_NEXT, hex_bytes, 2)]:
+    found = [*bare_keys(text, _B64_RUN, _B64_NEXT, b64_bytes, 8 / 6, depth), *bare_keys(text, _HEX_RUN, _HEX_NEXT, hex_bytes, 2, depth)]
+    for m in _COLON_HEX.finditer(text) if ":" in text else ():
+        raw = bytes.fromhex("".join(m[0].replace(":", " ").split()))
+        if is_der_key(raw) or is_ssh_key(raw):
+            found.append((m.start(), 4 if is_der_key(raw) else 5, m.end()))
+    for a, k, b in found:
         at = bisect.bisect_right(armoured, (a, len(text))) - 1
         if at < 0 or a >= armoured[at][1]:           # an armoured key is one secret
             yield a, k, b
-    if "eyJ" in text:
-        for m in _JWT.finditer(text):
-            if is_jwt(m[1], m[2]):
-                yield m.start(), 6, m.end()
+    for m in _JWT.finditer(text):
+        if is_jwt(m[1], m[2]):
+            yield m.start(), 6, m.end()
 
 
 def scan(text: str | None) -> tuple[list[Span], list[Span]]:
