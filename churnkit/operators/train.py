@@ -1,11 +1,11 @@
 """Training, random search with stratified cross-validation, evaluation and selection.
 
-Three model families on Spark ML, fitted on the assembled 45-feature vector:
+Three model families, fitted on the assembled 45-feature vector:
 
 * ``gbt``          boosted trees (depth-wise), the first boosted model of the reference;
 * ``gbt_weighted`` boosted trees with a positive-class weight column (recall oriented);
-* ``mlp``          StandardScaler + MultilayerPerceptronClassifier in one Pipeline, so the
-                   scaler is always saved and applied with the network.
+* ``mlp``          a network with ReLU or tanh units, L2 and mini-batch Adam (``network``), whose
+                   model holds its scaler.
 
 Random search draws n distinct candidates from the full grid with a seeded RNG (index
 decoding of the mixed-radix grid, never materialising it) and judges them on the
@@ -25,19 +25,18 @@ import threading
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, MultilayerPerceptronClassifier
-from pyspark.ml.feature import StandardScaler
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from churnkit.operators.evaluate import score_metrics
+from churnkit.operators.network import NetworkClassifier
 from churnkit.schema import KEY, LABEL
-from churnkit.session import materialize, stage_path
+from churnkit.session import stage_path
 
 # Rows of a task in a fit: a tree level costs a scan, a network step a matrix product a row.
-GBT_ROWS, MLP_ROWS = 50_000, 1_500
+TASK_ROWS = {"gbt": 50_000, "gbt_weighted": 50_000, "mlp": 4_000}
 GBT_CHECKPOINT = 25                # boosting steps between two checkpoints of the residuals' lineage
 
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc"]
@@ -64,15 +63,15 @@ GBT_WEIGHTED_GRID = {
 }
 MLP_GRID = {
     "hidden": [(128, 64), (256, 128, 64), (128, 64, 32), (64, 32)],
-    "maxIter": [100, 200, 500],       # L-BFGS has no step size: iterations and tolerance are what acts
-    "tol": [1e-6, 1e-4, 1e-3],
+    "activation": ["relu", "tanh"],
+    "alpha": [0.0001, 0.001, 0.01],
+    "learning_rate": [0.001, 0.005, 0.01],
+    "steps": [8, 16, 32],              # batches an epoch: their size grows with the data
 }
 # Untuned configurations and search budgets.
 GBT_DEFAULT = {"maxIter": 300, "maxDepth": 5, "stepSize": 0.1}
 GBT_WEIGHTED_DEFAULT = {**GBT_DEFAULT, "pos_weight": 3}
-MLP_DEFAULT = {"hidden": (128, 64, 32), "maxIter": 500}
-# Early stopping of the untuned network (validation share, chunk, patience).
-EARLY_STOP = {"validation_pct": 10, "chunk": 10, "patience": 3, "tol": 1e-4}
+MLP_DEFAULT = {"hidden": (128, 64, 32), "activation": "relu", "alpha": 0.0001, "learning_rate": 0.002, "steps": 8, "epochs": 500}
 SEARCH_BUDGET = {"gbt": 40, "gbt_weighted": 40, "mlp": 20}
 DISPLAY = {"gbt": "GradientBoosting", "gbt_weighted": "WeightedGradientBoosting", "mlp": "NeuralNetwork"}
 
@@ -110,16 +109,6 @@ def _gbt(params: dict, seed: int = 42) -> GBTClassifier:
     return est
 
 
-def _mlp(params: dict, n_features: int, seed: int = 42) -> Pipeline:
-    p = dict(params)
-    p.pop("early_stopping", None)
-    hidden = p.pop("hidden")
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    net = MultilayerPerceptronClassifier(featuresCol="scaled", labelCol="label",
-                                         layers=[n_features, *hidden, 2], seed=seed, **p)
-    return Pipeline(stages=[scaler, net])
-
-
 def fit_concurrently(fits: dict) -> dict:
     """Run independent fits from driver threads (Spark schedules their jobs side by side,
     filling cores an iterative fit leaves idle between its short stages)."""
@@ -138,36 +127,32 @@ class TrainResult:
 
 
 def default_params(kind: str) -> dict:
-    """What an untuned fit of a family runs with, early stopping and task sizes aside."""
-    return {"gbt": GBT_DEFAULT, "gbt_weighted": GBT_WEIGHTED_DEFAULT, "mlp": {**MLP_DEFAULT, **EARLY_STOP}}[kind]
+    """What an untuned fit of a family runs with."""
+    return {"gbt": GBT_DEFAULT, "gbt_weighted": GBT_WEIGHTED_DEFAULT, "mlp": MLP_DEFAULT}[kind]
 
 
-def estimator(kind: str, params: dict, n_features: int, seed: int = 42):
-    return _mlp(params, n_features, seed) if kind == "mlp" else _gbt(params, seed)
+def estimator(kind: str, params: dict, seed: int = 42):
+    return NetworkClassifier(seed=seed, **params) if kind == "mlp" else _gbt(params, seed)
 
 
-def fit_model(kind: str, train: DataFrame, n_features: int, tune: bool = False,
-              budget: int | None = None, seed: int = 42, parallelism: int = 2,
-              overrides: dict | None = None, results: str | None = None):
+def fit_model(kind: str, train: DataFrame, tune: bool = False, budget: int | None = None, seed: int = 42,
+              parallelism: int = 2, overrides: dict | None = None, results: str | None = None):
     """Fit one family; with ``tune`` the winner of a random search over the folds, refitted on all training rows.
 
     ``results`` is the search's table (see ``search``); a folder of its own by default."""
     if not tune:
-        params = {**{"gbt": GBT_DEFAULT, "gbt_weighted": GBT_WEIGHTED_DEFAULT, "mlp": MLP_DEFAULT}[kind], **(overrides or {})}
-        if kind == "mlp" and params.get("early_stopping", True):
-            return fit_mlp_early_stopping(train, n_features, params, seed)
-        return estimator(kind, params, n_features, seed).fit(spread(train, GBT_ROWS))
+        return estimator(kind, {**default_params(kind), **(overrides or {})}, seed).fit(spread(train, TASK_ROWS[kind]))
     grid = {"gbt": GBT_GRID, "gbt_weighted": GBT_WEIGHTED_GRID, "mlp": MLP_GRID}[kind]
     points = [{**p, **(overrides or {})} for p in draw_grid(grid, budget or SEARCH_BUDGET[kind], seed)]
     results = results or stage_path(train.sparkSession, f"search-{uuid.uuid4().hex}")
-    best = search(kind, train, n_features, points, results, seed=seed, parallelism=parallelism)
-    return estimator(kind, best["params"], n_features, seed).fit(spread(train, MLP_ROWS if kind == "mlp" else GBT_ROWS))
+    best = search(kind, train, points, results, seed=seed, parallelism=parallelism)
+    return estimator(kind, best["params"], seed).fit(spread(train, TASK_ROWS[kind]))
 
 
 SEARCH_SCHEMA = "candidate int, params string, fold int, roc_auc double"
 
 
-def search(kind: str, train: DataFrame, n_features: int, points: list[dict], results: str, folds: int = 3, keep: float = 0.5,
+def search(kind: str, train: DataFrame, points: list[dict], results: str, folds: int = 3, keep: float = 0.5,
            seed: int = 42, parallelism: int = 2, max_fits: int | None = None) -> dict | None:
     """Random search over the stratified ``fold`` column whose results are a table, so a lost driver resumes.
 
@@ -189,8 +174,7 @@ def search(kind: str, train: DataFrame, n_features: int, points: list[dict], res
     fits, writing = 0, threading.Lock()
 
     def judge(c: int, f: int) -> None:
-        rest = spread(train.where(F.col("fold") != f), MLP_ROWS if kind == "mlp" else GBT_ROWS)
-        model = estimator(kind, points[c], n_features, seed).fit(rest)
+        model = estimator(kind, points[c], seed).fit(spread(train.where(F.col("fold") != f), TASK_ROWS[kind]))
         scored = positive_probability(model, train.where(F.col("fold") == f)).select(F.col("label").cast("int").alias(LABEL), "p")
         auc = score_metrics(scored, LABEL, "p").first()["roc_auc"]
         with writing:                                   # one append at a time: they share a commit folder
@@ -218,56 +202,6 @@ def search(kind: str, train: DataFrame, n_features: int, points: list[dict], res
     return {"candidate": best, "params": points[best], "roc_auc": mean[best], "fits": fits}
 
 
-def _log_loss(model, df: DataFrame) -> float:
-    """Mean negative log-likelihood of the true label (one aggregate)."""
-    prob = vector_to_array("probability")
-    p_true = F.when(F.col("label") == 1.0, prob[1]).otherwise(prob[0])
-    return model.transform(df).agg(F.avg(-F.log(F.greatest(p_true, F.lit(1e-15))))).first()[0]
-
-
-def fit_mlp_early_stopping(train: DataFrame, n_features: int, params: dict, seed: int = 42,
-                           validation_pct: int = EARLY_STOP["validation_pct"],
-                           chunk: int = EARLY_STOP["chunk"], patience: int = EARLY_STOP["patience"],
-                           tol: float = EARLY_STOP["tol"]) -> PipelineModel:
-    """Scaler + network trained in warm-started chunks of ``chunk`` iterations.
-
-    A stratified ``validation_pct`` share of the training rows (hash rank, own seed) is
-    held out; after every chunk the validation log-loss is measured, the best weights are
-    kept, and training stops after ``patience`` chunks without an improvement above
-    ``tol`` or at ``maxIter``. Only the weight vector (model-sized) passes the driver."""
-    from churnkit.operators.sampling import stratified_split
-
-    p = dict(params)
-    p.pop("early_stopping", None)
-    hidden = p.pop("hidden")
-    max_iter = p.pop("maxIter", 500)
-    parts = stratified_split(train, KEY, "label", validation_pct, f"early-stop-{seed}", 1)
-    fit_part = parts.where(F.col("split") == "train").drop("split", "fold")
-    val_part = parts.where(F.col("split") == "test").drop("split", "fold")
-    scaler = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True).fit(fit_part)
-    fit_s = materialize(spread(scaler.transform(fit_part), MLP_ROWS), "mlp-fit")
-    val_s = materialize(scaler.transform(val_part), "mlp-validation")
-    layers = [n_features, *hidden, 2]
-    weights, best_loss, best, stale, done = None, float("inf"), None, 0, 0
-    while done < max_iter:
-        step = min(chunk, max_iter - done)
-        net = MultilayerPerceptronClassifier(featuresCol="scaled", labelCol="label", layers=layers,
-                                             seed=seed, maxIter=step, **p)
-        if weights is not None:
-            net.setInitialWeights(weights)
-        model = net.fit(fit_s)
-        done += step
-        loss = _log_loss(model, val_s)
-        if loss < best_loss - tol:
-            best_loss, best, stale = loss, model, 0
-        else:
-            stale += 1
-            if stale >= patience:
-                break
-        weights = model.weights
-    return PipelineModel(stages=[scaler, best])
-
-
 def positive_probability(model, df: DataFrame) -> DataFrame:
     """Score with a fitted model: adds p (class-1 probability) and prediction (p >= 0.5)."""
     scored = model.transform(df)
@@ -306,14 +240,13 @@ def test_rows(rows: DataFrame) -> DataFrame:
     return _rows_of(rows, "test")
 
 
-def train_and_compare(train: DataFrame, test: DataFrame, n_features: int,
-                      kinds=("gbt", "gbt_weighted", "mlp"), tune: bool = False,
+def train_and_compare(train: DataFrame, test: DataFrame, kinds=("gbt", "gbt_weighted", "mlp"), tune: bool = False,
                       budgets: dict | None = None, overrides: dict | None = None,
                       parallelism: int = 2) -> TrainResult:
     """Fit every family, evaluate on the test split, union the rows, pick the best by AUC."""
     res = TrainResult()
     res.models = fit_concurrently(
-        {k: (lambda k=k: fit_model(k, train, n_features, tune, (budgets or {}).get(k), 42, parallelism,
+        {k: (lambda k=k: fit_model(k, train, tune, (budgets or {}).get(k), 42, parallelism,
                                    (overrides or {}).get(k))) for k in kinds})
     rows = []
     for pos, kind in enumerate(kinds):
@@ -347,6 +280,8 @@ def metadata(comparison: DataFrame, best_kind: str, n_features: int, split: Data
                       "n_train", "n_test", "churn_rate")
 
 
-def save_models(res: TrainResult, path: str) -> None:
+def save_models(spark: SparkSession, res: TrainResult, path: str) -> None:
+    from churnkit.sources.models import save_model
+
     for kind, model in res.models.items():
-        model.write().overwrite().save(f"{path}/{kind}")
+        save_model(spark, model, f"{path}/{kind}")

@@ -65,14 +65,13 @@ def fitted(inputs: Inputs, kinds=KINDS) -> dict[str, Artifact]:
     """The stored models of these inputs; those not stored yet are fitted concurrently and published, with the
     feature model that their vectors come from."""
     store = ModelStore(inputs.raw.sparkSession)
-    names = inputs.features.feature_names
     params = {k: {"kind": k, "params": train.default_params(k), "features": inputs.features.to_json(), "split": [20, 42, 3]} for k in kinds}
     versions = {k: store.version(inputs.fingerprint, params[k]) for k in kinds}
     found = {k: a for k in kinds if (a := store.find(MODEL_NAME[k], versions[k])) is not None}
     missing = [k for k in kinds if k not in found]
     if missing:
         rows, _ = inputs.training()
-        models = train.fit_concurrently({k: (lambda k=k: train.fit_model(k, rows, len(names))) for k in missing})
+        models = train.fit_concurrently({k: (lambda k=k: train.fit_model(k, rows)) for k in missing})
         for k in missing:
             found[k] = store.publish(MODEL_NAME[k], versions[k], models[k], inputs=inputs.fingerprint, kind=k,
                                      features=inputs.features.to_json())
@@ -199,7 +198,7 @@ def q_model_metadata(spark, sf) -> DataFrame:
 
 
 SEARCH_SPACE = {"gbt": {"maxIter": [4, 8], "maxDepth": [3, 5], "stepSize": [0.1, 0.2], "pos_weight": [1, 2, 3]},
-                "mlp": {"hidden": [(16,), (32, 16)], "maxIter": [20, 40], "tol": [1e-4]}}
+                "mlp": {"hidden": [(16,), (32, 16)], "activation": ["relu", "tanh"], "learning_rate": [0.005, 0.01], "steps": [4], "epochs": [6]}}
 
 
 def q_search_compare(spark, sf) -> DataFrame:
@@ -211,7 +210,7 @@ def q_search_compare(spark, sf) -> DataFrame:
     for kind, space in SEARCH_SPACE.items():
         points = train.draw_grid(space, 4)
         version = ModelStore(spark).version(inputs.fingerprint, {"search": kind, "points": points})
-        best = train.search(kind, rows, len(inputs.features.feature_names), points, f"{ModelStore(spark).root}/search-{kind}/{version}")
+        best = train.search(kind, rows, points, f"{ModelStore(spark).root}/search-{kind}/{version}")
         found.append((train.DISPLAY[kind], best["candidate"], json.dumps(best["params"], sort_keys=True), round(best["roc_auc"], 4)))
     return spark.createDataFrame(found, "model string, candidate int, params string, mean_roc_auc double")
 

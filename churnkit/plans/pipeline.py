@@ -47,9 +47,9 @@ def run_training(spark: SparkSession, encoded_path: str, feature_model: FeatureM
     split = spark.read.parquet(f"{out_dir}/split").select(KEY, LABEL, "split", "fold")
     tr, te = train.prepare_training(feature_model.assemble(
         spark.read.parquet(f"{out_dir}/split").drop("split", "fold")), split)
-    res = train.train_and_compare(tr, te, len(feature_model.feature_names), tune=tune,
+    res = train.train_and_compare(tr, te, tune=tune,
                                   budgets=budgets, overrides=overrides, parallelism=parallelism)
-    train.save_models(res, f"{out_dir}/models")
+    train.save_models(spark, res, f"{out_dir}/models")
     io.write_comparison(res.comparison.drop("position"), f"{out_dir}/comparison")
     io.write_json_report(train.metadata(res.comparison, res.best, len(feature_model.feature_names), split),
                          f"{out_dir}/metadata")

@@ -99,7 +99,7 @@ def test_small_search_runs(spark, raw, fm):
     enc = fm.transform(raw)
     split = sampling.stratified_split(enc.select("customerID", "Churn"), "customerID", "Churn")
     tr, te = train.prepare_training(fm.assemble(enc), split)
-    model = train.fit_model("gbt", tr, 45, tune=True, budget=2, overrides={"maxIter": 3})
+    model = train.fit_model("gbt", tr, tune=True, budget=2, overrides={"maxIter": 3})
     row = train.evaluate_model("GradientBoosting", model, te).first()
     assert 0.0 <= row["roc_auc"] <= 1.0
     comp = spark.createDataFrame([("A", 0.7, 0.5, 0.6, 0.55, 0.8, 0), ("B", 0.8, 0.4, 0.7, 0.5, 0.8, 1)],

@@ -23,7 +23,7 @@ def small_models():
     kept = dict(train.GBT_DEFAULT), dict(train.GBT_WEIGHTED_DEFAULT), dict(train.MLP_DEFAULT)
     train.GBT_DEFAULT.update(maxIter=6, maxDepth=3)
     train.GBT_WEIGHTED_DEFAULT.update(maxIter=4, maxDepth=3)
-    train.MLP_DEFAULT.update(hidden=(8,), maxIter=10)
+    train.MLP_DEFAULT.update(hidden=(8,), epochs=6)
     yield
     for d, k in zip((train.GBT_DEFAULT, train.GBT_WEIGHTED_DEFAULT, train.MLP_DEFAULT), kept):
         d.update(k)
@@ -129,7 +129,7 @@ def test_restart_goes_on_with_the_named_version(spark, small_models, raw, tmp_pa
     store = ModelStore(spark, str(tmp_path / "store"))
     rows, _ = inputs.training()
     for n in (2, 3):
-        model = train.fit_model("gbt", rows, 45, overrides={"maxIter": n})
+        model = train.fit_model("gbt", rows, overrides={"maxIter": n})
         store.publish("gbt", f"v{n}", model, features=inputs.features.to_json())
     requests = requests_from_subscribers(raw)
     src, out, ck = (str(tmp_path / x) for x in ("in", "out", "ck"))

@@ -10,7 +10,7 @@ from churnkit.operators import train
 from churnkit.plans import pipeline
 from churnkit.sources import io
 
-SMALL = {"gbt": {"maxIter": 3}, "gbt_weighted": {"maxIter": 3}, "mlp": {"maxIter": 5, "hidden": (8,)}}
+SMALL = {"gbt": {"maxIter": 3}, "gbt_weighted": {"maxIter": 3}, "mlp": {"epochs": 3, "hidden": (8,)}}
 
 
 def test_pipeline_end_to_end(spark, raw, tmp_path):

@@ -194,15 +194,15 @@ def test_a_search_that_was_cut_off_goes_on(spark, raw, fm, tmp_path):
 
     rows, _ = train.prepare_training(fm.assemble(sampling.stratified_split(fm.transform(raw), "customerID", "Churn")))
     points = train.draw_grid({"maxIter": [2, 3], "maxDepth": [2, 3], "stepSize": [0.1, 0.3]}, 4)
-    whole = train.search("gbt", rows, 45, points, str(tmp_path / "a"))
+    whole = train.search("gbt", rows, points, str(tmp_path / "a"))
     assert whole["fits"] == 4 + 2 * 2                                  # half of the candidates stop after fold 0
     cut = str(tmp_path / "b")
-    assert train.search("gbt", rows, 45, points, cut, max_fits=3) is None and train.search("gbt", rows, 45, points, cut, max_fits=2) is None
+    assert train.search("gbt", rows, points, cut, max_fits=3) is None and train.search("gbt", rows, points, cut, max_fits=2) is None
     assert spark.read.parquet(cut).count() == 5
-    rest = train.search("gbt", rows, 45, points, cut)
+    rest = train.search("gbt", rows, points, cut)
     assert rest["fits"] == 3 and {k: rest[k] for k in ("candidate", "params", "roc_auc")} == {k: whole[k] for k in ("candidate", "params", "roc_auc")}
-    assert train.search("gbt", rows, 45, points, cut)["fits"] == 0
+    assert train.search("gbt", rows, points, cut)["fits"] == 0
     table = lambda p: sorted(map(tuple, spark.read.parquet(p).collect()))
     assert table(cut) == table(str(tmp_path / "a"))
     with pytest.raises(ValueError):
-        train.search("gbt", rows, 45, points[::-1], cut)
+        train.search("gbt", rows, points[::-1], cut)
