@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 NO_TURNS = "array<struct<role:string,text:string>>"
@@ -82,12 +83,14 @@ def format_preferences(pairs: DataFrame, keep: list[str], chosen: str = "chosen"
 def swapped_replies(conversations: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role",
                     text: str = "text") -> DataFrame:
     """(conv_id, chosen, rejected): each conversation against itself with its last assistant reply taken from its
-    neighbour (ids 2k and 2k + 1). Without a neighbour or a reply on either side, rejected ends before the reply."""
+    neighbour (ids 2k and 2k + 1; ids that are no integers have none). Without a neighbour or a reply on either side, rejected
+    ends before the reply."""
     name = F.col(f"`{conv_id}`")
-    rows = conversations.where(name.isNotNull()).select(name.alias("c"), F.shiftright(name, 1).alias("pair"),
+    numbered = isinstance(conversations.schema[conv_id].dataType, T.IntegralType)
+    rows = conversations.where(name.isNotNull()).select(name.alias("c"), (F.shiftright(name, 1) if numbered else name).alias("pair"),
                                                         F.col(f"`{turn}`").alias("turn"), F.col(f"`{role}`").alias("role"), F.col(f"`{text}`").alias("text"))
     def side(odd: int) -> Column:
-        return turns(F.col("turn"), F.col("role"), F.col("text"), F.col("c").bitwiseAND(F.lit(1)) == odd)
+        return turns(F.col("turn"), F.col("role"), F.col("text"), F.col("c").bitwiseAND(F.lit(1)) == odd if numbered else F.lit(odd == 0))
 
     both = rows.groupBy("pair").agg(side(0).alias("even"), side(1).alias("odd"))
 
@@ -99,7 +102,7 @@ def swapped_replies(conversations: DataFrame, conv_id: str = "conv_id", turn: st
         at, reply = last_reply(own), F.slice(other, F.greatest(last_reply(other), F.lit(1)), F.when(last_reply(other) > 0, 1).otherwise(0))
         kept = F.slice(own, 1, F.when(at > 0, at - 1).otherwise(F.size(own)))
         after = F.slice(own, at + 1, F.when(at > 0, F.size(own) - at).otherwise(0))
-        return F.struct((F.shiftleft("pair", 1) + odd).alias("conv_id"), own.alias("chosen"),
+        return F.struct((F.shiftleft("pair", 1) + odd if numbered else F.col("pair")).alias("conv_id"), own.alias("chosen"),
                         F.when(at > 0, F.concat(kept, reply, after)).otherwise(own).alias("rejected"))
 
     even, odd = F.col("even"), F.col("odd")
