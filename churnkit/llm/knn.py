@@ -5,9 +5,10 @@ by its pivot, its radius and its longest vector. For a query q and a cell with p
 longest norm m no score exceeds ``min(q.p + |q| r, |q| m)``. A query is first solved in its own cell, which gives
 a lower bound of its k-th score; then it is replicated only to those cells whose bound reaches it. Cells are
 stored in blocks of bounded size, so that a cell with most of the data is many tasks, and queries travel in
-blocks too. Every block solves its queries locally; the k best of each block meet in a final group of at most
-k rows a block.
+blocks too, one copy for each data block: the join has a key a data block. Every block solves its queries locally; of its results a
+task passes on k a query, and the k best of those are ranked.
 
+Components beyond a long after scaling, and scores beyond a long, are an error.
 Vectors that are null or hold null or non-finite components, and rows without an id, take no part. Rows with the
 query's id are its own and no candidates. Shorter vectors count as padded with zeros. Ties go to the smaller id.
 Repeated data rows are candidates each; repeated query rows are answered each. Empty table: empty result. Other
@@ -21,6 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from churnkit.session import materialize, ship_package
@@ -40,11 +42,19 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
 
 
 def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact integer inner products: in floats where every sum is below 2 ** 53."""
-    most = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1]
+    """Exact integer inner products: in floats where every sum is below 2 ** 53, in longs below 2 ** 62, else in Python's integers."""
+    most = float(np.abs(q.astype(float)).max(initial=0)) * float(np.abs(x.astype(float)).max(initial=0)) * q.shape[1]
     if most < 2.0 ** 53:
         return (q.astype(float) @ x.astype(float).T).astype(np.int64)
-    return q @ x.T
+    if most < 2.0 ** 62:
+        return q @ x.T
+    return q.astype(object) @ x.astype(object).T
+
+
+def _longs(scores: np.ndarray) -> np.ndarray:
+    if scores.dtype == object and len(scores) and not -2 ** 63 <= scores.min() <= scores.max() < 2 ** 63:
+        raise OverflowError("a score is beyond a long")
+    return scores.astype(np.int64)
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -73,7 +83,7 @@ def _pack(dims: int):
     def run(key: tuple, t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
         v = np.concatenate([_matrix(c, dims) for c in t.column("v").chunks]) if t.num_rows else np.zeros((0, dims), np.int64)
-        return pa.table({"cell": pa.array([key[0].as_py()], pa.int32()),
+        return pa.table({"cell": pa.array([key[0].as_py()], pa.int32()), "salt": pa.array([key[1].as_py()], pa.int64()),
                          "rows": pa.array([t.column("row").to_numpy().tobytes()], pa.binary()),
                          "ids": pa.array([t.column("id").to_numpy().tobytes()], pa.binary()),
                          "v": pa.array([v.astype("<i8").tobytes()], pa.binary())})
@@ -81,11 +91,11 @@ def _pack(dims: int):
 
 
 def _blocks(rows: DataFrame, dims: int, per_block: int) -> DataFrame:
-    """(cell, rows, ids, v): a cell's vectors in blocks of about ``per_block``, packed as bytes."""
+    """(cell, salt, rows, ids, v): a cell's vectors in blocks of about ``per_block``, numbered, packed as bytes."""
     sizes = rows.groupBy("cell").agg(F.ceil(F.count("*") / per_block).alias("blocks"))
     salted = rows.join(sizes, "cell").withColumn("salt", F.pmod(F.xxhash64("row"), F.col("blocks")))
     return salted.select("cell", "salt", "row", "id", "v").groupBy("cell", "salt").applyInArrow(
-        _pack(dims), "cell int, rows binary, ids binary, v binary")
+        _pack(dims), "cell int, salt long, rows binary, ids binary, v binary")
 
 
 def _solve(dims: int, k: int):
@@ -100,8 +110,9 @@ def _solve(dims: int, k: int):
                 for at in range(0, len(q), 64):                    # bounded score matrices
                     for i, s in enumerate(_scores(q[at:at + 64], x), at):
                         other = np.flatnonzero(ids != q_ids[i])
-                        best = other[_best(s[other], ids[other], k)]
-                        out.append((np.full(len(best), q_rows[i]), np.full(len(best), q_ids[i]), ids[best], s[best]))
+                        s = _longs(s[other])
+                        best = _best(s, ids[other], k)
+                        out.append((np.full(len(best), q_rows[i]), np.full(len(best), q_ids[i]), ids[other[best]], s[best]))
                 cols = [np.concatenate(c) for c in zip(*out)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["row", "query_id", "vec_id", "score"])
     return run
@@ -115,8 +126,10 @@ def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embeddin
     the speed."""
     ship_package(vectors.sparkSession)
     vec = F.col(f"`{embedding}`")
+    small = F.forall(vec, lambda x: F.abs(x.cast("double")) * scale < 2.0 ** 63)
     rows = vectors.where(usable(vec) & F.col(f"`{vec_id}`").isNotNull()).select(
-        F.col(f"`{vec_id}`").cast("long").alias("id"), quantised(vec, scale).alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
+        F.col(f"`{vec_id}`").cast("long").alias("id"), F.when(small, quantised(vec, scale)).otherwise(
+            F.raise_error(F.lit("a scaled component is beyond a long"))).alias("v"), F.coalesce(is_query, F.lit(False)).alias("is_query"))
     rows = materialize(rows.withColumn("row", F.monotonically_increasing_id()), "knn-vectors")
     dims = rows.agg(F.max(F.size("v"))).first()[0] or 1
     rows = rows.withColumn("v", F.concat("v", F.array_repeat(F.lit(0).cast("long"), F.lit(dims) - F.size("v"))))
@@ -131,20 +144,23 @@ def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embeddin
     cells = np.array([s["cell"] for s in summary])
     radius, longest = np.array([s["r"] for s in summary]), np.array([s["m"] for s in summary])
 
-    blocks = materialize(_blocks(celled.select("row", "id", "v", "cell"), dims, per_block), "knn-blocks").select("cell", "ids", "v")
+    blocks = materialize(_blocks(celled.select("row", "id", "v", "cell"), dims, per_block), "knn-blocks").select("cell", "salt", "ids", "v")
+    numbers = blocks.groupBy("cell").agg(F.max("salt").alias("last"))          # a cell's block numbers end there
     queries = celled.join(rows.where("is_query").select("row"), "row", "left_semi").select("row", "id", "v", "cell")
 
     def solved(asked: DataFrame) -> DataFrame:
         packed = _blocks(asked, dims, query_block).select("cell", F.col("rows").alias("q_rows"), F.col("ids").alias("q_ids"), F.col("v").alias("q"))
-        pairs = packed.join(blocks, "cell").select("q_rows", "q_ids", "q", "ids", "v")
+        sent = packed.join(numbers, "cell").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), "last")))   # a key for each data block
+        pairs = sent.join(blocks, ["cell", "salt"]).select("q_rows", "q_ids", "q", "ids", "v")
         return pairs.mapInArrow(_solve(dims, k), "row long, query_id long, vec_id long, score long")
 
     def best_of(found: DataFrame) -> DataFrame:
-        order = F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("s"), F.col("vec_id").alias("vec_id"))))
-        return found.groupBy("row", "query_id").agg(F.slice(order, 1, k).alias("best"))
+        """The k best of each query with their rank; Spark limits each task's rows to k a query before it shuffles them."""
+        order = W.partitionBy("row").orderBy(F.desc("score"), "vec_id")
+        return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
     home = materialize(solved(queries), "knn-home")
-    reach = best_of(home).select("row", F.when(F.size("best") == k, -F.element_at("best", k)["s"]).alias("bound"))
+    reach = best_of(home).where(F.col("rank") == k).select("row", F.col("score").alias("bound"))
     open_to = queries.join(reach, "row", "left").select("row", "id", "v", "cell", "bound")
 
     def elsewhere(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,6 +176,4 @@ def top_k(vectors: DataFrame, is_query: Column, vec_id: str = "vec_id", embeddin
                                              names=["row", "id", "v", "cell"])
 
     away = solved(open_to.mapInArrow(elsewhere, "row long, id long, v array<long>, cell int"))
-    best = best_of(home.unionByName(away))
-    return best.select("query_id", F.posexplode("best").alias("at", "b")).select(
-        "query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("b.vec_id").alias("vec_id"), (-F.col("b.s")).alias("score"))
+    return best_of(home.unionByName(away)).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
