@@ -49,6 +49,13 @@ def per_text(df: DataFrame, keep: Sequence[str], text: str, make: Callable[[], C
     return source.mapInArrow(run, schema)
 
 
+def free(name: str, taken: Sequence[str]) -> str:
+    """``name``, lengthened until no column of ``taken`` has it, whatever its case."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def field(name: str, kind: T.DataType) -> T.StructField:
     return T.StructField(name, kind, True)
 

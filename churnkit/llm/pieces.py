@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnkit.llm.common import free
 from churnkit.session import materialize, ship_package
 
 SPACE = "▁"
@@ -491,20 +492,30 @@ def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id
     the text holds U+2581), one row per row of ``docs``."""
     spark = docs.sparkSession
     ship_package(spark)
-    body, name = F.col(f"`{text}`"), F.col(f"`{doc_id}`")
-    low, high, chars = docs.agg(F.min(name), F.max(name), F.coalesce(F.sum(F.length(body)), F.lit(0))).first()
+    body, name, row = F.col(f"`{text}`"), F.col(f"`{doc_id}`"), F.monotonically_increasing_id()
+    numbered = isinstance(docs.schema[doc_id].dataType, T.IntegralType)
+    low, high, chars = docs.agg(F.min(name) if numbered else F.lit(None), F.max(name) if numbered else F.lit(None),
+                                F.coalesce(F.sum(F.length(body)), F.lit(0))).first()
     want = max(1, -(-chars // block_chars))
-    width = 1 if low is None else max(1, -(-(high - low + 1) // want))
-    ranged = F.coalesce(F.floor((name - F.lit(low or 0)) / F.lit(width)).cast("long"), F.lit(-1).cast("long"))
-    fullest = docs.groupBy(ranged.alias("r")).agg(F.sum(F.length(body)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-    split = max(1, -(-fullest // (2 * block_chars)))                     # an uneven layout: every range in so many parts
-    block = ranged if split == 1 else ranged * split + F.pmod(F.xxhash64(body), F.lit(split))
-    blocked = docs.select(block.alias("__block"), body.alias("__text"), *[F.col(f"`{c}`") for c in keep])
-    buckets = int(max(8, want * split * 4))
+    by_row = F.pmod(F.xxhash64(row), F.lit(want))                        # even whatever the ids and texts are
+    if numbered:                                                         # neighbouring ids share a block
+        width = 1 if low is None else max(1, -(-(high - low + 1) // want))
+        wide = low is not None and high - low >= 2 ** 62                # differences that a long may not hold
+        from_low = (name.cast("decimal(38,0)") if wide else name) - F.lit(low or 0).cast("decimal(38,0)" if wide else "long")
+        ranged = F.coalesce(F.floor(from_low / F.lit(width).cast("decimal(38,0)" if wide else "long")).cast("long"), F.lit(-1).cast("long"))
+        fullest = docs.groupBy(ranged.alias("r")).agg(F.sum(F.length(body)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+        split = max(1, -(-fullest // (2 * block_chars)))                 # an uneven layout: every range in so many parts
+        block = ranged if split == 1 else ranged * split + F.pmod(row, F.lit(split)) if split <= 4 else by_row
+        split = split if split <= 4 else 1
+    else:
+        block, split = by_row, 1
+    in_block, in_text = free("__block", keep), free("__text", keep)
+    blocked = docs.select(block.alias(in_block), body.alias(in_text), *[F.col(f"`{c}`") for c in keep])
+    buckets = int(max(8, want * split * 4))                             # linear in the text
     dtype = "<u2" if len(model.pieces) <= 65536 else "<u4"
 
-    payload = [f for f in blocked.schema if f.name in keep] + [T.StructField("__text", T.StringType())]
-    order = [*keep, "__text"]
+    payload = [f for f in blocked.schema if f.name in keep] + [T.StructField(in_text, T.StringType())]
+    order = [*keep, in_text]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
