@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import n_words
+from churnkit.llm.common import free, n_words
 from churnkit.session import materialize, ship_package
 
 def _ranked(sources: DataFrame) -> DataFrame:
@@ -184,8 +184,8 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
 
 def mix_documents(docs: DataFrame, source: str = "source", text: str = "text", **how) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its copies say, rows with none left out."""
-    key = "__row"
+    key, many, one = (free(c, docs.columns) for c in ("__row", "__copies", "__copy"))
     rows = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "mix-docs")
-    copies = mix(rows, key, source, text, **how).select(F.col(key), F.col("copies").cast("int").alias("__copies"))
-    taken = rows.join(copies, key).where("__copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    copies = mix(rows, key, source, text, **how).select(F.col(key), F.col("copies").cast("int").alias(many))
+    taken = rows.join(copies, key).where(F.col(many) > 0).withColumn(one, F.explode(F.sequence(F.lit(1), F.col(many))))
     return taken.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -183,3 +183,27 @@ def test_quality_trains_where_ids_say_nothing(spark, key):
     rejected = 1 - quality.keep_good(docs, sample_rows=200).count() / docs.count()
     usual = 1 - quality.keep_good(spark.read.parquet(f"{SF}/documents.parquet")).count() / docs.count()
     assert 0 < rejected and abs(rejected - usual) < 0.08
+
+
+def test_top_k_of_huge_components(spark):
+    kind = "vec_id long, embedding array<double>"
+    top = lambda rows: [tuple(r) for r in knn.top_k(spark.createDataFrame(rows, kind), F.col("vec_id") == 0, k=2, scale=1.0).orderBy("rank").collect()]
+    assert top([(0, [2.0 ** 40, 1.0]), (1, [2.0 ** 22, 3.0]), (2, [-(2.0 ** 22), 7.0])]) == [(0, 1, 1, 2 ** 62 + 3), (0, 2, 2, -2 ** 62 + 7)]
+    for rows in ([(0, [1e30, 1.0]), (1, [4e16, 1.0])], [(0, [2.0 ** 40]), (1, [2.0 ** 30])]):
+        with pytest.raises(Exception, match="beyond a long"):
+            top(rows)
+
+
+def test_top_k_joins_on_blocks_not_cells(spark):
+    rows = [(i, [float(i % 7), 1.0]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    plain = sorted(map(tuple, knn.top_k(df, F.col("vec_id") % 50 == 0).collect()))
+    assert plain == sorted(map(tuple, knn.top_k(df, F.col("vec_id") % 50 == 0, pivots=1, per_block=3).collect())) and len(plain) == 40
+    blocks = knn._blocks(df.selectExpr("vec_id AS row", "vec_id AS id", "transform(embedding, x -> CAST(x AS BIGINT)) AS v", "0 AS cell"), 2, 3)
+    assert blocks.select("cell", "salt").distinct().count() == blocks.count() > 64
+
+
+def test_mix_documents_keeps_clashing_columns(spark):
+    docs = spark.createDataFrame([(i, "a b c " * (i % 5), "s", i, -i, 2 * i) for i in range(60)], "doc_id long, text string, source string, __row int, __copies int, __copy int")
+    out = mixing.mix_documents(docs)
+    assert out.columns == docs.columns and out.count() > 0 and out.where("__row <> doc_id OR __copies <> -doc_id OR __copy <> 2 * doc_id").count() == 0

@@ -157,3 +157,19 @@ def test_pipeline_stages(spark, library):
     want = brute_pipeline(spark, docs, library)
     got = sorted((r.doc_id, r.n_tokens, tuple(r.ids)) for r in corpus_pipeline.run(spark, SMALL).collect())
     assert got == want
+
+
+@pytest.mark.parametrize("kind,ids", [("string", ["a", None, "-7", "z" * 50] * 9), ("long", [-2 ** 63, 2 ** 63 - 1, 0, None] * 9), ("long", [*range(35), 10 ** 15]),
+                                      ("long", [None] * 36), ("long", [5] * 36)])
+def test_piece_ids_of_any_document_ids(spark, model, library, kind, ids):
+    texts = [f"some words {i % 3} and more" if i % 2 else "the same text" for i in range(36)]
+    docs = spark.createDataFrame([(a, t, i) for i, (a, t) in enumerate(zip(ids, texts))], f"doc_id {kind}, text string, __block int").repartition(3)
+    rows = pieces.encode(docs, model, ["__block"], block_chars=60).collect()
+    assert {r["__block"]: r.ids for r in rows} == {i: library.encode(t) for i, t in enumerate(texts)} and len(rows) == 36
+
+
+def test_conversations_with_other_ids_have_no_neighbour(spark):
+    rows = [("a", 0, "user", "q"), ("a", 1, "assistant", "x"), ("7", 0, "user", "only"), (None, 0, "user", "n")]
+    df = spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat.format_preferences(chat.swapped_replies(df), ["conv_id"]).collect()}
+    assert set(got) == {"a", "7"} and got["a"].n_prefix == 1 and got["a"].rejected == "" and not got["7"].differs
