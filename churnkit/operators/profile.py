@@ -8,13 +8,16 @@ column pairs).
 
 from __future__ import annotations
 
-import itertools
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnkit.functions.expr import cents, ratio_half_up
 from churnkit.schema import LABEL
+from churnkit.session import ship_package
 
 SEGMENT_DIMENSIONS = ["Contract", "InternetService", "PaymentMethod"]
 
@@ -157,54 +160,40 @@ def string_columns(df: DataFrame) -> list[str]:
 
 
 def correlation_long(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Pearson matrix as a long table (col_a, col_b, r), r rounded to 4 places.
+    """Pearson matrix as a long table (col_a, col_b, r), r rounded to 4 places, each pair over the rows that have both.
 
-    Without NULLs in the columns: Spark ML ``Correlation`` -- one treeAggregate pass of
-    BLAS outer products; the k x k result (bounded by the column count, not the data) is
-    laid out as the long table. With NULLs: one SQL aggregate of ``covar_pop`` /
-    ``stddev_pop`` per pair, which drops NULLs pairwise like the reference. A constant
-    column gives NULL (never a division error)."""
+    One pass of masked matrix products in Arrow batches, whatever is NULL: a task sums, for every pair, the count, both sums and squares and the
+    products over the rows where both values are there; Spark adds the tasks' k x k sums up. Values are taken from their column's
+    minimum, so a column that is constant over a pair's rows has no spread at all and gives NULL. NaN counts as NULL."""
     cols = columns or numeric_columns(df)
-    pre = df.agg(*[a for i, c in enumerate(cols) for a in (
-        F.sum(F.col(c).isNull().cast("int")).alias(f"n{i}"),
-        (F.min(c) == F.max(c)).alias(f"k{i}"))]).first()
-    if all((pre[f"n{i}"] or 0) == 0 for i in range(len(cols))):
-        constant = {c for i, c in enumerate(cols) if pre[f"k{i}"] is not False}
-        return _correlation_ml(df, cols, constant)
-    return _correlation_sql(df, cols)
-
-
-def _correlation_ml(df: DataFrame, cols: list[str], constant: set[str]) -> DataFrame:
-    import math
-
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vec = VectorAssembler(inputCols=cols, outputCol="_v").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in cols]))
-    m = Correlation.corr(vec, "_v").first()[0].toArray()
-    rows = []
-    for i, a in enumerate(cols):
-        for j, b in enumerate(cols):
-            v = float(m[i][j])
-            undefined = math.isnan(v) or a in constant or b in constant
-            rows.append((a, b, None if undefined else round(v, 4) + 0.0))
-    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
-
-
-def _correlation_sql(df: DataFrame, cols: list[str]) -> DataFrame:
-    aggs = []
-    pairs = list(itertools.combinations_with_replacement(range(len(cols)), 2))
-    for i, j in pairs:
-        a, b = F.col(cols[i]).cast("double"), F.col(cols[j]).cast("double")
-        aggs += [F.covar_pop(a, b).alias(f"c{i}_{j}"),           # all three over the rows that have both
-                 F.stddev_pop(F.when(b.isNotNull(), a)).alias(f"s{i}_{j}"),
-                 F.stddev_pop(F.when(a.isNotNull(), b)).alias(f"t{i}_{j}")]
-    wide = df.agg(*aggs)
-    entries = []
-    for i, j in pairs:
-        r = F.round(F.try_divide(F.col(f"c{i}_{j}"), F.col(f"s{i}_{j}") * F.col(f"t{i}_{j}")), 4)
-        entries.append(F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), r.alias("r")))
-        if i != j:
-            entries.append(F.struct(F.lit(cols[j]).alias("col_a"), F.lit(cols[i]).alias("col_b"), r.alias("r")))
-    return wide.select(F.explode(F.array(*entries)).alias("e")).select("e.col_a", "e.col_b", "e.r")
+    k = len(cols)
+    x = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(f"x{i}") for i, c in enumerate(cols)]
+    values = df.select(*x)
+    least = values.agg(*[F.min(f"x{i}").alias(f"x{i}") for i in range(k)]).first()
+    low = np.array([least[f"x{i}"] or 0.0 for i in range(k)])
+    sums = ("n", "sa", "sb", "saa", "sbb", "sab")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(sums), k, k))
+        for b in batches:
+            v = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in b.columns]) - low if k else np.zeros((0, 0))
+            there = ~np.isnan(v)
+            v, m = np.where(there, v, 0.0), there.astype(float)
+            total += np.stack([m.T @ m, v.T @ m, m.T @ v, (v * v).T @ m, m.T @ (v * v), v.T @ v])
+        at = np.indices((k, k)).reshape(2, -1).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(at[0]), pa.array(at[1]), *(pa.array(t.ravel()) for t in total)], names=["i", "j", *sums])
+
+    ship_package(df.sparkSession)
+    pairs = values.mapInArrow(run, "i int, j int, " + ", ".join(f"{c} double" for c in sums))
+    total = pairs.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in sums])            # k * k rows
+    n = F.col("n")
+    covariance = F.col("sab") - F.try_divide(F.col("sa") * F.col("sb"), n)
+
+    def squares(total: str, of: str) -> Column:           # about their mean; nothing where only rounding is left
+        left = F.col(of) - F.try_divide(F.col(total) * F.col(total), n)
+        return F.when(left > 1e-12 * F.col(of), left).otherwise(0.0)
+
+    spread = F.sqrt(squares("sa", "saa") * squares("sb", "sbb"))
+    names = F.lit(cols)
+    return total.select(names[F.col("i")].alias("col_a"), names[F.col("j")].alias("col_b"),
+                        (F.round(F.try_divide(covariance, spread), 4) + 0.0).alias("r"))

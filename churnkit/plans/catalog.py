@@ -51,20 +51,28 @@ def _labelled(spark, sf):
             .withColumn("is_new_customer", (F.col("tenure") <= 6).cast("int")))
 
 
+def _unfitted(spark, sf, *columns: str):
+    """Engineered rows without the columns that need a learned statistic: no fit, no stage. Given ``columns``, those only, as a
+    stage that several branches of a plan may read."""
+    fm = FeatureModel(0.0, {}, 0.0)
+    rows = fm.engineer(fm.clean(subscriber_raw(spark, sf))).drop("TotalCharges", "avg_monthly_spend", "overpay_ratio")
+    return materialize(rows.select(*columns)) if columns else rows
+
+
 def _scored(spark, sf):
-    """Featured table scored by the fixed scorecard, with all drivers ranked."""
-    scored = scoring.scorecard_score(_featured(spark, sf))
+    """Rows scored by the fixed scorecard, whose features are no learned ones, with all drivers ranked."""
+    scored = scoring.scorecard_score(_unfitted(spark, sf))
     return scored.withColumn("drivers", scoring.ranked_drivers(scoring.SCORECARD_FEATURES, None))
 
 
 def _split(spark, sf):
-    return sampling.stratified_split(_featured(spark, sf), KEY, LABEL, test_pct=20, seed=42, n_folds=3)
+    return sampling.stratified_split(_unfitted(spark, sf, KEY, LABEL), KEY, LABEL, test_pct=20, seed=42, n_folds=3)
 
 
 def _scored_test(spark, sf):
-    featured = _featured(spark, sf)
-    split = sampling.stratified_split(featured.select(KEY, LABEL), KEY, LABEL, 20, 42, 3)
-    test = featured.join(split.where(F.col("split") == "test").select(KEY), KEY, "left_semi")
+    """The test rows with their score: split and score are columns of one table, so nothing is joined."""
+    rows = _unfitted(spark, sf, KEY, LABEL, *scoring.SCORECARD_FEATURES)
+    test = sampling.stratified_split(rows, KEY, LABEL, 20, 42, 3).where(F.col("split") == "test")
     return scoring.scorecard_score(test).withColumn("prediction", (F.col("p") >= 0.5).cast("int"))
 
 
@@ -150,7 +158,7 @@ def q_stratified_folds(spark, sf):
 
 
 def q_sample_churners(spark, sf):
-    return revenue.sample_churners(_featured(spark, sf), 5.0)
+    return revenue.sample_churners(_unfitted(spark, sf, KEY, LABEL, "MonthlyCharges"), 5.0)
 
 
 def q_background_sample(spark, sf):
@@ -159,36 +167,36 @@ def q_background_sample(spark, sf):
 
 
 def q_revenue_report(spark, sf):
-    return revenue.revenue_report(_featured(spark, sf), 5.0)
+    return revenue.revenue_report(_unfitted(spark, sf, KEY, LABEL, "MonthlyCharges"), 5.0)
 
 
 def q_revenue_sensitivity(spark, sf):
-    return revenue.revenue_sensitivity(_featured(spark, sf))
+    return revenue.revenue_sensitivity(_unfitted(spark, sf, KEY, LABEL, "MonthlyCharges"))
 
 
 def q_score_batch(spark, sf):
-    return scoring.score_batch(scoring.scorecard_score(_featured(spark, sf)), scoring.SCORECARD_FEATURES)
+    return scoring.score_batch(scoring.scorecard_score(_unfitted(spark, sf)), scoring.SCORECARD_FEATURES)
 
 
 def q_score_bands(spark, sf):
-    return scoring.score_bands(scoring.scorecard_score(_featured(spark, sf)))
+    return scoring.score_bands(scoring.scorecard_score(_unfitted(spark, sf)))
 
 
 def q_top_drivers(spark, sf):
-    return scoring.drivers_long(scoring.scorecard_score(_featured(spark, sf)), scoring.SCORECARD_FEATURES, 5)
+    return scoring.drivers_long(scoring.scorecard_score(_unfitted(spark, sf)), scoring.SCORECARD_FEATURES, 5)
 
 
 def q_driver_classes(spark, sf):
-    top3 = scoring.drivers_long(scoring.scorecard_score(_featured(spark, sf)), scoring.SCORECARD_FEATURES, 3)
+    top3 = scoring.drivers_long(scoring.scorecard_score(_unfitted(spark, sf)), scoring.SCORECARD_FEATURES, 3)
     return top3.select(KEY, "driver_rank", "feature", offers.driver_class(F.col("feature")).alias("driver_class"))
 
 
 def q_global_importance(spark, sf):
-    return scoring.global_importance(scoring.scorecard_score(_featured(spark, sf)), scoring.SCORECARD_FEATURES)
+    return scoring.global_importance(scoring.scorecard_score(_unfitted(spark, sf)), scoring.SCORECARD_FEATURES)
 
 
 def q_importance_spread(spark, sf):
-    return scoring.importance_spread(scoring.scorecard_score(_featured(spark, sf)), scoring.SCORECARD_FEATURES)
+    return scoring.importance_spread(scoring.scorecard_score(_unfitted(spark, sf, *scoring.SCORECARD_FEATURES)), scoring.SCORECARD_FEATURES)
 
 
 def q_retention_messages(spark, sf):
@@ -213,10 +221,8 @@ def q_roc_auc(spark, sf):
 
 def q_dataset_metadata(spark, sf):
     raw, fm = _fit(spark, sf)
-    featured = fm.engineer(fm.clean(raw))
-    return evaluate.dataset_metadata(
-        sampling.stratified_split(featured.select(KEY, LABEL), KEY, LABEL, 20, 42, 3),
-        len(fm.feature_names))
+    split = sampling.stratified_split(fm.clean(raw).select(KEY, LABEL), KEY, LABEL, 20, 42, 3)
+    return evaluate.dataset_metadata(split, len(fm.feature_names))
 
 
 def q_standardize(spark, sf):
@@ -308,7 +314,7 @@ def q_csv_roundtrip(spark, sf):
 def q_attributions_saved(spark, sf):
     """The scorecard's attributions, long, through their sink and back."""
     path = stage_path(spark, f"attributions-{uuid.uuid4().hex}")
-    scored = scoring.scorecard_score(_featured(spark, sf))
+    scored = scoring.scorecard_score(_unfitted(spark, sf))
     io.write_attributions(scoring.attributions_long(scored, scoring.SCORECARD_FEATURES), path)
     return spark.read.parquet(path).select(KEY, "feature", F.round("value", 4).alias("value"), F.round("impact", 4).alias("impact"))
 
