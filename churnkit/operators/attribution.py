@@ -97,7 +97,7 @@ def _leaves(nodes: dict[int, dict]) -> list[dict]:
                 c[f] = ("num", lo, min(hi, thr)) if go_left else ("num", max(lo, thr), hi)
             walk(child, c, z)
 
-    walk(0, {}, {})
+    walk(min(nodes), {}, {})                           # the root has the smallest number
     return out
 
 
@@ -146,9 +146,9 @@ def leaf_values_direct(o: np.ndarray, z: np.ndarray, v: float) -> np.ndarray:
 class TreeExplainerTables:
     """Flat, picklable description of an ensemble for the executors."""
 
-    def __init__(self, trees: list[list[dict]], weights: list[float], scale: float):
+    def __init__(self, trees: list[list[dict]], weights: list[float], scale: float, offset: float = 0.0):
         self.leaves = []   # (tree weight, v, feats, cons, z, table or None)
-        self.base = 0.0
+        self.offset = self.base = offset
         # pattern tables for the shallowest leaves first, within a fixed memory budget, so
         # the broadcast stays bounded whatever the ensemble's depth and size
         flat = [(w, lf) for t, w in zip(trees, weights) for lf in t]
@@ -197,7 +197,7 @@ class TreeExplainerTables:
         """(impacts (B, n_features), margin (B,)) for a batch of feature rows."""
         b = x.shape[0]
         flat = np.zeros(b * n_features)
-        margin = np.zeros(b)
+        margin = np.full(b, self.offset)
         row_base = np.arange(b)[:, None, None] * n_features
         for g in self.groups:
             d = g["d"]
@@ -250,6 +250,9 @@ def explainer_for(model, log_odds_scale: float = 2.0) -> TreeExplainerTables:
 
 
 def _build_explainer(model, log_odds_scale: float) -> TreeExplainerTables:
+    if hasattr(model, "node_tables"):                      # leaf-wise trees, in log-odds from a base
+        tables = model.node_tables()
+        return TreeExplainerTables([_leaves(t) for t in tables], [1.0] * len(tables), 1.0, model.base)
     nodes = _tree_nodes(model)
     trees = [_leaves(nodes[t]) for t in sorted(nodes)]
     weights = list(getattr(model, "treeWeights", [1.0] * len(trees)))

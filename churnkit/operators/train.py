@@ -4,6 +4,7 @@ Three model families, fitted on the assembled 45-feature vector:
 
 * ``gbt``          boosted trees (depth-wise), the first boosted model of the reference;
 * ``gbt_weighted`` boosted trees with a positive-class weight column (recall oriented);
+* ``leafwise``     trees grown leaf by leaf (``boosting``), not one of the compared three;
 * ``mlp``          a network with ReLU or tanh units, L2 and mini-batch Adam (``network``), whose
                    model holds its scaler.
 
@@ -30,13 +31,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from churnkit.operators.boosting import LeafwiseClassifier
 from churnkit.operators.evaluate import score_metrics
 from churnkit.operators.network import NetworkClassifier
 from churnkit.schema import KEY, LABEL
 from churnkit.session import stage_path
 
 # Rows of a task in a fit: a tree level costs a scan, a network step a matrix product a row.
-TASK_ROWS = {"gbt": 50_000, "gbt_weighted": 50_000, "mlp": 4_000}
+TASK_ROWS = {"gbt": 50_000, "gbt_weighted": 50_000, "mlp": 4_000, "leafwise": 4_000}
 GBT_CHECKPOINT = 25                # boosting steps between two checkpoints of the residuals' lineage
 
 METRICS = ["accuracy", "precision", "recall", "f1", "roc_auc"]
@@ -61,6 +63,16 @@ GBT_WEIGHTED_GRID = {
     "minInstancesPerNode": [5, 10, 20],
     "pos_weight": [1, 2, 3],
 }
+LEAFWISE_GRID = {
+    "trees": [100, 200, 300, 500],
+    "max_depth": [3, 5, 7, -1],
+    "learning_rate": [0.01, 0.05, 0.1, 0.2],
+    "num_leaves": [15, 31, 63, 127],
+    "subsample": [0.7, 0.8, 0.9, 1.0],
+    "feature_fraction": [0.7, 0.8, 0.9, 1.0],
+    "min_child_samples": [5, 10, 20],
+    "pos_weight": [1, 2, 3],
+}
 MLP_GRID = {
     "hidden": [(128, 64), (256, 128, 64), (128, 64, 32), (64, 32)],
     "activation": ["relu", "tanh"],
@@ -72,8 +84,9 @@ MLP_GRID = {
 GBT_DEFAULT = {"maxIter": 300, "maxDepth": 5, "stepSize": 0.1}
 GBT_WEIGHTED_DEFAULT = {**GBT_DEFAULT, "pos_weight": 3}
 MLP_DEFAULT = {"hidden": (128, 64, 32), "activation": "relu", "alpha": 0.0001, "learning_rate": 0.002, "steps": 8, "epochs": 500}
-SEARCH_BUDGET = {"gbt": 40, "gbt_weighted": 40, "mlp": 20}
-DISPLAY = {"gbt": "GradientBoosting", "gbt_weighted": "WeightedGradientBoosting", "mlp": "NeuralNetwork"}
+LEAFWISE_DEFAULT = {"trees": 300, "max_depth": 5, "num_leaves": 31, "learning_rate": 0.1}
+SEARCH_BUDGET = {"gbt": 40, "gbt_weighted": 40, "mlp": 20, "leafwise": 40}
+DISPLAY = {"leafwise": "LeafwiseGradientBoosting", "gbt": "GradientBoosting", "gbt_weighted": "WeightedGradientBoosting", "mlp": "NeuralNetwork"}
 
 
 def draw_grid(grid: dict, n: int, seed: int = 42) -> list[dict]:
@@ -128,11 +141,11 @@ class TrainResult:
 
 def default_params(kind: str) -> dict:
     """What an untuned fit of a family runs with."""
-    return {"gbt": GBT_DEFAULT, "gbt_weighted": GBT_WEIGHTED_DEFAULT, "mlp": MLP_DEFAULT}[kind]
+    return {"gbt": GBT_DEFAULT, "gbt_weighted": GBT_WEIGHTED_DEFAULT, "mlp": MLP_DEFAULT, "leafwise": LEAFWISE_DEFAULT}[kind]
 
 
 def estimator(kind: str, params: dict, seed: int = 42):
-    return NetworkClassifier(seed=seed, **params) if kind == "mlp" else _gbt(params, seed)
+    return {"mlp": NetworkClassifier, "leafwise": LeafwiseClassifier}[kind](seed=seed, **params) if kind in ("mlp", "leafwise") else _gbt(params, seed)
 
 
 def fit_model(kind: str, train: DataFrame, tune: bool = False, budget: int | None = None, seed: int = 42,
@@ -142,7 +155,7 @@ def fit_model(kind: str, train: DataFrame, tune: bool = False, budget: int | Non
     ``results`` is the search's table (see ``search``); a folder of its own by default."""
     if not tune:
         return estimator(kind, {**default_params(kind), **(overrides or {})}, seed).fit(spread(train, TASK_ROWS[kind]))
-    grid = {"gbt": GBT_GRID, "gbt_weighted": GBT_WEIGHTED_GRID, "mlp": MLP_GRID}[kind]
+    grid = {"gbt": GBT_GRID, "gbt_weighted": GBT_WEIGHTED_GRID, "mlp": MLP_GRID, "leafwise": LEAFWISE_GRID}[kind]
     points = [{**p, **(overrides or {})} for p in draw_grid(grid, budget or SEARCH_BUDGET[kind], seed)]
     results = results or stage_path(train.sparkSession, f"search-{uuid.uuid4().hex}")
     best = search(kind, train, points, results, seed=seed, parallelism=parallelism)

@@ -27,7 +27,7 @@ from churnkit.sources.models import Artifact, ModelStore, table_fingerprint
 from churnkit.streaming.scoring import carry_profile, score_stream, score_stream_with_quarantine, stored_scorer
 
 KINDS = ("gbt", "gbt_weighted", "mlp")
-MODEL_NAME = {k: f"churn-{k}" for k in KINDS}
+MODEL_NAME = {k: f"churn-{k}" for k in (*KINDS, "leafwise")}
 
 
 @dataclass
@@ -61,17 +61,17 @@ def training_inputs(spark: SparkSession, sf: str) -> Inputs:
     return Inputs(raw, fm, rows, table_fingerprint(raw))
 
 
-def fitted(inputs: Inputs, kinds=KINDS) -> dict[str, Artifact]:
+def fitted(inputs: Inputs, kinds=KINDS, overrides: dict | None = None) -> dict[str, Artifact]:
     """The stored models of these inputs; those not stored yet are fitted concurrently and published, with the
-    feature model that their vectors come from."""
-    store = ModelStore(inputs.raw.sparkSession)
-    params = {k: {"kind": k, "params": train.default_params(k), "features": inputs.features.to_json(), "split": [20, 42, 3]} for k in kinds}
+    feature model that their vectors come from. ``overrides``: parameters a kind that differ from the untuned ones."""
+    store, changed = ModelStore(inputs.raw.sparkSession), overrides or {}
+    params = {k: {"kind": k, "params": {**train.default_params(k), **changed.get(k, {})}, "features": inputs.features.to_json(), "split": [20, 42, 3]} for k in kinds}
     versions = {k: store.version(inputs.fingerprint, params[k]) for k in kinds}
     found = {k: a for k in kinds if (a := store.find(MODEL_NAME[k], versions[k])) is not None}
     missing = [k for k in kinds if k not in found]
     if missing:
         rows, _ = inputs.training()
-        models = train.fit_concurrently({k: (lambda k=k: train.fit_model(k, rows)) for k in missing})
+        models = train.fit_concurrently({k: (lambda k=k: train.fit_model(k, rows, overrides=changed.get(k))) for k in missing})
         for k in missing:
             found[k] = store.publish(MODEL_NAME[k], versions[k], models[k], inputs=inputs.fingerprint, kind=k,
                                      features=inputs.features.to_json())
@@ -94,6 +94,17 @@ def _test_attributions(inputs: Inputs) -> DataFrame:
     return attribution.tree_shap(fitted(inputs, ("gbt",))["gbt"].model, inputs.test, n_features=len(inputs.features.feature_names))
 
 
+def q_leafwise_compare(spark, sf) -> DataFrame:
+    """Trees grown leaf by leaf, a few of them, on the held-out split, and how well their attributions add up."""
+    inputs = training_inputs(spark, sf)
+    model = fitted(inputs, ("leafwise",), {"leafwise": {"trees": 12, "max_depth": -1}})["leafwise"].model
+    test = materialize(inputs.test, "test")
+    expl = attribution.tree_shap(model, test, n_features=len(inputs.features.feature_names))
+    off = F.abs(F.aggregate("attr_impacts", F.lit(0.0), lambda a, b: a + b) + F.col("base_value") - F.col("margin"))
+    exact = expl.agg((F.max(off) < 1e-9).alias("attributions_add_up"))
+    return train.evaluate_model(train.DISPLAY["leafwise"], model, test).join(exact)          # one row each
+
+
 def q_tree_attribution(spark, sf) -> DataFrame:
     """TreeSHAP of the boosted model for every test customer: top-5 drivers (long)."""
     inputs = training_inputs(spark, sf)
@@ -222,6 +233,7 @@ def q_best_per_metric(spark, sf) -> DataFrame:
 
 JOB_QUERIES = {
     "train_compare": q_train_compare,
+    "leafwise_compare": q_leafwise_compare,
     "tree_attribution": q_tree_attribution,
     "tree_importance": q_tree_importance,
     "tree_importance_spread": q_tree_importance_spread,
