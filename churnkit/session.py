@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -79,14 +82,40 @@ def materialize(df, name: str = "stage"):
     Used for stage tables that several branches of one plan read (the derived subscriber
     table): each branch then scans Parquet -- with column pruning and filter pushdown --
     instead of re-running the upstream aggregations. One write job (an eager RDD
-    checkpoint would compute the plan twice), and the files survive executor loss."""
-    import uuid
-
+    checkpoint would compute the plan twice), and the files survive executor loss. The
+    table goes when the driver's JVM ends, or with the ``scratch_tables`` block it is written in."""
     path = stage_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
+    fs, where = _file_system(df.sparkSession, path)
+    fs.deleteOnExit(where)
+    made = _SCRATCH.get()
+    if made is not None:
+        made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)   # known schema: no footer job
 
 
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession):
+    """Deletes the stage tables written in its block when it ends. What is read after it must be written elsewhere in it."""
+    token = _SCRATCH.set([])
+    try:
+        yield
+    finally:
+        made = _SCRATCH.get()
+        _SCRATCH.reset(token)
+        for path in made:
+            fs, where = _file_system(spark, path)
+            fs.delete(where, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint dir for intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")

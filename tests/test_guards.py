@@ -1,5 +1,7 @@
 """No cap on levels or explained rows, no machine-local folder on a cluster, no stale model."""
 
+import os
+
 import pytest
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
@@ -9,7 +11,7 @@ from churnkit.operators.attribution import sampled_shapley
 from churnkit.operators.features import FeatureModel, category_levels
 from churnkit.operators.sampling import bounded_sample
 from churnkit.operators.scoring import factor_records
-from churnkit.session import ensure_checkpoint_dir
+from churnkit.session import ensure_checkpoint_dir, materialize, scratch_tables, stage_path
 from churnkit.sources.models import table_fingerprint
 
 
@@ -69,3 +71,14 @@ def test_fingerprint_follows_the_rows_only(spark, raw):
     others = [changed, raw.where("customerID <> 'C0000007'"), raw.unionByName(raw.where("customerID = 'C0000007'")), raw.drop("gender"), raw.limit(0),
               raw.withColumn("gender", F.col("Partner")).withColumn("Partner", F.col("Dependents"))]
     assert len({whole, *map(table_fingerprint, others)}) == 1 + len(others)
+
+
+def test_stage_tables_go_with_their_block(spark):
+    with scratch_tables(spark):
+        a = materialize(spark.range(5))
+        where = a.inputFiles()[0]
+        out = stage_path(spark, "kept-by-a-test")
+        a.write.mode("overwrite").parquet(out)
+    gone = os.path.dirname(where.removeprefix("file://"))
+    assert not os.path.exists(gone) and spark.read.parquet(out).count() == 5
+    assert os.path.exists(os.path.dirname(materialize(spark.range(2)).inputFiles()[0].removeprefix("file://")))
