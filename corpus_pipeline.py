@@ -7,6 +7,7 @@ texts, ties, repeated rows and empty tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from churnkit.llm.quality import keep_good
 from churnkit.llm.queries import piece_model_path
 from churnkit.llm.secret_scan import redact_secrets
 from churnkit.llm.simhash import keep_one
-from churnkit.session import materialize
+from churnkit.session import scratch_tables, stage_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -64,6 +65,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    folder = stage_path(spark, f"pipeline-{uuid.uuid4().hex}")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch_tables(spark):                    # a stage's own tables go when its result is written
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
