@@ -10,17 +10,17 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnkit.operators import evaluate, offers, profile, revenue, sampling, scoring, sketches, sparse, train
 from churnkit.operators.features import FeatureModel, category_levels, churn_flag
 from churnkit.operators.validation import validate_records
-from churnkit.schema import KEY, LABEL, NUMERIC_FEATURES
+from churnkit.schema import DOMAINS, KEY, LABEL, NUMERIC_FEATURES, RANGES
 from churnkit.session import materialize, stage_path
 from churnkit.sources import io
 from churnkit.sources.fixture import read_table, subscriber_raw
-from churnkit.sources.requests import read_request_bodies, request_elements, requests_from_subscribers, with_request_defaults
+from churnkit.sources.requests import read_request_bodies, read_requests, request_elements, requests_from_subscribers, with_request_defaults
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -270,6 +270,34 @@ def q_request_batches(spark, sf):
     return answers.withColumn("churn_prediction", F.col("churn_prediction").cast("double"))      # NULLs compare as NaN
 
 
+def _digit(tag: str) -> Column:
+    """The first hex digit of md5(tag:customerID): which rows a made fault strikes."""
+    return F.substring(F.md5(F.concat(F.lit(f"{tag}:"), F.col(KEY))), 1, 1)
+
+
+def q_request_defaults(spark, sf):
+    """JSON requests that lack about a fifth of their fields each, read back and completed, so that every default is taken."""
+    requests = requests_from_subscribers(subscriber_raw(spark, sf))
+    fields = [c for c in requests.columns if c != KEY]
+    path = stage_path(spark, f"requests-{uuid.uuid4().hex}")
+    requests.select(KEY, *[F.when(~_digit(c).isin("0", "1", "2"), F.col(c)).alias(c) for c in fields]).write.json(path)
+    return with_request_defaults(read_requests(spark, path).drop(io.CORRUPT))
+
+
+# Values that break the rule of their field: numbers out of range, any other text not allowed.
+BROKEN_VALUES = {"SeniorCitizen": 5, "tenure": 99, "MonthlyCharges": 500.0, "TotalCharges": "99999"}
+
+
+def q_request_rules(spark, sf):
+    """Records in which each field is wrong in a sixteenth of the rows, and the total no number in another, so that every
+    rule but the stream's own is broken, many together."""
+    raw = subscriber_raw(spark, sf)
+    fields = [*DOMAINS, *RANGES]
+    changed = {c: F.when(_digit(f"bad {c}") == "0", F.lit(BROKEN_VALUES.get(c, "other"))).otherwise(F.col(c)) for c in fields}
+    changed["TotalCharges"] = F.when(_digit("bad TotalCharges") == "1", "n/a").otherwise(changed["TotalCharges"])
+    return validate_records(raw.withColumns(changed))
+
+
 def q_revenue_quantiles(spark, sf):
     """Quantiles of order totals by month from sketches of days: built once a day, stored, merged."""
     orders = read_table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("day"), "o_totalprice")
@@ -360,6 +388,8 @@ QUERIES: dict[str, Query] = {
     "prompt_table": q_prompt_table,
     "features_sparse": q_features_sparse,
     "request_batches": q_request_batches,
+    "request_defaults": q_request_defaults,
+    "request_rules": q_request_rules,
     "revenue_quantiles": q_revenue_quantiles,
     "rule_compare": q_rule_compare,
     "rule_best_per_metric": q_rule_best_per_metric,

@@ -466,6 +466,40 @@ SELECT b.source, CAST(row_number() OVER (PARTITION BY b.source ORDER BY b.custom
 FROM batches b JOIN scored s ON s.customerID = b.customerID"""
 
 
+_REQUEST_DEFAULTS = [
+    ("gender", "'Male'"), ("SeniorCitizen", "0"), ("Partner", "'No'"), ("Dependents", "'No'"), ("tenure", "1"), ("PhoneService", "'Yes'"),
+    ("MultipleLines", "'No'"), ("InternetService", "'Fiber optic'"), ("OnlineSecurity", "'No'"), ("OnlineBackup", "'No'"),
+    ("DeviceProtection", "'No'"), ("TechSupport", "'No'"), ("StreamingTV", "'No'"), ("StreamingMovies", "'No'"),
+    ("Contract", "'Month-to-month'"), ("PaperlessBilling", "'Yes'"), ("PaymentMethod", "'Electronic check'"), ("MonthlyCharges", "CAST(70 AS DOUBLE)"),
+]
+
+
+def _struck(tag: str, digits: str) -> str:
+    return f"substr(md5('{tag}:' || customerID), 1, 1) IN ({', '.join(repr(d) for d in digits)})"
+
+
+def _request_defaults() -> str:
+    filled = ", ".join(f"CASE WHEN {_struck(c, '012')} THEN {d} ELSE {c} END AS {c}" for c, d in _REQUEST_DEFAULTS)
+    total = f"(CASE WHEN isnan({_REQ_TC}) THEN NULL ELSE {_REQ_TC} END)"
+    return f"""{with_ctes(RAW)},
+filled AS (SELECT customerID, {filled}, CASE WHEN {_struck('TotalCharges', '012')} THEN NULL ELSE {total} END AS total FROM subscriber_raw)
+SELECT * EXCLUDE (total), coalesce(total, MonthlyCharges * CAST(greatest(tenure, 1) AS DOUBLE)) AS TotalCharges FROM filled"""
+
+
+def _request_rules() -> str:
+    bad = {"SeniorCitizen": "5", "tenure": "99", "MonthlyCharges": "CAST(500 AS DOUBLE)", "TotalCharges": "'99999'"}
+    names = [c for c, _ in _DOMAINS_SQL] + ["SeniorCitizen", "tenure", "MonthlyCharges"]
+    cols = ", ".join(f"CASE WHEN {_struck('bad ' + c, '0')} THEN {bad.get(c, repr('other'))} ELSE {c} END AS {c}" for c in names)
+    conds = _conditions()
+    errors = ", ".join(f"CASE WHEN {cond} THEN '{n}' END" for n, cond in conds)
+    count = " + ".join(f"CASE WHEN {cond} THEN 1 ELSE 0 END" for _, cond in conds)
+    return f"""{with_ctes(RAW)},
+broken AS (SELECT customerID, {cols}, CASE WHEN {_struck('bad TotalCharges', '1')} THEN 'n/a' WHEN {_struck('bad TotalCharges', '0')} THEN '99999'
+  ELSE TotalCharges END AS TotalCharges FROM subscriber_raw)
+SELECT customerID, CAST({count} AS INTEGER) AS n_violations, nullif(concat_ws('; ', {errors}), '') AS error,
+  CAST(({count}) = 0 AS INTEGER) AS is_valid FROM broken"""
+
+
 def _sparse() -> str:
     value = lambda c: "coalesce(contract_risk_score, 2)" if c == "contract_risk_score" else f'"{c}"'
     names = list(NUMERIC_FEATURES) + [f"{c}_{v}" for c, v in DUMMIES]
@@ -729,6 +763,8 @@ SELECT 45 AS n_features, CAST(sum(CASE WHEN split = 'train' THEN 1 ELSE 0 END) A
     "prompt_table": _prompts(),
     "features_sparse": _sparse(),
     "request_batches": _request_batches(),
+    "request_defaults": _request_defaults(),
+    "request_rules": _request_rules(),
     "revenue_quantiles": """
 WITH o AS (SELECT strftime(CAST(o_orderdate AS DATE), '%Y-%m') AS month, CAST(o_totalprice AS DOUBLE) AS v FROM orders WHERE o_totalprice IS NOT NULL),
 r AS (SELECT month, v, row_number() OVER (PARTITION BY month ORDER BY v) AS i, count(*) OVER (PARTITION BY month) AS n FROM o)
