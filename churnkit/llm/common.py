@@ -31,9 +31,9 @@ def per_text(df: DataFrame, keep: Sequence[str], text: str, make: Callable[[], C
 
     Returns the ``keep`` columns unchanged, then ``fields``. ``make()`` is called once a task
     and returns a function from one text (str or None) to the tuple of field values. Other
-    columns of ``df`` are not read. One text is decoded at a time."""
+    columns of ``df`` are not read. One text is decoded at a time, invalid UTF-8 as U+FFFD."""
     ship_package(df.sparkSession)
-    source = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("string").alias("__text"))
+    source = df.select(*[F.col(f"`{c}`") for c in keep], F.make_valid_utf8(F.col(f"`{text}`").cast("string")).alias("__text"))
     schema = T.StructType([source.schema[c] for c in keep] + list(fields))
     arrow = to_arrow_schema(schema)
     names, kinds, n_keep = arrow.names, arrow.types, len(keep)
@@ -56,6 +56,11 @@ def free(name: str, taken: Sequence[str]) -> str:
     return name
 
 
+def row_hash(df: DataFrame) -> Column:
+    """XXH64 of all columns of a row but maps, which have no hash."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()])
+
+
 def field(name: str, kind: T.DataType) -> T.StructField:
     return T.StructField(name, kind, True)
 
@@ -91,7 +96,9 @@ def components(links: DataFrame, a: str, b: str, max_rounds: int = 50) -> DataFr
 
 
 def filter_texts(df: DataFrame, text: str, make: Callable[[], Callable]) -> DataFrame:
-    """The rows of ``df`` for which the function that ``make()`` returns holds of the text; columns unchanged."""
+    """The rows of ``df`` for which the function that ``make()`` returns holds of the text; columns unchanged.
+
+    The function sees invalid UTF-8 as U+FFFD."""
     ship_package(df.sparkSession)
     schema, at = df.schema, df.columns.index(text)
     names = df.columns
@@ -99,7 +106,8 @@ def filter_texts(df: DataFrame, text: str, make: Callable[[], Callable]) -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = make()
         for batch in batches:
-            part = batch.filter(pa.array([bool(keep(v.as_py())) for v in batch.column(at)], pa.bool_()))
+            texts = (v.as_py() for v in batch.column(at).cast(pa.binary()))
+            part = batch.filter(pa.array([bool(keep(v if v is None else v.decode(errors="replace"))) for v in texts], pa.bool_()))
             yield pa.RecordBatch.from_arrays(part.columns, names=names)
 
     return df.mapInArrow(run, schema)

@@ -492,7 +492,7 @@ def encode(docs: DataFrame, model: Model, keep: list[str], doc_id: str = "doc_id
     the text holds U+2581), one row per row of ``docs``."""
     spark = docs.sparkSession
     ship_package(spark)
-    body, name, row = F.col(f"`{text}`"), F.col(f"`{doc_id}`"), F.monotonically_increasing_id()
+    body, name, row = F.make_valid_utf8(F.col(f"`{text}`")), F.col(f"`{doc_id}`"), F.monotonically_increasing_id()
     numbered = isinstance(docs.schema[doc_id].dataType, T.IntegralType)
     low, high, chars = docs.agg(F.min(name) if numbered else F.lit(None), F.max(name) if numbered else F.lit(None),
                                 F.coalesce(F.sum(F.length(body)), F.lit(0))).first()
