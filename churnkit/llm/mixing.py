@@ -12,10 +12,12 @@ third of them is spread over the cluster by size.
 
 Rounding: within a source, sizes are taken from long to short; each size class gets the whole number of copies
 that keeps the running sum nearest to the expected one, so a source ends within about half its shortest document of its
-target. A class deals its copies evenly; which documents get the odd ones is decided by a hash of the id.
+target. A class deals its copies evenly; which documents get the odd ones is decided by a hash of id and text (of the whole
+row in ``mix_documents``), so it does not depend on the layout of the files. Rows of one hash are alike; they are counted, and
+only the one set of them that the last odd copy falls into is numbered, in parts of bounded size.
 
 Null text: size 0, taken 0. Null source: a source of its own, last. Null ids and repeated rows: each row
-is a document. Empty table: empty result. Ties in the hash go by id; rows equal in both are alike. Very long
+is a document. Empty table: empty result. Invalid UTF-8: its bytes are characters of a word. Very long
 texts count whole. Other columns are not read. Reruns agree: nothing is random.
 """
 
@@ -28,9 +30,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from churnkit.llm.common import free, n_words
+from churnkit.llm.common import free, n_words, row_hash
 from churnkit.session import materialize, ship_package
 
+
 def _ranked(sources: DataFrame) -> DataFrame:
     """``sources`` with ``pos``, the 0-based place in code-point order, nulls last.
 
@@ -138,12 +141,43 @@ def _round_copies(cap: float):
     return groups
 
 
+def _dealt(odd: DataFrame, per_bucket: int) -> DataFrame:
+    """``odd`` with ``extra``: 1 for the first ``odd`` rows of each (source, size) in (bucket, h) order, else 0."""
+    group = ["source", "size", "bucket", "h"]
+    alike = materialize(odd.groupBy(*group, "odd").agg(F.count("*").alias("n")), "mix-alike")
+    counts = alike.groupBy("source", "size", "bucket").agg(F.sum("n").alias("m"))
+    before = (counts.withColumn("before", F.sum("m").over(W.partitionBy("source", "size").orderBy("bucket")) - F.col("m"))
+              .select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("bucket").alias("b"), "before"))
+    here = F.sum("n").over(W.partitionBy("source", "size", "bucket").orderBy("h")) - F.col("n")      # about per_bucket hashes
+    left = alike.withColumn("here", here).join(
+        before, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("bucket") == F.col("b")))
+    left = left.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("h").alias("k"), "n",
+                       (F.col("odd") - F.col("before") - F.col("here")).alias("left"))
+    left = materialize(left.where("left > 0"), "mix-left")
+    same = F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("h") == F.col("k"))
+    whole = (odd.join(left, same, "left").where("left IS NULL OR left >= n")
+             .select(*odd.columns, F.col("left").isNotNull().cast("int").alias("extra")))
+    part = odd.join(left.where("left < n"), same).withColumn("salt", F.pmod("row", F.ceil(F.col("n") / per_bucket)))
+    part = materialize(part.select(*odd.columns, "left", "salt"), "mix-part")
+    salts = part.groupBy("source", "size", "h", "salt").agg(F.count("*").alias("m"))
+    salts = (salts.withColumn("before", F.sum("m").over(W.partitionBy("source", "size", "h").orderBy("salt")) - F.col("m"))
+             .select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("h").alias("k"), F.col("salt").alias("b"), "before"))
+    at = F.row_number().over(W.partitionBy("source", "size", "h", "salt").orderBy("row"))
+    part = part.withColumn("at", at).join(salts, same & (F.col("salt") == F.col("b")))
+    return whole.unionByName(part.select(*odd.columns, (F.col("at") + F.col("before") <= F.col("left")).cast("int").alias("extra")))
+
+
 def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text",
-        weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, per_bucket: int = 512) -> DataFrame:
-    """(doc_id, source, size, source_size, target, rate, copies, taken), one row per row of ``docs``."""
+        weights: Sequence[float] = (5, 2, 1), share: float = 1.5, cap: float = 2.0, per_bucket: int = 512,
+        by: Column | None = None) -> DataFrame:
+    """(doc_id, source, size, source_size, target, rate, copies, taken), one row per row of ``docs``.
+
+    ``by`` is a long that decides which documents of a size get the odd copies; a hash of id and text if not given."""
     ship_package(docs.sparkSession)
+    if by is None:
+        by = F.xxhash64(F.col(f"`{doc_id}`"), F.col(f"`{text}`"))
     sized = materialize(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{source}`").alias("source"),
-                                    n_words(F.col(f"`{text}`")).alias("size")), "mix-sizes")
+                                    n_words(F.col(f"`{text}`")).alias("size"), by.alias("h")), "mix-sizes")
     hist = materialize(sized.groupBy("source", "size").agg(F.count("*").alias("c")), "mix-hist")
     sources = hist.groupBy("source").agg(F.sum(F.col("size") * F.col("c")).alias("source_size"))
     goals = materialize(targets(sources, weights, share, cap), "mix-targets")
@@ -157,23 +191,12 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
                .withColumn("odd", F.col("copies") - F.col("base") * F.col("c"))
                .withColumn("buckets", F.ceil(F.col("c") / per_bucket))
                .select(F.col("source").alias("s"), F.col("size").alias("z"), "rate", "base", "odd", "buckets"))
-    h = F.xxhash64("doc_id")
     dealt = sized.join(classes, sized["source"].eqNullSafe(classes["s"]) & (sized["size"] == classes["z"]), "left")
-    dealt = dealt.select("doc_id", "source", "size", "rate", F.coalesce("base", F.lit(0)).alias("base"), F.coalesce("odd", F.lit(0)).alias("odd"),
-                         F.when(F.col("odd") > 0, F.pmod(F.shiftrightunsigned(h, 16), F.col("buckets"))).alias("bucket"))
+    dealt = dealt.select("doc_id", "source", "size", "h", "rate", F.coalesce("base", F.lit(0)).alias("base"), F.coalesce("odd", F.lit(0)).alias("odd"),
+                         F.pmod(F.shiftrightunsigned("h", 16), F.col("buckets")).alias("bucket"), F.monotonically_increasing_id().alias("row"))
     dealt = materialize(dealt, "mix-dealt")
-    # the odd copies of a class go to its first rows in (bucket, hash, id) order; a bucket holds about per_bucket rows
-    some_odd = dealt.where("odd > 0")
-    counts = some_odd.groupBy("source", "size", "bucket").agg(F.count("*").alias("n"))
-    before = (counts.withColumn("before", F.sum("n").over(W.partitionBy("source", "size").orderBy("bucket")) - F.col("n"))
-              .select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("bucket").alias("b"), "before"))
-    before = materialize(before, "mix-before")
-    in_bucket = F.row_number().over(W.partitionBy("source", "size", "bucket").orderBy(h, "doc_id"))
-    placed = some_odd.withColumn("at", in_bucket).join(
-        before, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("bucket") == F.col("b")))
-    extra = F.when(F.col("at") + F.col("before") <= F.col("odd"), 1).otherwise(0)
     cols = ["doc_id", "source", "size", "rate"]
-    out = (placed.select(*cols, (F.col("base") + extra).alias("copies"))
+    out = (_dealt(dealt.where("odd > 0"), per_bucket).select(*cols, (F.col("base") + F.col("extra")).alias("copies"))
            .unionByName(dealt.where("odd = 0").select(*cols, F.col("base").alias("copies"))))
     goals = goals.select(F.col("source").alias("s"), "source_size", "target")
     return out.join(goals, out["source"].eqNullSafe(goals["s"])).select(
@@ -186,6 +209,6 @@ def mix_documents(docs: DataFrame, source: str = "source", text: str = "text", *
     """``docs`` as the mix takes them: each row as often as its copies say, rows with none left out."""
     key, many, one = (free(c, docs.columns) for c in ("__row", "__copies", "__copy"))
     rows = materialize(docs.withColumn(key, F.monotonically_increasing_id()), "mix-docs")
-    copies = mix(rows, key, source, text, **how).select(F.col(key), F.col("copies").cast("int").alias(many))
+    copies = mix(rows, key, source, text, by=row_hash(docs), **how).select(F.col(key), F.col("copies").cast("int").alias(many))
     taken = rows.join(copies, key).where(F.col(many) > 0).withColumn(one, F.explode(F.sequence(F.lit(1), F.col(many))))
     return taken.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -77,6 +77,46 @@ def test_crowded_keys_lose_no_link(spark):
         assert {tuple(r) for r in simhash.near_links(df, hot=hot).collect()} == want
 
 
+def test_dense_clouds_lose_no_link(spark):
+    rng = np.random.default_rng(2)
+    centre = int(rng.integers(0, 2**62))
+    bits = [0, 1, 2, 3, 4, 20, 21, 22, 61]                  # within three blocks of ten: their key is hot there too
+    cloud = {centre ^ sum(1 << b for b, x in zip(bits, f"{i:09b}") if x == "1") for i in range(512)}
+    fps = {f - 2**64 if f >= 2**63 else f for f in ({f ^ (1 << 63) for f in list(cloud)[:60]} | cloud)}
+    df = spark.createDataFrame([(f,) for f in fps], "fp long")
+    want = {(a, b) for a, b in itertools.combinations(sorted(fps), 2) if ((a ^ b) % 2**64).bit_count() <= 3}
+    for hot in (20, 400, 10_000):
+        got = [tuple(r) for r in simhash.near_links(df, hot=hot).collect()]
+        assert len(got) == len(want) and set(got) == want
+
+
+def test_kept_rows_do_not_depend_on_the_layout(spark):
+    rows = [(i % 3 if i % 4 else None, ("same text of a copy " * 3 if i % 2 else f"other words {i} stand here {i * 7}"), "s", i) for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, __id long")
+    kept = [sorted(map(tuple, simhash.keep_one(docs.orderBy(*by).repartition(n)).collect()), key=str) for by, n in ((["__id"], 1), ([F.desc("__id")], 5))]
+    mixed = [sorted(map(tuple, mixing.mix_documents(docs.orderBy(*by).repartition(n), per_bucket=4).collect()), key=str) for by, n in ((["__id"], 1), ([F.desc("__id")], 5))]
+    assert kept[0] == kept[1] and mixed[0] == mixed[1] and len(mixed[0]) > 0
+
+
+def test_mix_of_alike_rows_in_small_parts(spark):
+    rows = [(None, "a b c", "s")] * 301 + [(i, "a b c", "s") for i in range(40)] + [(7, "d e f g", "t")] * 90 + [(None, "h", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    split, whole = (sorted(map(tuple, mixing.mix(docs, weights=(3, 1), share=1.2, per_bucket=n).collect()), key=str) for n in (8, 100_000))
+    assert len(split) == len(whole) == len(rows)
+    for got in (split, whole):
+        for source, size in (("s", 3), ("t", 4), (None, 1)):
+            mine = [r for r in got if r[1] == source]
+            assert abs(sum(r[-1] for r in mine) - mine[0][4]) <= size and len({r[-2] for r in mine}) <= 2
+
+
+def test_invalid_utf8_is_read_as_replacements(spark):
+    raw = spark.sql("SELECT * FROM VALUES (1L, CAST(X'61FF62206320642065' AS STRING), 's'), (2L, 'a\ufffdb c d e', 's') AS t(doc_id, text, source)")
+    assert len({r.fingerprint for r in simhash.simhash_groups(raw).collect()}) == 1
+    assert len({r.score for r in quality.classify(raw).collect()}) == 1
+    assert quality.keep_good(raw, threshold=-1.0).selectExpr("hex(text) AS h").where("h LIKE '61FF62%'").count() == 1
+    assert simhash.keep_one(raw).count() == 1 and mixing.mix_documents(raw).count() > 0
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(60)] + [(200, 100 + i) for i in range(40)] + [(7, 7), (500, 400), (400, 500)]
     got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long"), "a", "b").collect()))
