@@ -338,17 +338,19 @@ def sampled_shapley(model, explained: DataFrame, background: DataFrame, n_featur
     perms = perms.select(key, "x", "k", "b", F.transform(placed, lambda s: s["place"]).alias("place"))
     point = F.transform(features, lambda i: F.when(F.col("place")[i] < F.col("j"), F.col("x")[i])
                         .otherwise(F.col("b")[i]))
+    # the row and its permutation go along with one point each: the points are sorted by key to be gathered
     pts = (perms.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(d))))
-           .select(key, "k", "x", "place", "j", array_to_vector(point).alias(features_col)))
-    scored = model.transform(pts).select(key, "k", "x", "place", "j",
+           .select(key, "k", F.when((F.col("k") == 0) & (F.col("j") == 0), F.col("x")).alias("_x"),
+                   F.when(F.col("j") == 0, F.col("place")).alias("_place"), "j", array_to_vector(point).alias(features_col)))
+    scored = model.transform(pts).select(key, "k", "_x", "_place", "j",
                                          vector_to_array("probability")[1].alias("f"))
     per_perm = scored.groupBy(key, "k").agg(
-        F.first("x").alias("x"), F.first("place").alias("place"),
+        F.first("_x", ignorenulls=True).alias("x"), F.first("_place", ignorenulls=True).alias("place"),
         F.transform(F.sort_array(F.collect_list(F.struct("j", "f"))), lambda s: s["f"]).alias("f"))
     per_perm = per_perm.select(key, "k", "x", F.col("f")[0].alias("base_f"), F.transform(
         "place", lambda p: F.col("f")[p + 1] - F.col("f")[p]).alias("delta"))
     per_key = per_perm.groupBy(key).agg(
-        F.first("x").alias("x"), F.avg("base_f").alias("base_value"),
+        F.first("x", ignorenulls=True).alias("x"), F.avg("base_f").alias("base_value"),
         F.transform(F.sort_array(F.collect_list(F.struct("k", "delta"))), lambda s: s["delta"]).alias("deltas"))
     mean = F.transform(features, lambda i: F.aggregate(
         "deltas", F.lit(0.0), lambda total, one: total + one[i]) / F.lit(float(permutations)))
@@ -438,9 +440,10 @@ def kernel_shap(model, explained: DataFrame, centres: list[tuple[list[float], fl
     coalitions = constant([",".join("1" if on else "0" for on in row) for row in z], "array<string>")
     points = (ex.select(key, "x", F.posexplode(coalitions).alias("j", "z"))
               .select(key, "x", "j", "z", F.posexplode(constant([c for c, _ in centres], "array<array<double>>")).alias("c", "b"))
-              .select(key, "x", "j", "c", array_to_vector(mixed).alias(features_col)))
-    scored = model.transform(points).select(key, "x", "j", "c", probability.alias("f"))
-    rows = scored.groupBy(key).agg(F.first("x").alias("attr_values"), F.transform(
+              .select(key, F.when((F.col("j") == 0) & (F.col("c") == 0), F.col("x")).alias("_x"),      # once a row: the points are sorted by key
+                      "j", "c", array_to_vector(mixed).alias(features_col)))
+    scored = model.transform(points).select(key, "_x", "j", "c", probability.alias("f"))
+    rows = scored.groupBy(key).agg(F.first("_x", ignorenulls=True).alias("attr_values"), F.transform(
         F.sort_array(F.collect_list(F.struct("j", "c", "f"))), lambda s: s["f"]).alias("f"))
     g, h = kernel_solution(z[:-1], w)
     ship_package(explained.sparkSession)

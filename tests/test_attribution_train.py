@@ -86,6 +86,35 @@ def test_sampled_shapley_additive_and_linear(spark):
         assert abs(sum(r["attr_impacts"]) + r["base_value"] - probs[r["customerID"]]) < 1e-9
 
 
+def test_points_carry_their_row_once(spark, monkeypatch):
+    """Points are sorted by key to be gathered: each holds its own features, one of them the explained row."""
+    df = _toy(spark, n=40, d=4, seed=3)
+    lr = LogisticRegression(maxIter=20).fit(df)
+    background = bounded_sample(df.select("customerID", "features"), "customerID", 10)
+    seen = []
+
+    class Watched:
+        def transform(self, points):
+            seen.append(points)
+            return lr.transform(points)
+
+    sampled = A.sampled_shapley(Watched(), df, background, 4, permutations=3)
+    kernel = A.kernel_shap(Watched(), df, A.background_centres(background, 2), 4)
+    x = {r[0]: r[1] for r in df.select("customerID", vector_to_array("features")).collect()}
+    assert {r["customerID"]: r["attr_values"] for r in sampled.collect()} == x == {r["customerID"]: r["attr_values"] for r in kernel.collect()}
+    assert any(abs(i) > 1e-3 for r in sampled.collect() for i in r["attr_impacts"])
+    for points in (seen[0], seen[-1]):
+        arrays = [F.sum(F.col(c).isNotNull().cast("int")).alias(c) for c, kind in points.dtypes if kind.startswith("array")]
+        most = points.groupBy("customerID").agg(*arrays, F.count(F.lit(1)).alias("n")).first()
+        assert most["n"] >= 3 * 5 and most["_x"] == 1 and (points is not seen[0] or most["_place"] == 3)
+
+
+def test_tasks_of_a_fit_grow_with_the_cores():
+    """Not with the rows, until a task has MOST_TASK_ROWS: each of the thousands of passes pays for every task."""
+    assert [train.fit_tasks(n, 50_000, 12) for n in (0, 1, 50_001, 720_000, 4_320_000)] == [1, 1, 2, 12, 12]
+    assert train.fit_tasks(3 * train.MOST_TASK_ROWS + 1, 4_000, 2) == 4
+
+
 def test_draw_grid_distinct_and_seeded():
     a = train.draw_grid(train.GBT_GRID, 40, 42)
     b = train.draw_grid(train.GBT_GRID, 40, 42)
