@@ -259,6 +259,12 @@ def _build_explainer(model, log_odds_scale: float) -> TreeExplainerTables:
     return TreeExplainerTables(trees, weights, log_odds_scale)
 
 
+def _tasks(spark) -> int:
+    """Tasks over which rows to explain are dealt: few bytes, much work, so AQE would put them into too few. As many as the session's
+    shuffles have, which grows with the data, and two a core at least."""
+    return max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def tree_shap(model, assembled: DataFrame, features_col: str = "features",
               key: str = KEY, keep: list[str] | None = None, n_features: int | None = None) -> DataFrame:
     """key, attr_values, attr_impacts (log-odds), base_value, margin -- one pass in Arrow batches, on tables and streams.
@@ -272,9 +278,8 @@ def tree_shap(model, assembled: DataFrame, features_col: str = "features",
     ship_package(spark)
     bc = spark.sparkContext.broadcast(tables)      # model-sized; Spark drops it when the plan is gone
     keep = keep or []
-    # ~1 ms of Python per row: spread the rows before the explanation (a round-robin shuffle is cheap next to it), over
-    # as many tasks as the session's shuffles have, which grows with the data, and over every core at least
-    parts = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # ~1 ms of Python per row: spread the rows before the explanation (a round-robin shuffle is cheap next to it)
+    parts = _tasks(spark)
     src = (assembled.select(key, *keep, vector_to_array(features_col).alias("attr_values"))
            .repartition(parts))
     if n_features is None:
@@ -323,13 +328,13 @@ def sampled_shapley(model, explained: DataFrame, background: DataFrame, n_featur
     d = n_features
     bg = background.select((F.col(rank_col) - 1).alias("bid"), vector_to_array(features_col).alias("b"))
     nb = bg.count()
-    ex = explained.select(key, vector_to_array(features_col).alias("x")).repartition(key)
+    ex = explained.select(key, vector_to_array(features_col).alias("x")).repartition(_tasks(explained.sparkSession), key)
     if nb == 0:
         return ex.select(key, F.col("x").alias("attr_values"), F.col("x").alias("attr_impacts"),
                          F.lit(0.0).alias("base_value")).where(F.lit(False))
     perms = ex.select(key, "x", F.explode(F.sequence(F.lit(0), F.lit(permutations - 1))).alias("k"))
     perms = perms.withColumn("bid", F.pmod(F.xxhash64(F.lit(seed), F.col(key), F.col("k")), F.lit(nb)))
-    perms = perms.join(bg, "bid")
+    perms = perms.join(F.broadcast(bg), "bid")         # as many rows as the parameter says
     features = F.sequence(F.lit(0), F.lit(d - 1))
     drawn = F.array_sort(F.transform(features, lambda i: F.struct(
         F.xxhash64(F.lit(seed), F.col(key), F.col("k"), i).alias("h"), i.alias("i"))))
@@ -426,7 +431,7 @@ def kernel_shap(model, explained: DataFrame, centres: list[tuple[list[float], fl
     any model, where ``pairs`` covers all coalitions. base_value + sum(impacts) = link(f(x)). No centres: no rows.
     Output: key, attr_values, attr_impacts, base_value."""
     d = n_features
-    ex = explained.select(key, vector_to_array(features_col).alias("x")).repartition(key)
+    ex = explained.select(key, vector_to_array(features_col).alias("x")).repartition(_tasks(explained.sparkSession), key)
     if not centres:
         return ex.select(key, F.col("x").alias("attr_values"), F.col("x").alias("attr_impacts"), F.lit(0.0).alias("base_value")).where(F.lit(False))
     z, w = paired_coalitions(d, 2 * d if pairs is None else pairs, seed)

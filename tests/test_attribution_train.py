@@ -103,6 +103,7 @@ def test_points_carry_their_row_once(spark, monkeypatch):
     x = {r[0]: r[1] for r in df.select("customerID", vector_to_array("features")).collect()}
     assert {r["customerID"]: r["attr_values"] for r in sampled.collect()} == x == {r["customerID"]: r["attr_values"] for r in kernel.collect()}
     assert any(abs(i) > 1e-3 for r in sampled.collect() for i in r["attr_impacts"])
+    assert all(p.rdd.getNumPartitions() >= 2 * spark.sparkContext.defaultParallelism for p in (seen[0], seen[-1]))   # not the few that their bytes fill
     for points in (seen[0], seen[-1]):
         arrays = [F.sum(F.col(c).isNotNull().cast("int")).alias(c) for c, kind in points.dtypes if kind.startswith("array")]
         most = points.groupBy("customerID").agg(*arrays, F.count(F.lit(1)).alias("n")).first()
