@@ -1,6 +1,8 @@
 """No cap on levels or explained rows, no machine-local folder on a cluster, no stale model."""
 
 import os
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.ml.classification import LogisticRegression
@@ -11,7 +13,7 @@ from churnkit.operators.attribution import sampled_shapley
 from churnkit.operators.features import FeatureModel, category_levels
 from churnkit.operators.sampling import bounded_sample
 from churnkit.operators.scoring import factor_records
-from churnkit.session import ensure_checkpoint_dir, materialize, scratch_tables, stage_path
+from churnkit.session import ensure_checkpoint_dir, materialize, scratch_tables, ship_package, stage_path
 from churnkit.sources.models import table_fingerprint
 
 
@@ -82,3 +84,31 @@ def test_stage_tables_go_with_their_block(spark):
     gone = os.path.dirname(where.removeprefix("file://"))
     assert not os.path.exists(gone) and spark.read.parquet(out).count() == 5
     assert os.path.exists(os.path.dirname(materialize(spark.range(2)).inputFiles()[0].removeprefix("file://")))
+
+
+def test_fits_side_by_side_ship_the_package_once():
+    """A cluster's file server refuses a second file of a name, so the later of two fits would fail."""
+    class Context:
+        listFiles: list[str] = []
+
+        def addPyFile(self, path):
+            if any(os.path.basename(f) == os.path.basename(path) and f != path for f in self.listFiles):
+                raise ValueError(f"File {os.path.basename(path)} was already registered with a different path")
+            self.listFiles = [*self.listFiles, path]
+            time.sleep(0.1)
+
+    class Conf(dict):
+        set = dict.__setitem__
+
+    class Session:
+        def __init__(self, context):
+            self.sparkContext, self.conf = context, Conf()
+
+    one = Session(Context())
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(ship_package, [one, one]))
+    ship_package(Session(one.sparkContext))                             # another session of the same context
+    assert len(one.sparkContext.listFiles) == 1
+    other = Session(Context())                                          # a context of its own gets its own
+    ship_package(other)
+    assert len(other.sparkContext.listFiles) == 1
