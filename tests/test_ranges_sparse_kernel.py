@@ -206,3 +206,43 @@ def test_a_search_that_was_cut_off_goes_on(spark, raw, fm, tmp_path):
     assert table(cut) == table(str(tmp_path / "a"))
     with pytest.raises(ValueError):
         train.search("gbt", rows, points[::-1], cut)
+
+
+def test_search_query_judges_the_whole_budget_on_all_folds(spark, monkeypatch):
+    """As many draws of the full grids as the reference's searches make, for each of the compared families."""
+    from churnkit.plans import jobs
+
+    asked = {}
+
+    def search(kind, rows, points, results, folds=3, keep=0.5, **_):
+        asked[kind] = (points, folds, keep, sorted(r["fold"] for r in rows.select("fold").distinct().collect()))
+        return {"candidate": 3, "params": points[3], "roc_auc": 0.812345, "fits": 0}
+
+    monkeypatch.setattr(train, "search", search)
+    got = jobs.q_search_compare(spark, "/root/testdata/sf0.001").collect()
+    grids = {"gbt": (train.GBT_GRID, 40), "gbt_weighted": (train.GBT_WEIGHTED_GRID, 40), "mlp": (train.MLP_GRID, 20)}
+    assert asked == {k: (train.draw_grid(grid, n), 3, 1.0, [0, 1, 2]) for k, (grid, n) in grids.items()}
+    assert sum(len(points) * folds for points, folds, _, _ in asked.values()) == 300
+    assert [(r["model"], r["candidate"], r["mean_roc_auc"]) for r in got] == [(train.DISPLAY[k], 3, 0.8123) for k in grids]
+
+
+def test_search_of_all_folds_keeps_no_stage_tables(spark, raw, fm, tmp_path):
+    import os
+
+    from churnkit.operators import sampling
+    from churnkit.session import checkpoint_dir
+
+    rows, _ = train.prepare_training(fm.assemble(sampling.stratified_split(fm.transform(raw), "customerID", "Churn")))
+    tables = lambda: {f for f in os.listdir(checkpoint_dir(spark).removeprefix("file://")) if f.startswith(("network-blocks", "scores"))}
+    before, points = tables(), [{"hidden": (4,), "steps": 2, "epochs": e} for e in (1, 2)]
+    best = train.search("mlp", rows, points, str(tmp_path / "a"), keep=1.0, parallelism=3)
+    judged = {(r["candidate"], r["fold"]): r["roc_auc"] for r in spark.read.parquet(str(tmp_path / "a")).collect()}
+    assert best["fits"] == 6 and set(judged) == {(c, f) for c in (0, 1) for f in (0, 1, 2)} and tables() == before
+    mean = [sum(judged[c, f] for f in range(3)) / 3 for c in (0, 1)]
+    assert (best["candidate"], best["roc_auc"]) == (mean.index(max(mean)), pytest.approx(max(mean)))
+
+
+def test_fits_at_once_fill_the_cores():
+    """A fit of one task leaves the others to its fellows; a fit that fills the cores has one beside it."""
+    assert [train.fits_at_once(n, 50_000, 12) for n in (0, 50_000, 200_000, 300_000, 4_320_000)] == [8, 8, 3, 2, 2]
+    assert train.fits_at_once(10, 50_000, 1) == 2
