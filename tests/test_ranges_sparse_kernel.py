@@ -244,5 +244,5 @@ def test_search_of_all_folds_keeps_no_stage_tables(spark, raw, fm, tmp_path):
 
 def test_fits_at_once_fill_the_cores():
     """A fit of one task leaves the others to its fellows; a fit that fills the cores has one beside it."""
-    assert [train.fits_at_once(n, 50_000, 12) for n in (0, 50_000, 200_000, 300_000, 4_320_000)] == [8, 8, 3, 2, 2]
+    assert [train.fits_at_once(n, 50_000, 12) for n in (0, 50_000, 200_000, 300_000, 4_320_000)] == [4, 4, 3, 2, 2]
     assert train.fits_at_once(10, 50_000, 1) == 2
